@@ -61,7 +61,7 @@ def feature_bit(feature: Column, n_bits: int = N_BITS) -> Column:
 
 def fold_bits(features: Column, n_bits: int = N_BITS) -> Column:
     """Sorted distinct bits of an array of features."""
-    return F.array_sort(F.array_distinct(F.transform(features, lambda f: feature_bit(f, n_bits))))
+    return F.sort_array(F.array_distinct(F.transform(features, lambda f: feature_bit(f, n_bits))))
 
 
 def fold_fingerprint(
@@ -92,9 +92,10 @@ def fingerprint_structures(
     require_columns(df, id_col, structure_col)
     structure = F.col(structure_col)
     usable = df.filter(~is_blank(structure))
-    # One array per row at most: a filter on the fingerprint itself would be pushed down and fold every row twice.
-    parsed = F.filter(F.array(features(structure)), lambda f: f.isNotNull())
-    found = usable.select(F.col(id_col), F.explode(parsed).alias("features"))
+    # The generator keeps the filter above it: pushed into the scan, it would compute the features of every row twice.
+    found = usable.select(F.col(id_col), F.explode_outer(F.array(features(structure))).alias("features")).filter(
+        "features IS NOT NULL"
+    )
     good = fold_fingerprint(found, id_col, F.col("features"), n_bits)
     reason = F.when(is_blank(structure), F.lit(EMPTY)).when(features(structure).isNull(), F.lit(INVALID))
     rejects = df.select(

@@ -6,48 +6,59 @@ bits are not those of any chemistry toolkit.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from simmart.operators.fingerprint import feature_bit
 from simmart.schemas import N_BITS, RADIUS
+from simmart.session import stage
+
+
+def short_hash(text: Column) -> Column:
+    """The first 48 bits of the md5, as a number."""
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint")
 
 
 def neighborhood_features(nodes: DataFrame, edges: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``(mol, feature)``: one hash per node and round 0..radius.
 
-    ``nodes`` is ``(mol, node, label)``; ``edges`` is ``(mol, a, b, kind)`` and makes ``b`` a neighbour of ``a``.
-    Edges to unknown nodes are ignored.
+    ``nodes`` is ``(mol, node, label)``, one row per node; ``edges`` is ``(mol, a, b, kind)`` and makes ``b`` a
+    neighbour of ``a``. Edges to unknown nodes are ignored. Hand in stored tables; nodes are read twice.
 
-    The neighbours of a node enter as the count and the sum of their hashes. A sum does not depend on the order and
-    combines before the shuffle, so a hub with very many edges never has its neighbours gathered in one place.
+    The neighbours of a node enter as their number and the sum of their hashes. A sum does not depend on the order and
+    combines before the shuffle, so a hub with very many edges never has its neighbours gathered in one place. The sum
+    is kept in two halves of 24 bits, which leaves room for 2**39 neighbours.
     """
-    state = nodes.select("mol", "node", F.array(F.md5(F.col("label"))).alias("hashes"))
-    for _ in range(radius):
+    state = nodes.select("mol", "node", F.array(short_hash(F.col("label"))).alias("hashes"))
+    for done in range(radius):
+        if done:
+            # Each round reads the state twice; stored, it is computed once.
+            state = stage(state, "neighborhood")
         latest = F.element_at("hashes", -1)
         neighbour = state.select("mol", F.col("node").alias("b"), latest.alias("hash"))
-        term = F.conv(F.substring(F.md5(F.concat_ws(":", "kind", "hash")), 1, 15), 16, 10)
-        gathered = (
-            edges.join(neighbour, ["mol", "b"])
-            .groupBy("mol", F.col("a").alias("node"))
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(term.cast("decimal(20,0)")).alias("total"))
+        met = edges.join(neighbour, ["mol", "b"]).select(
+            "mol", F.col("a").alias("node"), short_hash(F.concat_ws(":", "kind", "hash")).alias("term")
+        )
+        gathered = met.groupBy("mol", "node").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.shiftright("term", 24)).alias("high"),
+            F.sum(F.col("term").bitwiseAND(F.lit((1 << 24) - 1))).alias("low"),
         )
-        update = F.md5(
-            F.concat_ws(
-                ",",
-                latest,
-                F.coalesce(F.col("n"), F.lit(0)).cast("string"),
-                F.coalesce(F.col("total"), F.lit(0)).cast("string"),
-            )
+        update = short_hash(
+            F.concat_ws(",", latest, *[F.coalesce(F.col(c), F.lit(0)) for c in ("n", "high", "low")])
         )
         state = state.join(gathered, ["mol", "node"], "left").select(
             "mol", "node", F.array_append("hashes", update).alias("hashes")
         )
-    return state.select("mol", F.explode("hashes").alias("feature"))
+    return state.select("mol", F.explode_outer("hashes").alias("feature"))
 
 
 def fold_features(features: DataFrame, n_bits: int = N_BITS) -> DataFrame:
     """Fold ``(mol, feature)`` rows into ``(chembl_id, on, pop)``; at most ``n_bits`` positions meet per molecule."""
-    bits = features.select("mol", feature_bit(F.col("feature"), n_bits).alias("bit")).distinct()
-    folded = bits.groupBy(F.col("mol").alias("chembl_id")).agg(F.array_sort(F.collect_list("bit")).alias("on"))
+    bit = F.pmod("feature", F.lit(n_bits)).cast("int").alias("bit")
+    folded = (
+        features.select("mol", bit)
+        .distinct()
+        .groupBy(F.col("mol").alias("chembl_id"))
+        .agg(F.sort_array(F.collect_list("bit")).alias("on"))
+    )
     return folded.select("chembl_id", "on", F.size("on").alias("pop"))

@@ -33,6 +33,8 @@ def read_targets(spark: SparkSession, path: str, id_prefix: str = ID_PREFIX) ->
     require_columns(header, NAME, STRUCTURE)
     fields = [T.StructField(c, T.StringType()) for c in header.columns]
     reader = _options(spark.read).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE)
+    # With pruned columns the parser would not see surplus fields.
+    reader = reader.option("columnPruning", False)
     lines = reader.schema(T.StructType([*fields, T.StructField(_LINE, T.StringType())])).csv(path)
     # Spark keeps the raw line only when the number of fields is off, in either direction.
     reason = (

@@ -63,15 +63,19 @@ def target_fps(spark, sf_dir) -> DataFrame:
     return fps.withColumnRenamed("chembl_id", TARGET)
 
 
-def profile_fps(spark, sf_dir) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents", "lang", "text"))
-    sizes = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
-    bits = sm.fold_fingerprint(docs, "lang", sm.text_tokens(F.col("text"))).select(
-        F.col("chembl_id").alias("lang"), F.explode("on").alias("bit")
+def profile_fps(spark, sf_dir, fps: DataFrame | None = None) -> DataFrame:
+    """Per language the bits that more than half of its documents have."""
+    langs = table(spark, sf_dir, "documents", "doc_id", "lang").select(doc_id().alias("chembl_id"), "lang")
+    sizes = langs.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
+    bits = (
+        (doc_fps(spark, sf_dir) if fps is None else fps)
+        .join(langs, "chembl_id")
+        .select("lang", F.explode_outer("on").alias("bit"))
+        .filter("bit IS NOT NULL")
     )
     common = bits.groupBy("lang", "bit").agg(F.count(F.lit(1)).alias("n")).join(sizes, "lang")
     kept = common.filter(F.col("n") * 2 > F.col("docs")).groupBy("lang").agg(
-        F.array_sort(F.collect_list("bit")).alias("on")
+        F.sort_array(F.collect_list("bit")).alias("on")
     )
     return kept.select(F.concat(F.lit("CHEMBLL"), "lang").alias(TARGET), "on", F.size("on").alias("pop"))
 
@@ -121,9 +125,10 @@ def properties(spark, sf_dir) -> DataFrame:
     return base.select("chembl_id", *[F.expr(e).alias(c) for c, e in PROPERTY_SQL.items()])
 
 
-def first_load(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+def first_load(spark, sf_dir, fps: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Mart after the first month, on an empty star: new dimension rows, new facts, rejects."""
-    top = stage(sm.score_top_k(target_fps(spark, sf_dir), doc_fps(spark, sf_dir)), "top")
+    sources = doc_fps(spark, sf_dir) if fps is None else fps
+    top = stage(sm.score_top_k(target_fps(spark, sf_dir), sources), "top")
     return sm.load_mart(
         top,
         dictionary(spark, sf_dir),
@@ -133,17 +138,18 @@ def first_load(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     )
 
 
-def star(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+def star(spark, sf_dir, fps: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Dimension and fact table of the first month, stored."""
-    dim, fact, _ = first_load(spark, sf_dir)
+    dim, fact, _ = first_load(spark, sf_dir, fps)
     return dim, stage(fact, "fact")
 
 
 def second_load(spark, sf_dir, fact_filter) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The next month brings both the old targets and the language profiles."""
-    dim, fact = star(spark, sf_dir)
-    both = target_fps(spark, sf_dir).unionByName(profile_fps(spark, sf_dir))
-    top = stage(sm.score_top_k(both, doc_fps(spark, sf_dir)), "top")
+    fps = stage(doc_fps(spark, sf_dir), "fps")
+    dim, fact = star(spark, sf_dir, fps)
+    both = target_fps(spark, sf_dir).unionByName(profile_fps(spark, sf_dir, fps))
+    top = stage(sm.score_top_k(both, fps), "top")
     return sm.load_mart(top, dictionary(spark, sf_dir), properties(spark, sf_dir), dim, fact, fact_filter)
 
 
@@ -194,10 +200,10 @@ def q_top10_embeddings(spark, sf_dir):
     on = sm.sign_bits(F.col("embedding"))
     fps = vectors.select(F.col("vec_id").cast("string").alias("chembl_id"), on.alias("on"))
     sizes = vectors.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
-    signs = vectors.select("label", F.explode(on).alias("bit")).groupBy("label", "bit").agg(F.count(F.lit(1)).alias("n"))
+    signs = vectors.select("label", F.explode_outer(on).alias("bit")).filter("bit IS NOT NULL").groupBy("label", "bit").agg(F.count(F.lit(1)).alias("n"))
     majority = (
         signs.join(sizes, "label").filter(F.col("n") * 2 > F.col("members"))
-        .groupBy(F.concat(F.lit("label"), "label").alias(TARGET)).agg(F.array_sort(F.collect_list("bit")).alias("on"))
+        .groupBy(F.concat(F.lit("label"), "label").alias(TARGET)).agg(F.sort_array(F.collect_list("bit")).alias("on"))
     )
     return sm.score_top_k(majority, fps, n_bits=64)
 
@@ -440,7 +446,7 @@ def landed_pages(spark, sf_dir) -> str:
     rows = raw_molecules(spark, sf_dir)
     offset = (F.floor(F.col("offset") / PAGE) * PAGE).alias("offset")
     total = table(spark, sf_dir, "documents", "doc_id").count()
-    pages = rows.groupBy(offset).agg(F.array_join(F.array_sort(F.collect_list("item")), ",").alias("items"))
+    pages = rows.groupBy(offset).agg(F.array_join(F.sort_array(F.collect_list("item")), ",").alias("items"))
     folder = scratch_path(spark, "pages")
     text = F.concat(F.lit('{"molecules":['), "items", F.lit(f'],"page_meta":{{"total_count":{total}}}}}'))
     pages.select("offset", text.alias("value")).write.partitionBy("offset").text(folder)
@@ -523,9 +529,11 @@ def q_month_stamp(spark, sf_dir):
 
 def order_graph(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    returned, unbilled = F.count_if(F.col("l_returnflag") == "R"), F.count_if(F.col("l_linestatus") == "O")
     nodes = lines.groupBy(F.col("l_orderkey").alias("mol"), F.col("l_linenumber").alias("node")).agg(
-        F.concat(F.min("l_returnflag"), F.max("l_linestatus")).alias("label")
+        F.concat_ws("/", F.count(F.lit(1)), returned, unbilled).alias("label")
     )
+    nodes = stage(nodes, "nodes")
     steps = F.create_map(F.lit("next"), F.lit(1), F.lit("prev"), F.lit(-1))
     edges = nodes.select("mol", F.col("node").alias("a"), F.explode(steps).alias("kind", "step")).select(
         "mol", "a", (F.col("a") + F.col("step")).alias("b"), "kind"
@@ -631,17 +639,18 @@ SELECT chembl_id AS molecule_chembl_id, lang AS molecule_type,
 
 FLAT = "translate({0}, chr(10) || chr(13) || chr(34) || chr(92), '    ')"
 
-NEIGHBOUR = """n0 AS (SELECT l_orderkey AS mol, l_linenumber AS node,
-    md5(min(l_returnflag) || max(l_linestatus)) AS h FROM lineitem GROUP BY 1, 2)"""
+SHORT = "CAST('0x' || substr(md5({0}), 1, 12) AS BIGINT)"
+NEIGHBOUR = f"""n0 AS (SELECT l_orderkey AS mol, l_linenumber AS node,
+    {SHORT.format("count(*) || '/' || count_if(l_returnflag = 'R') || '/' || count_if(l_linestatus = 'O')")} AS h FROM lineitem GROUP BY 1, 2)"""
 
 
 def round_sql(i: int) -> str:
-    return f"""m{i} AS (SELECT mol, a, count(*) AS n,
-    sum(CAST('0x' || substr(md5(kind || ':' || h), 1, 15) AS BIGINT)) AS total FROM (
-      SELECT mol, node - 1 AS a, 'next' AS kind, h FROM n{i} UNION ALL SELECT mol, node + 1, 'prev', h FROM n{i})
+    update = SHORT.format("h || ',' || coalesce(n, 0) || ',' || coalesce(high, 0) || ',' || coalesce(low, 0)")
+    return f"""m{i} AS (SELECT mol, a, count(*) AS n, sum(term >> 24) AS high, sum(term & 16777215) AS low FROM (
+    SELECT mol, a, {SHORT.format("kind || ':' || h")} AS term FROM (
+      SELECT mol, node - 1 AS a, 'next' AS kind, h FROM n{i} UNION ALL SELECT mol, node + 1, 'prev', h FROM n{i}))
     GROUP BY 1, 2),
-n{i + 1} AS (SELECT s.mol, s.node, md5(h || ',' || coalesce(n, 0) || ',' || coalesce(total, 0)) AS h
-  FROM n{i} s LEFT JOIN m{i} m ON s.mol = m.mol AND s.node = m.a)"""
+n{i + 1} AS (SELECT s.mol, s.node, {update} AS h FROM n{i} s LEFT JOIN m{i} m ON s.mol = m.mol AND s.node = m.a)"""
 
 
 ORACLE: dict[str, str] = {
@@ -769,7 +778,7 @@ FROM conversations WHERE role <> 'user' GROUP BY 1""",
     "month_stamp": """SELECT strftime(o_orderdate, '%m_%Y') AS stamp, count(*) AS n,
   strftime(date_trunc('month', min(o_orderdate)), '%Y-%m-%d') AS first_day FROM orders GROUP BY 1""",
     "neighborhood_features": f"""WITH {NEIGHBOUR}, {round_sql(0)}, {round_sql(1)},
-bits AS (SELECT DISTINCT mol, {HASH.format('h')} AS bit FROM (
+bits AS (SELECT DISTINCT mol, CAST(h % 2048 AS INT) AS bit FROM (
   SELECT mol, h FROM n0 UNION ALL SELECT mol, h FROM n1 UNION ALL SELECT mol, h FROM n2))
 SELECT mol, string_agg(bit, ',' ORDER BY bit) AS on_bits, CAST(count(*) AS INT) AS pop FROM bits GROUP BY mol""",
 }
