@@ -7,6 +7,7 @@ of on-bits a better source can have (Swamidass and Baldi, 2007); sources outside
 
 from __future__ import annotations
 
+import functools
 import sys
 from collections.abc import Iterator
 
@@ -14,9 +15,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from simmart.functions.packing import pack
 from simmart.schemas import N_BITS, PAIRS, TOP_K
 from simmart.session import empty, stage
 
@@ -40,31 +42,16 @@ def _with_fingerprint(df: DataFrame, id_col: str) -> DataFrame:
     raise ValueError("fingerprints need one of the columns: words, on, morgan_fingerprint")
 
 
-def _pack(fp: pa.Array, n_bits: int) -> np.ndarray:
-    """Any stored form to a matrix of packed words, one row per fingerprint."""
-    rows, width = len(fp), -(-n_bits // 64) * 64
-    if pa.types.is_list(fp.type) and pa.types.is_int64(fp.type.value_type):
-        words = fp.flatten().to_numpy(zero_copy_only=False).reshape(rows, width // 64)
-        return np.ascontiguousarray(words).view(np.uint64)
-    bits = np.zeros((rows, width), np.uint8)
-    if pa.types.is_list(fp.type):
-        row_of = np.repeat(np.arange(rows), pc.list_value_length(fp).to_numpy(zero_copy_only=False))
-        bits[row_of, fp.flatten().to_numpy(zero_copy_only=False)] = 1
-    else:
-        text = b"".join(s.encode() for s in fp.to_pylist())
-        bits[:, :n_bits] = np.frombuffer(text, np.uint8).reshape(rows, n_bits) - ord("0")
-    return np.packbits(bits, axis=1).view(np.uint64)
-
-
 def _target_block(table: pa.Table, n_bits: int) -> dict:
     """Targets sorted by name; structures that share a name lie next to each other."""
     table = table.drop_null().sort_by("id").combine_chunks()
     names = table["id"].to_pylist()
-    words = _pack(table["fp"].combine_chunks(), n_bits)
+    words = pack(table["fp"].combine_chunks(), n_bits)
     starts = [i for i, name in enumerate(names) if i == 0 or name != names[i - 1]]
     return {
         "names": [names[i] for i in starts],
-        "spans": list(zip(starts, starts[1:] + [len(names)])),
+        "starts": np.array(starts),
+        "ends": np.array(starts[1:] + [len(names)]),
         "words": words,
         "pops": np.bitwise_count(words).sum(axis=1, dtype=np.int64),
     }
@@ -78,7 +65,7 @@ class _Batch:
         by_id = pc.sort_indices(ids).to_numpy()
         rank = np.empty(len(by_id), np.int64)
         rank[by_id] = np.arange(len(by_id))
-        words = _pack(batch.column(1), n_bits)
+        words = pack(batch.column(1), n_bits)
         pops = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
         order = np.lexsort((rank, pops))
         self.ids = ids.take(pa.array(order))
@@ -86,31 +73,29 @@ class _Batch:
         self.pops = pops[order]
         self.words = np.ascontiguousarray(words[order].T)
 
-    def window(self, target_pop: int, floor: float) -> tuple[int, int]:
-        """Rows whose number of on-bits allows a score of at least ``floor``."""
-        if floor <= 0:
-            return 0, len(self.pops)
-        low = np.ceil(floor * target_pop - 1e-6)
-        high = np.floor(target_pop / floor + 1e-6)
-        return int(np.searchsorted(self.pops, low)), int(np.searchsorted(self.pops, high, "right"))
-
-    def scores(self, block: dict, t: int, floor: float, empty_score: float) -> tuple[int, np.ndarray]:
-        """First row and scores of the rows that can reach ``floor``; the best structure of the target counts."""
-        first, last = block["spans"][t]
-        windows = [self.window(int(p), floor) for p in block["pops"][first:last]]
-        low, high = min(w[0] for w in windows), max(w[1] for w in windows)
-        best = np.zeros(max(high - low, 0))
-        if low >= high:
-            return low, best
-        pops = self.pops[low:high]
-        for i in range(first, last):
-            query = block["words"][i]
+    def windows(self, block: dict, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per target the range of rows whose number of on-bits allows a score of at least its floor."""
+        floor = np.repeat(floors, block["ends"] - block["starts"])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            fewest = np.where(floor > 0, np.ceil(floor * block["pops"] - 1e-6), 0)
+            most = np.where(floor > 0, np.floor(block["pops"] / floor + 1e-6), np.inf)
+        first = np.searchsorted(self.pops, fewest)
+        end = np.searchsorted(self.pops, most, "right")
+        return np.minimum.reduceat(first, block["starts"]), np.maximum.reduceat(end, block["starts"])
+
+    def scores(self, block: dict, t: int, low: int, high: int, empty_score: float) -> np.ndarray:
+        """Scores of target ``t`` with rows low..high; with several structures the best one counts."""
+        pops, best = self.pops[low:high], None
+        for i in range(block["starts"][t], block["ends"][t]):
+            query, pop = block["words"][i], block["pops"][i]
             used = np.flatnonzero(query)
-            common = np.bitwise_count(self.words[used, low:high] & query[used, None]).sum(axis=0, dtype=np.int64)
-            union = pops + block["pops"][i] - common
-            score = np.where(union == 0, empty_score, common / np.maximum(union, 1))
-            np.maximum(best, score, out=best)
-        return low, best
+            if 4 * len(used) > 3 * len(query):
+                used = slice(None)  # a view is cheaper than leaving out a few words
+            common = np.bitwise_count(self.words[used, low:high] & query[used, None]).sum(axis=0, dtype=np.uint32)
+            # With an empty target the union is empty exactly for empty rows.
+            score = common / (pops + pop - common) if pop else np.where(pops == 0, empty_score, 0.0)
+            best = score if best is None else np.maximum(best, score)
+        return best
 
     def own_target(self, block: dict) -> np.ndarray:
         """Per row the number of the target with the same id, or -1."""
@@ -147,16 +132,20 @@ def _task_top_k(shared, n_bits: int, k: int, empty_score: float, include_self: b
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
         best: list[list[tuple[float, str]]] = [[] for _ in block["names"]]
+        floors = np.zeros(len(best))
         for batch in _packed(batches, n_bits):
             own = None if include_self else batch.own_target(block)
-            for t, kept in enumerate(best):
-                floor = -kept[-1][0] if len(kept) == k else 0.0
-                low, scores = batch.scores(block, t, floor, empty_score)
+            lows, highs = batch.windows(block, floors)
+            for t in np.flatnonzero(lows < highs):
+                low, high = lows[t], highs[t]
+                scores = batch.scores(block, t, low, high, empty_score)
                 if own is not None:
-                    scores[own[low : low + len(scores)] == t] = -1.0
-                new = _k_best(batch, low, scores, floor, k)
+                    scores[own[low:high] == t] = -1.0
+                new = _k_best(batch, low, scores, floors[t], k)
                 if new:
-                    best[t] = sorted(kept + new)[:k]
+                    best[t] = sorted(best[t] + new)[:k]
+                    if len(best[t]) == k:
+                        floors[t] = -best[t][-1][0]
         for first in range(0, len(best), OUT_ROWS // k + 1):
             names = block["names"][first : first + OUT_ROWS // k + 1]
             rows = [(s, -neg, n) for n, kept in zip(names, best[first:]) for neg, s in kept]
@@ -172,7 +161,7 @@ def _task_all_pairs(shared, n_bits: int, empty_score: float, include_self: bool,
         for batch in _packed(batches, n_bits):
             own = None if include_self else batch.own_target(block)
             for t, name in enumerate(block["names"]):
-                _, scores = batch.scores(block, t, 0.0, empty_score)
+                scores = batch.scores(block, t, 0, len(batch.pops), empty_score)
                 keep = np.ones(len(scores), bool) if keep_zero else scores > 0
                 if own is not None:
                     keep &= own != t
@@ -186,37 +175,48 @@ def _task_all_pairs(shared, n_bits: int, empty_score: float, include_self: bool,
     return run
 
 
-def _blocks(targets: DataFrame, max_block: int) -> Iterator[pa.Table]:
-    """Targets in parts of about ``max_block`` rows, so that each part is small enough to broadcast."""
+def _blocks(targets: DataFrame, max_block: int) -> Iterator[tuple[pa.Table, bool]]:
+    """Targets in parts of about ``max_block`` rows, small enough to broadcast.
+
+    The flag says that names of this part may have more structures in other parts.
+    """
     # Exact copies of a target change nothing. Several structures under one name all count.
     distinct = _with_fingerprint(targets, TARGET).distinct()
     head = distinct.limit(max_block + 1).toArrow()
     if head.num_rows <= max_block:
         if head.num_rows:
-            yield head
+            yield head, False
         return
     stored = stage(distinct, "targets")
-    parts = -(-stored.count() // max_block)
-    for part in range(parts):
-        yield stored.filter(F.pmod(F.xxhash64("id", "fp"), F.lit(parts)) == part).toArrow()
-
-
-def _scan(targets: DataFrame, fps: DataFrame, max_block: int, n_bits: int, task) -> list[DataFrame]:
+    repeated = stored.groupBy("id").count().filter("count > 1").select("id")
+    for rows, split in (
+        (stored.join(repeated, "id", "left_anti"), False),
+        (stored.join(repeated, "id", "left_semi"), True),
+    ):
+        # Cut by name and structure: a name with very many structures does not end up in one part.
+        parts = -(-rows.count() // max_block)
+        for part in range(parts):
+            yield rows.filter(F.pmod(F.xxhash64("id", "fp"), F.lit(parts)) == part).toArrow(), split
+
+
+def _scan(targets: DataFrame, fps: DataFrame, max_block: int, n_bits: int, task) -> list[tuple[DataFrame, bool]]:
     """One pass over the fingerprints per block of targets."""
     spark = fps.sparkSession
     sources = _with_fingerprint(fps, "chembl_id")
     done = []
-    for part in _blocks(targets, max_block):
+    for part, split in _blocks(targets, max_block):
         block = _target_block(part, n_bits)
-        done.append(sources.mapInArrow(task(spark.sparkContext.broadcast(block)), PAIRS))
-    return done or [empty(spark, PAIRS)]
+        if block["names"]:
+            done.append((sources.mapInArrow(task(spark.sparkContext.broadcast(block)), PAIRS), split))
+    return done
+
+
+def _union(spark: SparkSession, frames: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, frames) if frames else empty(spark, PAIRS)
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+def _best_per_pair(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("chembl_id", TARGET).agg(F.max(SCORE).alias(SCORE)).select(*PAIRS.names)
 
 
 def score_targets(
@@ -240,10 +240,9 @@ def score_targets(
         n_bits,
         lambda shared: _task_all_pairs(shared, n_bits, empty_score, include_self, keep_zero),
     )
-    if len(frames) == 1:
-        return frames[0]
-    # Structures of one name may lie in different blocks.
-    return _union(frames).groupBy("chembl_id", TARGET).agg(F.max(SCORE).alias(SCORE)).select(*PAIRS.names)
+    whole = _union(fps.sparkSession, [frame for frame, split in frames if not split])
+    parts = [frame for frame, split in frames if split]
+    return whole.unionByName(_best_per_pair(_union(fps.sparkSession, parts))) if parts else whole
 
 
 def score_top_k(
@@ -268,10 +267,11 @@ def score_top_k(
         n_bits,
         lambda shared: _task_top_k(shared, n_bits, keep, empty_score, include_self),
     )
-    if len(frames) == 1:
-        return _rank(frames[0], k, tie_mode)
-    pairs = _union([stage(f, "block") for f in frames])
-    return _rank(pairs.groupBy("chembl_id", TARGET).agg(F.max(SCORE).alias(SCORE)), k, tie_mode)
+    if len(frames) <= 1:
+        return _rank(_union(fps.sparkSession, [frame for frame, _ in frames]), k, tie_mode)
+    # One block at a time; a few rows per target remain of each.
+    pairs = _union(fps.sparkSession, [stage(frame, "block") for frame, _ in frames])
+    return _rank(_best_per_pair(pairs), k, tie_mode)
 
 
 def _first_k(pairs: DataFrame, k: int) -> DataFrame:

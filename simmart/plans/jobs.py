@@ -54,6 +54,7 @@ def build_fingerprints(
     features: Callable[[Column], Column] = text_tokens,
     fn: Callable[[str], Iterable[int] | None] | None = None,
     n_bits: int = N_BITS,
+    layout: str = "text",
 ) -> tuple[DataFrame, DataFrame]:
     """Fingerprints of a staged structure table and the unusable rows; written to ``directory`` when given.
 
@@ -64,7 +65,7 @@ def build_fingerprints(
     else:
         fps, rejects = fingerprint_structures(structures, features=features, n_bits=n_bits)
     if directory:
-        write_fingerprints(fps, directory, n_bits=n_bits)
+        write_fingerprints(fps, directory, n_bits=n_bits, layout=layout)
     return fps, rejects
 
 

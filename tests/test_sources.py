@@ -105,7 +105,8 @@ def test_short_line_without_structure(spark, folder):
 
 
 def test_fingerprint_files(spark, folder):
-    fps = spark.createDataFrame([(f"CHEMBL{i}", [i, i + 1]) for i in range(25)], "chembl_id string, on array<int>")
+    rows = [(f"CHEMBL{i}", [i, i + 1], 2) for i in range(25)]
+    fps = spark.createDataFrame(rows, "chembl_id string, on array<int>, pop int")
     path = f"{folder}/fps"
     sm.write_fingerprints(fps.coalesce(1), path, rows_per_file=10)
     files = [f for f in os.listdir(path) if f.endswith(".parquet")]
@@ -118,6 +119,15 @@ def test_fingerprint_files(spark, folder):
     assert {(r.chembl_id, tuple(r.on)) for r in decoded.collect()} == {(f"CHEMBL{i}", (i, i + 1)) for i in range(25)}
 
 
+def test_fingerprint_files_as_words(spark, folder):
+    fps = spark.createDataFrame([("A", [0, 5], 2), ("B", [], 0), ("C", [2047], 1)], "chembl_id string, on array<int>, pop int")
+    sm.write_fingerprints(fps, f"{folder}/w", layout="words")
+    back = sm.scan_fingerprints(spark, f"{folder}/w").select("chembl_id", sm.bits_unpack(F.col("words")).alias("on"))
+    assert {r.chembl_id: r.on for r in back.collect()} == {"A": [0, 5], "B": [], "C": [2047]}
+    with pytest.raises(ValueError):
+        sm.write_fingerprints(fps, f"{folder}/v", layout="other")
+
+
 def test_extra_index_column_is_ignored(spark, folder):
     spark.createDataFrame([("A", "01", 5)], "chembl_id string, morgan_fingerprint string, __index_level_0__ long").write.parquet(f"{folder}/f")
     assert sm.scan_fingerprints(spark, f"{folder}/f").columns == ["chembl_id", "morgan_fingerprint"]

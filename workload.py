@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import simmart as sm
+from simmart.functions.packing import stored_form
 from simmart.functions.text import month_of_file, month_stamp
 from simmart.operators.mart import molecule_ids, new_dimension_rows
 from simmart.operators.records import typed_lookups
@@ -250,6 +251,14 @@ def q_bits_pack_popcount(spark, sf_dir):
     )
 
 
+def q_bits_stored_forms(spark, sf_dir):
+    """Both stored forms made batch-wise; they agree with the column functions."""
+    fps = doc_fps(spark, sf_dir)
+    text = stored_form(fps, "text", 2048).select("chembl_id", F.md5("morgan_fingerprint").alias("bits_md5"))
+    words = stored_form(fps, "words", 2048).select("chembl_id", F.array_join("words", ",").alias("words"))
+    return text.join(words, "chembl_id")
+
+
 def q_pair_scores(spark, sf_dir):
     return sm.score_targets(target_fps(spark, sf_dir), doc_fps(spark, sf_dir))
 
@@ -280,9 +289,9 @@ def q_top10_no_self(spark, sf_dir):
 
 
 def q_tie_flag(spark, sf_dir):
-    """Top-k over the pair table instead of the scan."""
-    pairs = sm.score_targets(target_fps(spark, sf_dir), doc_fps(spark, sf_dir))
-    return sm.top_k_similar(pairs)
+    """Rank an existing pair table: the five best of the ten best, with ties inside the five."""
+    pairs = sm.score_top_k(target_fps(spark, sf_dir), doc_fps(spark, sf_dir)).withColumnRenamed(SOURCE, "chembl_id")
+    return sm.top_k_similar(pairs, k=5)
 
 
 def q_tie_flag_boundary(spark, sf_dir):
@@ -296,6 +305,13 @@ def q_fingerprint_files(spark, sf_dir):
     return sm.score_top_k(target_fps(spark, sf_dir), sm.scan_fingerprints(spark, folder))
 
 
+def q_fingerprint_word_files(spark, sf_dir):
+    """The same with packed words in the files."""
+    folder = scratch_path(spark, "fingerprints")
+    sm.write_fingerprints(doc_fps(spark, sf_dir), folder, layout="words")
+    return sm.score_top_k(target_fps(spark, sf_dir), sm.scan_fingerprints(spark, folder))
+
+
 def q_pairs_by_target(spark, sf_dir):
     """Store one folder of scores per target, read back, rank."""
     folder = scratch_path(spark, "pairs")
@@ -577,12 +593,12 @@ def pairs_sql(sources: str, targets: str, name: str = "pairs") -> str:
   FROM {name}_s s JOIN {name}_t t ON TRUE LEFT JOIN {name}_c ON sid = s.id AND tid = t.id)"""
 
 
-def top_sql(pairs: str = "pairs", name: str = "top10") -> str:
+def top_sql(pairs: str = "pairs", name: str = "top10", k: int = 10) -> str:
     return f"""
 {name} AS (SELECT source_chembl_id, target_chembl_id, score,
     count(*) OVER (PARTITION BY target_chembl_id, score) > 1 AS {FLAG}
   FROM (SELECT *, row_number() OVER (PARTITION BY target_chembl_id ORDER BY score DESC, source_chembl_id) AS place
-        FROM {pairs}) WHERE place <= 10)"""
+        FROM {pairs}) WHERE place <= {k})"""
 
 
 TOP_OUT = f"SELECT source_chembl_id, target_chembl_id, score AS {SCORE}, {FLAG} FROM top10"
@@ -653,6 +669,11 @@ def round_sql(i: int) -> str:
 n{i + 1} AS (SELECT s.mol, s.node, {update} AS h FROM n{i} s LEFT JOIN m{i} m ON s.mol = m.mol AND s.node = m.a)"""
 
 
+PACKED = """words AS (SELECT id, bit // 64 AS w, sum(CAST(1 AS HUGEINT) << (63 - bit % 64)) AS v FROM doc_bits GROUP BY 1, 2),
+grid AS (SELECT p.id, i, CASE WHEN v >= CAST(1 AS HUGEINT) << 63 THEN v - (CAST(1 AS HUGEINT) << 64) ELSE coalesce(v, 0) END AS v
+  FROM doc_pop p JOIN range(32) r(i) ON TRUE LEFT JOIN words ON words.id = p.id AND w = i),
+packed AS (SELECT id, string_agg(v, ',' ORDER BY i) AS words FROM grid GROUP BY id)"""
+
 ORACLE: dict[str, str] = {
     "top10_embeddings": f"""WITH
 src AS (SELECT CAST(vec_id AS VARCHAR) AS id, label, pos AS bit FROM (
@@ -678,11 +699,14 @@ FROM part LEFT JOIN bits ON id = p_partkey GROUP BY p_partkey""",
 SELECT p.id AS chembl_id, md5(string_agg(CASE WHEN b.bit IS NULL THEN '0' ELSE '1' END, '' ORDER BY i)) AS bits_md5,
   string_agg(b.bit, ',' ORDER BY b.bit) AS on_bits
 FROM doc_pop p JOIN range(2048) r(i) ON TRUE LEFT JOIN doc_bits b ON b.id = p.id AND b.bit = i GROUP BY p.id""",
+    "bits_stored_forms": f"""WITH {BITS},
+{PACKED}
+SELECT packed.id AS chembl_id, bits_md5, words FROM packed JOIN (
+  SELECT p.id, md5(string_agg(CASE WHEN b.bit IS NULL THEN '0' ELSE '1' END, '' ORDER BY i)) AS bits_md5
+  FROM doc_pop p JOIN range(2048) r(i) ON TRUE LEFT JOIN doc_bits b ON b.id = p.id AND b.bit = i GROUP BY p.id) t
+ON t.id = packed.id""",
     "bits_pack_popcount": f"""WITH {BITS},
-words AS (SELECT id, bit // 64 AS w, sum(CAST(1 AS HUGEINT) << (63 - bit % 64)) AS v FROM doc_bits GROUP BY 1, 2),
-grid AS (SELECT p.id, i, CASE WHEN v >= CAST(1 AS HUGEINT) << 63 THEN v - (CAST(1 AS HUGEINT) << 64) ELSE coalesce(v, 0) END AS v
-  FROM doc_pop p JOIN range(32) r(i) ON TRUE LEFT JOIN words ON words.id = p.id AND w = i),
-packed AS (SELECT id, string_agg(v, ',' ORDER BY i) AS words FROM grid GROUP BY id)
+{PACKED}
 SELECT packed.id AS chembl_id, words, pop, on_md5 FROM packed JOIN doc_pop ON packed.id = doc_pop.id
 JOIN (SELECT id, md5(string_agg(bit, ',' ORDER BY bit)) AS on_md5 FROM doc_bits GROUP BY id) o ON o.id = packed.id""",
     "pair_scores": f"""WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}
@@ -692,7 +716,7 @@ SELECT source_chembl_id, target_chembl_id, score AS native_score, TRUE AS same F
     "top10_documents": f"WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql()} {TOP_OUT}",
     "top10_no_self": f"""WITH {BITS}, {pairs_sql('profile_bits', 'profile_bits', 'every')},
 pairs AS (SELECT * FROM every WHERE source_chembl_id <> target_chembl_id), {top_sql()} {TOP_OUT}""",
-    "tie_flag": f"WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql()} {TOP_OUT}",
+    "tie_flag": f"WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql(k=5)} {TOP_OUT}",
     "tie_flag_boundary": f"""WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')},
 placed AS (SELECT *, row_number() OVER (PARTITION BY target_chembl_id ORDER BY score DESC, source_chembl_id) AS place,
   rank() OVER (PARTITION BY target_chembl_id ORDER BY score DESC) AS r FROM pairs),
@@ -701,6 +725,7 @@ cut AS (SELECT target_chembl_id AS t, max(CASE WHEN place = 10 THEN score END) A
 SELECT source_chembl_id, target_chembl_id, score AS {SCORE}, coalesce(within > 10 AND score = kth, FALSE) AS {FLAG}
 FROM placed JOIN cut ON t = target_chembl_id WHERE place <= 10""",
     "fingerprint_files": f"WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql()} {TOP_OUT}",
+    "fingerprint_word_files": f"WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql()} {TOP_OUT}",
     "pairs_by_target": f"WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql()} {TOP_OUT}",
     "fact_build": f"WITH {FIRST} SELECT source_chembl_id, target_chembl_id, CAST({SCORE} AS DOUBLE) AS {SCORE}, {FLAG} FROM fact",
     "dim_build": f"WITH {FIRST} SELECT {DIM_OUT} FROM dim",
