@@ -166,7 +166,8 @@ def read_pages(
 
 def decode_items(rows: DataFrame, item_schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Split raw page rows into typed items and unreadable pages."""
-    items = rows.filter("item IS NOT NULL").select(F.from_json("item", item_schema).alias("i")).select("i.*")
+    # A generator: filters on the fields stay above it, and each item is parsed once.
+    items = rows.filter("item IS NOT NULL").select(F.inline(F.array(F.from_json("item", item_schema))))
     return items, rows.filter("error IS NOT NULL").select("offset", "error")
 
 

@@ -167,7 +167,7 @@ def raw_molecules(spark, sf_dir) -> DataFrame:
 
     ``psa`` of quality-0 documents is no number, so those records are rejected.
     """
-    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    docs = spread(table(spark, sf_dir, "documents")).join(table(spark, sf_dir, "labels"), "doc_id", "left")
     n = F.col("n_chars")
     props = F.struct(
         (n / 10).cast("string").alias("mw_freebase"),
