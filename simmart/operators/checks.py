@@ -70,7 +70,7 @@ def _split_repeated(df: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame
     row = F.struct(*[F.col(c) for c in columns])
     per_key = df.groupBy(*key).agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias("_all")).filter("_all > 1")
     left = counted.join(per_key.drop("_all"), key).withColumn(
-        "copies", F.col("_n") - F.when(row == F.col("_first"), 1).when(row.eqNullSafe(F.col("_first")), 1).otherwise(0)
+        "copies", F.col("_n") - F.when(row.eqNullSafe(F.col("_first")), 1).otherwise(0)
     )
     repeated = left.filter("copies > 0").select(
         *columns, F.lit(f"key:{'+'.join(key)}").alias("reject_reason"), "copies"

@@ -26,17 +26,17 @@ INVALID = "invalid"
 
 def text_tokens(text: Column) -> Column:
     """Distinct space-separated tokens of the whole text."""
-    return F.array_distinct(F.filter(F.split(text, " "), lambda t: t != ""))
+    return F.array_distinct(F.array_remove(F.split(text, " "), ""))
 
 
 def token_ngrams(text: Column, n: int = 2) -> Column:
     """Runs of ``n`` consecutive tokens."""
-    return _ngrams(F.filter(F.split(text, " "), lambda t: t != ""), n, " ")
+    return _ngrams(F.array_remove(F.split(text, " "), ""), n, " ")
 
 
 def char_ngrams(text: Column, n: int = 3) -> Column:
     """Runs of ``n`` consecutive characters, the usual feature for short structure strings."""
-    return _ngrams(F.filter(F.split(text, ""), lambda c: c != ""), n, "")
+    return _ngrams(F.array_remove(F.split(text, ""), ""), n, "")
 
 
 def _ngrams(parts: Column, n: int, separator: str) -> Column:
@@ -56,7 +56,10 @@ def sign_bits(vector: Column) -> Column:
 
 def feature_bit(feature: Column, n_bits: int = N_BITS) -> Column:
     """Bit of a feature: the first 32 bits of its md5, modulo the width."""
-    return F.pmod(F.conv(F.substring(F.md5(feature), 1, 8), 16, 10).cast("bigint"), F.lit(n_bits)).cast("int")
+    # For a width that divides 16**4 the last four of the eight hex digits decide.
+    digits = 4 if 16**4 % n_bits == 0 else 8
+    number = F.conv(F.substring(F.md5(feature), 9 - digits, digits), 16, 10)
+    return F.pmod(number.cast("bigint" if digits == 8 else "int"), F.lit(n_bits)).cast("int")
 
 
 def fold_bits(features: Column, n_bits: int = N_BITS) -> Column:

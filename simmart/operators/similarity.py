@@ -25,8 +25,8 @@ from simmart.session import empty, stage
 # Executors run the functions below without having this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Rows of one broadcast: 256 bytes of fingerprint and an id each, about 30 MB.
-MAX_BLOCK_TARGETS = 100_000
+# Rows of one broadcast: 256 bytes of fingerprint and an id each, about 6 MB, and k results each in every task.
+MAX_BLOCK_TARGETS = 20_000
 # Rows a task returns per Arrow batch.
 OUT_ROWS = 20_000
 

@@ -51,7 +51,8 @@ class DirectoryFetcher:
     """
 
     def __init__(self, directory: str, pattern: str = "page_{offset}.json"):
-        self.directory = directory.rstrip("/")
+        # Spark writes local paths as file:/x, which is no URI to Arrow.
+        self.directory = directory.removeprefix("file://").removeprefix("file:").rstrip("/")
         self.pattern = pattern
 
     def __call__(self, offset: int, limit: int) -> dict:

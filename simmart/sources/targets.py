@@ -22,19 +22,21 @@ def lower_case_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def read_targets(spark: SparkSession, path: str, id_prefix: str = ID_PREFIX) -> tuple[DataFrame, DataFrame]:
+def read_targets(
+    spark: SparkSession, path: str, id_prefix: str = ID_PREFIX, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """``(target_chembl_id, smiles)`` and rejected rows as ``(line, reject_reason)``.
 
     The header decides which columns are read, in any order. Short lines are kept with NULL in the missing fields;
     lines with too many fields, without a name or with a name that lacks the prefix are rejected. Exact duplicates
-    are dropped.
+    are dropped. ``multi_line`` allows line breaks inside quotes; a file is then read by one task.
     """
-    header = lower_case_columns(_options(spark.read).option("inferSchema", False).csv(path).limit(0))
+    header = lower_case_columns(_options(spark.read).option("inferSchema", False).option("multiLine", multi_line).csv(path).limit(0))
     require_columns(header, NAME, STRUCTURE)
     fields = [T.StructField(c, T.StringType()) for c in header.columns]
     reader = _options(spark.read).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE)
     # With pruned columns the parser would not see surplus fields.
-    reader = reader.option("columnPruning", False)
+    reader = reader.option("columnPruning", False).option("multiLine", multi_line)
     lines = reader.schema(T.StructType([*fields, T.StructField(_LINE, T.StringType())])).csv(path)
     # Spark keeps the raw line only when the number of fields is off, in either direction.
     reason = (

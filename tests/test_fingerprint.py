@@ -33,6 +33,14 @@ def test_width(spark):
     assert row.on == sorted({bit("one", 16), bit("two", 16)})
 
 
+@pytest.mark.parametrize("n_bits", [1, 16, 1000, 2048, 65536, 131072])
+def test_any_width(spark, n_bits):
+    words = [f"w{i}" for i in range(300)]
+    df = spark.createDataFrame([("a", " ".join(words))], "chembl_id string, text string")
+    row = sm.fold_fingerprint(df, "chembl_id", sm.text_tokens(F.col("text")), n_bits).first()
+    assert row.on == sorted({bit(w, n_bits) for w in words})
+
+
 def test_missing_column(spark):
     with pytest.raises(ValueError, match="canonical_smiles"):
         sm.fingerprint_structures(structures(spark).drop("canonical_smiles"))

@@ -104,6 +104,14 @@ def test_short_line_without_structure(spark, folder):
     assert rejects.count() == 0
 
 
+def test_line_breaks_inside_quotes(spark, folder):
+    with open(f"{folder}/t.csv", "w") as f:
+        f.write('molecule name,smiles\nCHEMBL1,"C\nC"\nCHEMBL2,"C\n,C",x\n')
+    good, rejects = sm.read_targets(spark, f"{folder}/t.csv", multi_line=True)
+    assert {tuple(r) for r in good.collect()} == {("CHEMBL1", "C\nC")}
+    assert [r.reject_reason for r in rejects.collect()] == ["too_many_fields"]
+
+
 def test_fingerprint_files(spark, folder):
     rows = [(f"CHEMBL{i}", [i, i + 1], 2) for i in range(25)]
     fps = spark.createDataFrame(rows, "chembl_id string, on array<int>, pop int")

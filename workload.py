@@ -469,12 +469,8 @@ def landed_pages(spark, sf_dir) -> str:
     return folder
 
 
-def local_uri(folder: str) -> str:
-    return folder if "://" in folder else folder.removeprefix("file:")
-
-
 def q_paged_json_scan(spark, sf_dir):
-    fetch = sm.DirectoryFetcher(local_uri(landed_pages(spark, sf_dir)), "offset={offset}")
+    fetch = sm.DirectoryFetcher(landed_pages(spark, sf_dir), "offset={offset}")
     items, _ = sm.read_pages(spark, fetch, "molecules", limit=PAGE, delay=0, pages_per_task=4)
     return items.select(
         "molecule_chembl_id", "molecule_type", F.col("molecule_properties.alogp").alias("alogp"),
