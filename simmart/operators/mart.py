@@ -54,10 +54,10 @@ def load_mart(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(new_dim, new_fact, rejects)``: what to append, and facts whose source or target has no dimension row.
 
-    ``top`` is read several times; hand in a stored table. The new dimension rows are stored here, because the facts
-    are checked against them.
+    The rows this load may add and the new dimension rows are stored on the way: the first feed four plans, the second
+    are what the facts are checked against. So ``top`` and the fact table are read once.
     """
-    candidates = new_fact_rows(top, dim, fact, fact_filter)
+    candidates = stage(new_fact_rows(top, dim, fact, fact_filter), "candidates")
     new_dim = stage(new_dimension_rows(molecule_ids(candidates), dictionary, props, dim), "dim")
     members = dim.select("chembl_id").union(new_dim.select("chembl_id"))
     rules = TableRules(key=[SOURCE, TARGET], foreign={SOURCE: "dim", TARGET: "dim"})
@@ -77,7 +77,7 @@ def append_mart(
     """
     spark = top.sparkSession
     dim, fact = table_or_empty(spark, dim_table, DIMENSION), table_or_empty(spark, fact_table, FACT)
-    new_dim, new_fact, rejects = load_mart(stage(top, "top"), dictionary, props, dim, fact, fact_filter)
+    new_dim, new_fact, rejects = load_mart(top, dictionary, props, dim, fact, fact_filter)
     new_fact, rejects = stage(new_fact, "fact"), stage(rejects, "rejects")
     append_table(new_dim, dim_table)
     append_table(new_fact, fact_table)

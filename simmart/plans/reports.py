@@ -75,14 +75,15 @@ def next_most_similar(fact: DataFrame, by: str = SOURCE, max_group_rows: int = M
     order = [F.col(SCORE).desc_nulls_first(), F.col(other).asc()]
     rows = fact.select(by, other, SCORE)
     # At most rows / max_group_rows keys pass this filter.
-    hot = rows.groupBy(by).count().filter(F.col("count") > max_group_rows).select(by)
-    if hot.isEmpty():
+    large = rows.groupBy(by).count().filter(F.col("count") > max_group_rows)
+    large_rows = large.agg(F.sum("count")).first()[0]
+    if not large_rows:
         return _with_leads(rows, [by], order, other)
-    hot = stage(hot, "hot")
-    cold = rows.join(hot, by, "left_anti").select(by, other, SCORE)
-    return _with_leads(cold, [by], order, other).unionByName(
-        _leads_across_parts(rows.join(hot, by, "left_semi").select(by, other, SCORE), by, order, other)
-    )
+    keys = stage(large.select(by), "large")
+    small = rows.join(keys, by, "left_anti").select(by, other, SCORE)
+    split = rows.join(keys, by, "left_semi").select(by, other, SCORE)
+    parts = -(-large_rows // max_group_rows)
+    return _with_leads(small, [by], order, other).unionByName(_leads_across_parts(split, parts, by, order, other))
 
 
 def _with_leads(rows: DataFrame, keys: list[str], order: list[Column], value: str) -> DataFrame:
@@ -92,12 +93,11 @@ def _with_leads(rows: DataFrame, keys: list[str], order: list[Column], value: st
     )
 
 
-def _leads_across_parts(rows: DataFrame, by: str, order: list[Column], value: str) -> DataFrame:
+def _leads_across_parts(rows: DataFrame, n_parts: int, by: str, order: list[Column], value: str) -> DataFrame:
     columns = [*rows.columns, "next_most_similar", "second_most_similar"]
     # Stored, so that a row keeps its part number when a task runs again.
-    parts = stage(
-        rows.repartitionByRange(F.col(by), *order).withColumn("part", F.spark_partition_id()), "parts"
-    )
+    ranges = rows.repartitionByRange(n_parts, F.col(by), *order)
+    parts = stage(ranges.withColumn("part", F.spark_partition_id()), "parts")
     window = Window.partitionBy(by, "part").orderBy(*order)
     inner = _with_leads(parts, [by, "part"], order, value)
     inner = inner.withColumn("from_start", F.row_number().over(window)).withColumn(

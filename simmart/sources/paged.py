@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from simmart.schemas import COLLECTIONS, PAGE_SIZE
+from simmart.session import stage
 
 # Executors run the classes below without having this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -147,10 +148,12 @@ def read_pages(
     delay: float = 5,
     pages_per_task: int = 1,
     on_page_error: str = "fail",
+    store: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Typed items of a collection, and the pages that could not be read with their error.
 
-    Each action on either frame asks for the pages again; store the items before splitting them.
+    The pages are fetched once, now, and kept in the scratch folder. With ``store=False`` every action on either frame
+    fetches them again.
     """
     register_paged_source(spark, fetch)
     options = {
@@ -162,6 +165,8 @@ def read_pages(
         "onPageError": on_page_error,
     }
     rows = spark.read.format("paged_json").options(**options).load()
+    if store:
+        rows = stage(rows, "pages")
     return decode_items(rows, item_schema or COLLECTIONS[collection])
 
 

@@ -33,7 +33,11 @@ def test_pages(spark, total, pages_per_task):
     items, errors = sm.read_pages(spark, Pages(total), "molecules", limit=10, delay=0, pages_per_task=pages_per_task)
     assert sorted(r.molecule_chembl_id for r in items.collect()) == sorted(f"CHEMBL{i}" for i in range(total))
     assert errors.count() == 0
-    assert items.rdd.getNumPartitions() == max(1, -(-total // (10 * pages_per_task)))
+    lazy, _ = sm.read_pages(
+        spark, Pages(total), "molecules", limit=10, delay=0, pages_per_task=pages_per_task, store=False
+    )
+    assert lazy.count() == total
+    assert lazy.rdd.getNumPartitions() == max(1, -(-total // (10 * pages_per_task)))
 
 
 def test_retry_skip_and_fail(spark):
@@ -43,9 +47,8 @@ def test_retry_skip_and_fail(spark):
     items, errors = sm.read_pages(spark, lost, "molecules", limit=10, delay=0, on_page_error="skip")
     assert items.count() == 15
     assert [(r.offset, r.error) for r in errors.collect()] == [(10, "OSError: page 10")]
-    items, _ = sm.read_pages(spark, lost, "molecules", limit=10, delay=0)
     with pytest.raises(Exception, match="page 10"):
-        items.count()
+        sm.read_pages(spark, lost, "molecules", limit=10, delay=0)
 
 
 def test_page_files(spark, folder):

@@ -17,6 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import simmart as sm
 from simmart.functions.packing import stored_form
@@ -33,8 +34,14 @@ FLAG = "has_duplicates_of_last_largest_score"
 PAGE = 100
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(_schemas[path]).parquet(path)
     return df.select(*columns) if columns else df
 
 
@@ -129,9 +136,8 @@ def properties(spark, sf_dir) -> DataFrame:
 def first_load(spark, sf_dir, fps: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Mart after the first month, on an empty star: new dimension rows, new facts, rejects."""
     sources = doc_fps(spark, sf_dir) if fps is None else fps
-    top = stage(sm.score_top_k(target_fps(spark, sf_dir), sources), "top")
     return sm.load_mart(
-        top,
+        sm.score_top_k(target_fps(spark, sf_dir), sources),
         dictionary(spark, sf_dir),
         properties(spark, sf_dir),
         empty(spark, DIMENSION),
@@ -150,8 +156,7 @@ def second_load(spark, sf_dir, fact_filter) -> tuple[DataFrame, DataFrame, DataF
     fps = stage(doc_fps(spark, sf_dir), "fps")
     dim, fact = star(spark, sf_dir, fps)
     both = target_fps(spark, sf_dir).unionByName(profile_fps(spark, sf_dir, fps))
-    top = stage(sm.score_top_k(both, fps), "top")
-    return sm.load_mart(top, dictionary(spark, sf_dir), properties(spark, sf_dir), dim, fact, fact_filter)
+    return sm.load_mart(sm.score_top_k(both, fps), dictionary(spark, sf_dir), properties(spark, sf_dir), dim, fact, fact_filter)
 
 
 def fact_out(fact: DataFrame) -> DataFrame:
