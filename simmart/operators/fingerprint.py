@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from simmart.functions.bits import once
 from simmart.functions.text import is_blank
 from simmart.schemas import N_BITS
+from simmart.session import stage
 
 # Executors run the functions below without having this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -113,10 +114,12 @@ def fingerprint_with(
     structure_col: str,
     fn: Callable[[str], Iterable[int] | None],
     n_bits: int = N_BITS,
+    store: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Fingerprints from a user function ``structure -> on-bit positions or None``, batch by batch on the executors.
 
-    A chemistry toolkit goes in here. Blank structures never reach ``fn``.
+    A chemistry toolkit goes in here. Blank structures never reach ``fn``. The function runs once per row, now, and its
+    results are kept in the scratch folder; with ``store=False`` it runs again for every action.
     """
     require_columns(df, id_col, structure_col)
     structure = F.col(structure_col)
@@ -134,6 +137,10 @@ def fingerprint_with(
     done = df.select(
         F.col(id_col).alias("chembl_id"), structure.alias("structure"), is_blank(structure).alias("blank")
     ).mapInArrow(apply, f"chembl_id {id_type}, structure string, blank boolean, on array<int>")
+    # Only rejects show their structure.
+    done = done.withColumn("structure", F.when(F.col("on").isNull(), F.col("structure")))
+    if store:
+        done = stage(done, "fingerprints")
     good = done.filter("on IS NOT NULL").select("chembl_id", "on", F.size("on").alias("pop"))
     reason = F.when(F.col("blank"), F.lit(EMPTY)).otherwise(F.lit(INVALID))
     rejects = done.filter("on IS NULL").select("chembl_id", "structure", reason.alias("reject_reason"))

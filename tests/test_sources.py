@@ -1,3 +1,4 @@
+import io
 import json
 import os
 import sys
@@ -67,6 +68,18 @@ def test_rest_url():
     assert fetch.url(2000, 1000) == "http://host/molecule.json?limit=1000&offset=2000&status=ACTIVE&only=a,b"
 
 
+def test_rest_page(monkeypatch):
+    asked = []
+
+    def urlopen(url, timeout):
+        asked.append(url)
+        return io.BytesIO(b'{"molecules": [{"molecule_chembl_id": "A"}], "page_meta": {"total_count": 1}}')
+
+    monkeypatch.setattr("urllib.request.urlopen", urlopen)
+    page = sm.RestFetcher("http://host/molecule.json")(0, 10)
+    assert page["page_meta"]["total_count"] == 1 and asked == ["http://host/molecule.json?limit=10&offset=0"]
+
+
 CSV = """SMILES,Molecule Name,Note
 CCO,CHEMBL1,x
 "C,C",CHEMBL2,y
@@ -164,6 +177,18 @@ def test_refresh_append_and_named_tables(spark, folder):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_named_tables(spark):
+    name = "simmart_test_table"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    assert table_or_empty(spark, name, spark.range(1).schema).count() == 0
+    sm.append_table(spark.range(4), name)
+    sm.append_table(spark.range(2), name)
+    assert table_or_empty(spark, name, spark.range(1).schema).count() == 6
+    sm.refresh_table(spark.range(3), name)
+    assert spark.table(name).count() == 3
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_structures_need_their_columns(spark, folder):
     spark.createDataFrame([("A", "C", 1)], "chembl_id string, canonical_smiles string, extra int").write.parquet(f"{folder}/s")
     assert sm.read_structures(spark, f"{folder}/s").columns == ["chembl_id", "canonical_smiles"]
