@@ -38,7 +38,7 @@ def _with_fingerprint(df: DataFrame, id_col: str) -> DataFrame:
     """``(id, fp)`` where fp is whichever form is stored: packed words, positions or ``0``/``1`` text."""
     for name in ("words", "on", "morgan_fingerprint"):
         if name in df.columns:
-            return df.select(F.col(id_col).alias("id"), F.col(name).alias("fp"))
+            return df.select(F.col(id_col).cast("string").alias("id"), F.col(name).alias("fp"))
     raise ValueError("fingerprints need one of the columns: words, on, morgan_fingerprint")
 
 
@@ -105,7 +105,7 @@ class _Batch:
 
 def _packed(batches: Iterator[pa.RecordBatch], n_bits: int) -> Iterator[_Batch]:
     for raw in batches:
-        known = raw.filter(pc.is_valid(raw.column(1)))
+        known = raw.filter(pc.and_(pc.is_valid(raw.column(0)), pc.is_valid(raw.column(1))))
         if known.num_rows:
             yield _Batch(known, n_bits)
 

@@ -113,13 +113,19 @@ def test_self_pairs_and_empty_score(spark):
 
 def test_missing_fingerprints_and_no_targets(spark):
     fps, tgt = frames(spark)
-    gaps = fps.union(spark.createDataFrame([("CHEMBL_NULL", None)], fps.schema))
+    gaps = fps.union(spark.createDataFrame([("CHEMBL_NULL", None), (None, [7, 8]), (None, [7, 8])], fps.schema))
     gaps_t = tgt.union(spark.createDataFrame([("T9", None), (None, [1])], tgt.schema))
     assert top_of(sm.score_top_k(gaps_t, gaps, 10)) == brute_top(brute(), 10)
     assert sm.score_top_k(tgt.filter("false"), fps).count() == 0
     assert sm.score_targets(tgt.filter("false"), fps).count() == 0
 
 
+def test_numeric_ids(spark):
+    fps = spark.createDataFrame([(1, [1]), (2, [1, 2])], "chembl_id long, on array<int>")
+    tgt = spark.createDataFrame([(9, [1])], f"{TARGET} long, on array<int>")
+    assert top_of(sm.score_top_k(tgt, fps)) == {("1", "9"): (1.0, False), ("2", "9"): (0.5, False)}
+
+
 def test_ties_use_unrounded_scores_and_repeated_rows_collapse(spark):
     pairs = spark.createDataFrame(
         [("a", 0.5, "T"), ("b", 0.5 + 1e-12, "T"), ("c", 0.25, "T"), ("d", 0.25, "T"), ("e", 1.0, None)],
