@@ -120,7 +120,7 @@ _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 ORACLE = {
     "op3_substring_dedup": f"""
         WITH docs AS (
-            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[' || {_SPACE} || ']+'), w -> w <> '') AS ws
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[' || {_SPACE} || ']+'), lambda w: w <> '') AS ws
             FROM documents),
         windows AS (
             SELECT doc_id, i, md5(array_to_string(ws[i:i + 12], ' ')) AS h
@@ -169,7 +169,7 @@ ORACLE = {
     "op9_exact_topk": """
         WITH codes AS (
             SELECT vec_id,
-                list_sum(list_transform(embedding[1:64], (x, i) -> CASE WHEN x > 0 THEN 1::HUGEINT << (i - 1)::HUGEINT ELSE 0::HUGEINT END))::HUGEINT AS code
+                list_sum(list_transform(embedding[1:64], lambda x, i: CASE WHEN x > 0 THEN 1::HUGEINT << (i - 1)::HUGEINT ELSE 0::HUGEINT END))::HUGEINT AS code
             FROM embeddings),
         near AS (
             SELECT q.vec_id AS query_id, c.vec_id AS neighbor_id, bit_count(xor(q.code, c.code))::INTEGER AS distance
