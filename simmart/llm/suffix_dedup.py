@@ -24,6 +24,7 @@ from simmart.llm.blocks import (
     frame,
     in_chunks,
     joined,
+    mix,
     pack_bytes,
     pack_sorted,
     pieces,
@@ -43,9 +44,10 @@ ANCHOR = 32
 ANCHOR_BYTES = 30
 # Binary logarithm of the occurrences from which an anchor is sent string by string.
 FREQUENT = 12
+# Bytes of contexts whose suffixes are ordered at once; the contexts of one anchor stay together.
+SORT_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
-_NONE = np.uint64((1 << 64) - 1)
 _BLOBS = pa.schema(
     [("shard", pa.int32()), ("chunk", pa.int32()), ("n", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())]
 )
@@ -68,19 +70,18 @@ _MARKS = pa.schema([("chunk", pa.int32()), ("shard", pa.int32()), ("earlier", pa
 
 
 def anchors(texts: list[bytes], length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start of every string of ``length`` bytes (counted over all texts, one byte between two), its anchor's start and
-    hash. Of equal smallest hashes the first counts."""
-    starts, places, hashes, at = [], [], [], 0
+    """Runs of neighbouring strings of ``length`` bytes with one anchor: first start (counted over all texts, one byte
+    between two), number of strings, hash of the anchor. Of equal smallest hashes the first is the anchor."""
+    starts, counts, hashes, at = [], [], [], 0
     for first, last in pieces(texts):
         raw = np.frombuffer(b"\n".join(texts[first:last]) + b"\n", np.uint8)
         sizes = np.fromiter(map(len, texts[first:last]), np.int64, last - first)
-        ends = np.cumsum(sizes + 1)
         if len(raw) > length:
             every = np.arange(len(raw) - k + 1)
             gram = rolling(raw.astype(np.uint64) + np.uint64(1), every, every + k, _BASE)
             # The place fills the low bits, so the smallest number is the first of the smallest hashes.
-            low = np.uint64(len(raw)).item().bit_length()
-            key = (gram >> np.uint64(low) << np.uint64(low)) | every.astype(np.uint64)
+            low = np.uint64(len(raw).bit_length())
+            key = (gram >> low << low) | every.astype(np.uint64)
             width, span = length - k + 1, 1
             while 2 * span <= width:
                 key = np.minimum(key[:-span], key[span:])
@@ -88,32 +89,32 @@ def anchors(texts: list[bytes], length: int, k: int) -> tuple[np.ndarray, np.nda
             if span < width:
                 key = np.minimum(key[: len(key) - (width - span)], key[width - span :])
             # Strings that end inside their text.
-            room = np.repeat(ends - 1, sizes + 1)
-            own = np.flatnonzero(np.arange(len(key)) + length <= room[: len(key)])
-            place = (key[own] & np.uint64((1 << low) - 1)).astype(np.int64)
-            starts.append(own + at)
-            places.append(place + at)
-            hashes.append(gram[place])
+            room = np.repeat(np.cumsum(sizes + 1) - 1, sizes + 1)
+            own = np.flatnonzero(every[: len(key)] + length <= room[: len(key)])
+            place = (key[own] & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+            begin = np.flatnonzero(np.diff(place, prepend=-1))
+            starts.append(own[begin] + at)
+            counts.append(np.diff(np.append(begin, len(own))))
+            # Smallest hashes are small numbers; mixed again they spread over the shards.
+            hashes.append(mix(~gram[place[begin]]))
         at += len(raw)
     none = np.zeros(0, np.int64)
     return (
         np.concatenate([none, *starts]),
-        np.concatenate([none, *places]),
+        np.concatenate([none, *counts]),
         np.concatenate([none.view(np.uint64), *hashes]),
     )
 
 
-def _distinct(places: np.ndarray, hashes: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
+def _distinct(hashes: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct anchors of a chunk (cut hashes) and how often each occurs."""
-    new = np.flatnonzero(np.diff(places, prepend=-1))
-    return np.unique(short_hashes(hashes[new], total, ANCHOR_BYTES), return_counts=True)
+    return np.unique(short_hashes(hashes, total, ANCHOR_BYTES), return_counts=True)
 
 
 def _send_anchors(length: int, k: int, total: int, shard_bits: int):
     def run(table: pa.Table) -> pa.Table:
         _, ids, texts = texts_of(table)
-        _, places, hashes = anchors(texts[: with_id(ids)], length, k)
-        values, counts = _distinct(places, hashes, total)
+        values, counts = _distinct(anchors(texts[: with_id(ids)], length, k)[2], total)
         ranges = shard_ranges(values, shard_bits)
         return frame(
             _BLOBS,
@@ -153,47 +154,40 @@ class Contexts:
     """The distinct contexts of a chunk in the order of their first places, and the strings each stands for."""
 
     def __init__(self, texts: list[bytes], replies: pa.Table, length: int, k: int, total: int, shard_bits: int):
-        starts, places, hashes = anchors(texts, length, k)
-        values, _ = _distinct(places, hashes, total)
+        starts, counts, hashes = anchors(texts, length, k)
+        values, _ = _distinct(hashes, total)
         common = joined(replies, "common", len(values), shard_ranges(values, shard_bits))
         rank = common[np.searchsorted(values, short_hashes(hashes, total, ANCHOR_BYTES))]
-        starts, places, hashes, rank = (x[rank > 0] for x in (starts, places, hashes, rank))
-        frequent = rank >= FREQUENT
-        # A context ends where the anchor changes or a string is skipped; strings of frequent anchors stand alone.
-        new = (np.diff(places, prepend=-1) != 0) | (np.diff(starts, prepend=-2) != 1) | frequent
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(starts))
-        self.text = b"\n".join(texts)
-        self.starts, self.first, self.last = starts, first, last
-        keys = hashes[first]
-        if frequent.any():
-            raw = np.frombuffer(self.text, np.uint8)
-            alone = np.flatnonzero(frequent[first])
-            for a in range(0, len(alone), 10_000):
-                own = alone[a : a + 10_000]
-                window = raw[starts[first[own]][:, None] + np.arange(length)].astype(np.uint64) + np.uint64(1)
-                flat = window.ravel()
-                edge = np.arange(len(own)) * length
-                keys[own] = rolling(flat, edge, edge + length, _BASE)
-        self.keys = keys
+        starts, counts, hashes, rank = (x[rank > 0] for x in (starts, counts, hashes, rank))
+        # Strings of frequent anchors stand alone.
+        parts = np.where(rank >= FREQUENT, counts, 1)
+        inner = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+        self.starts = np.repeat(starts, parts) + inner
+        self.strings = np.repeat(np.where(rank >= FREQUENT, 1, counts), parts)
+        self.keys = np.repeat(hashes, parts)
+        self.length, self.text = length, b"\n".join(texts)
+        alone = np.flatnonzero(np.repeat(rank >= FREQUENT, parts))
+        raw = np.frombuffer(self.text, np.uint8)
+        for a in range(0, len(alone), 10_000):
+            own = alone[a : a + 10_000]
+            window = raw[self.starts[own][:, None] + np.arange(length)].astype(np.uint64) + np.uint64(1)
+            edge = np.arange(len(own)) * length
+            self.keys[own] = rolling(window.ravel(), edge, edge + length, _BASE)
         seen: dict[bytes, int] = {}
-        self.same = np.empty(len(first), np.int64)  # the distinct context of each
-        kept, own_bytes = [], []
-        for i, (a, b) in enumerate(zip(starts[first].tolist(), starts[last - 1].tolist() if len(first) else [])):
-            piece = self.text[a : b + length]
-            n = seen.setdefault(piece, len(seen))
-            self.same[i] = n
-            if n == len(kept):
+        kept = []
+        for i, (a, n) in enumerate(zip(self.starts.tolist(), self.strings.tolist())):
+            if seen.setdefault(self.text[a : a + n - 1 + length], i) == i:
                 kept.append(i)
-                own_bytes.append(piece)
         self.kept = np.array(kept, np.int64)
-        self.bytes = own_bytes
         shard = (self.keys[self.kept] >> np.uint64(64 - shard_bits)).astype(np.int64) if shard_bits else np.zeros(len(kept), np.int64)
         self.order = np.argsort(shard, kind="stable")
         cut = np.flatnonzero(np.diff(shard[self.order])) + 1
         edges = [0, *cut.tolist(), len(kept)] if kept else []
         self.ranges = [(int(shard[self.order[a]]), a, b) for a, b in zip(edges, edges[1:])]
 
+    def bytes_of(self, i: int) -> bytes:
+        return self.text[self.starts[i] : self.starts[i] + self.strings[i] - 1 + self.length]
+
 
 def _send_contexts(length: int, k: int, total: int, shard_bits: int):
     def run(table: pa.Table, replies: pa.Table) -> pa.Table:
@@ -203,16 +197,15 @@ def _send_contexts(length: int, k: int, total: int, shard_bits: int):
         found = Contexts(texts[: with_id(ids)], replies, length, k, total, shard_bits)
         rows = []
         for shard, a, b in found.ranges:
-            own = found.order[a:b]
-            pieces = [found.bytes[i] for i in own]
-            text = b"".join(pieces)
+            own = found.kept[found.order[a:b]]
+            text = b"".join(map(found.bytes_of, own.tolist()))
             rows.append(
                 {
                     "shard": shard,
                     "chunk": table["chunk"][0].as_py(),
                     "n": b - a,
-                    "keys": pack_bytes(found.keys[found.kept[own]]),
-                    "sizes": pack_bytes(np.array(list(map(len, pieces)), np.int64)),
+                    "keys": pack_bytes(found.keys[own]),
+                    "sizes": pack_bytes(found.strings[own] + (length - 1)),
                     "size": len(text),
                     "bytes": pa.compress(text, codec="zstd", asbytes=True),
                 }
@@ -289,16 +282,23 @@ def _answer_contexts(length: int):
             same[i] = seen.setdefault(text[a : a + s], i)
         first = same == np.arange(len(sizes))
         marks[np.repeat(~first, strings)] = True
-        # Suffix order for anchors with more than one distinct context.
+        # Suffix order for anchors with more than one distinct context, some anchors at a time.
         own = np.flatnonzero(first)
         _, back, count = np.unique(keys[own], return_inverse=True, return_counts=True)
-        own = own[count[back] > 1]
-        if len(own):
-            size, number = sizes[own], strings[own]
-            joined_text = np.frombuffer(b"".join(text[begin[i] : begin[i] + sizes[i]] for i in own), np.uint8)
+        several = np.flatnonzero(count[back] > 1)
+        several = several[np.argsort(back[several], kind="stable")]
+        own, anchor = own[several], back[several]
+        last = np.flatnonzero(np.append(anchor[1:] != anchor[:-1], True)) + 1 if len(own) else []
+        begun, held = 0, np.cumsum(sizes[own])
+        for end in last:
+            if end < len(own) and held[end - 1] - (held[begun - 1] if begun else 0) < SORT_BYTES:
+                continue
+            some, begun = own[begun:end], end
+            size, number = sizes[some], strings[some]
+            joined_text = np.frombuffer(b"".join(text[begin[i] : begin[i] + sizes[i]] for i in some), np.uint8)
             inner = np.arange(int(number.sum())) - np.repeat(np.cumsum(number) - number, number)
             starts = np.repeat(np.cumsum(size) - size, number) + inner
-            marks[np.repeat(mark_at[own], number) + inner] = occurs_before(joined_text, starts, length)
+            marks[np.repeat(mark_at[some], number) + inner] = occurs_before(joined_text, starts, length)
         bits, at = [], 0
         for m, total in zip(n, np.add.reduceat(strings, np.cumsum([0, *n[:-1]])).tolist()):
             bits.append(pack_bytes(np.packbits(marks[at : at + total])))
@@ -330,21 +330,24 @@ def _cut(length: int, k: int, total: int, shard_bits: int):
         common = replies.filter(pa.compute.is_valid(replies["common"]))
         marked = replies.filter(pa.compute.is_valid(replies["earlier"]))
         found = Contexts(texts[:known], common, length, k, total, shard_bits)
-        strings = found.last - found.first
-        # Strings of a repeated context go; of its first place those go that the shard has marked.
-        bad = np.ones(len(found.starts), bool)
+        cover = np.zeros(len(found.text) + length + 1, np.int32)
+
+        def mark(begin: np.ndarray, end: np.ndarray) -> None:
+            np.add.at(cover, begin, 1)
+            np.add.at(cover, end, -1)
+
+        # A repeated context goes; of its first place those strings go that the shard has marked.
+        again = np.ones(len(found.starts), bool)
+        again[found.kept] = False
+        mark(found.starts[again], (found.starts + found.strings - 1 + length)[again])
         blobs = dict(zip(marked["shard"].to_pylist(), marked["earlier"].to_pylist()))
         for shard, a, b in found.ranges:
             own = found.kept[found.order[a:b]]
-            size = strings[own]
+            size = found.strings[own]
             n = int(size.sum())
             bits = np.unpackbits(unpack_bytes(blobs[shard], -(-n // 8)), count=n).astype(bool)
-            inner = np.arange(n) - np.repeat(np.cumsum(size) - size, size)
-            bad[np.repeat(found.first[own], size) + inner] = bits
-        begin = found.starts[bad]
-        cover = np.zeros(len(found.text) + length + 1, np.int32)
-        np.add.at(cover, begin, 1)
-        np.add.at(cover, begin + length, -1)
+            begin = (np.repeat(found.starts[own] - (np.cumsum(size) - size), size) + np.arange(n))[bits]
+            mark(begin, begin + length)
         gone = np.cumsum(cover) > 0
         edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
         lows, highs = edge[0::2], edge[1::2]
