@@ -173,6 +173,8 @@ def find_benchmark(
     for block in _item_blocks(items, item_id, item_text, item_bytes):
         if block:
             run = _search(spark.sparkContext.broadcast(block), chars_per_edit)
-            found = F.concat(found, F.arrow_udf(run, MATCHES)(F.col(text_col).cast("string")))
+            # Called nondeterministic, or a filter on the matches would search every text a second time.
+            search = F.arrow_udf(run, MATCHES).asNondeterministic()
+            found = F.concat(found, search(F.col(text_col).cast("string")))
     return docs.withColumn("matches", found)
 
