@@ -20,7 +20,7 @@ PERIOD = 1000
 # The schedule has at most two periods for each source.
 MAX_SOURCES = 500
 # Rows of one sorted part of a source.
-PART_ROWS = 50_000
+PART_ROWS = 10_000
 
 
 def pfair_period(shares: dict[int, int]) -> list[tuple[int, int, int]]:
