@@ -254,7 +254,7 @@ def occurs_before(text: np.ndarray, starts: np.ndarray, length: int) -> np.ndarr
     order = np.argsort(rank, kind="stable")
     position, sorted_rank = starts[order], rank[order]
     before, after = smaller_neighbours(position)
-    edge = np.append(sorted_rank, [len(text), len(text) + 1]).astype(np.int64)
+    edge = np.append(sorted_rank.astype(np.int64), [-1, -2])  # ranks that no string has
     # The common prefix with a neighbour is at least ``length`` when both have the same rank.
     found = (edge[np.where(before < 0, len(order), before)] == edge[: len(order)]) | (
         edge[np.where(after >= len(order), len(order) + 1, after)] == edge[: len(order)]
