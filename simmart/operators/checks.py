@@ -7,6 +7,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Places in which the rows of one repeated key meet its first row.
+SALTS = 16
+
 
 @dataclass(frozen=True)
 class TableRules:
@@ -20,10 +23,11 @@ class TableRules:
 
 def _row_reasons(df: DataFrame, rules: TableRules) -> list[Column]:
     required = list(dict.fromkeys([*rules.key, *rules.not_null]))
-    reasons = [F.when(F.col(c).isNull(), F.lit(f"null:{c}")) for c in required if c in df.columns]
-    reasons += [
-        F.when(F.length(c) > n, F.lit(f"length:{c}")) for c, n in rules.max_length.items() if c in df.columns
-    ]
+    absent = {*required, *rules.max_length, *rules.foreign}.difference(df.columns)
+    if absent:
+        raise ValueError(f"rules for columns that are not there: {', '.join(sorted(absent))}")
+    reasons = [F.when(F.col(c).isNull(), F.lit(f"null:{c}")) for c in required]
+    reasons += [F.when(F.length(c) > n, F.lit(f"length:{c}")) for c, n in rules.max_length.items()]
     return reasons
 
 
@@ -34,13 +38,13 @@ def check_constraints(
 
     Rejects carry ``reject_reason`` (comma-separated) and ``copies``, the number of identical input rows they stand
     for. Of several rows with one key the first in column order stays. ``refs`` maps a name to a frame whose first
-    column holds the allowed values, each once.
+    column holds the allowed values. A rule for a column that ``df`` lacks is an error.
     """
     columns = df.columns
     checked = df
     for column, ref in rules.foreign.items():
         frame = (refs or {})[ref]
-        known = frame.select(F.col(frame.columns[0]).alias(column), F.lit(True).alias(f"_known_{column}"))
+        known = frame.select(F.col(frame.columns[0]).alias(column), F.lit(True).alias(f"_known_{column}")).distinct()
         checked = checked.join(known, column, "left")
     reasons = _row_reasons(df, rules) + [
         F.when(F.col(c).isNotNull() & F.col(f"_known_{c}").isNull(), F.lit(f"fk:{c}")) for c in rules.foreign
@@ -61,21 +65,23 @@ def check_constraints(
 def _split_repeated(df: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
     """First row per key, and what is left over.
 
-    Both steps combine before the shuffle: identical rows collapse into a count, then each key keeps its smallest
-    row. A key that fills a third of the table is never gathered.
+    Keys are counted alone; only rows of repeated keys go on. Identical ones collapse into a count and meet the first
+    row of their key in ``SALTS`` places, so a key that fills a third of the table is not gathered.
     """
     columns = df.columns
-    good = distinct_by_key(df, key)
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    repeated_keys = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_all")).filter("_all > 1").select(*key)
+    once = df.join(repeated_keys, key, "left_anti").select(*columns)
+    several = df.join(repeated_keys, key, "left_semi").select(*columns)
+    counted = several.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     row = F.struct(*[F.col(c) for c in columns])
-    per_key = df.groupBy(*key).agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias("_all")).filter("_all > 1")
-    left = counted.join(per_key.drop("_all"), key).withColumn(
-        "copies", F.col("_n") - F.when(row.eqNullSafe(F.col("_first")), 1).otherwise(0)
-    )
+    first = counted.groupBy(*key).agg(F.min(row).alias("_first"))
+    salted = first.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    left = counted.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")).join(salted, [*key, "_salt"])
+    left = left.withColumn("copies", F.col("_n") - F.when(row.eqNullSafe(F.col("_first")), 1).otherwise(0))
     repeated = left.filter("copies > 0").select(
         *columns, F.lit(f"key:{'+'.join(key)}").alias("reject_reason"), "copies"
     )
-    return good, repeated
+    return once.unionByName(first.select("_first.*").select(*columns)), repeated
 
 
 def distinct_by_key(df: DataFrame, key: list[str]) -> DataFrame:

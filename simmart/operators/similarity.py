@@ -70,6 +70,8 @@ class _Batch:
         order = np.lexsort((rank, pops))
         self.ids = ids.take(pa.array(order))
         self.rank = rank[order]
+        codes = ids.dictionary_encode()
+        self.code = codes.indices.to_numpy()[order] if len(codes.dictionary) < len(ids) else None  # None: no copies
         self.pops = pops[order]
         self.words = np.ascontiguousarray(words[order].T)
 
@@ -111,8 +113,12 @@ def _packed(batches: Iterator[pa.RecordBatch], n_bits: int) -> Iterator[_Batch]:
 
 
 def _k_best(batch: _Batch, low: int, scores: np.ndarray, floor: float, k: int) -> list[tuple[float, str]]:
-    """The k rows of this batch that come first by score descending and id ascending, as ``(-score, id)``."""
+    """The k ids of this batch that come first by score descending and id ascending, as ``(-score, id)``."""
     at = np.flatnonzero(scores >= floor)
+    if batch.code is not None:
+        # Of the copies of an id the best one counts.
+        at = at[np.argsort(-scores[at], kind="stable")]
+        at = at[np.unique(batch.code[low + at], return_index=True)[1]]
     if len(at) > k:
         kth = np.partition(scores[at], len(at) - k)[len(at) - k]
         at = at[scores[at] >= kth]
@@ -121,6 +127,14 @@ def _k_best(batch: _Batch, low: int, scores: np.ndarray, floor: float, k: int) -
     return [(-float(scores[i]), batch.ids[int(low + i)].as_py()) for i in at]
 
 
+def _merged(old: list[tuple[float, str]], new: list[tuple[float, str]], k: int) -> list[tuple[float, str]]:
+    """The k first of both, each id once with its best score."""
+    first: dict[str, float] = {}
+    for score, name in sorted(old + new):
+        first.setdefault(name, score)
+    return [(score, name) for name, score in list(first.items())[:k]]
+
+
 def _out(sources: list, scores: list, targets: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(sources, pa.string()), pa.array(scores, pa.float64()), pa.array(targets, pa.string())],
@@ -143,7 +157,7 @@ def _task_top_k(shared, n_bits: int, k: int, empty_score: float, include_self: b
                     scores[own[low:high] == t] = -1.0
                 new = _k_best(batch, low, scores, floors[t], k)
                 if new:
-                    best[t] = sorted(best[t] + new)[:k]
+                    best[t] = _merged(best[t], new, k)
                     if len(best[t]) == k:
                         floors[t] = -best[t][-1][0]
         for first in range(0, len(best), OUT_ROWS // k + 1):
@@ -175,39 +189,31 @@ def _task_all_pairs(shared, n_bits: int, empty_score: float, include_self: bool,
     return run
 
 
-def _blocks(targets: DataFrame, max_block: int) -> Iterator[tuple[pa.Table, bool]]:
-    """Targets in parts of about ``max_block`` rows, small enough to broadcast.
-
-    The flag says that names of this part may have more structures in other parts.
-    """
+def _blocks(targets: DataFrame, max_block: int) -> Iterator[pa.Table]:
+    """Targets in parts of about ``max_block`` rows, small enough to broadcast."""
     # Exact copies of a target change nothing. Several structures under one name all count.
     distinct = _with_fingerprint(targets, TARGET).distinct()
     head = distinct.limit(max_block + 1).toArrow()
     if head.num_rows <= max_block:
         if head.num_rows:
-            yield head, False
+            yield head
         return
     stored = stage(distinct, "targets")
-    repeated = stored.groupBy("id").count().filter("count > 1").select("id")
-    for rows, split in (
-        (stored.join(repeated, "id", "left_anti"), False),
-        (stored.join(repeated, "id", "left_semi"), True),
-    ):
-        # Cut by name and structure: a name with very many structures does not end up in one part.
-        parts = -(-rows.count() // max_block)
-        for part in range(parts):
-            yield rows.filter(F.pmod(F.xxhash64("id", "fp"), F.lit(parts)) == part).toArrow(), split
-
-
-def _scan(targets: DataFrame, fps: DataFrame, max_block: int, n_bits: int, task) -> list[tuple[DataFrame, bool]]:
+    # Cut by name and structure: a name with very many structures does not end up in one part.
+    parts = -(-stored.count() // max_block)
+    for part in range(parts):
+        yield stored.filter(F.pmod(F.xxhash64("id", "fp"), F.lit(parts)) == part).toArrow()
+
+
+def _scan(targets: DataFrame, fps: DataFrame, max_block: int, n_bits: int, task) -> list[DataFrame]:
     """One pass over the fingerprints per block of targets."""
     spark = fps.sparkSession
     sources = _with_fingerprint(fps, "chembl_id")
     done = []
-    for part, split in _blocks(targets, max_block):
+    for part in _blocks(targets, max_block):
         block = _target_block(part, n_bits)
         if block["names"]:
-            done.append((sources.mapInArrow(task(spark.sparkContext.broadcast(block)), PAIRS), split))
+            done.append(sources.mapInArrow(task(spark.sparkContext.broadcast(block)), PAIRS))
     return done
 
 
@@ -231,7 +237,8 @@ def score_targets(
     """Every score as ``(chembl_id, tanimoto_similarity_score, target_chembl_id)``.
 
     The result has targets x fingerprints rows by definition and streams from the scan; use it to keep all scores
-    (``write_pairs``). For the best k use ``score_top_k``, which never builds these rows.
+    (``write_pairs``). For the best k use ``score_top_k``, which never builds these rows. Copies of an id are one
+    source with its best score.
     """
     frames = _scan(
         targets,
@@ -240,9 +247,7 @@ def score_targets(
         n_bits,
         lambda shared: _task_all_pairs(shared, n_bits, empty_score, include_self, keep_zero),
     )
-    whole = _union(fps.sparkSession, [frame for frame, split in frames if not split])
-    parts = [frame for frame, split in frames if split]
-    return whole.unionByName(_best_per_pair(_union(fps.sparkSession, parts))) if parts else whole
+    return _best_per_pair(_union(fps.sparkSession, frames))
 
 
 def score_top_k(
@@ -257,7 +262,8 @@ def score_top_k(
 ) -> DataFrame:
     """The k best sources per target with the tie flag; the same rows as ``top_k_similar(score_targets(...))``.
 
-    ``targets`` has ``target_chembl_id`` and a fingerprint, ``fps`` has ``chembl_id`` (unique) and a fingerprint.
+    ``targets`` has ``target_chembl_id`` and a fingerprint, ``fps`` has ``chembl_id`` and a fingerprint. Copies of an id
+    are one source with its best score, whatever the number of targets.
     """
     keep = k + 1 if tie_mode == "boundary" else k
     frames = _scan(
@@ -267,11 +273,9 @@ def score_top_k(
         n_bits,
         lambda shared: _task_top_k(shared, n_bits, keep, empty_score, include_self),
     )
-    if len(frames) <= 1:
-        return _rank(_union(fps.sparkSession, [frame for frame, _ in frames]), k, tie_mode)
     # One block at a time; a few rows per target remain of each.
-    pairs = _union(fps.sparkSession, [stage(frame, "block") for frame, _ in frames])
-    return _rank(_best_per_pair(pairs), k, tie_mode)
+    stored = [stage(frame, "block") for frame in frames] if len(frames) > 1 else frames
+    return _rank(_best_per_pair(_union(fps.sparkSession, stored)), k, tie_mode)
 
 
 def _first_k(pairs: DataFrame, k: int) -> DataFrame:

@@ -7,10 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from simmart.schemas import SCORE as SCORE_TYPE
-from simmart.session import stage
 
 SOURCE, TARGET, SCORE = "source_chembl_id", "target_chembl_id", "tanimoto_similarity_score"
-MAX_GROUP_ROWS = 1_000_000
+BANDS = 200
 TOTAL = "TOTAL"
 
 
@@ -65,25 +64,28 @@ def similarity_categories(fact: DataFrame, dim: DataFrame, with_grouping_id: boo
     return grouped.select(*labels, _ratio(F.col("s"), F.col("n")).alias("avg_similarity_score"), *extra)
 
 
-def next_most_similar(fact: DataFrame, by: str = SOURCE, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def next_most_similar(fact: DataFrame, by: str = SOURCE, bands: int = BANDS) -> DataFrame:
     """Each fact row with the next and second-next target of its source, best score first, NULL scores in front.
 
-    A source with more than ``max_group_rows`` rows is cut by order into parts; only the two rows on each side of a
-    cut meet again.
+    Every source, NULL among them, is cut into ``bands`` bands of its score (one more for NULL), each ordered on its
+    own; only the two rows on each side of a cut meet again. One lazy plan for sources of any size. Rows of one source
+    with one and the same score lie in one band.
     """
     other = TARGET if by == SOURCE else SOURCE
     order = [F.col(SCORE).desc_nulls_first(), F.col(other).asc()]
-    rows = fact.select(by, other, SCORE)
-    # At most rows / max_group_rows keys pass this filter.
-    large = rows.groupBy(by).count().filter(F.col("count") > max_group_rows)
-    large_rows = large.agg(F.sum("count")).first()[0]
-    if not large_rows:
-        return _with_leads(rows, [by], order, other)
-    keys = stage(large.select(by), "large")
-    small = rows.join(keys, by, "left_anti").select(by, other, SCORE)
-    split = rows.join(keys, by, "left_semi").select(by, other, SCORE)
-    parts = -(-large_rows // max_group_rows)
-    return _with_leads(small, [by], order, other).unionByName(_leads_across_parts(split, parts, by, order, other))
+    inside = F.least(F.greatest(F.floor(F.col(SCORE).cast("double") * bands), F.lit(0)), F.lit(bands - 1))
+    band = F.when(F.col(SCORE).isNull(), F.lit(bands)).otherwise(inside)
+    rows = fact.select(by, other, SCORE).withColumn("band", band)
+    window = Window.partitionBy(by, "band").orderBy(*order)
+    inner = _with_leads(rows, [by, "band"], order, other)
+    inner = inner.withColumn("from_start", F.row_number().over(window)).withColumn(
+        "from_end", F.count(F.lit(1)).over(Window.partitionBy(by, "band")) - F.col("from_start")
+    )
+    columns = [by, other, SCORE, "next_most_similar", "second_most_similar"]
+    settled = inner.filter("from_end >= 2").select(*columns)
+    # The two first and two last rows of every band, in order, hold all that the last rows still need.
+    edges = inner.filter("from_start <= 2 OR from_end < 2").drop("next_most_similar", "second_most_similar")
+    return settled.unionByName(_with_leads(edges, [by], order, other).filter("from_end < 2").select(*columns))
 
 
 def _with_leads(rows: DataFrame, keys: list[str], order: list[Column], value: str) -> DataFrame:
@@ -93,22 +95,6 @@ def _with_leads(rows: DataFrame, keys: list[str], order: list[Column], value: st
     )
 
 
-def _leads_across_parts(rows: DataFrame, n_parts: int, by: str, order: list[Column], value: str) -> DataFrame:
-    columns = [*rows.columns, "next_most_similar", "second_most_similar"]
-    # Stored, so that a row keeps its part number when a task runs again.
-    ranges = rows.repartitionByRange(n_parts, F.col(by), *order)
-    parts = stage(ranges.withColumn("part", F.spark_partition_id()), "parts")
-    window = Window.partitionBy(by, "part").orderBy(*order)
-    inner = _with_leads(parts, [by, "part"], order, value)
-    inner = inner.withColumn("from_start", F.row_number().over(window)).withColumn(
-        "from_end", F.count(F.lit(1)).over(Window.partitionBy(by, "part")) - F.col("from_start")
-    )
-    settled = inner.filter("from_end >= 2").select(*columns)
-    # The two first and two last rows of every part, in order, hold all that the last rows still need.
-    edges = inner.filter("from_start <= 2 OR from_end < 2").drop("next_most_similar", "second_most_similar")
-    return settled.unionByName(_with_leads(edges, [by], order, value).filter("from_end < 2").select(*columns))
-
-
 def register_report_views(spark: SparkSession, fact: DataFrame, dim: DataFrame) -> None:
     """The reports as temporary views, for SQL users."""
     avg_similarity_per_source(fact).createOrReplaceTempView("avg_similarity_per_source")

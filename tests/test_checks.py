@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import pytest
+
 from simmart import TableRules, check_constraints, distinct_by_key
 
 
@@ -45,3 +47,13 @@ def test_first_row_per_key(spark):
     assert {tuple(r) for r in distinct_by_key(df, ["k"]).collect()} == {(1, "a", 1), (2, None, 5)}
     assert distinct_by_key(df.select("k"), ["k"]).count() == 2
     assert distinct_by_key(df, ["s"]).columns == ["k", "s", "n"]
+
+
+def test_repeated_reference_ids_and_absent_columns(spark):
+    df = spark.createDataFrame([(1, "u"), (2, "v")], "k int, ref string")
+    refs = {"known": spark.createDataFrame([("u",), ("u",)], "ref string")}
+    good, rejects = check_constraints(df, TableRules(foreign={"ref": "known"}), refs)
+    assert [tuple(r) for r in good.collect()] == [(1, "u")] and rejects.count() == 1
+    for rules in (TableRules(not_null=["z"]), TableRules(max_length={"z": 3}), TableRules(key=["z"])):
+        with pytest.raises(ValueError, match="z"):
+            check_constraints(df, rules)

@@ -55,14 +55,27 @@ def test_next_most_similar(small):
     }
 
 
-@pytest.mark.parametrize("limit", [1, 3, 50])
-def test_split_sources_give_the_same_leads(spark, limit):
-    rng = random.Random(limit)
-    rows = [("HOT", f"T{i}", rng.choice(["0.5", "0.25", "1.0", None])) for i in range(400)]
+@pytest.mark.parametrize("bands", [1, 3, 200])
+def test_leads_across_bands(spark, bands):
+    rng = random.Random(bands)
+    rows = [(None if i % 2 else "HOT", f"T{i}", rng.choice(["0.5", "0.25", "1.0", "0.33", None])) for i in range(400)]
     rows += [(f"S{i % 40}", f"T{i}", rng.choice(["0.5", "0.1"])) for i in range(200)]
-    fact = fact_of(spark, rows)
-    expected = sorted(map(tuple, sm.next_most_similar(fact).collect()), key=repr)
-    assert sorted(map(tuple, sm.next_most_similar(fact, max_group_rows=limit).collect()), key=repr) == expected
+    sources = {}
+    for source, target, score in rows:
+        sources.setdefault(source, []).append((score is not None, -float(score or 0), target))
+    expected = {}
+    for source, own in sources.items():
+        own = [t for _, _, t in sorted(own)] + [None, None]
+        expected |= {(source, t): (own[i + 1], own[i + 2]) for i, t in enumerate(own[:-2])}
+    found = sm.next_most_similar(fact_of(spark, rows), bands=bands).collect()
+    assert {(r[0], r[1]): (r[3], r[4]) for r in found} == expected and len(found) == len(rows)
+
+
+def test_leads_show_later_rows(spark, folder):
+    fact_of(spark, [("A", "T1", "0.5"), ("A", "T2", "0.4")]).write.parquet(f"{folder}/fact")
+    spark.read.parquet(f"{folder}/fact").createOrReplaceTempView("growing_fact")
+    fact_of(spark, [("A", "T3", "0.3"), ("B", "T1", "0.2")]).write.mode("append").parquet(f"{folder}/fact")
+    assert sm.next_most_similar(spark.read.parquet(f"{folder}/fact")).count() == 4
 
 
 def test_categories(small):

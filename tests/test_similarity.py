@@ -146,3 +146,23 @@ def test_pairs_are_never_shuffled(spark):
     plan = sm.score_top_k(tgt, fps)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize("max_block", [1, 2, 7, 10_000])
+def test_copies_of_an_id_count_once(spark, max_block):
+    rng = random.Random(11)
+    rows = [(f"s{rng.randint(0, 12):02}", sorted(rng.sample(range(64), rng.randint(1, 20)))) for _ in range(80)]
+    fps = spark.createDataFrame(rows, "chembl_id string, on array<int>").repartition(2)
+    tgt = spark.createDataFrame([(f"t{i % 5}", rows[i][1]) for i in range(9)], "target_chembl_id string, on array<int>")
+    best = {}
+    for t in tgt.collect():
+        for s, on in rows:
+            score = len(set(on) & set(t.on)) / len(set(on) | set(t.on))
+            best[t.target_chembl_id, s] = max(score, best.get((t.target_chembl_id, s), 0))
+    expected = set()
+    for t in {t for t, _ in best}:
+        expected |= {(s, t, -v) for v, s in sorted((-v, s) for (x, s), v in best.items() if x == t)[:3]}
+    top = sm.score_top_k(tgt, fps, 3, n_bits=64, max_block=max_block)
+    assert {tuple(r)[:3] for r in top.collect()} == expected
+    pairs = sm.score_targets(tgt, fps, n_bits=64, max_block=max_block)
+    assert sorted(map(tuple, sm.top_k_similar(pairs, 3).collect())) == sorted(map(tuple, top.collect()))

@@ -379,15 +379,14 @@ def q_similarity_categories(spark, sf_dir):
 
 
 LINE_RULES = sm.TableRules(key=["l_orderkey", "l_linenumber"])
-LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"]
 
 
 def q_pk_rejects(spark, sf_dir):
-    return sm.check_constraints(table(spark, sf_dir, "lineitem", *LINE_COLUMNS), LINE_RULES)[1]
+    return sm.check_constraints(table(spark, sf_dir, "lineitem"), LINE_RULES)[1]
 
 
 def q_pk_first(spark, sf_dir):
-    return sm.check_constraints(table(spark, sf_dir, "lineitem", *LINE_COLUMNS), LINE_RULES)[0]
+    return sm.check_constraints(table(spark, sf_dir, "lineitem"), LINE_RULES)[0]
 
 
 def q_length_rejects(spark, sf_dir):
@@ -401,12 +400,11 @@ def q_null_rejects(spark, sf_dir):
 
 
 def q_structure_rejects(spark, sf_dir):
-    """The second line of each document is the structure; without a full stop it does not parse."""
-    second = F.get(F.split("text", "\n"), 1)
+    """Each document is a structure; without a line break it does not parse."""
     rows = table(spark, sf_dir, "documents", "doc_id", "text").select(
-        doc_id().alias("chembl_id"), second.alias("canonical_smiles")
+        doc_id().alias("chembl_id"), F.col("text").alias("canonical_smiles")
     )
-    features = lambda s: F.when(s.contains("."), sm.text_tokens(s))
+    features = lambda s: F.when(s.contains("\n"), sm.text_tokens(s))
     return sm.build_fingerprints(rows, features=features)[1].select("chembl_id", "reject_reason")
 
 
@@ -566,6 +564,7 @@ def q_neighborhood_features(spark, sf_dir):
 
 # ---------------------------------------------------------------- the same in SQL
 
+LINE_ORDER = """l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"""
 HASH = "CAST(CAST(('0x' || substr(md5({0}),1,8)) AS BIGINT) % 2048 AS INT)"
 
 BITS = f"""
@@ -759,22 +758,21 @@ FROM (SELECT source_chembl_id, aromatic_rings, heavy_atoms, grouping(source_chem
     CAST(sum({SCORE}) AS DOUBLE) / nullif(count({SCORE}), 0) AS avg_similarity_score
   FROM fact JOIN dim ON chembl_id = source_chembl_id
   GROUP BY GROUPING SETS ((source_chembl_id), (aromatic_rings, heavy_atoms), (heavy_atoms), ()))""",
-    "pk_rejects": f"""WITH c AS (SELECT {', '.join(LINE_COLUMNS)}, count(*) AS n FROM lineitem GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-  ORDER BY l_partkey, l_suppkey, l_returnflag) AS place FROM c)
-SELECT {', '.join(LINE_COLUMNS)}, 'key:l_orderkey+l_linenumber' AS reject_reason,
+    "pk_rejects": f"""WITH c AS (SELECT *, count(*) AS n FROM lineitem GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER}) AS place FROM c)
+SELECT * EXCLUDE (n, place), 'key:l_orderkey+l_linenumber' AS reject_reason,
   n - CASE WHEN place = 1 THEN 1 ELSE 0 END AS copies FROM r WHERE n > 1 OR place > 1""",
-    "pk_first": f"""SELECT {', '.join(LINE_COLUMNS)} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-  ORDER BY l_partkey, l_suppkey, l_returnflag) AS place FROM lineitem) WHERE place = 1""",
+    "pk_first": f"""SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY {LINE_ORDER}) AS place FROM lineitem) WHERE place = 1""",
     "length_rejects": """SELECT 'CHEMBL' || doc_id AS chembl_id, CAST(length(text) AS INT) AS n,
   'length:canonical_smiles' AS reject_reason, CAST(1 AS BIGINT) AS copies FROM documents WHERE length(text) > 4000""",
     "null_rejects": """SELECT d.doc_id, lang, quality, toxic,
   concat_ws(',', CASE WHEN quality IS NULL THEN 'null:quality' END, CASE WHEN toxic IS NULL THEN 'null:toxic' END) AS reject_reason,
   CAST(1 AS BIGINT) AS copies
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE quality IS NULL OR toxic IS NULL""",
-    "structure_rejects": """WITH s AS (SELECT 'CHEMBL' || doc_id AS chembl_id, string_split(text, chr(10))[2] AS line FROM documents)
-SELECT chembl_id, CASE WHEN line IS NULL OR regexp_matches(line, '^\\s*$') THEN 'empty' ELSE 'invalid' END AS reject_reason
-FROM s WHERE line IS NULL OR regexp_matches(line, '^\\s*$') OR NOT contains(line, '.')""",
+    "structure_rejects": """WITH s AS (SELECT 'CHEMBL' || doc_id AS chembl_id, text FROM documents)
+SELECT chembl_id, CASE WHEN text IS NULL OR regexp_matches(text, '^\\s*$') THEN 'empty' ELSE 'invalid' END AS reject_reason
+FROM s WHERE text IS NULL OR regexp_matches(text, '^\\s*$') OR NOT contains(text, chr(10))""",
     "record_split_dictionary": f"WITH {RAW} SELECT chembl_id, lang AS molecule_type FROM good",
     "record_split_properties": f"""WITH {RAW}
 SELECT chembl_id, nullif(CAST(CAST(n AS DOUBLE) / 10 AS DOUBLE), 0) AS mw_freebase, {ALOGP.format(zero='NULL')} AS alogp,
