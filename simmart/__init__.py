@@ -7,6 +7,7 @@ from simmart.operators.fingerprint import (
     fingerprint_structures,
     fingerprint_with,
     fold_fingerprint,
+    per_structure,
     sign_bits,
     text_tokens,
     token_ngrams,
@@ -14,7 +15,7 @@ from simmart.operators.fingerprint import (
 from simmart.operators.mart import append_mart, load_mart
 from simmart.operators.neighborhood import fold_features, neighborhood_features
 from simmart.operators.records import split_molecules
-from simmart.operators.similarity import score_targets, score_top_k, top_k_similar
+from simmart.operators.similarity import score_targets, score_top_k, split_fingerprints, top_k_similar
 from simmart.plans.jobs import build_fingerprints, ingest, score_month
 from simmart.plans.reports import (
     avg_property_deviation,
@@ -23,7 +24,7 @@ from simmart.plans.reports import (
     register_report_views,
     similarity_categories,
 )
-from simmart.sources.paged import DirectoryFetcher, RestFetcher, read_landed_pages, read_pages
+from simmart.sources.paged import DirectoryFetcher, PageError, RestFetcher, read_landed_pages, read_pages
 from simmart.sources.tables import (
     append_table,
     read_structures,

@@ -73,6 +73,18 @@ def bits_unpack(words: Column) -> Column:
     return F.when(words.isNotNull(), once(words, unpack))
 
 
+def malformed(fp: Column, kind: str, n_bits: int = N_BITS) -> Column:
+    """True for a stored fingerprint that is no ``n_bits`` wide set; ``kind`` is ``on``, ``morgan_fingerprint`` (text) or
+    ``words``."""
+    if kind == "on":
+        return F.exists(fp, lambda x: x.isNull() | (x < 0) | (x >= n_bits))
+    if kind == "morgan_fingerprint":
+        return (F.length(fp) != n_bits) | ~fp.rlike(r"\A[01]*\z")
+    n_words = -(-n_bits // 64)
+    bad = (F.size(fp) != n_words) | F.exists(fp, lambda w: w.isNull())
+    return bad | (F.shiftleft(F.get(fp, F.lit(n_words - 1)), n_bits % 64) != 0) if n_bits % 64 else bad
+
+
 def popcount(words: Column) -> Column:
     """Number of on-bits in packed words."""
     return F.aggregate(words, F.lit(0), lambda n, w: n + F.bit_count(w))

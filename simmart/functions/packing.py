@@ -20,26 +20,48 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def bit_matrix(fp: pa.Array, n_bits: int) -> np.ndarray:
-    """Positions or ``0``/``1`` text to one byte per bit, rows padded to whole words."""
+    """Positions or ``0``/``1`` text to one byte per bit, rows padded to whole words.
+
+    Positions outside the width, other characters and texts of another length are errors;
+    ``split_fingerprints`` sets such rows aside beforehand.
+    """
     rows, width = len(fp), -(-n_bits // 64) * 64
     bits = np.zeros((rows, width), np.uint8)
     if pa.types.is_list(fp.type):
-        row_of = np.repeat(np.arange(rows), pc.list_value_length(fp).to_numpy(zero_copy_only=False))
-        bits[row_of, fp.flatten().to_numpy(zero_copy_only=False)] = 1
+        at = _numbers(fp)
+        if len(at) and (at.min() < 0 or at.max() >= n_bits):
+            raise ValueError(f"fingerprint with a position outside 0..{n_bits - 1}")
+        bits[np.repeat(np.arange(rows), pc.list_value_length(fp).to_numpy(zero_copy_only=False)), at] = 1
     else:
+        if rows and (pc.binary_length(fp).to_numpy(zero_copy_only=False) != n_bits).any():
+            raise ValueError(f"fingerprint text that has not {n_bits} characters")
         text = b"".join(s.encode() for s in fp.to_pylist())
         bits[:, :n_bits] = np.frombuffer(text, np.uint8).reshape(rows, n_bits) - ord("0")
+        if bits.size and bits.max() > 1:
+            raise ValueError("fingerprint text with other characters than 0 and 1")
     return bits
 
 
+def _numbers(fp: pa.Array) -> np.ndarray:
+    numbers = fp.flatten()
+    if numbers.null_count:
+        raise ValueError("fingerprint with a NULL in its list")
+    return numbers.to_numpy(zero_copy_only=False)
+
+
 def pack(fp: pa.Array, n_bits: int) -> np.ndarray:
     """Any stored form to a matrix of packed words, one row per fingerprint.
 
     ``packbits`` puts position 0 first in a byte; the byte order then makes it the highest bit of its word.
     """
     if pa.types.is_list(fp.type) and pa.types.is_int64(fp.type.value_type):
-        words = fp.flatten().to_numpy(zero_copy_only=False).reshape(len(fp), -(-n_bits // 64))
-        return np.ascontiguousarray(words).view(np.uint64)
+        n_words = -(-n_bits // 64)
+        if len(fp) and (pc.list_value_length(fp).to_numpy(zero_copy_only=False) != n_words).any():
+            raise ValueError(f"fingerprint that has not {n_words} words")
+        words = np.ascontiguousarray(_numbers(fp).reshape(len(fp), n_words)).view(np.uint64)
+        if n_bits % 64 and (words[:, -1] << np.uint64(n_bits % 64)).any():
+            raise ValueError(f"fingerprint with a position outside 0..{n_bits - 1}")
+        return words
     return np.packbits(bit_matrix(fp, n_bits), axis=1).view(">u8").astype(np.uint64)
 
 

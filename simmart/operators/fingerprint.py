@@ -8,7 +8,9 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,37 +110,66 @@ def fingerprint_structures(
     return good, rejects
 
 
+BatchFunction = Callable[[pa.Array], "pa.Array | Iterable[Iterable[int] | None]"]
+
+
+def per_structure(fn: Callable[[str], Iterable[int] | None]) -> BatchFunction:
+    """A function of one structure as a function of a batch."""
+
+    def batch(structures: pa.Array) -> list:
+        found = [fn(s) for s in structures.to_pylist()]
+        return [None if f is None else list(f) for f in found]
+
+    return batch
+
+
 def fingerprint_with(
     df: DataFrame,
     id_col: str,
     structure_col: str,
-    fn: Callable[[str], Iterable[int] | None],
+    fn: BatchFunction,
     n_bits: int = N_BITS,
     store: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """Fingerprints from a user function ``structure -> on-bit positions or None``, batch by batch on the executors.
+    """Fingerprints from a user function, batch by batch on the executors.
 
-    A chemistry toolkit goes in here. Blank structures never reach ``fn``. The function runs once per row, now, and its
-    results are kept in the scratch folder; with ``store=False`` it runs again for every action.
+    ``fn`` gets the structures of a batch as an Arrow array of strings and returns one list of on-bit positions for
+    each, as an Arrow array or any iterable; NULL (None) means that a structure cannot be parsed. A chemistry toolkit
+    goes in here; ``per_structure`` wraps one that takes single structures. Blank structures never reach ``fn``. The
+    function runs once per row, now, and its results are kept in the scratch folder; with ``store=False`` it runs again
+    for every action.
     """
     require_columns(df, id_col, structure_col)
     structure = F.col(structure_col)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [None if blank else fn(s) for s, blank in zip(batch[1].to_pylist(), batch[2].to_pylist())]
-            positions = [None if f is None else sorted({int(b) % n_bits for b in f}) for f in found]
+            filled = pc.invert(batch.column(2))
+            found = fn(batch.column(1).filter(filled))
+            found = found if isinstance(found, pa.Array) else pa.array(list(found), pa.list_(pa.int64()))
+            if len(found) != pc.sum(filled).as_py():
+                raise ValueError("a fingerprint function returns one entry for each structure")
+            # Blank rows take the NULL behind the last entry.
+            place = np.full(len(batch), len(found))
+            place[filled.to_numpy(zero_copy_only=False)] = np.arange(len(found))
+            lists = pa.concat_arrays([found.cast(pa.list_(pa.int64())), pa.nulls(1, pa.list_(pa.int64()))])
             yield pa.RecordBatch.from_arrays(
-                [batch[0], batch[1], batch[2], pa.array(positions, pa.list_(pa.int32()))],
-                names=["chembl_id", "structure", "blank", "on"],
+                [batch.column(0), batch.column(1), batch.column(2), lists.take(pa.array(place))],
+                names=["chembl_id", "structure", "blank", "found"],
             )
 
     id_type = df.schema[id_col].dataType.simpleString()
     done = df.select(
         F.col(id_col).alias("chembl_id"), structure.alias("structure"), is_blank(structure).alias("blank")
-    ).mapInArrow(apply, f"chembl_id {id_type}, structure string, blank boolean, on array<int>")
+    ).mapInArrow(apply, f"chembl_id {id_type}, structure string, blank boolean, found array<bigint>")
+    bits = F.transform("found", lambda p: F.pmod(p, F.lit(n_bits)).cast("int"))
     # Only rejects show their structure.
-    done = done.withColumn("structure", F.when(F.col("on").isNull(), F.col("structure")))
+    done = done.select(
+        "chembl_id",
+        F.when(F.col("found").isNull(), F.col("structure")).alias("structure"),
+        "blank",
+        F.sort_array(F.array_distinct(bits)).alias("on"),
+    )
     if store:
         done = stage(done, "fingerprints")
     good = done.filter("on IS NOT NULL").select("chembl_id", "on", F.size("on").alias("pop"))

@@ -6,6 +6,8 @@ bits are not those of any chemistry toolkit.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,42 +16,42 @@ from simmart.session import stage
 
 
 def short_hash(text: Column) -> Column:
-    """The first 48 bits of the md5, as a number."""
-    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint")
+    """The first 60 bits of the md5, as a number."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 def neighborhood_features(nodes: DataFrame, edges: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``(mol, feature)``: one hash per node and round 0..radius.
 
     ``nodes`` is ``(mol, node, label)``, one row per node; ``edges`` is ``(mol, a, b, kind)`` and makes ``b`` a
-    neighbour of ``a``. Edges to unknown nodes are ignored. Hand in stored tables; nodes are read twice.
+    neighbour of ``a``. Edges to unknown nodes are ignored. Hand in stored tables; nodes are read several times.
 
     The neighbours of a node enter as their number and the sum of their hashes. A sum does not depend on the order and
     combines before the shuffle, so a hub with very many edges never has its neighbours gathered in one place. The sum
-    is kept in two halves of 24 bits, which leaves room for 2**39 neighbours.
+    is kept in two halves of 30 bits, which leaves room for 2**33 neighbours. Each round is stored once, as one hash
+    per node: the next round reads it twice and the result once more.
     """
-    state = nodes.select("mol", "node", F.array(short_hash(F.col("label"))).alias("hashes"))
+    state = nodes.select("mol", "node", short_hash(F.col("label")).alias("hash"))
+    rounds = [state]
     for done in range(radius):
-        if done:
-            # Each round reads the state twice; stored, it is computed once.
-            state = stage(state, "neighborhood")
-        latest = F.element_at("hashes", -1)
-        neighbour = state.select("mol", F.col("node").alias("b"), latest.alias("hash"))
+        neighbour = state.select("mol", F.col("node").alias("b"), F.col("hash").alias("theirs"))
         met = edges.join(neighbour, ["mol", "b"]).select(
-            "mol", F.col("a").alias("node"), short_hash(F.concat_ws(":", "kind", "hash")).alias("term")
+            "mol", F.col("a").alias("node"), short_hash(F.concat_ws(":", "kind", "theirs")).alias("term")
         )
         gathered = met.groupBy("mol", "node").agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(F.shiftright("term", 24)).alias("high"),
-            F.sum(F.col("term").bitwiseAND(F.lit((1 << 24) - 1))).alias("low"),
-        )
-        update = short_hash(
-            F.concat_ws(",", latest, *[F.coalesce(F.col(c), F.lit(0)) for c in ("n", "high", "low")])
+            F.sum(F.shiftright("term", 30)).alias("high"),
+            F.sum(F.col("term").bitwiseAND(F.lit((1 << 30) - 1))).alias("low"),
         )
-        state = state.join(gathered, ["mol", "node"], "left").select(
-            "mol", "node", F.array_append("hashes", update).alias("hashes")
+        sums = [F.coalesce(F.col(c), F.lit(0)) for c in ("n", "high", "low")]
+        state = stage(
+            state.join(gathered, ["mol", "node"], "left").select(
+                "mol", "node", short_hash(F.concat_ws(",", "hash", *sums)).alias("hash")
+            ),
+            "neighborhood",
         )
-    return state.select("mol", F.explode_outer("hashes").alias("feature"))
+        rounds.append(state)
+    return reduce(DataFrame.union, rounds).select("mol", F.col("hash").alias("feature"))
 
 
 def fold_features(features: DataFrame, n_bits: int = N_BITS) -> DataFrame:

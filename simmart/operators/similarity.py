@@ -18,6 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from simmart.functions.bits import malformed
 from simmart.functions.packing import pack
 from simmart.schemas import N_BITS, PAIRS, TOP_K
 from simmart.session import empty, stage
@@ -27,6 +28,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Rows of one broadcast: 256 bytes of fingerprint and an id each, about 6 MB, and k results each in every task.
 MAX_BLOCK_TARGETS = 20_000
+# Places in which the candidates of one target meet first.
+MERGE_PARTS = 64
 # Rows a task returns per Arrow batch.
 OUT_ROWS = 20_000
 
@@ -34,14 +37,34 @@ SOURCE, TARGET, SCORE = "source_chembl_id", "target_chembl_id", "tanimoto_simila
 FLAG = "has_duplicates_of_last_largest_score"
 
 
-def _with_fingerprint(df: DataFrame, id_col: str) -> DataFrame:
-    """``(id, fp)`` where fp is whichever form is stored: packed words, positions or ``0``/``1`` text."""
+def _form(df: DataFrame) -> str:
+    """The stored form: packed words, positions or ``0``/``1`` text."""
     for name in ("words", "on", "morgan_fingerprint"):
         if name in df.columns:
-            return df.select(F.col(id_col).cast("string").alias("id"), F.col(name).alias("fp"))
+            return name
     raise ValueError("fingerprints need one of the columns: words, on, morgan_fingerprint")
 
 
+def _with_fingerprint(df: DataFrame, id_col: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("string").alias("id"), F.col(_form(df)).alias("fp"))
+
+
+def split_fingerprints(df: DataFrame, id_col: str = "chembl_id", n_bits: int = N_BITS) -> tuple[DataFrame, DataFrame]:
+    """Rows that can be scored, and the others with ``reject_reason``: ``null_id``, ``null_fingerprint``, ``malformed``.
+
+    Scoring itself leaves rows without id or fingerprint out and stops at malformed ones.
+    """
+    form = _form(df)
+    reason = (
+        F.when(F.col(id_col).isNull(), F.lit("null_id"))
+        .when(F.col(form).isNull(), F.lit("null_fingerprint"))
+        .when(malformed(F.col(form), form, n_bits), F.lit("malformed"))
+    )
+    tagged = df.withColumn("reject_reason", reason)
+    good = tagged.filter("reject_reason IS NULL").drop("reject_reason")
+    return good, tagged.filter("reject_reason IS NOT NULL")
+
+
 def _target_block(table: pa.Table, n_bits: int) -> dict:
     """Targets sorted by name; structures that share a name lie next to each other."""
     table = table.drop_null().sort_by("id").combine_chunks()
@@ -279,15 +302,12 @@ def score_top_k(
 
 
 def _first_k(pairs: DataFrame, k: int) -> DataFrame:
-    """Number the first k rows per target. Spark cuts to k before and after the shuffle.
-
-    With many scan tasks one target still receives k rows from each, so a large session cuts in two steps.
+    """Number the first k rows per target, in two steps: each scan task hands on k rows of a target, so they meet in
+    ``MERGE_PARTS`` places before they meet in one. Spark cuts to k before and after each shuffle.
     """
     best_first = [F.desc(SCORE), F.asc("chembl_id")]
-    fanout = min(64, int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
-    if fanout > 1:
-        part = Window.partitionBy(TARGET, F.pmod(F.xxhash64("chembl_id"), F.lit(fanout))).orderBy(*best_first)
-        pairs = pairs.withColumn("place", F.row_number().over(part)).filter(F.col("place") <= k).drop("place")
+    part = Window.partitionBy(TARGET, F.pmod(F.xxhash64("chembl_id"), F.lit(MERGE_PARTS))).orderBy(*best_first)
+    pairs = pairs.withColumn("place", F.row_number().over(part)).filter(F.col("place") <= k).drop("place")
     whole = Window.partitionBy(TARGET).orderBy(*best_first)
     return pairs.withColumn("place", F.row_number().over(whole)).filter(F.col("place") <= k)
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from simmart.operators.checks import TableRules, check_constraints
-from simmart.operators.fingerprint import fingerprint_structures, fingerprint_with, text_tokens
+from simmart.operators.fingerprint import BatchFunction, fingerprint_structures, fingerprint_with, text_tokens
 from simmart.operators.mart import append_mart
 from simmart.operators.records import split_molecules, typed_lookups
 from simmart.operators.similarity import score_targets, score_top_k, top_k_similar
@@ -33,9 +33,13 @@ def ingest(
 
     Rejects come as ``<name>_rejects`` (constraint rejects per table) and ``record_rejects`` / ``lookup_record_rejects``
     (records that could not be typed). With ``tables`` (frame name -> location) the staging tables are replaced.
-    The items are stored first, so that a live source is asked once.
+    The items are stored first, so that a live source is asked once. Without any item the tables are left as they are
+    and the job fails.
     """
-    split = split_molecules(stage(molecules, "molecules"), zero_as_null)
+    items = stage(molecules, "molecules")
+    if tables and items.isEmpty():
+        raise ValueError("no items arrived: the staging tables are not replaced")
+    split = split_molecules(items, zero_as_null)
     out = {"record_rejects": split.pop("rejects")}
     if lookups is not None:
         typed = typed_lookups(stage(lookups, "lookups"))
@@ -52,13 +56,13 @@ def build_fingerprints(
     structures: DataFrame,
     directory: str | None = None,
     features: Callable[[Column], Column] = text_tokens,
-    fn: Callable[[str], Iterable[int] | None] | None = None,
+    fn: BatchFunction | None = None,
     n_bits: int = N_BITS,
     layout: str = "text",
 ) -> tuple[DataFrame, DataFrame]:
     """Fingerprints of a staged structure table and the unusable rows; written to ``directory`` when given.
 
-    ``fn`` computes on-bits with a user library; otherwise ``features`` is folded with built-in functions.
+    ``fn`` computes on-bits with a user library, a batch at a time; otherwise ``features`` is folded with built-in functions.
     """
     if fn is not None:
         fps, rejects = fingerprint_with(structures, "chembl_id", "canonical_smiles", fn, n_bits)
@@ -82,7 +86,7 @@ def score_month(
     tie_mode: str = "within",
     fact_filter: str = "new_pairs",
     features: Callable[[Column], Column] = text_tokens,
-    fn: Callable[[str], Iterable[int] | None] | None = None,
+    fn: BatchFunction | None = None,
     n_bits: int = N_BITS,
 ) -> dict[str, DataFrame]:
     """Score a target list ``(target_chembl_id, smiles)`` and load the mart.

@@ -12,6 +12,7 @@ N_BITS = 2048
 RADIUS = 2
 ROWS_PER_FILE = 100_000
 PAGE_SIZE = 1000
+MAX_REQUESTS = 125
 TOP_K = 10
 ID_PREFIX = "CHEMBL"
 

@@ -1,4 +1,4 @@
-"""Session helpers: shared scratch folder, lineage cuts, spreading of small scans."""
+"""Session helpers: shared scratch folder, lineage cuts."""
 
 from __future__ import annotations
 
@@ -46,15 +46,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Give a scan with fewer splits than cores one partition per core.
-
-    For plain file scans only. A large input has more splits than cores and passes through without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows, and known to the optimizer to have none, so joins with it disappear from the plan."""
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]

@@ -1,13 +1,16 @@
-"""Paged JSON collections: a Spark data source with one or more pages per task, and a reader for landed page files."""
+"""Paged JSON collections: a Spark data source with a bound on requests at a time, and a reader for landed page files."""
 
 from __future__ import annotations
 
+import http.client
 import json
+import re
 import sys
 import time
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from simmart.schemas import COLLECTIONS, PAGE_SIZE
+from simmart.schemas import COLLECTIONS, MAX_REQUESTS, PAGE_SIZE
 from simmart.session import stage
 
 # Executors run the classes below without having this package installed.
@@ -28,6 +31,14 @@ Fetcher = Callable[[int, int], dict]
 PAGE_COLUMNS = "offset bigint, item string, error string"
 
 
+class PageError(ValueError):
+    """A page that came, but without its fields or with fewer items than the collection still has."""
+
+
+# What a further try, or skipping the page, can answer. Anything else is an error of the program.
+PAGE_FAILURES = (OSError, http.client.HTTPException, json.JSONDecodeError, PageError)
+
+
 class RestFetcher:
     """GET ``base_url?limit=..&offset=..&params``; filters and column choice go to the server in ``params``."""
 
@@ -46,14 +57,16 @@ class RestFetcher:
 
 
 class DirectoryFetcher:
-    """Pages kept as files in a folder that all executors reach (local, HDFS or object store).
+    """Pages kept as files in a folder that all executors reach: a local path, ``file:``, ``hdfs:``, ``gs:`` or ``s3:``
+    (also as ``s3a:`` or ``s3n:``).
 
     ``pattern`` names the page of an offset: a JSON file, or a folder with one data file as Spark writes it.
     """
 
     def __init__(self, directory: str, pattern: str = "page_{offset}.json"):
-        # Spark writes local paths as file:/x, which is no URI to Arrow.
-        self.directory = directory.removeprefix("file://").removeprefix("file:").rstrip("/")
+        # Spark's names for local and S3 folders are no URIs to Arrow.
+        local = directory.removeprefix("file://").removeprefix("file:")
+        self.directory = re.sub(r"^s3[an]://", "s3://", local).rstrip("/")
         self.pattern = pattern
 
     def __call__(self, offset: int, limit: int) -> dict:
@@ -65,21 +78,39 @@ class DirectoryFetcher:
             return json.loads(stream.read())
 
 
-def fetch_with_retry(fetch: Fetcher, offset: int, limit: int, retries: int, delay: float) -> dict:
+def fetch_with_retry(fetch: Callable, offset: int, limit: int, retries: int, delay: float):
     for attempt in range(1, retries + 1):
         try:
             return fetch(offset, limit)
-        except Exception:
+        except PAGE_FAILURES:
             if attempt == retries:
                 raise
             time.sleep(delay)
     raise ValueError("retries must be at least 1")
 
 
+def _field(page: dict, name: str):
+    try:
+        return page[name]
+    except (KeyError, TypeError):
+        raise PageError(f"page without {name}") from None
+
+
+def fetch_items(fetch: Fetcher, collection: str, offset: int, wanted: int) -> list:
+    """``wanted`` items from ``offset`` on. A server that hands out fewer per page is asked again for the rest."""
+    items: list = []
+    while len(items) < wanted:
+        more = _field(fetch(offset + len(items), wanted - len(items)), collection)
+        if not more:
+            raise PageError(f"{len(items)} of {wanted} items")
+        items += more
+    return items[:wanted]
+
+
 class _Pages(InputPartition):
-    def __init__(self, offsets: range):
+    def __init__(self, offsets: range, total: int):
         super().__init__(0)
-        self.offsets = offsets
+        self.offsets, self.total = offsets, total
 
 
 class _PageReader(DataSourceReader):
@@ -89,25 +120,28 @@ class _PageReader(DataSourceReader):
         self.limit = int(options.get("limit", PAGE_SIZE))
         self.retries = int(options.get("retries", 3))
         self.delay = float(options.get("delay", 5))
-        self.pages_per_task = int(options.get("pagesPerTask", 1))
+        self.max_requests = int(options.get("maxRequests", MAX_REQUESTS))
         self.on_page_error = options.get("onPageError", "fail")
         if self.on_page_error not in ("fail", "skip"):
             raise ValueError("onPageError is 'fail' or 'skip'")
 
     def partitions(self):
-        """The first page tells how many there are; only its count is used here, its items are read by a task."""
+        """The first page tells how many items there are; the items are read by the tasks, whose number bounds the
+        requests at a time."""
         first = fetch_with_retry(self.fetch, 0, self.limit, self.retries, self.delay)
-        end = max(int(first["page_meta"]["total_count"]), 1)
-        step = self.limit * self.pages_per_task
-        return [_Pages(range(at, min(at + step, end), self.limit)) for at in range(0, end, step)]
+        total = int(_field(_field(first, "page_meta"), "total_count"))
+        pages = range(0, total, self.limit)
+        tasks = max(min(self.max_requests, len(pages)), 1)
+        return [_Pages(pages[i::tasks], total) for i in range(tasks)]
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
+        again = partial(fetch_items, self.fetch, self.collection)
         for offset in partition.offsets:
-            error = None
+            wanted, error = min(self.limit, partition.total - offset), None
             try:
-                page = fetch_with_retry(self.fetch, offset, self.limit, self.retries, self.delay)
-                items = [json.dumps(item, ensure_ascii=False) for item in page[self.collection]]
-            except Exception as e:
+                items = fetch_with_retry(again, offset, wanted, self.retries, self.delay)
+                items = [json.dumps(item, ensure_ascii=False) for item in items]
+            except PAGE_FAILURES as e:
                 if self.on_page_error == "fail":
                     raise
                 items, error = [None], f"{type(e).__name__}: {e}"
@@ -146,12 +180,16 @@ def read_pages(
     limit: int = PAGE_SIZE,
     retries: int = 3,
     delay: float = 5,
-    pages_per_task: int = 1,
+    max_requests: int = MAX_REQUESTS,
     on_page_error: str = "fail",
     store: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Typed items of a collection, and the pages that could not be read with their error.
 
+    Every item that the first page announces arrives, or its page is reported: a page with too few items is completed
+    by further requests, and one without the rest is an error. At most ``max_requests`` requests run at a time. With
+    ``on_page_error="skip"`` a page that fails ``retries`` times becomes a row of the second frame.
+
     The pages are fetched once, now, and kept in the scratch folder. With ``store=False`` every action on either frame
     fetches them again.
     """
@@ -161,7 +199,7 @@ def read_pages(
         "limit": limit,
         "retries": retries,
         "delay": delay,
-        "pagesPerTask": pages_per_task,
+        "maxRequests": max_requests,
         "onPageError": on_page_error,
     }
     rows = spark.read.format("paged_json").options(**options).load()

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from simmart.functions.text import month_of_file
 from simmart.schemas import ID_PREFIX
-from simmart.sources.targets import read_targets
+from simmart.sources.targets import empty_files, no_targets, read_targets
 
 OnFile = Callable[[DataFrame, DataFrame, object], None]
 
@@ -23,28 +23,33 @@ def stream_targets(
     id_prefix: str = ID_PREFIX,
     pattern: str = "data_*.csv",
     poll: str | None = None,
+    multi_line: bool = False,
 ) -> StreamingQuery:
     """Call ``on_file(targets, rejects, month)`` for each new file; files are taken one per micro-batch.
 
     Without ``poll`` the query handles what is there and ends; with a poll interval such as ``"1 hour"`` it waits for
-    more. The checkpoint remembers finished files. After a crash the last file may be handed over again, so the load
+    more. Files are listed without being opened. One without content makes an empty batch; it is handed
+    over with no targets, the reject ``(directory, empty_file)`` and no month, as the batch does not tell its name. The checkpoint remembers finished files. After a crash the last file may be handed over again, so the load
     behind ``on_file`` must be repeatable, as ``append_mart`` is with ``new_pairs``.
     """
     arrivals = (
-        spark.readStream.format("text")
-        .schema("value string")
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", 1)
         .load(directory)
-        .select("_metadata.file_path")
+        .select("path")
     )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        month = month_of_file(F.col("file_path")).alias("month")
-        # One file per batch, so one row.
-        for path, first_day in batch.distinct().select("file_path", month).collect():
-            targets, rejects = read_targets(batch.sparkSession, path, id_prefix)
+        month = month_of_file(F.col("path")).alias("month")
+        # One file per batch, so one row at most.
+        files = batch.select("path", month).collect()
+        if not files:
+            on_file(no_targets(batch.sparkSession), empty_files(batch.sparkSession, [directory]), None)
+        for path, first_day in files:
+            targets, rejects = read_targets(batch.sparkSession, path, id_prefix, multi_line)
             on_file(targets, rejects, first_day)
 
     writer = arrivals.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)

@@ -1,5 +1,6 @@
 import hashlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ def test_user_function_sees_only_filled_structures(spark):
         assert structure.strip()
         return None if structure == "bad" else [5000, 5000 - 2048, 1]
 
-    good, rejects = sm.fingerprint_with(structures(spark), "chembl_id", "canonical_smiles", toolkit)
+    good, rejects = sm.fingerprint_with(structures(spark), "chembl_id", "canonical_smiles", sm.per_structure(toolkit))
     on = sorted({5000 % 2048, 1})
     assert {r.chembl_id: (r.on, r["pop"]) for r in good.collect()} == {"a": (on, len(on)), "f": (on, len(on))}
     assert {r.chembl_id: r.reject_reason for r in rejects.collect()} == {
@@ -59,6 +60,14 @@ def test_user_function_sees_only_filled_structures(spark):
     }
 
 
+def test_user_function_of_a_batch(spark):
+    lengths = lambda batch: pa.array([[len(s)] for s in batch.to_pylist()], pa.list_(pa.int32()))
+    good, _ = sm.fingerprint_with(structures(spark), "chembl_id", "canonical_smiles", lengths)
+    assert {r.chembl_id: r.on for r in good.collect()} == {"a": [18], "f": [1], "g": [3]}
+    with pytest.raises(Exception, match="one entry for each structure"):
+        sm.fingerprint_with(structures(spark).coalesce(1), "chembl_id", "canonical_smiles", lambda batch: [[1]])
+
+
 def test_features(spark):
     row = spark.sql("SELECT 'a b  c a b' AS t, 'abcab' AS s, array(0.5, -1.0, 0.0, 2.0) AS v").select(
         sm.text_tokens(F.col("t")).alias("tokens"),

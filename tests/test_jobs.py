@@ -1,8 +1,10 @@
 import datetime
 import json
 
+import pytest
+
 import simmart as sm
-from simmart.schemas import DICTIONARY, PROPERTIES
+from simmart.schemas import DICTIONARY, PROPERTIES, RAW_MOLECULE
 from simmart.sources.tables import read_table
 
 
@@ -40,7 +42,7 @@ def test_month_with_and_without_stored_scores(spark, folder):
 
 def test_month_with_a_user_library(spark, folder):
     targets = spark.createDataFrame(TARGETS, "target_chembl_id string, smiles string")
-    letters = lambda s: [ord(c) for c in s]
+    letters = sm.per_structure(lambda s: [ord(c) for c in s])
     fps, _ = sm.build_fingerprints(structures(spark), fn=letters)
     sm.score_month(spark, targets, fps, *staging(spark), f"{folder}/dim", f"{folder}/fact", fn=letters)
     assert read_table(spark, f"{folder}/fact").count() == 20
@@ -63,13 +65,24 @@ def test_target_files_are_handled_once(spark, folder):
     put("readme.txt", "no target list")
     sm.stream_targets(spark, inbox, on_file, f"{folder}/offsets").awaitTermination()
     put("data_07_2024.csv", "SMILES,Molecule Name\nCC,CHEMBL2\n")
+    put("data_08_2024.csv", "")
     sm.stream_targets(spark, inbox, on_file, f"{folder}/offsets").awaitTermination()
-    assert seen == [
+    # Two files of one moment may come in either order.
+    assert sorted(seen, key=lambda s: (s[0] is None, s[0])) == [
         (datetime.date(2024, 6, 1), [("CHEMBL1", "C")], 1),
         (datetime.date(2024, 7, 1), [("CHEMBL2", "CC")], 0),
+        (None, [], 1),
     ]
 
 
+def test_an_empty_collection_replaces_nothing(spark, folder):
+    nothing = spark.createDataFrame([], RAW_MOLECULE)
+    sm.refresh_table(spark.range(3), f"{folder}/t")
+    with pytest.raises(ValueError, match="no items"):
+        sm.ingest(nothing, tables={"dictionary": f"{folder}/t"})
+    assert spark.read.parquet(f"{folder}/t").count() == 3
+
+
 def test_neighbourhoods(spark):
     # a path of three nodes, the same path numbered backwards, and a triangle with equal labels
     nodes, edges = [], []

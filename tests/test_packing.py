@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -53,3 +54,26 @@ def test_scores_and_windows(case, data):
             assert scores[i] == expected
             if expected >= floor:
                 assert lows[t] <= i < highs[t]
+
+
+@pytest.mark.parametrize(
+    "bad",
+    [
+        pa.array(["000", "00000"]), pa.array(["0102"]), pa.array(["01é"]),
+        pa.array([[-1]], pa.list_(pa.int32())), pa.array([[4]], pa.list_(pa.int32())), pa.array([[None]], pa.list_(pa.int32())),
+        pa.array([[0, 0]], pa.list_(pa.int64())), pa.array([[1]], pa.list_(pa.int64())), pa.array([[None]], pa.list_(pa.int64())),
+    ],
+)
+def test_malformed_fingerprints_are_errors(bad):
+    with pytest.raises(ValueError, match="fingerprint"):
+        pack(bad, 4)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("01", min_size=0, max_size=6), min_size=1, max_size=6))
+def test_text_of_the_width_and_no_other(texts):
+    if all(len(t) == 4 for t in texts):
+        assert pack(pa.array(texts), 4)[:, 0].tolist() == [int(t, 2) << 60 for t in texts]
+    else:
+        with pytest.raises(ValueError):
+            pack(pa.array(texts), 4)

@@ -166,3 +166,16 @@ def test_copies_of_an_id_count_once(spark, max_block):
     assert {tuple(r)[:3] for r in top.collect()} == expected
     pairs = sm.score_targets(tgt, fps, n_bits=64, max_block=max_block)
     assert sorted(map(tuple, sm.top_k_similar(pairs, 3).collect())) == sorted(map(tuple, top.collect()))
+
+
+def test_rows_that_cannot_be_scored(spark):
+    on = [("a", [0, 3]), ("b", [-1]), ("c", [4]), ("d", [None]), ("e", None), (None, [1]), ("f", [])]
+    text = [("a", "0110"), ("b", "011"), ("c", "01100"), ("d", "012x"), ("e", None), (None, "0000"), ("f", "0110\n")]
+    words = [("a", [1 << 62]), ("b", []), ("c", [1, 2]), ("d", [None]), ("e", None), (None, [0]), ("f", [1])]
+    for rows, kind, malformed in (
+        (on, "on array<int>", "bcd"), (text, "morgan_fingerprint string", "bcdf"), (words, "words array<bigint>", "bcdf")
+    ):
+        good, rejects = sm.split_fingerprints(spark.createDataFrame(rows, f"chembl_id string, {kind}"), n_bits=4)
+        reasons = {(r.chembl_id, r.reject_reason) for r in rejects.collect()}
+        assert reasons == {(c, "malformed") for c in malformed} | {("e", "null_fingerprint"), (None, "null_id")}
+        assert good.count() == len(rows) - len(reasons)

@@ -29,16 +29,16 @@ class Pages:
 
 
 @pytest.mark.parametrize("total", [0, 3, 10, 20, 23])
-@pytest.mark.parametrize("pages_per_task", [1, 2])
-def test_pages(spark, total, pages_per_task):
-    items, errors = sm.read_pages(spark, Pages(total), "molecules", limit=10, delay=0, pages_per_task=pages_per_task)
+@pytest.mark.parametrize("max_requests", [1, 2, 125])
+def test_pages(spark, total, max_requests):
+    items, errors = sm.read_pages(spark, Pages(total), "molecules", limit=10, delay=0, max_requests=max_requests)
     assert sorted(r.molecule_chembl_id for r in items.collect()) == sorted(f"CHEMBL{i}" for i in range(total))
     assert errors.count() == 0
     lazy, _ = sm.read_pages(
-        spark, Pages(total), "molecules", limit=10, delay=0, pages_per_task=pages_per_task, store=False
+        spark, Pages(total), "molecules", limit=10, delay=0, max_requests=max_requests, store=False
     )
     assert lazy.count() == total
-    assert lazy.rdd.getNumPartitions() == max(1, -(-total // (10 * pages_per_task)))
+    assert lazy.rdd.getNumPartitions() == max(1, min(max_requests, -(-total // 10)))
 
 
 def test_retry_skip_and_fail(spark):
@@ -52,6 +52,45 @@ def test_retry_skip_and_fail(spark):
         sm.read_pages(spark, lost, "molecules", limit=10, delay=0)
 
 
+class Capped(Pages):
+    """Hands out at most four items at once, and none from ``gone`` on."""
+
+    def __init__(self, total, gone=None):
+        super().__init__(total)
+        self.gone = total if gone is None else gone
+
+    def __call__(self, offset, limit):
+        page = super().__call__(offset, min(limit, 4))
+        page["molecules"] = page["molecules"][: max(self.gone - offset, 0)]
+        return page
+
+
+def test_short_pages(spark):
+    items, errors = sm.read_pages(spark, Capped(23), "molecules", limit=10, delay=0)
+    assert items.select("molecule_chembl_id").distinct().count() == items.count() == 23 and errors.count() == 0
+    with pytest.raises(Exception, match=r"(3 of 10|0 of 3) items"):
+        sm.read_pages(spark, Capped(23, gone=13), "molecules", limit=10, delay=0)
+    items, errors = sm.read_pages(spark, Capped(23, gone=13), "molecules", limit=10, delay=0, on_page_error="skip")
+    assert items.count() == 10 and sorted(r.offset for r in errors.collect()) == [10, 20]
+
+
+def test_errors_of_the_program_are_not_skipped(spark):
+    def broken(offset, limit):
+        if offset:
+            raise AttributeError("a bug")
+        return Pages(20)(offset, limit)
+
+    with pytest.raises(Exception, match="a bug"):
+        sm.read_pages(spark, broken, "molecules", limit=10, delay=0, on_page_error="skip")
+    with pytest.raises(Exception, match="page without items"):
+        sm.read_pages(spark, Pages(20), "items", limit=10, delay=0)
+
+
+def test_folder_names():
+    assert sm.DirectoryFetcher("s3a://bucket/pages/").directory == "s3://bucket/pages"
+    assert sm.DirectoryFetcher("file:/pages").directory == "/pages"
+
+
 def test_page_files(spark, folder):
     pages = Pages(23)
     for offset in (0, 10, 20):
@@ -112,6 +151,27 @@ def test_target_csv(spark, folder):
         sm.read_targets(spark, f"{folder}/bad.csv")
 
 
+def test_files_with_different_headers(spark, folder):
+    inbox = f"{folder}/in box %41"
+    os.makedirs(inbox)
+    for name, text in {
+        "a.csv": "Molecule Name,SMILES\nCHEMBL1,CHEMBLX\n",
+        "b.csv": "SMILES,Molecule Name\nCHEMBLY,CHEMBL2\n",
+        "c.csv": "note,smiles,molecule name\nx,C,CHEMBL3,y\n,CC,CHEMBL4\n",
+        "d.csv": "\nMolecule Name,SMILES\nCHEMBL5,C\n",
+        "e.csv": "",
+    }.items():
+        with open(f"{inbox}/{name}", "w") as f:
+            f.write(text)
+    good, rejects = sm.read_targets(spark, inbox)
+    assert {tuple(r) for r in good.collect()} == {
+        ("CHEMBL1", "CHEMBLX"), ("CHEMBL2", "CHEMBLY"), ("CHEMBL4", "CC"), ("CHEMBL5", "C")
+    }
+    assert sorted(r.reject_reason for r in rejects.collect()) == ["empty_file", "too_many_fields"]
+    good, rejects = sm.read_targets(spark, f"{inbox}/e.csv")
+    assert good.count() == 0 and rejects.count() == 1
+
+
 def test_short_line_without_structure(spark, folder):
     with open(f"{folder}/t.csv", "w") as f:
         f.write("molecule name,smiles\nCHEMBL1\nCHEMBL2,C\n")

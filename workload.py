@@ -13,21 +13,29 @@ Stand-ins for the chemistry tables, each over whole tables:
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+import sys
+from collections.abc import Callable, Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 import simmart as sm
 from simmart.functions.packing import stored_form
-from simmart.functions.text import month_of_file, month_stamp
+from simmart.functions.text import is_blank, month_of_file, month_stamp
+from simmart.operators.fingerprint import fold_bits
 from simmart.operators.mart import molecule_ids, new_dimension_rows
 from simmart.operators.records import typed_lookups
 from simmart.plans.jobs import RULES
 from simmart.schemas import DIMENSION, FACT, RAW_LOOKUP, RAW_MOLECULE, STRUCTURES
-from simmart.session import empty, scratch_path, spread, stage
+from simmart.session import empty, scratch_path, stage
 from simmart.sources.paged import decode_items
+from simmart.sources.tables import counted, read_pairs, read_table
 
 SOURCE, TARGET, SCORE = "source_chembl_id", "target_chembl_id", "tanimoto_similarity_score"
 FLAG = "has_duplicates_of_last_largest_score"
@@ -53,7 +61,7 @@ def doc_id() -> Column:
 
 
 def structures(spark, sf_dir) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents", "doc_id", "text"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return docs.select(doc_id().alias("chembl_id"), F.col("text").alias("canonical_smiles"))
 
 
@@ -71,16 +79,17 @@ def target_fps(spark, sf_dir) -> DataFrame:
     return fps.withColumnRenamed("chembl_id", TARGET)
 
 
+def doc_fps_with_lang(spark, sf_dir) -> DataFrame:
+    """The fingerprints of ``doc_fps`` with the language of the document."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").filter(~is_blank(F.col("text")))
+    return docs.select(doc_id().alias("chembl_id"), "lang", fold_bits(sm.text_tokens(F.col("text"))).alias("on"))
+
+
 def profile_fps(spark, sf_dir, fps: DataFrame | None = None) -> DataFrame:
     """Per language the bits that more than half of its documents have."""
-    langs = table(spark, sf_dir, "documents", "doc_id", "lang").select(doc_id().alias("chembl_id"), "lang")
-    sizes = langs.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
-    bits = (
-        (doc_fps(spark, sf_dir) if fps is None else fps)
-        .join(langs, "chembl_id")
-        .select("lang", F.explode_outer("on").alias("bit"))
-        .filter("bit IS NOT NULL")
-    )
+    sizes = table(spark, sf_dir, "documents", "lang").groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
+    folded = doc_fps_with_lang(spark, sf_dir) if fps is None else fps
+    bits = folded.select("lang", F.explode_outer("on").alias("bit")).filter("bit IS NOT NULL")
     common = bits.groupBy("lang", "bit").agg(F.count(F.lit(1)).alias("n")).join(sizes, "lang")
     kept = common.filter(F.col("n") * 2 > F.col("docs")).groupBy("lang").agg(
         F.sort_array(F.collect_list("bit")).alias("on")
@@ -153,7 +162,7 @@ def star(spark, sf_dir, fps: DataFrame | None = None) -> tuple[DataFrame, DataFr
 
 def second_load(spark, sf_dir, fact_filter) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The next month brings both the old targets and the language profiles."""
-    fps = stage(doc_fps(spark, sf_dir), "fps")
+    fps = stage(doc_fps_with_lang(spark, sf_dir), "fps")
     dim, fact = star(spark, sf_dir, fps)
     both = target_fps(spark, sf_dir).unionByName(profile_fps(spark, sf_dir, fps))
     return sm.load_mart(sm.score_top_k(both, fps), dictionary(spark, sf_dir), properties(spark, sf_dir), dim, fact, fact_filter)
@@ -172,7 +181,7 @@ def raw_molecules(spark, sf_dir) -> DataFrame:
 
     ``psa`` of quality-0 documents is no number, so those records are rejected.
     """
-    docs = spread(table(spark, sf_dir, "documents")).join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     n = F.col("n_chars")
     props = F.struct(
         (n / 10).cast("string").alias("mw_freebase"),
@@ -232,8 +241,15 @@ def q_char_ngrams(spark, sf_dir):
 
 
 def q_fingerprint_with(spark, sf_dir):
-    def toolkit(structure: str):
-        return {int(hashlib.md5(t.encode()).hexdigest()[:8], 16) for t in structure.split(" ") if t}
+    def toolkit(structures: pa.Array) -> pa.Array:
+        """Each distinct token of a batch is hashed once."""
+        tokens = pc.split_pattern(structures, " ")
+        words = tokens.flatten().dictionary_encode()
+        hashes = [int(hashlib.md5(t.encode()).hexdigest()[:8], 16) for t in words.dictionary.to_pylist()]
+        filled = pc.not_equal(words.dictionary, "").take(words.indices)
+        per_row = np.bincount(pc.list_parent_indices(tokens).filter(filled), minlength=len(tokens))
+        offsets = np.concatenate([[0], per_row.cumsum()]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes, pa.int64()).take(words.indices.filter(filled)))
 
     fps, _ = sm.build_fingerprints(structures(spark, sf_dir), fn=toolkit)
     return fps.select("chembl_id", F.array_join("on", ",").alias("on_bits"), "pop")
@@ -321,8 +337,6 @@ def q_pairs_by_target(spark, sf_dir):
     """Store one folder of scores per target, read back, rank."""
     folder = scratch_path(spark, "pairs")
     sm.write_pairs(sm.score_targets(target_fps(spark, sf_dir), doc_fps(spark, sf_dir)), folder)
-    from simmart.sources.tables import read_pairs
-
     return sm.top_k_similar(read_pairs(spark, folder))
 
 
@@ -336,7 +350,7 @@ def q_dim_build(spark, sf_dir):
 
 def q_fk_rejects(spark, sf_dir):
     rejects = first_load(spark, sf_dir)[2]
-    return fact_out(rejects).join(rejects.select(SOURCE, TARGET, "reject_reason", "copies"), [SOURCE, TARGET])
+    return rejects.select(SOURCE, TARGET, F.col(SCORE).cast("double").alias(SCORE), FLAG, "reject_reason", "copies")
 
 
 def q_id_union(spark, sf_dir):
@@ -373,6 +387,57 @@ def q_next_most_similar(spark, sf_dir):
     return out.withColumn(SCORE, F.col(SCORE).cast("double"))
 
 
+def q_next_most_lines(spark, sf_dir):
+    """Leads over all order lines: a supplier is a source, and one source holds every returned line."""
+    lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_extendedprice")
+    score = (F.floor("l_extendedprice") % 1_000_000).cast("double") / 1_000_000
+    fact = lines.select(
+        F.when(F.col("l_returnflag") == "R", "returned").otherwise(F.col("l_suppkey").cast("string")).alias(SOURCE),
+        F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias(TARGET),
+        score.cast("decimal(9,6)").alias(SCORE),
+    )
+    out = sm.next_most_similar(fact)
+    return out.withColumn(SCORE, F.col(SCORE).cast("double"))
+
+
+def q_month_twice(spark, sf_dir):
+    """Two months on stored tables: benchmark items, then the same and the first document of each language."""
+    dim, fact = scratch_path(spark, "dim"), scratch_path(spark, "fact")
+    fps = stage(doc_fps(spark, sf_dir), "fps")
+    docs = table(spark, sf_dir, "documents", "doc_id", "lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL")
+    firsts = docs.groupBy("lang").agg(F.min_by("text", "doc_id").alias("smiles"))
+    items = benchmark_targets(spark, sf_dir)
+    both = items.union(firsts.select(F.concat(F.lit("CHEMBLL"), "lang"), "smiles"))
+    for month in (items, both):
+        sm.score_month(spark, month, fps, dictionary(spark, sf_dir), properties(spark, sf_dir), dim, fact)
+    ids = read_table(spark, dim, DIMENSION).select("chembl_id")
+    none = F.lit(None)
+    return fact_out(read_table(spark, fact, FACT)).union(
+        ids.select("chembl_id", none.cast("string"), none.cast("double"), none.cast("boolean"))
+    )
+
+
+def q_top10_repeated_ids(spark, sf_dir):
+    """Documents of one length are copies of one id; each id counts once with its best score."""
+    docs = table(spark, sf_dir, "documents", "n_chars", "text")
+    rows = docs.select(F.concat(F.lit("N"), "n_chars").alias("chembl_id"), F.col("text").alias("canonical_smiles"))
+    return sm.score_top_k(target_fps(spark, sf_dir), sm.build_fingerprints(rows)[0])
+
+
+def q_fingerprint_split(spark, sf_dir):
+    """Stored texts of which some are too short, have a wrong character or are missing."""
+    judged = table(spark, sf_dir, "labels").select(doc_id().alias("chembl_id"), "quality", "toxic")
+    bits = sm.bits_encode(F.col("on"))
+    stored = (
+        F.when(F.col("toxic") == 1, F.translate(bits, "1", "2"))
+        .when(F.col("quality") == 0, F.substring(bits, 1, 2047))
+        .when(F.col("quality") == 1, bits)
+    )
+    rows = doc_fps(spark, sf_dir).join(judged, "chembl_id", "left").select("chembl_id", stored.alias("morgan_fingerprint"))
+    good, rejects = sm.split_fingerprints(rows)
+    return good.select("chembl_id", F.lit("good").alias("outcome")).union(rejects.select("chembl_id", "reject_reason"))
+
+
 def q_similarity_categories(spark, sf_dir):
     dim, fact = star(spark, sf_dir)
     return sm.similarity_categories(fact, dim)
@@ -436,16 +501,45 @@ def q_zero_as_null(spark, sf_dir):
 
 
 def q_ingest_staging(spark, sf_dir):
-    """The ingest job with constraint checks; its good and rejected rows per staging table."""
-    out = sm.ingest(molecules(spark, sf_dir))
+    """The ingest job with constraint checks; the good and rejected rows of every frame it returns."""
+    out = sm.ingest(molecules(spark, sf_dir), lookup_items(spark, sf_dir))
+    key = F.get_json_object("record", "$.molecule_chembl_id")
     parts = [
-        out[name].select(F.lit(name).alias("stage"), "chembl_id")
-        for name in ("dictionary", "properties", "structures", "structures_rejects")
+        frame.select(F.lit(name).alias("stage"), (key if name == "record_rejects" else F.col("chembl_id")).alias("chembl_id"))
+        for name, frame in out.items()
+        if name != "lookup_record_rejects"
     ]
-    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    lost = F.get_json_object("record", "$.chembl_id").alias("chembl_id")
+    parts.append(out["lookup_record_rejects"].select(F.lit("lookup_record_rejects").alias("stage"), lost))
+    return reduce(DataFrame.union, parts)
 
 
-def q_lookup_load(spark, sf_dir):
+def staging_tables(spark, sf_dir) -> dict[str, str]:
+    """Locations of staging tables that the ingest job has filled twice; the second load replaces the first."""
+    tables = {name: scratch_path(spark, name) for name in ("dictionary", "properties", "structures")}
+    items = stage(molecules(spark, sf_dir), "items")
+    for _ in range(2):
+        sm.ingest(items, tables=tables)
+    return tables
+
+
+def q_ingest_refresh(spark, sf_dir):
+    """Structures as the fingerprint job reads them from a staging table that was replaced."""
+    found = sm.read_structures(spark, staging_tables(spark, sf_dir)["structures"])
+    return found.select("chembl_id", F.md5("canonical_smiles").alias("structure_md5"))
+
+
+def q_row_counts(spark, sf_dir):
+    """Rows of each staging table, counted by the action that reads it."""
+    counts = []
+    for name, location in staging_tables(spark, sf_dir).items():
+        df, seen = counted(read_table(spark, location), name)
+        df.write.format("noop").mode("overwrite").save()
+        counts.append((name, seen.get["rows"]))
+    return spark.createDataFrame(counts, "stage string, n bigint")
+
+
+def lookup_items(spark, sf_dir) -> DataFrame:
     item = F.struct(
         F.concat(F.lit("CHEMBL"), "page_id").alias("chembl_id"),
         F.lit("COMPOUND").alias("entity_type"),
@@ -456,16 +550,28 @@ def q_lookup_load(spark, sf_dir):
     rows = table(spark, sf_dir, "pages", "page_id", "url").select(
         F.to_json(item).alias("item"), F.col("page_id").alias("offset"), F.lit(None).cast("string").alias("error")
     )
-    items, _ = decode_items(rows, RAW_LOOKUP)
+    return decode_items(rows, RAW_LOOKUP)[0]
+
+
+def q_lookup_load(spark, sf_dir):
+    items = lookup_items(spark, sf_dir)
     return sm.check_constraints(typed_lookups(items)["lookup"], RULES["lookup"])[0]
 
 
 def landed_pages(spark, sf_dir) -> str:
-    """Pages of ``PAGE`` records, one folder per offset."""
-    rows = raw_molecules(spark, sf_dir)
-    offset = (F.floor(F.col("offset") / PAGE) * PAGE).alias("offset")
-    total = table(spark, sf_dir, "documents", "doc_id").count()
-    pages = rows.groupBy(offset).agg(F.array_join(F.sort_array(F.collect_list("item")), ",").alias("items"))
+    """Pages of ``PAGE`` records by their place in the order of ``doc_id``, one folder per offset."""
+    rows = raw_molecules(spark, sf_dir).select("offset", "item")
+    ordered = rows.repartitionByRange("offset").sortWithinPartitions("offset")
+    # Stored, because places inside parts must not change.
+    ordered = stage(ordered.select("item", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")), "ordered")
+    parts = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    total = parts.agg(F.sum("n")).first()[0] or 0
+    # One row per part: their number is that of the shuffle's tasks.
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = parts.select("part", (before - F.col("first")).alias("shift"))
+    place = F.col("at") + F.col("shift")
+    offset = (F.floor(place / PAGE) * PAGE).alias("offset")
+    pages = ordered.join(F.broadcast(starts), "part").groupBy(offset).agg(F.array_join(F.sort_array(F.collect_list("item")), ",").alias("items"))
     folder = scratch_path(spark, "pages")
     text = F.concat(F.lit('{"molecules":['), "items", F.lit(f'],"page_meta":{{"total_count":{total}}}}}'))
     pages.select("offset", text.alias("value")).write.partitionBy("offset").text(folder)
@@ -474,13 +580,40 @@ def landed_pages(spark, sf_dir) -> str:
 
 def q_paged_json_scan(spark, sf_dir):
     fetch = sm.DirectoryFetcher(landed_pages(spark, sf_dir), "offset={offset}")
-    items, _ = sm.read_pages(spark, fetch, "molecules", limit=PAGE, delay=0, pages_per_task=4)
+    items, _ = sm.read_pages(spark, fetch, "molecules", limit=PAGE, delay=0, max_requests=16)
     return items.select(
         "molecule_chembl_id", "molecule_type", F.col("molecule_properties.alogp").alias("alogp"),
         F.md5("molecule_structures.canonical_smiles").alias("structure_md5"),
     )
 
 
+class Unreliable(sm.DirectoryFetcher):
+    """Of three pages the second fails once in each task and the third always; at most 40 items come at once."""
+
+    def __call__(self, offset: int, limit: int) -> dict:
+        seen = self.__dict__.setdefault("seen", set())
+        page = offset // PAGE * PAGE
+        kind = page // PAGE % 3
+        if kind == 2 or (kind == 1 and page not in seen):
+            seen.add(page)
+            raise OSError(f"page {page}")
+        whole = super().__call__(page, PAGE)
+        return whole | {"molecules": whole["molecules"][offset - page :][: min(limit, 40)]}
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def q_paged_retry_skip(spark, sf_dir):
+    """The same pages from a server with failures and short pages: items of the good ones, one row per lost page."""
+    fetch = Unreliable(landed_pages(spark, sf_dir), "offset={offset}")
+    items, lost = sm.read_pages(spark, fetch, "molecules", limit=PAGE, delay=0, on_page_error="skip", max_requests=16)
+    none = F.lit(None)
+    return items.select("molecule_chembl_id", none.cast("bigint").alias("offset"), none.cast("string").alias("error")).union(
+        lost.select(none.cast("string"), "offset", "error")
+    )
+
+
 def q_landed_pages(spark, sf_dir):
     items = sm.read_landed_pages(spark, landed_pages(spark, sf_dir), "molecules", one_page_per_line=True)
     return items.select(
@@ -492,47 +625,78 @@ def q_landed_pages(spark, sf_dir):
 def target_lines(spark, sf_dir) -> DataFrame:
     """A target list with all three kinds of names: users have the prefix, assistants do not, systems have none."""
     name = F.concat("conv_id", F.lit("T"), "turn")
-    flat = F.translate("text", '\n\r"\\', "    ")
     return table(spark, sf_dir, "conversations").select(
         F.when(F.col("role") == "user", F.concat(F.lit("CHEMBL"), name))
         .when(F.col("role") == "assistant", F.concat(F.lit("TMP"), name))
         .alias("Molecule Name"),
-        flat.alias("SMILES"),
+        F.col("text").alias("SMILES"),
     )
 
 
+def write_csv(df: DataFrame, folder: str, *by: str) -> None:
+    """Whole texts with their quotes, line breaks and outer blanks."""
+    writer = df.write.option("header", True).option("quoteAll", True).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    (writer.partitionBy(*by) if by else writer).csv(folder)
+
+
 def q_target_prefix_filter(spark, sf_dir):
     folder = scratch_path(spark, "targets")
-    target_lines(spark, sf_dir).write.option("header", True).option("quoteAll", False).csv(folder)
-    good, _ = sm.read_targets(spark, folder)
+    write_csv(target_lines(spark, sf_dir), folder)
+    good, _ = sm.read_targets(spark, folder, multi_line=True)
     return good.select(TARGET, F.md5("smiles").alias("smiles_md5"))
 
 
 def q_csv_targets(spark, sf_dir):
+    """Files with two headers, and lines with too many and too few fields: good rows and the number of each reject."""
     folder = scratch_path(spark, "targets")
-    target_lines(spark, sf_dir).write.option("header", True).csv(folder)
-    _, rejects = sm.read_targets(spark, folder)
-    return rejects.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+    rows = target_lines(spark, sf_dir).select(
+        F.coalesce("Molecule Name", F.lit("")).alias("name"),
+        F.concat(F.lit('"'), F.replace(F.coalesce("SMILES", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')).alias("structure"),
+        (F.length(F.coalesce("SMILES", F.lit(""))) % 5).alias("kind"),
+    )
+    for header, first, second in (("Molecule Name,SMILES", "name", "structure"), ("smiles,MOLECULE NAME", "structure", "name")):
+        line = F.when(F.col("kind") == 0, F.concat_ws(",", first, second, F.lit('x,"y,z"'))).when(
+            F.col("kind") == 1, F.col(first)
+        ).otherwise(F.concat_ws(",", first, second))
+
+        def under_header(batches: Iterator[pa.RecordBatch], header=header) -> Iterator[pa.RecordBatch]:
+            yield pa.RecordBatch.from_pydict({"value": [header]})
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"value": batch.column(0)})
+
+        named = F.col("name") != ""
+        part = rows.filter(named if first == "name" else ~named | (F.col("kind") == 2))
+        part.select(line.alias("value")).mapInArrow(under_header, "value string").write.mode("append").text(folder)
+    good, rejects = sm.read_targets(spark, folder, multi_line=True)
+    none = F.lit(None).cast("string")
+    out = good.select(F.lit("good").alias("outcome"), TARGET, F.md5("smiles").alias("smiles_md5")).union(
+        rejects.select("reject_reason", none, none)
+    )
+    return out.groupBy(*out.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_file_stream_once(spark, sf_dir):
-    """Three monthly files arrive, each is read once and kept with its month."""
+    """Files of three months and an empty one arrive; a second run on the same checkpoint finds nothing new."""
     inbox, kept, done = (scratch_path(spark, n) for n in ("inbox", "kept", "offsets"))
     stamp = F.format_string("data_%02d_2024", (F.col("item_id") % 3 + 1).cast("int"))
     lines = table(spark, sf_dir, "benchmark").select(
         stamp.alias("month"), F.concat(F.lit("CHEMBLB"), "item_id").alias("molecule name"),
-        F.translate("text", '\n\r"\\', "    ").alias("smiles"),
+        F.col("text").alias("smiles"),
     )
-    lines.hint("rebalance", "month").write.partitionBy("month").option("header", True).csv(inbox)
+    write_csv(lines.hint("rebalance", "month"), inbox, "month")
+    lines.select("smiles").limit(0).coalesce(1).write.text(f"{inbox}/month=data_04_2024")
 
     def keep(targets: DataFrame, rejects: DataFrame, month) -> None:
-        targets.withColumn("month", F.lit(month).cast("date")).write.mode("append").parquet(kept)
-
-    query = sm.stream_targets(spark, inbox, keep, done, pattern="*.csv")
-    query.awaitTermination()
-    # A replayed file would append its rows again.
-    rows = spark.read.parquet(kept).distinct()
-    return rows.select(TARGET, F.md5("smiles").alias("smiles_md5"), month_stamp(F.col("month")).alias("month"))
+        none = F.lit(None).cast("string")
+        rows = targets.select(TARGET, "smiles", none.alias("reject_reason")).union(rejects.select(none, none, "reject_reason"))
+        rows.withColumn("month", F.lit(month).cast("date")).write.mode("append").parquet(kept)
+
+    for _ in range(2):
+        sm.stream_targets(spark, inbox, keep, done, pattern="part-*", multi_line=True).awaitTermination()
+    return spark.read.parquet(kept).select(
+        TARGET, F.md5("smiles").alias("smiles_md5"), "reject_reason", month_stamp(F.col("month")).alias("month")
+    )
 
 
 def q_month_stamp(spark, sf_dir):
@@ -653,16 +817,14 @@ SELECT chembl_id AS molecule_chembl_id, lang AS molecule_type,
   CASE WHEN quality IS NULL THEN NULL WHEN n % 3 = 0 THEN '0.00' WHEN n % 3 = 1 THEN '' ELSE doc_id || '.125' END AS alogp,
   CASE WHEN toxic = 0 THEN md5(text) END AS structure_md5 FROM raw"""
 
-FLAT = "translate({0}, chr(10) || chr(13) || chr(34) || chr(92), '    ')"
-
-SHORT = "CAST('0x' || substr(md5({0}), 1, 12) AS BIGINT)"
+SHORT = "CAST('0x' || substr(md5({0}), 1, 15) AS BIGINT)"
 NEIGHBOUR = f"""n0 AS (SELECT l_orderkey AS mol, l_linenumber AS node,
     {SHORT.format("count(*) || '/' || count_if(l_returnflag = 'R') || '/' || count_if(l_linestatus = 'O')")} AS h FROM lineitem GROUP BY 1, 2)"""
 
 
 def round_sql(i: int) -> str:
     update = SHORT.format("h || ',' || coalesce(n, 0) || ',' || coalesce(high, 0) || ',' || coalesce(low, 0)")
-    return f"""m{i} AS (SELECT mol, a, count(*) AS n, sum(term >> 24) AS high, sum(term & 16777215) AS low FROM (
+    return f"""m{i} AS (SELECT mol, a, count(*) AS n, sum(term >> 30) AS high, sum(term & 1073741823) AS low FROM (
     SELECT mol, a, {SHORT.format("kind || ':' || h")} AS term FROM (
       SELECT mol, node - 1 AS a, 'next' AS kind, h FROM n{i} UNION ALL SELECT mol, node + 1, 'prev', h FROM n{i}))
     GROUP BY 1, 2),
@@ -750,6 +912,30 @@ FROM fact JOIN dim a ON a.chembl_id = source_chembl_id JOIN dim b ON b.chembl_id
 SELECT source_chembl_id, target_chembl_id, CAST({SCORE} AS DOUBLE) AS {SCORE},
   lead(target_chembl_id, 1) OVER w AS next_most_similar, lead(target_chembl_id, 2) OVER w AS second_most_similar
 FROM fact WINDOW w AS (PARTITION BY source_chembl_id ORDER BY {SCORE} DESC NULLS FIRST, target_chembl_id)""",
+    "next_most_lines": f"""WITH fact AS (
+  SELECT CASE WHEN l_returnflag = 'R' THEN 'returned' ELSE CAST(l_suppkey AS VARCHAR) END AS source_chembl_id,
+    l_orderkey || '-' || l_linenumber AS target_chembl_id,
+    CAST(CAST(CAST(floor(l_extendedprice) AS BIGINT) % 1000000 AS DOUBLE) / 1000000 AS DECIMAL(9,6)) AS {SCORE} FROM lineitem)
+SELECT source_chembl_id, target_chembl_id, CAST({SCORE} AS DOUBLE) AS {SCORE},
+  lead(target_chembl_id, 1) OVER w AS next_most_similar, lead(target_chembl_id, 2) OVER w AS second_most_similar
+FROM fact WINDOW w AS (PARTITION BY source_chembl_id ORDER BY {SCORE} DESC, target_chembl_id)""",
+    "month_twice": f"""WITH {FIRST},
+first_bits AS (SELECT 'CHEMBLL' || d.lang AS id, b.bit FROM documents d JOIN (
+    SELECT min(doc_id) AS doc_id FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY lang) f ON f.doc_id = d.doc_id
+  JOIN doc_bits b ON b.id = 'CHEMBL' || d.doc_id),
+both_bits AS (SELECT * FROM bench_bits UNION ALL SELECT * FROM first_bits),
+{pairs_sql('doc_bits', 'both_bits', 'pairs2')}, {top_sql('pairs2', 'top2')},
+loaded AS (SELECT * FROM top2 WHERE source_chembl_id IN (SELECT chembl_id FROM members)
+  AND target_chembl_id IN (SELECT chembl_id FROM members))
+SELECT source_chembl_id, target_chembl_id, CAST(CAST(score AS DECIMAL(9,6)) AS DOUBLE) AS {SCORE}, {FLAG} FROM loaded
+UNION ALL SELECT chembl_id, NULL, NULL, NULL FROM members
+  WHERE chembl_id IN (SELECT source_chembl_id FROM top2 UNION SELECT target_chembl_id FROM top2)""",
+    "top10_repeated_ids": f"""WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits', 'every')},
+pairs AS (SELECT 'N' || n_chars AS source_chembl_id, target_chembl_id, max(score) AS score
+  FROM every JOIN documents ON source_chembl_id = 'CHEMBL' || doc_id GROUP BY 1, 2), {top_sql()} {TOP_OUT}""",
+    "fingerprint_split": f"""WITH {BITS}
+SELECT id AS chembl_id, CASE WHEN quality IS NULL THEN 'null_fingerprint' WHEN toxic = 1 OR quality = 0 THEN 'malformed' ELSE 'good' END AS outcome
+FROM doc_pop LEFT JOIN labels ON id = 'CHEMBL' || doc_id""",
     "similarity_categories": f"""WITH {FIRST}
 SELECT CASE WHEN g = 7 THEN 'TOTAL' ELSE source_chembl_id END AS source_chembl_id,
   CASE WHEN g = 7 THEN 'TOTAL' ELSE CAST(aromatic_rings AS VARCHAR) END AS aromatic_rings,
@@ -787,18 +973,38 @@ FROM good WHERE quality IS NOT NULL""",
     "ingest_staging": f"""WITH {RAW}
 SELECT 'dictionary' AS stage, chembl_id FROM good
 UNION ALL SELECT 'properties', chembl_id FROM good WHERE quality IS NOT NULL
-UNION ALL SELECT CASE WHEN length(text) > 4000 THEN 'structures_rejects' ELSE 'structures' END, chembl_id FROM good WHERE toxic = 0""",
+UNION ALL SELECT CASE WHEN length(text) > 4000 THEN 'structures_rejects' ELSE 'structures' END, chembl_id FROM good WHERE toxic = 0
+UNION ALL SELECT 'record_rejects', chembl_id FROM raw WHERE quality = 0
+UNION ALL SELECT 'lookup', 'CHEMBL' || page_id FROM pages""",
+    "ingest_refresh": f"WITH {RAW} SELECT chembl_id, md5(text) AS structure_md5 FROM good WHERE toxic = 0 AND length(text) <= 4000",
+    "row_counts": f"""WITH {RAW}
+SELECT 'dictionary' AS stage, count(*) AS n FROM good UNION ALL SELECT 'properties', count(*) FROM good WHERE quality IS NOT NULL
+UNION ALL SELECT 'structures', count(*) FROM good WHERE toxic = 0 AND length(text) <= 4000""",
     "lookup_load": """SELECT 'CHEMBL' || page_id AS chembl_id, 'COMPOUND' AS entity_type,
   CASE WHEN url LIKE 'https%' THEN 'ACTIVE' ELSE 'OBS' END AS status, CAST(length(url) AS INT) AS last_active,
   url AS resource_url FROM pages""",
     "paged_json_scan": SCAN_SQL,
     "landed_pages": SCAN_SQL,
-    "target_prefix_filter": f"""SELECT DISTINCT 'CHEMBL' || conv_id || 'T' || turn AS target_chembl_id,
-  md5({FLAT.format('text')}) AS smiles_md5 FROM conversations WHERE role = 'user'""",
-    "csv_targets": """SELECT CASE role WHEN 'assistant' THEN 'name_prefix' ELSE 'missing_name' END AS reject_reason, count(*) AS n
-FROM conversations WHERE role <> 'user' GROUP BY 1""",
-    "file_stream_once": f"""SELECT 'CHEMBLB' || item_id AS target_chembl_id, md5({FLAT.format('text')}) AS smiles_md5,
-  '0' || (item_id % 3 + 1) || '_2024' AS month FROM benchmark""",
+    "paged_retry_skip": f"""WITH p AS (
+  SELECT 'CHEMBL' || doc_id AS id, (row_number() OVER (ORDER BY doc_id) - 1) // {PAGE} AS page FROM documents)
+SELECT id AS molecule_chembl_id, CAST(NULL AS BIGINT) AS "offset", CAST(NULL AS VARCHAR) AS error FROM p WHERE page % 3 <> 2
+UNION ALL SELECT DISTINCT NULL, page * {PAGE}, 'OSError: page ' || page * {PAGE} FROM p WHERE page % 3 = 2""",
+    "target_prefix_filter": """SELECT DISTINCT 'CHEMBL' || conv_id || 'T' || turn AS target_chembl_id,
+  md5(text) AS smiles_md5 FROM conversations WHERE role = 'user'""",
+    "csv_targets": """WITH t AS (
+  SELECT CASE role WHEN 'user' THEN 'CHEMBL' || conv_id || 'T' || turn WHEN 'assistant' THEN 'TMP' || conv_id || 'T' || turn END AS name,
+    coalesce(text, '') AS s, length(coalesce(text, '')) % 5 AS kind FROM conversations),
+lines AS (
+  SELECT name, kind, CASE WHEN kind <> 1 THEN s END AS s FROM t WHERE name IS NOT NULL
+  UNION ALL SELECT CASE WHEN kind <> 1 THEN name END, kind, s FROM t WHERE name IS NULL OR kind = 2),
+judged AS (SELECT *, CASE WHEN kind = 0 THEN 'too_many_fields' WHEN name IS NULL THEN 'missing_name'
+  WHEN name NOT LIKE 'CHEMBL%' THEN 'name_prefix' ELSE 'good' END AS outcome FROM lines)
+SELECT 'good' AS outcome, name AS target_chembl_id, md5(s) AS smiles_md5, CAST(1 AS BIGINT) AS n
+FROM (SELECT DISTINCT name, s FROM judged WHERE outcome = 'good')
+UNION ALL SELECT outcome, NULL, NULL, count(*) FROM judged WHERE outcome <> 'good' GROUP BY 1""",
+    "file_stream_once": """SELECT 'CHEMBLB' || item_id AS target_chembl_id, md5(text) AS smiles_md5,
+  CAST(NULL AS VARCHAR) AS reject_reason, '0' || (item_id % 3 + 1) || '_2024' AS month FROM benchmark
+UNION ALL SELECT NULL, NULL, 'empty_file', NULL""",
     "month_stamp": """SELECT strftime(o_orderdate, '%m_%Y') AS stamp, count(*) AS n,
   strftime(date_trunc('month', min(o_orderdate)), '%Y-%m-%d') AS first_day FROM orders GROUP BY 1""",
     "neighborhood_features": f"""WITH {NEIGHBOUR}, {round_sql(0)}, {round_sql(1)},
