@@ -180,6 +180,15 @@ def test_short_line_without_structure(spark, folder):
     assert rejects.count() == 0
 
 
+def test_long_lines_with_quotes(spark, folder):
+    long = 'a""b,' * 50_000
+    with open(f"{folder}/t.csv", "w") as f:
+        f.write(f'molecule name,smiles\nCHEMBL1,"{long}"\nCHEMBL2,"{long}",x\n')
+    good, rejects = sm.read_targets(spark, f"{folder}/t.csv")
+    assert [(r.target_chembl_id, len(r.smiles)) for r in good.collect()] == [("CHEMBL1", 200_000)]
+    assert [r.reject_reason for r in rejects.collect()] == ["too_many_fields"]
+
+
 def test_line_breaks_inside_quotes(spark, folder):
     with open(f"{folder}/t.csv", "w") as f:
         f.write('molecule name,smiles\nCHEMBL1,"C\nC"\nCHEMBL2,"C\n,C",x\n')
