@@ -15,8 +15,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Bound of the sample the model is fitted on: rows of each language.
+# Bound of the sample the model is fitted on: rows of each language, counted in so many tasks.
 TRAIN_ROWS = 2000
+TRAIN_PARTS = 8
+# Rows are chosen by a hash of so many values.
+PLACES = 1 << 40
 FEATURES = 1 << 16
 SWITCH = 12.0
 # A language takes words of a script when at least this share of its letters is in it.
@@ -176,28 +179,34 @@ def _label(model: Model, switch: float, spans: bool):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         limit = max(1 << 20, PIECE_BYTES // max(4, len(model.langs)))
         for batch in batches:
-            texts = pa.compute.fill_null(batch.cast(pa.binary()), b"")
-            sizes = np.cumsum(pa.compute.binary_length(texts).to_numpy())
-            out, first = [], 0
-            while first < len(texts):
-                last = max(first + 1, int(np.searchsorted(sizes, (sizes[first - 1] if first else 0) + limit)))
-                out += _predict(texts.slice(first, last - first).to_pylist(), model, switch, spans)
-                first = last
-            yield pa.array(out, kind)
+            yield pa.array([f for texts in _pieces(batch, limit) for f in _predict(texts, model, switch, spans)], kind)
 
     return run
 
 
+def _pieces(texts: pa.Array | pa.ChunkedArray, limit: int) -> Iterator[list[bytes]]:
+    """Runs of whole texts of about ``limit`` bytes."""
+    texts = pa.compute.fill_null(texts.cast(pa.binary()), b"")
+    sizes = np.cumsum(pa.compute.binary_length(texts).to_numpy(), dtype=np.int64)
+    first = 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(sizes, (sizes[first - 1] if first else 0) + limit)))
+        yield texts.slice(first, last - first).to_pylist()
+        first = last
+
+
 def _count(table: pa.Table) -> pa.Table:
-    """Trigram and script counts of the sample of one language."""
-    words = Words(pa.compute.fill_null(table["text"].cast(pa.binary()), b"").to_pylist())
-    grams, _ = words.features(0, len(words.starts))
-    counts = np.bincount(grams, minlength=FEATURES).astype(np.float32)
-    scripts = np.bincount(words.scripts(), weights=words.letters, minlength=len(SCRIPTS))
+    """Trigram and script counts of a part of the sample of one language."""
+    counts, scripts = np.zeros(FEATURES), np.zeros(len(SCRIPTS))
+    for texts in _pieces(table["text"], PIECE_BYTES // 8):
+        words = Words(texts)
+        grams, _ = words.features(0, len(words.starts))
+        counts += np.bincount(grams, minlength=FEATURES)
+        scripts += np.bincount(words.scripts(), weights=words.letters, minlength=len(SCRIPTS))
     return pa.table(
         {
             "lang": pa.array([table["lang"][0].as_py()], pa.string()),
-            "grams": pa.array([counts.tobytes()], pa.binary()),
+            "grams": pa.array([counts.astype(np.float32).tobytes()], pa.binary()),
             "scripts": pa.array([scripts.tolist()], pa.list_(pa.float64())),
         }
     )
@@ -206,25 +215,32 @@ def _count(table: pa.Table) -> pa.Table:
 def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int = TRAIN_ROWS) -> Model:
     """A model from about ``rows`` rows of each language, chosen by a hash of the id.
 
-    Rows without text or language are not used. The counts of one language are 256 KB; only they reach the driver.
+    Rows without text or language are not used. The sample of a language is counted in ``TRAIN_PARTS`` tasks, each of
+    which hands 256 KB to the driver.
     """
     known = labelled.select(
         F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
-        F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(1_000_000)).alias("place"),
+        F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(PLACES)).alias("place"),
     ).filter("lang IS NOT NULL AND text IS NOT NULL")
     sizes = known.select("lang").groupBy("lang").count()
-    share = F.lit(rows * 1_000_000.0) / F.col("count")
+    share = F.lit(float(rows * PLACES)) / F.col("count")
     sample = known.join(F.broadcast(sizes.select("lang", share.alias("share"))), "lang").filter("place < share")
-    counted = sample.select("lang", "text").groupBy("lang").applyInArrow(_count, "lang string, grams binary, scripts array<double>")
-    found = sorted((r for r in counted.collect()), key=lambda r: r["lang"])
-    if not found:
+    parts = sample.select("lang", "text", (F.col("place") % TRAIN_PARTS).alias("part")).groupBy("lang", "part")
+    counted = parts.applyInArrow(_count, "lang string, grams binary, scripts array<double>")
+    sums: dict[str, list[np.ndarray]] = {}
+    for r in counted.toLocalIterator():
+        own = sums.setdefault(r["lang"], [np.zeros(FEATURES), np.zeros(len(SCRIPTS))])
+        own[0] += np.frombuffer(r["grams"], np.float32)
+        own[1] += r["scripts"]
+    langs = sorted(sums)
+    if not langs:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool))
-    grams = np.array([np.frombuffer(r["grams"], np.float32) for r in found], np.float64) + 0.5
+    grams = np.array([sums[name][0] for name in langs]) + 0.5
     logs = np.log(grams / grams.sum(axis=1, keepdims=True))
-    letters = np.array([r["scripts"] for r in found])
+    letters = np.array([sums[name][1] for name in langs])
     return Model(
-        [r["lang"] for r in found],
+        langs,
         np.ascontiguousarray((logs - logs.max(axis=0)).T.astype(np.float32)),
         (letters >= SCRIPT_SHARE * letters.sum(axis=1, keepdims=True)).T,
     )
