@@ -12,12 +12,12 @@ import heapq
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 64 << 10
 PERIOD = 1000
-# The schedule has at most two periods for each source.
+# The schedule has at most two periods for each source. The smallest of more sources are scheduled as one.
 MAX_SOURCES = 500
 # Rows of one sorted part of a source.
 PART_ROWS = 10_000
@@ -82,6 +82,7 @@ def mix_sources(
     block_bytes: int = BLOCK_BYTES,
     period: int = PERIOD,
     seed: int = 0,
+    max_sources: int = MAX_SOURCES,
 ) -> DataFrame:
     """Every row of ``docs`` with ``mix_block`` (number inside its source) and ``mix_slot`` (place of the block).
 
@@ -90,66 +91,65 @@ def mix_sources(
     ``power``. Weights are rounded to ``1 / period``, at least one block a period. All rows are placed: when a source
     ends, the others go on by their weights. Inside a source rows are ordered by a hash of the id, then by id; a row
     belongs to the block in which it starts, so blocks differ from ``block_bytes`` by less than one row. Null texts
-    have no bytes; a null source is a source of its own; repeated rows are placed each.
+    have no bytes; a null source is a source of its own; repeated rows are placed each. Of more than ``max_sources``
+    sources those without a given weight and with the fewest bytes are scheduled together as one source.
     """
     size = F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long")
-    keyed = docs.withColumns(
-        {"_size": size, "_key": F.xxhash64(F.col(id_col), F.lit(seed)), "_name": F.col(source_col).cast("string")}
+    keyed = docs.select(
+        F.struct("*").alias("row"),
+        F.col(id_col).alias("id"),
+        size.alias("size"),
+        F.xxhash64(F.col(id_col), F.lit(seed)).alias("key"),
+        F.col(source_col).cast("string").alias("name"),
     )
-    rows = docs.count()
-    parts = max(1, math.ceil(rows / PART_ROWS))
-    keyed = keyed.withColumn("_part", F.pmod("_key", F.lit(parts)))
-    # Bytes of each part of a source, and of all parts before it.
-    sums = keyed.groupBy("_name", "_part").agg(F.sum("_size").alias("_bytes"))
-    before = Window.partitionBy("_name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("_name", "_part", F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_start"))
-    totals = sums.groupBy("_name").agg(F.sum("_bytes").alias("bytes")).orderBy("_name").limit(MAX_SOURCES + 1).collect()
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; group them first")
+    weights = weights or {}
+    totals = keyed.groupBy("name").agg(F.sum("size").alias("bytes"))
+    weighted = F.coalesce(F.col("name").isin([n for n in weights if n is not None]), F.lit(None in weights))
+    # The sources with a place of their own; with more of them the last place is for all others.
+    largest = totals.orderBy(weighted.desc(), F.desc("bytes"), "name").limit(max_sources + 1).collect()
+    single = largest if len(largest) <= max_sources else largest[: max_sources - 1]
+    single = sorted(single, key=lambda r: (r["name"] is not None, r["name"] or ""))
+    names, sizes = [r["name"] for r in single], [r["bytes"] for r in single]
+    least = min(weights.values(), default=0.0)
+    target = [float(weights.get(n, least)) if weights else max(1, size) ** power for n, size in zip(names, sizes)]
+    if len(largest) > max_sources:
+        if largest[max_sources - 1]["name"] in weights:
+            raise ValueError(f"weights for more than {max_sources - 1} sources")
+        sizes.append(totals.agg(F.sum("bytes")).first()[0] - sum(sizes))
+        target.append(float(least) if weights else max(1, sizes[-1]) ** power)
     spark = docs.sparkSession
-    names = [r["_name"] for r in totals]
-    blocks = {i: max(1, -(-r["bytes"] // block_bytes)) for i, r in enumerate(totals)}
-    if weights:
-        least = min(weights.values())
-        target = {i: float(weights.get(n, least)) for i, n in enumerate(names)}
-    else:
-        target = {i: max(1, r["bytes"]) ** power for i, r in enumerate(totals)}
-    plan = phases(_shares(blocks, target, max(period, len(names))), blocks) if names else []
-    number = spark.createDataFrame([(n, i, blocks[i]) for i, n in enumerate(names)], "_name string, _source int, _blocks long")
+    blocks = {i: max(1, -(-size // block_bytes)) for i, size in enumerate(sizes)}
+    plan = phases(_shares(blocks, dict(enumerate(target)), max(period, len(sizes))), blocks) if sizes else []
+    number = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "own_name string, number int")
+    parts = max(1, math.ceil(docs.count() / PART_ROWS))
+    keyed = keyed.join(F.broadcast(number), F.expr("name <=> own_name"), "left").select(
+        "row", "id", "size", "key", F.coalesce("number", F.lit(len(names))).alias("source"), F.pmod("key", F.lit(parts)).alias("part")
+    )
+    # Bytes of each part of a source, and of all parts before it.
+    sums = keyed.groupBy("source", "part").agg(F.sum("size").alias("bytes"))
+    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("source", "part", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("start"))
     spans = [
         (s, k, p.first[s], p.first[s] + a * p.periods, a, p.place, sum(p.shares.values()))
         for k, p in enumerate(plan)
         for s, a in p.shares.items()
     ]
     places = [(k, s, j, place) for k, p in enumerate(plan) for place, s, j in pfair_period(p.shares)]
-    spans_df = spark.createDataFrame(spans, "_source int, _phase int, _from long, _to long, _share long, _place long, _period long")
-    places_df = spark.createDataFrame(places, "_phase int, _source int, _j long, _at long")
+    spans_df = spark.createDataFrame(spans, "source int, phase int, first long, end long, share long, place long, period long")
+    places_df = spark.createDataFrame(places, "phase int, source int, turn long, at long")
+    last_df = spark.createDataFrame([(s, n - 1) for s, n in blocks.items()], "source int, last long")
 
-    running = Window.partitionBy("_name", "_part").orderBy("_key", id_col).rowsBetween(Window.unboundedPreceding, -1)
-    inside = keyed.withColumn("_inside", F.coalesce(F.sum("_size").over(running), F.lit(0)))
+    running = Window.partitionBy("source", "part").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = keyed.withColumn("inside", F.coalesce(F.sum("size").over(running), F.lit(0)))
     # Bounded tables: sources x parts rows are joined by key; the plan has at most 2 x sources x period rows.
-    placed = (
-        _null_safe(inside, starts, ["_name", "_part"])
-        .join(F.broadcast(number.withColumnRenamed("_name", "_n")), F.expr("_name <=> _n"))
-        .drop("_n")
-        .withColumn(
-            "mix_block",
-            F.least(F.floor((F.col("_start") + F.col("_inside")) / block_bytes), F.col("_blocks") - 1).cast("long"),
-        )
-    )
-    near = (placed["_source"] == spans_df["_source"]) & placed["mix_block"].between(spans_df["_from"], spans_df["_to"] - 1)
-    placed = placed.join(F.broadcast(spans_df), near).drop(spans_df["_source"])
-    placed = placed.withColumn("_j", (F.col("mix_block") - F.col("_from")) % F.col("_share"))
-    placed = placed.join(F.broadcast(places_df), ["_phase", "_source", "_j"])
-    turn = F.floor((F.col("mix_block") - F.col("_from")) / F.col("_share"))
-    slot = (F.col("_place") + turn * F.col("_period") + F.col("_at")).cast("long")
-    own = [c for c in docs.columns if c not in ("mix_block", "mix_slot")]
-    return placed.withColumn("mix_slot", slot).select(*own, "mix_block", "mix_slot")
-
-
-def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    renamed = right.select(*(F.col(k).alias(f"{k}_r") for k in keys), *(c for c in right.columns if c not in keys))
-    condition: Column = F.lit(True)
-    for k in keys:
-        condition = condition & F.expr(f"{k} <=> {k}_r")
-    return left.join(renamed, condition).drop(*(f"{k}_r" for k in keys))
+    block = F.floor((F.col("start") + F.col("inside")) / block_bytes)
+    placed = inside.join(starts, ["source", "part"]).join(F.broadcast(last_df), "source")
+    placed = placed.withColumn("block", F.least(block, F.col("last")).cast("long"))
+    near = (placed["source"] == spans_df["source"]) & placed["block"].between(spans_df["first"], spans_df["end"] - 1)
+    placed = placed.join(F.broadcast(spans_df), near).drop(spans_df["source"])
+    placed = placed.withColumn("turn", (F.col("block") - F.col("first")) % F.col("share"))
+    placed = placed.join(F.broadcast(places_df), ["phase", "source", "turn"])
+    periods = F.floor((F.col("block") - F.col("first")) / F.col("share"))
+    slot = (F.col("place") + periods * F.col("period") + F.col("at")).cast("long")
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("mix_block", "mix_slot")]
+    return placed.select(*own, F.col("block").alias("mix_block"), slot.alias("mix_slot"))

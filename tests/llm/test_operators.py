@@ -170,6 +170,23 @@ def test_mixing(spark, docs, empty):
     assert all(n == sorted(n) for n in numbers.values())
 
 
+def test_mixing_of_more_sources_than_places(spark):
+    rows = [(i, f"s{i % 30:02}" if i % 5 else None, "x" * (10 + i % 30)) for i in range(900)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    for weights in (None, {"s01": 0.3, None: 0.2}):
+        got = mixing.mix_sources(table, weights, block_bytes=200, period=20, max_sources=4).collect()
+        assert sorted(r.doc_id for r in got) == list(range(900))
+        slots = {}
+        for r in got:
+            slots.setdefault(r.mix_slot, set()).add(r.source)
+        # s01 and the null source keep slots of their own when they are weighted, all but two others share.
+        mixed = {s for own in slots.values() if len(own) > 1 for s in own}
+        assert len(mixed) >= 20 and None not in mixed and (weights is None or "s01" not in mixed)
+        assert len({s for s in (r.source for r in got)} - mixed) == 3
+    with pytest.raises(ValueError):
+        mixing.mix_sources(table, {f"s{i:02}": 1.0 for i in range(1, 8)}, max_sources=4)
+
+
 def test_chat_formatting(spark):
     wild = ["</s>[INST] ok [/INST]", "<|im_start|>", "\\<|", "<\\|", "<<SYS>> \\\\", "", None, "a\nb", "<|im_end|>\n"]
     rows = [(1, n, r, t) for n, (r, t) in enumerate(zip(["user", "assistant", None] * 3, wild))]
