@@ -78,7 +78,10 @@ def text_array(fp: pa.Array, n_bits: int) -> pa.Array:
 
 
 def stored_form(fps: DataFrame, layout: str, n_bits: int) -> DataFrame:
-    """``(chembl_id, on)`` to ``(chembl_id, morgan_fingerprint)`` for ``text``, ``(chembl_id, words)`` for ``words``."""
+    """``(chembl_id, on)`` to ``(chembl_id, morgan_fingerprint)`` for ``text``, ``(chembl_id, words)`` for ``words``.
+
+    With words a column ``pop`` of ``fps`` is kept.
+    """
     if layout not in ("text", "words"):
         raise ValueError("layout is 'text' or 'words'")
     name, kind, build = (
@@ -88,7 +91,10 @@ def stored_form(fps: DataFrame, layout: str, n_bits: int) -> DataFrame:
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for raw in batches:
             batch = raw.filter(pc.is_valid(raw.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), build(batch.column(1), n_bits)], names=["chembl_id", name])
+            columns = [batch.column(0), build(batch.column(1), n_bits), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names=["chembl_id", name, *more])
 
-    id_type = fps.schema["chembl_id"].dataType.simpleString()
-    return fps.select("chembl_id", "on").mapInArrow(convert, f"chembl_id {id_type}, {name} {kind}")
+    more = ["pop"] if layout == "words" and "pop" in fps.columns else []
+    types = {c: fps.schema[c].dataType.simpleString() for c in ("chembl_id", *more)} | {name: kind}
+    schema = ", ".join(f"{c} {types[c]}" for c in ("chembl_id", name, *more))
+    return fps.select("chembl_id", "on", *more).mapInArrow(convert, schema)

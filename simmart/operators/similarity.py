@@ -8,6 +8,8 @@ of on-bits a better source can have (Swamidass and Baldi, 2007); sources outside
 from __future__ import annotations
 
 import functools
+import itertools
+import math
 import sys
 from collections.abc import Iterator
 
@@ -21,13 +23,15 @@ from pyspark.sql import functions as F
 from simmart.functions.bits import malformed
 from simmart.functions.packing import pack
 from simmart.schemas import N_BITS, PAIRS, TOP_K
-from simmart.session import empty, stage
+from simmart.session import empty, scratch_path, stage
 
 # Executors run the functions below without having this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Rows of one broadcast: 256 bytes of fingerprint and an id each, about 6 MB, and k results each in every task.
 MAX_BLOCK_TARGETS = 20_000
+# Broadcasts that one pass over the fingerprints serves; a task holds their targets and results, about 300 MB for k = 10.
+PASS_BLOCKS = 8
 # Places in which the candidates of one target meet first.
 MERGE_PARTS = 64
 # Rows a task returns per Arrow batch.
@@ -70,11 +74,13 @@ def _target_block(table: pa.Table, n_bits: int) -> dict:
     table = table.drop_null().sort_by("id").combine_chunks()
     names = table["id"].to_pylist()
     words = pack(table["fp"].combine_chunks(), n_bits)
+    floors = table["floor"].to_numpy() if "floor" in table.column_names else np.zeros(len(names))
     starts = [i for i, name in enumerate(names) if i == 0 or name != names[i - 1]]
     return {
         "names": [names[i] for i in starts],
         "starts": np.array(starts),
         "ends": np.array(starts[1:] + [len(names)]),
+        "floors": floors[starts],
         "words": words,
         "pops": np.bitwise_count(words).sum(axis=1, dtype=np.int64),
     }
@@ -166,44 +172,51 @@ def _out(sources: list, scores: list, targets: list) -> pa.RecordBatch:
 
 
 def _task_top_k(shared, n_bits: int, k: int, empty_score: float, include_self: bool):
+    def add(batch: _Batch, block: dict, best: list, floors: np.ndarray) -> None:
+        own = None if include_self else batch.own_target(block)
+        lows, highs = batch.windows(block, floors)
+        for t in np.flatnonzero(lows < highs):
+            low, high = lows[t], highs[t]
+            scores = batch.scores(block, t, low, high, empty_score)
+            if own is not None:
+                scores[own[low:high] == t] = -1.0
+            new = _k_best(batch, low, scores, floors[t], k)
+            if new:
+                best[t] = _merged(best[t], new, k)
+                if len(best[t]) == k:
+                    floors[t] = max(floors[t], -best[t][-1][0])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = shared.value
-        best: list[list[tuple[float, str]]] = [[] for _ in block["names"]]
-        floors = np.zeros(len(best))
+        blocks = [b.value for b in shared]
+        kept: list[list[list[tuple[float, str]]]] = [[[] for _ in block["names"]] for block in blocks]
+        floors = [block["floors"].copy() for block in blocks]
         for batch in _packed(batches, n_bits):
-            own = None if include_self else batch.own_target(block)
-            lows, highs = batch.windows(block, floors)
-            for t in np.flatnonzero(lows < highs):
-                low, high = lows[t], highs[t]
-                scores = batch.scores(block, t, low, high, empty_score)
-                if own is not None:
-                    scores[own[low:high] == t] = -1.0
-                new = _k_best(batch, low, scores, floors[t], k)
-                if new:
-                    best[t] = _merged(best[t], new, k)
-                    if len(best[t]) == k:
-                        floors[t] = -best[t][-1][0]
-        for first in range(0, len(best), OUT_ROWS // k + 1):
-            names = block["names"][first : first + OUT_ROWS // k + 1]
-            rows = [(s, -neg, n) for n, kept in zip(names, best[first:]) for neg, s in kept]
-            if rows:
-                yield _out(*map(list, zip(*rows)))
+            for block, best, floor in zip(blocks, kept, floors):
+                add(batch, block, best, floor)
+        for block, best in zip(blocks, kept):
+            for first in range(0, len(best), OUT_ROWS // k + 1):
+                names = block["names"][first : first + OUT_ROWS // k + 1]
+                rows = [(s, -neg, n) for n, found in zip(names, best[first:]) for neg, s in found]
+                if rows:
+                    yield _out(*map(list, zip(*rows)))
 
     return run
 
 
-def _task_all_pairs(shared, n_bits: int, empty_score: float, include_self: bool, keep_zero: bool):
+def _task_all_pairs(shared, n_bits: int, empty_score: float, include_self: bool, keep_zero: bool, min_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = shared.value
-        for batch in _packed(batches, n_bits):
+        blocks = [b.value for b in shared]
+        for batch, block in ((batch, block) for batch in _packed(batches, n_bits) for block in blocks):
             own = None if include_self else batch.own_target(block)
-            for t, name in enumerate(block["names"]):
-                scores = batch.scores(block, t, 0, len(batch.pops), empty_score)
-                keep = np.ones(len(scores), bool) if keep_zero else scores > 0
+            lows, highs = batch.windows(block, np.full(len(block["names"]), min_score))
+            for t in np.flatnonzero(lows < highs):
+                name, low, high = block["names"][t], lows[t], highs[t]
+                scores = batch.scores(block, t, low, high, empty_score)
+                keep = scores >= min_score if keep_zero else (scores >= min_score) & (scores > 0)
                 if own is not None:
-                    keep &= own != t
+                    keep &= own[low:high] != t
                 at = np.flatnonzero(keep)
-                ids = batch.ids if len(at) == len(scores) else batch.ids.take(pa.array(at))
+                ids = batch.ids.take(pa.array(low + at))
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(scores[at]), pa.array([name], pa.string()).take(pa.array(np.zeros(len(at), int)))],
                     names=["chembl_id", "tanimoto_similarity_score", "target_chembl_id"],
@@ -215,7 +228,9 @@ def _task_all_pairs(shared, n_bits: int, empty_score: float, include_self: bool,
 def _blocks(targets: DataFrame, max_block: int) -> Iterator[pa.Table]:
     """Targets in parts of about ``max_block`` rows, small enough to broadcast."""
     # Exact copies of a target change nothing. Several structures under one name all count.
-    distinct = _with_fingerprint(targets, TARGET).distinct()
+    floor = F.col("floor") if "floor" in targets.columns else F.lit(0.0)
+    distinct = targets.select(F.col(TARGET).cast("string").alias("id"), F.col(_form(targets)).alias("fp"), floor.alias("floor"))
+    distinct = distinct.distinct()
     head = distinct.limit(max_block + 1).toArrow()
     if head.num_rows <= max_block:
         if head.num_rows:
@@ -224,19 +239,28 @@ def _blocks(targets: DataFrame, max_block: int) -> Iterator[pa.Table]:
     stored = stage(distinct, "targets")
     # Cut by name and structure: a name with very many structures does not end up in one part.
     parts = -(-stored.count() // max_block)
-    for part in range(parts):
-        yield stored.filter(F.pmod(F.xxhash64("id", "fp"), F.lit(parts)) == part).toArrow()
+    path = scratch_path(targets.sparkSession, "blocks")
+    part = F.pmod(F.xxhash64("id", "fp"), F.lit(parts))
+    stored.withColumn("part", part).repartition("part").write.partitionBy("part").parquet(path)
+    # A folder for each part: a block reads its own rows only.
+    cut = targets.sparkSession.read.schema(stored.schema.add("part", "long")).parquet(path)
+    for number in range(parts):
+        yield cut.filter(F.col("part") == number).drop("part").toArrow()
 
 
-def _scan(targets: DataFrame, fps: DataFrame, max_block: int, n_bits: int, task) -> list[DataFrame]:
-    """One pass over the fingerprints per block of targets."""
+def _scan(targets: DataFrame, fps: DataFrame, max_block: int, n_bits: int, task, min_score: float = 0.0) -> list[DataFrame]:
+    """One pass over the fingerprints for every ``PASS_BLOCKS`` blocks of targets."""
     spark = fps.sparkSession
-    sources = _with_fingerprint(fps, "chembl_id")
+    ready = (block for part in _blocks(targets, max_block) if (block := _target_block(part, n_bits))["names"])
     done = []
-    for part in _blocks(targets, max_block):
-        block = _target_block(part, n_bits)
-        if block["names"]:
-            done.append(sources.mapInArrow(task(spark.sparkContext.broadcast(block)), PAIRS))
+    while own := list(itertools.islice(ready, PASS_BLOCKS)):
+        sources = fps
+        if min_score > 0 and "pop" in fps.columns:
+            # Sources with too few or too many on-bits for any of these targets are left in the files.
+            fewest, most = (f(f(block["pops"]) for block in own) for f in (min, max))
+            sources = fps.filter(F.col("pop").between(int(fewest * min_score), math.ceil(most / min_score)))
+        shared = [spark.sparkContext.broadcast(block) for block in own]
+        done.append(_with_fingerprint(sources, "chembl_id").mapInArrow(task(shared), PAIRS))
     return done
 
 
@@ -256,19 +280,22 @@ def score_targets(
     keep_zero: bool = True,
     n_bits: int = N_BITS,
     max_block: int = MAX_BLOCK_TARGETS,
+    min_score: float = 0.0,
 ) -> DataFrame:
-    """Every score as ``(chembl_id, tanimoto_similarity_score, target_chembl_id)``.
+    """Every score of at least ``min_score`` as ``(chembl_id, tanimoto_similarity_score, target_chembl_id)``.
 
     The result has targets x fingerprints rows by definition and streams from the scan; use it to keep all scores
     (``write_pairs``). For the best k use ``score_top_k``, which never builds these rows. Copies of an id are one
-    source with its best score.
+    source with its best score. With ``min_score`` the number of on-bits rules out most rows before they are compared,
+    and a ``pop`` column of ``fps``, as ``write_fingerprints`` stores it with words, is filtered in the files.
     """
     frames = _scan(
-        targets,
+        targets.select(TARGET, _form(targets)),
         fps,
         max_block,
         n_bits,
-        lambda shared: _task_all_pairs(shared, n_bits, empty_score, include_self, keep_zero),
+        lambda shared: _task_all_pairs(shared, n_bits, empty_score, include_self, keep_zero, min_score),
+        min_score,
     )
     return _best_per_pair(_union(fps.sparkSession, frames))
 
@@ -282,23 +309,34 @@ def score_top_k(
     include_self: bool = True,
     n_bits: int = N_BITS,
     max_block: int = MAX_BLOCK_TARGETS,
+    seed: DataFrame | None = None,
 ) -> DataFrame:
     """The k best sources per target with the tie flag; the same rows as ``top_k_similar(score_targets(...))``.
 
     ``targets`` has ``target_chembl_id`` and a fingerprint, ``fps`` has ``chembl_id`` and a fingerprint. Copies of an id
     are one source with its best score, whatever the number of targets.
+
+    ``seed`` is any part of ``fps``, such as one of its files. Its k-th scores are lower bounds of the final ones, so
+    the tasks of the whole scan start from them and hand on few rows, not k for each target. The result is the same.
     """
     keep = k + 1 if tie_mode == "boundary" else k
-    frames = _scan(
-        targets,
-        fps,
-        max_block,
-        n_bits,
-        lambda shared: _task_top_k(shared, n_bits, keep, empty_score, include_self),
-    )
-    # One block at a time; a few rows per target remain of each.
-    stored = [stage(frame, "block") for frame in frames] if len(frames) > 1 else frames
-    return _rank(_best_per_pair(_union(fps.sparkSession, stored)), k, tie_mode)
+
+    def candidates(targets: DataFrame, fps: DataFrame) -> DataFrame:
+        frames = _scan(
+            targets, fps, max_block, n_bits, lambda shared: _task_top_k(shared, n_bits, keep, empty_score, include_self)
+        )
+        # One pass at a time; a few rows per target remain of each.
+        stored = [stage(frame, "pass") for frame in frames] if len(frames) > 1 else frames
+        return _best_per_pair(_union(fps.sparkSession, stored))
+
+    if seed is not None:
+        last = _first_k(candidates(targets, seed), keep).filter(F.col("place") == keep)
+        floors = last.select(F.col(TARGET).alias("_seeded"), F.col(SCORE).alias("floor"))
+        known = targets.select(F.col(TARGET).cast("string").alias(TARGET), _form(targets))
+        targets = known.join(floors, F.col(TARGET) == F.col("_seeded"), "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
+    else:
+        targets = targets.select(TARGET, _form(targets))
+    return _rank(candidates(targets, fps), k, tie_mode)
 
 
 def _first_k(pairs: DataFrame, k: int) -> DataFrame:

@@ -57,11 +57,13 @@ def read_structures(
 def scan_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
     """Fingerprints of every parquet file below a directory; other files and columns are left alone.
 
-    ``(chembl_id, morgan_fingerprint)`` with 0/1 text, or ``(chembl_id, words)``, whichever was written.
+    ``(chembl_id, morgan_fingerprint)`` with 0/1 text, or ``(chembl_id, words, pop)``, whichever was written.
     """
     reader = spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
     files = reader.parquet(directory)
-    return files.select("chembl_id", "words" if "words" in files.columns else "morgan_fingerprint")
+    if "words" in files.columns:
+        return files.select("chembl_id", "words", *(c for c in files.columns if c == "pop"))
+    return files.select("chembl_id", "morgan_fingerprint")
 
 
 def append_table(df: DataFrame, location: str) -> None:
@@ -81,8 +83,9 @@ def write_fingerprints(
     """Store ``(chembl_id, on, pop)`` as files for ``scan_fingerprints``.
 
     ``text`` keeps a ``0``/``1`` string, the form for exchange. ``words`` keeps 64 bits per number: an eighth of the
-    bytes to decode and to hand to Python, the form for large tables. Rows are ordered by number of on-bits within
-    each task, so a batch of a later scan holds a narrow range of them and most targets skip most batches.
+    bytes to decode and to hand to Python, the form for large tables; it also keeps ``pop``, the number of on-bits.
+    Rows are ordered by it within each task, so a batch of a later scan holds a narrow range of on-bit counts, most
+    targets skip most batches, and a filter on ``pop`` skips row groups.
     """
     (
         stored_form(fps.sortWithinPartitions("pop"), layout, n_bits)

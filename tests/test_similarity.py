@@ -179,3 +179,42 @@ def test_rows_that_cannot_be_scored(spark):
         reasons = {(r.chembl_id, r.reject_reason) for r in rejects.collect()}
         assert reasons == {(c, "malformed") for c in malformed} | {("e", "null_fingerprint"), (None, "null_id")}
         assert good.count() == len(rows) - len(reasons)
+
+
+@pytest.mark.parametrize("max_block", [1, 3, 100])
+@pytest.mark.parametrize("mode", ["within", "boundary"])
+def test_seed_changes_nothing(spark, max_block, mode):
+    fps, tgt = frames(spark)
+    seed = fps.filter(F.pmod(F.xxhash64("chembl_id"), F.lit(3)) == 0)
+    for k in (1, 10):
+        assert top_of(sm.score_top_k(tgt, fps, k, mode, max_block=max_block, seed=seed)) == brute_top(brute(), k, mode)
+    got = sm.score_top_k(tgt, fps, 10, include_self=False, max_block=max_block, seed=seed)
+    assert top_of(got) == brute_top(brute(include_self=False), 10)
+    assert top_of(sm.score_top_k(tgt, fps, 10, seed=fps.filter("false"))) == brute_top(brute(), 10)
+
+
+@pytest.mark.parametrize("empty_score", [0.0, 1.0])
+def test_min_score(spark, folder, empty_score):
+    fps, tgt = frames(spark)
+    stored = f"{folder}/fps"
+    sm.write_fingerprints(fps.withColumn("pop", F.size("on")), stored, layout="words")
+    files = sm.scan_fingerprints(spark, stored)
+    assert files.columns == ["chembl_id", "words", "pop"]
+    words = tgt.select(TARGET, sm.bits_pack(F.col("on")).alias("words"))
+    for least in (0.25, 1 / 3, 1.0):
+        expected = {k: v for k, v in brute(empty=empty_score).items() if v >= least}
+        for source, max_block in ((fps, 100), (files, 3), (files, 100)):
+            target = tgt if source is fps else words
+            rows = sm.score_targets(target, source, empty_score, max_block=max_block, min_score=least).collect()
+            assert {(r.chembl_id, r[TARGET]): r[SCORE] for r in rows} == expected and len(rows) == len(expected)
+
+
+def test_one_scan_for_several_blocks_and_a_filter_in_the_files(spark, folder):
+    fps, tgt = frames(spark)
+    sm.write_fingerprints(fps.withColumn("pop", F.size("on")), f"{folder}/fps", layout="words")
+    files = sm.scan_fingerprints(spark, f"{folder}/fps")
+    words = tgt.filter(F.size("on") > 0).select(TARGET, sm.bits_pack(F.col("on")).alias("words"))
+    plan = sm.score_targets(words, files, max_block=1, min_score=0.5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "GreaterThanOrEqual(pop" in plan and "LessThanOrEqual(pop" in plan
+    plan = sm.score_top_k(words, files, max_block=1)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1

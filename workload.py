@@ -333,6 +333,21 @@ def q_fingerprint_word_files(spark, sf_dir):
     return sm.score_top_k(target_fps(spark, sf_dir), sm.scan_fingerprints(spark, folder))
 
 
+def q_top10_in_passes(spark, sf_dir):
+    """Several blocks of targets a pass and several passes over the files, with lower bounds from a part of them."""
+    folder = scratch_path(spark, "fingerprints")
+    sm.write_fingerprints(doc_fps(spark, sf_dir), folder, layout="words")
+    files = sm.scan_fingerprints(spark, folder)
+    return sm.score_top_k(target_fps(spark, sf_dir), files, max_block=4, seed=files.filter("pop <= 100"))
+
+
+def q_pairs_above(spark, sf_dir):
+    """Scores of at least 0.1 only; rows with too few or too many on-bits stay in the files."""
+    folder = scratch_path(spark, "fingerprints")
+    sm.write_fingerprints(doc_fps(spark, sf_dir), folder, layout="words")
+    return sm.score_targets(target_fps(spark, sf_dir), sm.scan_fingerprints(spark, folder), min_score=0.1)
+
+
 def q_pairs_by_target(spark, sf_dir):
     """Store one folder of scores per target, read back, rank."""
     folder = scratch_path(spark, "pairs")
@@ -888,6 +903,9 @@ SELECT source_chembl_id, target_chembl_id, score AS {SCORE}, coalesce(within > 1
 FROM placed JOIN cut ON t = target_chembl_id WHERE place <= 10""",
     "fingerprint_files": f"WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql()} {TOP_OUT}",
     "fingerprint_word_files": f"WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql()} {TOP_OUT}",
+    "top10_in_passes": f"WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql()} {TOP_OUT}",
+    "pairs_above": f"""WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}
+SELECT source_chembl_id AS chembl_id, score AS {SCORE}, target_chembl_id FROM pairs WHERE score >= 0.1""",
     "pairs_by_target": f"WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql()} {TOP_OUT}",
     "fact_build": f"WITH {FIRST} SELECT source_chembl_id, target_chembl_id, CAST({SCORE} AS DOUBLE) AS {SCORE}, {FLAG} FROM fact",
     "dim_build": f"WITH {FIRST} SELECT {DIM_OUT} FROM dim",
