@@ -1,75 +1,113 @@
 """Mixing of sources to target weights by Pfair scheduling (operator 2).
 
-Each source is cut into blocks of equal bytes. Over a period of M blocks a source of weight a/M has a blocks; its j-th
-one may start at floor(j M / a) and must be placed before ceil((j + 1) M / a). Earliest deadline first among the
-blocks that may start keeps every source within less than one block of its share at every place. One period is
-computed, all others repeat it, so the place of a block follows from its number by a lookup.
+Each source is cut into blocks of equal bytes. Its target is the fluid one: all sources that still have blocks share
+the places by their exact weights, and when one ends the others go on by theirs. The j-th block of a source may start
+at the place where its target passes j (rounded down) and must be placed before the one where it passes j + 1 (rounded
+up). The target itself is a fractional schedule in these bounds, so earliest deadline first among the blocks that may
+start finds a whole one: every source is within less than one block of its target at every place. All bounds are
+computed in whole numbers, nothing is rounded before.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from array import array
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
+from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 64 << 10
-PERIOD = 1000
-# The schedule has at most two periods for each source. The smallest of more sources are scheduled as one.
+# The smallest of more sources are scheduled as one.
 MAX_SOURCES = 500
 # Rows of one sorted part of a source.
 PART_ROWS = 10_000
-
-
-def pfair_period(shares: dict[int, int]) -> list[tuple[int, int, int]]:
-    """``(place, source, number)`` of every block of one period; ``shares`` are blocks for each source."""
-    period = sum(shares.values())
-    waiting = sorted(
-        (j * period // a, -(-(j + 1) * period // a), source, j) for source, a in shares.items() for j in range(a)
-    )
-    ready, plan, at = [], [], 0
-    for place in range(period):
-        while at < len(waiting) and waiting[at][0] <= place:
-            _, deadline, source, j = waiting[at]
-            heapq.heappush(ready, (deadline, source, j))
-            at += 1
-        deadline, source, j = heapq.heappop(ready)
-        assert place < deadline
-        plan.append((place, source, j))
-    return plan
+# Blocks of a source in one row of the table of places.
+PLAN_BLOCKS = 256
 
 
 @dataclass(frozen=True)
 class Phase:
-    """Periods of one kind in a row: shares by source, their number, first place, first block of each source."""
-
-    shares: dict[int, int]
-    periods: int
-    place: int
-    first: dict[int, int]
-
-
-def phases(shares: dict[int, int], blocks: dict[int, int]) -> list[Phase]:
-    """Whole periods as long as all sources last; then one period with what is left of the first that ends, and so on
-    with the others."""
-    left, first, place, out = dict(blocks), dict.fromkeys(blocks, 0), 0, []
-    while active := {s: a for s, a in shares.items() if left[s]}:
-        periods = min(left[s] // a for s, a in active.items())
-        own = active if periods else {s: min(a, left[s]) for s, a in active.items()}
-        periods = max(1, periods)
-        out.append(Phase(own, periods, place, {s: first[s] for s in own}))
-        for s, a in own.items():
-            left[s] -= a * periods
-            first[s] += a * periods
-        place += periods * sum(own.values())
+    """The target between the ends of two sources: those of ``order`` from ``at`` on have blocks left.
+
+    A source of weight w has had w * x blocks at time x; the place of that time is ``ended + total * x``.
+    """
+
+    order: list[int]
+    weights: dict[int, int]
+    at: int
+    ended: int
+    total: int
+    end: Fraction
+    periods: Fraction
+
+    @property
+    def shares(self) -> dict[int, int]:
+        return {s: self.weights[s] for s in self.order[self.at :]}
+
+
+def phases(weights: dict[int, int], blocks: dict[int, int]) -> list[Phase]:
+    """Phases of the target of sources with ``blocks`` and whole ``weights``, one for each source that has blocks."""
+    ends = {s: Fraction(n, weights[s]) for s, n in blocks.items() if n}
+    order = sorted(ends, key=lambda s: (ends[s], s))
+    ended, total, before, out = 0, sum(weights[s] for s in order), Fraction(0), []
+    for at, s in enumerate(order):
+        out.append(Phase(order, weights, at, ended, total, ends[s], ends[s] - before))
+        ended, total, before = ended + blocks[s], total - weights[s], ends[s]
     return out
 
 
-def _shares(sizes: dict[int, int], weights: dict[int, float], period: int) -> dict[int, int]:
-    total = sum(weights[s] for s in sizes)
-    return {s: max(1, round(period * weights[s] / total)) for s in sizes}
+def pfair_places(weights: dict[int, int], blocks: dict[int, int]) -> dict[int, array]:
+    """The places of the blocks of every source, by their numbers."""
+    plan = phases(weights, blocks)
+    # Quotients of whole numbers are rounded in order: only phases whose ends round alike are compared exactly.
+    ends = [p.end.numerator / p.end.denominator for p in plan]
+    ended, total = [p.ended for p in plan], [p.total for p in plan]
+    places = {s: array("q", bytes(8 * n)) for s, n in blocks.items()}
+    waiting, ready = [(0, s, 0) for s in sorted(p.order[p.at] for p in plan)], []
+    for place in range(sum(blocks.values())):
+        while waiting and waiting[0][0] <= place:
+            _, s, j = waiting[0]
+            w, x = weights[s], (j + 1) / weights[s]
+            at = bisect_left(ends, x)
+            if ends[at] == x:
+                at = bisect_left(plan, Fraction(j + 1, w), at, bisect_right(ends, x) - 1, key=lambda p: p.end)
+            whole, rest = divmod((j + 1) * total[at], w)
+            heapq.heappush(ready, (ended[at] + whole + (rest > 0), s, j))
+            if j + 1 < blocks[s]:
+                heapq.heapreplace(waiting, (ended[at] + whole, s, j + 1))
+            else:
+                heapq.heappop(waiting)
+        deadline, s, j = heapq.heappop(ready)
+        assert place < deadline
+        places[s][j] = place
+    return places
+
+
+def pfair_period(shares: dict[int, int]) -> list[tuple[int, int, int]]:
+    """``(place, source, number)`` of every block when each source has as many blocks as its weight."""
+    return sorted((p, s, j) for s, own in pfair_places(shares, shares).items() for j, p in enumerate(own))
+
+
+def schedule(weights: dict[int, float], blocks: dict[int, int]) -> dict[int, array]:
+    """``pfair_places`` for any weights, which count with their exact values. Sources of weight 0 come after all others,
+    in equal shares."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    if min(exact.values(), default=0) < 0:
+        raise ValueError("weights below 0")
+    scale = math.lcm(*(w.denominator for w in exact.values()))
+    whole = {s: int(w * scale) for s, w in exact.items() if w}
+    places = pfair_places(whole, {s: blocks[s] for s in whole})
+    last = {s: n for s, n in blocks.items() if s not in whole}
+    start = sum(blocks[s] for s in whole)
+    for s, own in pfair_places(dict.fromkeys(last, 1), last).items():
+        places[s] = array("q", (start + p for p in own))
+    return places
 
 
 def mix_sources(
@@ -80,7 +118,7 @@ def mix_sources(
     text_col: str = "text",
     power: float = 0.5,
     block_bytes: int = BLOCK_BYTES,
-    period: int = PERIOD,
+    period: int | None = None,
     seed: int = 0,
     max_sources: int = MAX_SOURCES,
 ) -> DataFrame:
@@ -88,9 +126,10 @@ def mix_sources(
 
     Reading blocks by ``mix_slot`` mixes the sources to ``weights`` (a number for each source; sources not named get
     none of their own and share the smallest given weight). Without weights they are the bytes of a source to the
-    ``power``. Weights are rounded to ``1 / period``, at least one block a period. All rows are placed: when a source
-    ends, the others go on by their weights. Inside a source rows are ordered by a hash of the id, then by id; a row
-    belongs to the block in which it starts, so blocks differ from ``block_bytes`` by less than one row. Null texts
+    ``power``. Weights count exactly, so at every place each source is within less than one block of its target;
+    ``period``, to which they were rounded, is accepted and changes nothing. Sources of weight 0 come last. All rows are
+    placed: when a source ends, the others go on by their weights. Inside a source rows are ordered by a hash of the id,
+    then by id; a row belongs to the block in which it starts, so blocks differ from ``block_bytes`` by less than one row. Null texts
     have no bytes; a null source is a source of its own; repeated rows are placed each. Of more than ``max_sources``
     sources those without a given weight and with the fewest bytes are scheduled together as one source.
     """
@@ -119,7 +158,7 @@ def mix_sources(
         target.append(float(least) if weights else max(1, sizes[-1]) ** power)
     spark = docs.sparkSession
     blocks = {i: max(1, -(-size // block_bytes)) for i, size in enumerate(sizes)}
-    plan = phases(_shares(blocks, dict(enumerate(target)), max(period, len(sizes))), blocks) if sizes else []
+    plan = schedule(dict(enumerate(target)), blocks)
     number = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "own_name string, number int")
     parts = max(1, math.ceil(docs.count() / PART_ROWS))
     keyed = keyed.join(F.broadcast(number), F.expr("name <=> own_name"), "left").select(
@@ -129,27 +168,28 @@ def mix_sources(
     sums = keyed.groupBy("source", "part").agg(F.sum("size").alias("bytes"))
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("source", "part", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("start"))
-    spans = [
-        (s, k, p.first[s], p.first[s] + a * p.periods, a, p.place, sum(p.shares.values()))
-        for k, p in enumerate(plan)
-        for s, a in p.shares.items()
-    ]
-    places = [(k, s, j, place) for k, p in enumerate(plan) for place, s, j in pfair_period(p.shares)]
-    spans_df = spark.createDataFrame(spans, "source int, phase int, first long, end long, share long, place long, period long")
-    places_df = spark.createDataFrame(places, "phase int, source int, turn long, at long")
+    pieces = [(s, k) for s, n in blocks.items() for k in range(-(-n // PLAN_BLOCKS))]
+    places = [np.frombuffer(plan[s], np.int64)[k * PLAN_BLOCKS : (k + 1) * PLAN_BLOCKS] for s, k in pieces]
+    offsets = np.cumsum([0, *map(len, places)]).astype(np.int32)
+    places_df = spark.createDataFrame(
+        pa.table(
+            {
+                "source": pa.array([s for s, _ in pieces], pa.int32()),
+                "piece": pa.array([k for _, k in pieces], pa.int32()),
+                "places": pa.ListArray.from_arrays(offsets, np.concatenate([np.empty(0, np.int64), *places])),
+            }
+        )
+    )
     last_df = spark.createDataFrame([(s, n - 1) for s, n in blocks.items()], "source int, last long")
 
     running = Window.partitionBy("source", "part").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, -1)
     inside = keyed.withColumn("inside", F.coalesce(F.sum("size").over(running), F.lit(0)))
-    # Bounded tables: sources x parts rows are joined by key; the plan has at most 2 x sources x period rows.
+    # Bounded tables: sources x parts rows are joined by key; the places are 8 bytes a block.
     block = F.floor((F.col("start") + F.col("inside")) / block_bytes)
     placed = inside.join(starts, ["source", "part"]).join(F.broadcast(last_df), "source")
     placed = placed.withColumn("block", F.least(block, F.col("last")).cast("long"))
-    near = (placed["source"] == spans_df["source"]) & placed["block"].between(spans_df["first"], spans_df["end"] - 1)
-    placed = placed.join(F.broadcast(spans_df), near).drop(spans_df["source"])
-    placed = placed.withColumn("turn", (F.col("block") - F.col("first")) % F.col("share"))
-    placed = placed.join(F.broadcast(places_df), ["phase", "source", "turn"])
-    periods = F.floor((F.col("block") - F.col("first")) / F.col("share"))
-    slot = (F.col("place") + periods * F.col("period") + F.col("at")).cast("long")
+    placed = placed.withColumn("piece", F.floor(F.col("block") / PLAN_BLOCKS).cast("int"))
+    placed = placed.join(F.broadcast(places_df), ["source", "piece"])
+    slot = F.get("places", (F.col("block") % PLAN_BLOCKS).cast("int"))
     own = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("mix_block", "mix_slot")]
     return placed.select(*own, F.col("block").alias("mix_block"), slot.alias("mix_slot"))

@@ -1,6 +1,7 @@
 """The small parts inside the operators against plain versions."""
 
 import random
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -74,6 +75,42 @@ def test_phases_place_every_block():
     assert {s: sum(p.shares.get(s, 0) * p.periods for p in plan) for s in left} == left
 
 
+def deviation(weights, blocks):
+    """Largest distance of a source from the target of its exact weight, at any place."""
+    plan = mixing.schedule(weights, blocks)
+    order = sorted((p, s) for s, own in plan.items() for p in own)
+    assert [p for p, _ in order] == list(range(sum(blocks.values()))) and all(list(p) == sorted(p) for p in plan.values())
+    exact, target, done, worst = {s: Fraction(w) for s, w in weights.items()}, dict.fromkeys(blocks, Fraction()), dict.fromkeys(blocks, 0), 0
+    for _, s in order:
+        done[s] += 1
+        room = Fraction(1)
+        while room:
+            active = [r for r in blocks if target[r] < blocks[r]]
+            total = sum(exact[r] for r in active)
+            step = min([room, *((blocks[r] - target[r]) * total / exact[r] for r in active)])
+            for r in active:
+                target[r] += step * exact[r] / total
+            room -= step
+        worst = max(worst, *(abs(target[r] - done[r]) for r in blocks))
+    return worst
+
+
+@pytest.mark.parametrize("weights, blocks", [({0: 2 / 3, 1: 1 / 3}, {0: 8000, 1: 4000}), ({0: 0.9999, 1: 0.0001}, {0: 19998, 1: 2})])
+def test_weights_hold_over_many_periods(weights, blocks):
+    assert deviation(weights, blocks) < 1
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.lists(st.tuples(st.floats(1e-4, 1), st.integers(0, 25)), min_size=1, max_size=8))
+def test_weights_hold_when_sources_end(sources):
+    assert deviation({s: w for s, (w, _) in enumerate(sources)}, {s: n for s, (_, n) in enumerate(sources)}) < 1
+
+
+def test_sources_of_weight_zero_come_last():
+    plan = mixing.schedule({0: 0, 1: 1.0, 2: 0}, {0: 2, 1: 3, 2: 2})
+    assert sorted(plan[1]) == [0, 1, 2] and sorted([*plan[0], *plan[2]]) == [3, 4, 5, 6]
+
+
 @settings(deadline=None, max_examples=50)
 @given(st.lists(st.integers(0, 9), min_size=1, max_size=5), st.integers(0, 2**31))
 def test_viterbi_is_the_best_path(counts, seed):
