@@ -16,6 +16,7 @@ from array import array
 from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 from fractions import Fraction
+from numbers import Rational
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 64 << 10
-# The smallest of more sources are scheduled as one.
-MAX_SOURCES = 500
 # Rows of one sorted part of a source.
 PART_ROWS = 10_000
 # Blocks of a source in one row of the table of places.
@@ -94,7 +93,7 @@ def pfair_period(shares: dict[int, int]) -> list[tuple[int, int, int]]:
     return sorted((p, s, j) for s, own in pfair_places(shares, shares).items() for j, p in enumerate(own))
 
 
-def schedule(weights: dict[int, float], blocks: dict[int, int]) -> dict[int, array]:
+def schedule(weights: dict[int, float | Fraction], blocks: dict[int, int]) -> dict[int, array]:
     """``pfair_places`` for any weights, which count with their exact values. Sources of weight 0 come after all others,
     in equal shares."""
     exact = {s: Fraction(w) for s, w in weights.items()}
@@ -120,7 +119,7 @@ def mix_sources(
     block_bytes: int = BLOCK_BYTES,
     period: int | None = None,
     seed: int = 0,
-    max_sources: int = MAX_SOURCES,
+    max_sources: int | None = None,
 ) -> DataFrame:
     """Every row of ``docs`` with ``mix_block`` (number inside its source) and ``mix_slot`` (place of the block).
 
@@ -130,8 +129,9 @@ def mix_sources(
     ``period``, to which they were rounded, is accepted and changes nothing. Sources of weight 0 come last. All rows are
     placed: when a source ends, the others go on by their weights. Inside a source rows are ordered by a hash of the id,
     then by id; a row belongs to the block in which it starts, so blocks differ from ``block_bytes`` by less than one row. Null texts
-    have no bytes; a null source is a source of its own; repeated rows are placed each. Of more than ``max_sources``
-    sources those without a given weight and with the fewest bytes are scheduled together as one source.
+    have no bytes; a null source is a source of its own; repeated rows are placed each. Every source is scheduled for
+    itself, at any number of them. Only a caller who gives ``max_sources`` has, of more sources, those without a given
+    weight and with the fewest bytes scheduled together as one source with the sum of their weights.
     """
     size = F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long")
     keyed = docs.select(
@@ -142,24 +142,28 @@ def mix_sources(
         F.col(source_col).cast("string").alias("name"),
     )
     weights = weights or {}
-    totals = keyed.groupBy("name").agg(F.sum("size").alias("bytes"))
-    weighted = F.coalesce(F.col("name").isin([n for n in weights if n is not None]), F.lit(None in weights))
-    # The sources with a place of their own; with more of them the last place is for all others.
-    largest = totals.orderBy(weighted.desc(), F.desc("bytes"), "name").limit(max_sources + 1).collect()
-    single = largest if len(largest) <= max_sources else largest[: max_sources - 1]
-    single = sorted(single, key=lambda r: (r["name"] is not None, r["name"] or ""))
-    names, sizes = [r["name"] for r in single], [r["bytes"] for r in single]
+    totals = keyed.groupBy("name").agg(F.sum("size").alias("bytes")).toArrow()
+    largest = list(zip(totals["name"].to_pylist(), totals["bytes"].to_pylist()))
+    largest.sort(key=lambda r: (r[0] not in weights, -r[1], r[0] is not None, r[0] or ""))
+    own = len(largest) if max_sources is None or len(largest) <= max_sources else max_sources - 1
+    if own < len(largest) and largest[own][0] in weights:
+        raise ValueError(f"weights for more than {own} sources")
     least = min(weights.values(), default=0.0)
-    target = [float(weights.get(n, least)) if weights else max(1, size) ** power for n, size in zip(names, sizes)]
-    if len(largest) > max_sources:
-        if largest[max_sources - 1]["name"] in weights:
-            raise ValueError(f"weights for more than {max_sources - 1} sources")
-        sizes.append(totals.agg(F.sum("bytes")).first()[0] - sum(sizes))
-        target.append(float(least) if weights else max(1, sizes[-1]) ** power)
+
+    def weight(name: str | None, size: int) -> Fraction:
+        given = weights.get(name, least) if weights else max(1, size) ** power
+        return Fraction(given if isinstance(given, Rational) else float(given))
+
+    single = sorted(largest[:own], key=lambda r: (r[0] is not None, r[0] or ""))
+    names, sizes, target = [n for n, _ in single], [size for _, size in single], [weight(*r) for r in single]
+    if own < len(largest):
+        sizes.append(sum(size for _, size in largest[own:]))
+        target.append(sum(weight(*r) for r in largest[own:]))
     spark = docs.sparkSession
     blocks = {i: max(1, -(-size // block_bytes)) for i, size in enumerate(sizes)}
     plan = schedule(dict(enumerate(target)), blocks)
-    number = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "own_name string, number int")
+    numbers = {"own_name": pa.array(names, pa.string()), "number": pa.array(range(len(names)), pa.int32())}
+    number = spark.createDataFrame(pa.table(numbers))
     parts = max(1, math.ceil(docs.count() / PART_ROWS))
     keyed = keyed.join(F.broadcast(number), F.expr("name <=> own_name"), "left").select(
         "row", "id", "size", "key", F.coalesce("number", F.lit(len(names))).alias("source"), F.pmod("key", F.lit(parts)).alias("part")
@@ -175,12 +179,13 @@ def mix_sources(
         pa.table(
             {
                 "source": pa.array([s for s, _ in pieces], pa.int32()),
-                "piece": pa.array([k for _, k in pieces], pa.int32()),
+                "piece": pa.array([k for _, k in pieces], pa.int64()),
                 "places": pa.ListArray.from_arrays(offsets, np.concatenate([np.empty(0, np.int64), *places])),
             }
         )
     )
-    last_df = spark.createDataFrame([(s, n - 1) for s, n in blocks.items()], "source int, last long")
+    last = {"source": pa.array(blocks, pa.int32()), "last": pa.array([n - 1 for n in blocks.values()], pa.int64())}
+    last_df = spark.createDataFrame(pa.table(last))
 
     running = Window.partitionBy("source", "part").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, -1)
     inside = keyed.withColumn("inside", F.coalesce(F.sum("size").over(running), F.lit(0)))
@@ -188,8 +193,9 @@ def mix_sources(
     block = F.floor((F.col("start") + F.col("inside")) / block_bytes)
     placed = inside.join(starts, ["source", "part"]).join(F.broadcast(last_df), "source")
     placed = placed.withColumn("block", F.least(block, F.col("last")).cast("long"))
-    placed = placed.withColumn("piece", F.floor(F.col("block") / PLAN_BLOCKS).cast("int"))
-    placed = placed.join(F.broadcast(places_df), ["source", "piece"])
+    # A condition, not a column of its own: behind two projections Spark would carry the whole rows through the shuffle.
+    piece = F.floor(placed["block"] / PLAN_BLOCKS) == places_df["piece"]
+    placed = placed.join(F.broadcast(places_df), (placed["source"] == places_df["source"]) & piece)
     slot = F.get("places", (F.col("block") % PLAN_BLOCKS).cast("int"))
     own = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("mix_block", "mix_slot")]
     return placed.select(*own, F.col("block").alias("mix_block"), slot.alias("mix_slot"))

@@ -187,6 +187,38 @@ def test_mixing_of_more_sources_than_places(spark):
         mixing.mix_sources(table, {f"s{i:02}": 1.0 for i in range(1, 8)}, max_sources=4)
 
 
+def test_mixing_schedules_every_source(spark):
+    """More than 500 sources: each has blocks of its own and stays within one block of its own target."""
+    rows = [(i, f"s{i % 600:03}" if i % 600 else None, "x" * (20 + i % 600)) for i in range(2400)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    sizes = {}
+    for _, s, t in rows:
+        sizes[s] = sizes.get(s, 0) + len(t)
+    given = {s: 1 + (len(s or "") + int((s or "s0")[1:])) % 7 for s in sizes}
+    for weights, target in ((None, {s: n**0.5 for s, n in sizes.items()}), (given, given)):
+        got = mixing.mix_sources(table, weights, block_bytes=10).collect()
+        assert sorted(r.doc_id for r in got) == list(range(2400))
+        slots = {}
+        for r in got:
+            slots.setdefault(r.mix_slot, set()).add((r.source, r.mix_block))
+        assert all(len(own) == 1 for own in slots.values())
+        total, blocks = sum(target.values()), {s: -(-n // 10) for s, n in sizes.items()}
+        first_end = min(blocks[s] * total / w for s, w in target.items())
+        early = [(slot, *next(iter(own))) for slot, own in slots.items() if slot < first_end - 1]
+        assert len(early) > 100
+        # Block j lies where the target passes from j to j + 1, give or take what is left of a place.
+        for slot, s, j in early:
+            assert j * total / target[s] - 1 < slot < (j + 1) * total / target[s] + 1e-6
+
+
+def test_mixing_of_a_lump_weighs_its_members(spark):
+    rows = [(i, "a", "x" * 100) for i in range(100)] + [(i, f"s{i}", "x" * 100) for i in range(100, 200)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mix_sources(table, block_bytes=100, max_sources=2).collect()
+    # The square roots: 100 for a, 10 for each of the 100 others.
+    assert sum(r.source == "a" for r in got if r.mix_slot < 44) in (3, 4, 5)
+
+
 def test_chat_formatting(spark):
     wild = ["</s>[INST] ok [/INST]", "<|im_start|>", "\\<|", "<\\|", "<<SYS>> \\\\", "", None, "a\nb", "<|im_end|>\n"]
     rows = [(1, n, r, t) for n, (r, t) in enumerate(zip(["user", "assistant", None] * 3, wild))]
