@@ -7,8 +7,10 @@ letters is that of the text.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,16 +40,18 @@ SCRIPTS = {
     "Arabic": [(0xD8, 0xDB)],
     "Indic and Thai": [(0xE0, 0xE0)],
     "Georgian, Ethiopic and others": [(0xE1, 0xE1)],
+    "Tifinagh, Glagolitic, Coptic and others": [(0xE2, 0xE2)],
     "Kana": [(0xE3, 0xE3)],
     "Han": [(0xE4, 0xE9)],
     "Hangul": [(0xEA, 0xED)],
+    "Adlam, Osage, rare Han and others": [(0xF0, 0xF0)],
 }
 _SCRIPT_OF = np.zeros(256, np.uint8)
 for _n, _ranges in enumerate(SCRIPTS.values()):
     for _a, _b in _ranges:
         _SCRIPT_OF[_a : _b + 1] = _n
-# First bytes of characters that are no letters (Latin-1 signs, punctuation and symbols, emoji), and their lengths.
-_NO_LETTER = ((0xC2, 2), (0xE2, 3), (0xF0, 4))
+# First bytes of characters that may be no letters (Latin-1 signs, punctuation and symbols, emoji), and their lengths.
+_MIXED = ((0xC2, 2), (0xE2, 3), (0xF0, 4))
 
 SPANS = "array<struct<lang: string, first_word: int, last_word: int>>"
 
@@ -59,6 +63,13 @@ class Model:
     allowed: np.ndarray  # scripts x languages
 
 
+@cache
+def _letters(lead: int, size: int) -> np.ndarray:
+    """Whether the characters that begin with byte ``lead`` are letters (category L), by the bits of their other bytes."""
+    first = (lead & (0xFF >> (size + 1))) << 6 * (size - 1)
+    return np.array([unicodedata.category(chr(first + k))[0] == "L" for k in range(1 << 6 * (size - 1))])
+
+
 class Words:
     """The words of some texts as ranges of letters in one array of bytes."""
 
@@ -70,8 +81,12 @@ class Words:
         capital = accent[(raw[accent] >= 0x80) & (raw[accent] <= 0x9E) & (raw[accent] != 0x97)]
         raw[capital] += 0x20
         letter = ((raw >= 0x61) & (raw <= 0x7A)) | (raw >= 0x80)
-        for lead, size in _NO_LETTER:
+        for lead, size in _MIXED:
             at = np.flatnonzero(raw == lead)
+            code = np.zeros(len(at), np.int64)
+            for k in range(1, size):
+                code = code << 6 | raw[np.minimum(at + k, len(raw) - 1)] & 0x3F
+            at = at[~_letters(lead, size)[code]]
             for k in range(size):
                 letter[np.minimum(at + k, len(raw) - 1)] = False
         raw[~letter] = 0x20
@@ -250,7 +265,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", switch: floa
     """Every row of ``docs`` with ``lang_pred``, ``score`` and, on demand, ``spans``.
 
     ``score`` is the share of letters inside spans of the predicted language. Texts without letters, null and empty
-    ones, and all texts under a model without languages are ``und`` with score 0. Ties go to the language that comes
+    ones, and all texts under a model without languages are ``und`` with score 0; letters are the characters of category L
+    of Unicode in any script, and scripts that no language was learned from leave all languages as candidates. Ties go to the language that comes
     first by name. Spans count words (runs of letters) from 0. Columns of these names are replaced.
     """
     text = F.col(text_col).cast("string")
@@ -262,9 +278,11 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", switch: floa
         kind = f"struct<lang_pred: string, score: double, spans: {SPANS}>"
         found = F.arrow_udf(_label(model, switch, spans), kind)(text)
     letters = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    # A letter that only Spark's version of Unicode knows makes no word: the first language by name.
+    first = F.lit(model.langs[0] if model.langs else UNKNOWN)
     named = docs.withColumn("_found", found).withColumn("_letters", letters)
     columns = {
-        "lang_pred": F.when(F.col("_letters"), F.col("_found.lang_pred")).otherwise(UNKNOWN),
+        "lang_pred": F.when(~F.col("_letters"), UNKNOWN).when(F.col("_found.score") == 0, first).otherwise(F.col("_found.lang_pred")),
         "score": F.when(F.col("_letters"), F.col("_found.score")).otherwise(0.0),
     }
     if spans:

@@ -279,6 +279,20 @@ def test_language_id(spark, docs):
     assert {r.lang_pred for r in language_id.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_language_id_of_every_script(spark):
+    tifinagh, adlam, han = "ⵜⴰⵎⴰⵣⵉⵖⵜ ⴰⵡⴰⵍ", "𞤀𞤣𞤤𞤢𞤥 𞤆𞤵𞤤𞤢𞤪", "𠀀𠀁 𠀂"
+    rows = [("tzm", tifinagh), ("ff", adlam), ("zh", han), ("en", "the words – of “plain” text 🙂")] * 5
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
+    model = language_id.fit(table, "doc_id", "text", "lang")
+    # Osage is in no training text; the en dash and emoji are no letters.
+    texts = [t for _, t in rows[:4]] + ["𐒰𐓏", "🙂 – ™", f"the {adlam} {adlam}"]
+    got = language_id.identify(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()
+    found = {r.text: (r.lang_pred, r.score) for r in got}
+    assert [found[t] for t in texts[:4]] == [("tzm", 1.0), ("ff", 1.0), ("zh", 1.0), ("en", 1.0)]
+    assert found[texts[4]][0] in model.langs and found[texts[4]][1] > 0
+    assert found[texts[5]] == ("und", 0.0) and found[texts[6]][0] == "ff"
+
+
 @pytest.mark.parametrize("part_codes", [200_000, 3])
 def test_exact_topk(spark, part_codes):
     rng = random.Random(2)

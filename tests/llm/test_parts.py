@@ -1,6 +1,7 @@
 """The small parts inside the operators against plain versions."""
 
 import random
+import unicodedata
 from fractions import Fraction
 
 import numpy as np
@@ -111,6 +112,13 @@ def test_sources_of_weight_zero_come_last():
     assert sorted(plan[1]) == [0, 1, 2] and sorted([*plan[0], *plan[2]]) == [3, 4, 5, 6]
 
 
+def test_every_letter_makes_a_word():
+    """Of the characters with first bytes C2, E2 and F0 those of category L are words, all others none."""
+    chars = [chr(i) for r in (range(0x80, 0xC0), range(0x2000, 0x3000), range(0x10000, 0x40000, 7)) for i in r]
+    counts = language_id.Words([c.encode() for c in chars]).counts
+    assert counts.tolist() == [int(unicodedata.category(c)[0] == "L") for c in chars]
+
+
 @settings(deadline=None, max_examples=50)
 @given(st.lists(st.integers(0, 9), min_size=1, max_size=5), st.integers(0, 2**31))
 def test_viterbi_is_the_best_path(counts, seed):
