@@ -293,6 +293,16 @@ def test_language_id_of_every_script(spark):
     assert found[texts[5]] == ("und", 0.0) and found[texts[6]][0] == "ff"
 
 
+def test_pipeline_keeps_texts_in_many_languages(spark, tmp_path):
+    words = {"a": "alfa banana cabana", "b": "zyxo wuvy tuxo", "c": "kirim nidim lipik"}
+    texts = [(k, " ".join([w] * 20)) for k, w in words.items() for _ in range(4)]
+    texts += [(None, " ".join(" ".join([w] * n) for w, n in zip(words.values(), (40, 40, 30)))), (None, "12 !")]
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(texts)], "doc_id long, lang string, text string")
+    mixed = language_id.identify(table.filter("doc_id = 12"), language_id.fit(table, "doc_id", "text", "lang"))
+    assert 0 < mixed.first().score < 0.5
+    assert sorted(r.doc_id for r in corpus_pipeline.language(spark, table, str(tmp_path)).collect()) == list(range(13))
+
+
 @pytest.mark.parametrize("part_codes", [200_000, 3])
 def test_exact_topk(spark, part_codes):
     rng = random.Random(2)
