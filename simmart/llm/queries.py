@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from simmart.llm.binary_topk import nearest_codes, sign_code
 from simmart.llm.chat_format import canonical_turns, format_chats, read_loss, read_turns
+from simmart.llm.conversation_repair import damage, repair, text_digests
 from simmart.llm.decontaminate import find_benchmark
 from simmart.llm.jaccard_join import join_similar
 from simmart.llm.language_id import fit, identify
@@ -99,6 +100,15 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_similar(_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repair(damage(_table(spark, sf_dir, "conversations")))
+    texts = text_digests(found.spans).select(F.col("conv_id").alias("owner"), F.col("sha256").alias("repaired_sha256"))
+    all_of = found.conversations.join(texts, F.col("conv_id").eqNullSafe(F.col("owner")), "left")
+    return all_of.select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -112,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_exact_topk,
         op10_ngram_jaccard,
+        op11_conversation_repair,
     )
 } | {"pipeline": corpus_pipeline.run}
 
@@ -177,4 +188,74 @@ ORACLE = {
         SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id))::INTEGER AS rank,
                neighbor_id, distance
         FROM near QUALIFY rank <= 10""",
+    # A parse from left to right, one row a step: per state the least cost and audit so far.
+    "op11_conversation_repair": f"""
+        WITH RECURSIVE crc AS (
+            SELECT list(list_reduce([n] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)
+                        ORDER BY n) AS t
+            FROM range(256) AS r(n)),
+        named AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+            FROM conversations),
+        hashed AS (
+            SELECT *, xor(4294967295, list_reduce(
+                       [4294967295] || list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT),
+                       lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) % 20 AS kind
+            FROM named, crc),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+            FROM hashed WHERE kind <> 0),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+                   trim(text, {_SPACE}) AS bare, CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE '' END AS l
+            FROM damaged),
+        faulty AS (
+            SELECT *, CASE WHEN bare = '' THEN 'b' WHEN nth > 1 THEN 'd' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+                   lag(l) OVER (PARTITION BY conv_id ORDER BY i) AS before
+            FROM ranked),
+        stats AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+                   count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+                   count(*) FILTER (fault = 't') AS truncated,
+                   count(*) FILTER (i > 1 AND before || l NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+            FROM faulty GROUP BY conv_id),
+        steps(p, l, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+        inserts(p, q, c, a, said) AS (
+            VALUES (0, 0, 0, '', []), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+                (0, 2, 2, 'I', ['user:']), (1, 2, 2, 'I', ['user:']), (3, 2, 2, 'I', ['user:']), (2, 3, 2, 'I', ['assistant:']),
+                (0, 3, 4, 'II', ['user:', 'assistant:']), (1, 3, 4, 'II', ['user:', 'assistant:'])),
+        edits AS (
+            SELECT conv_id, i, p, q, c + CASE WHEN fault = 't' AND a <> 'D' THEN 1 ELSE 0 END AS c, a, said
+            FROM (
+                SELECT conv_id, i, fault, p, p AS q, 3 AS c, 'D' AS a, [] AS said FROM faulty, range(4) AS s(p)
+                UNION ALL
+                SELECT conv_id, i, fault, p, q, 0, 'K', [role || ':' || text] FROM faulty JOIN steps USING (l) WHERE fault NOT IN ('b', 'd')
+                UNION ALL
+                SELECT conv_id, i, fault, p, q, 2, 'R', [CASE s.l WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || text]
+                FROM faulty JOIN steps s ON s.l <> 's' AND fault NOT IN ('b', 'd'))),
+        moves AS (
+            SELECT conv_id, i, x.p, e.q, x.c + e.c AS c, x.a || e.a AS a, x.said || e.said AS said
+            FROM inserts x JOIN edits e ON x.q = e.p
+            QUALIFY row_number() OVER (PARTITION BY conv_id, i, x.p, e.q ORDER BY x.c + e.c, x.a || e.a) = 1),
+        walk AS (
+            SELECT conv_id, 0::BIGINT AS i, 0 AS q, 0 AS c, '' AS a, []::VARCHAR[] AS said FROM stats
+            UNION ALL
+            SELECT w.conv_id, m.i, m.q, w.c + m.c, w.a || m.a, w.said || m.said
+            FROM walk w JOIN moves m ON w.conv_id IS NOT DISTINCT FROM m.conv_id AND m.i = w.i + 1 AND m.p = w.q
+            QUALIFY row_number() OVER (PARTITION BY w.conv_id, m.i, m.q ORDER BY w.c + m.c, w.a || m.a) = 1),
+        finished AS (
+            SELECT w.conv_id, w.c + x.c AS cost, w.a || x.a AS audit, w.said || x.said AS said
+            FROM walk w JOIN stats s ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND w.i = s.n
+            JOIN inserts x ON x.p = w.q AND x.q IN (0, 3)
+            QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY w.c + x.c, w.a || x.a) = 1)
+        SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+               coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN stats s ON o.conv_id IS NOT DISTINCT FROM s.conv_id
+        LEFT JOIN finished f ON o.conv_id IS NOT DISTINCT FROM f.conv_id""",
 }
