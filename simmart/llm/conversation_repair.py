@@ -13,7 +13,7 @@ that consume rows have the rows' costs, and further inserts cost more), so the l
 
 Rows of a conversation stand by turn (nulls first), role and text, all by bytes. They are dealt out by ranges of that order,
 so that a conversation of any length is spread over tasks, and repeated rows travel as one with a count. A task streams
-over its rows in spans of at most ``SPAN_ROWS`` rows or ``SPAN_BYTES``. Only the cells of spans of conversations that
+over its rows in spans of at most ``span_rows`` rows, closed at ``SPAN_BYTES``. Only the cells of spans of conversations that
 may have several spans meet by conversation: letters, no texts.
 """
 
@@ -190,9 +190,6 @@ class _Span:
         self.rows.append({"role": role, "text": text})
         self.bytes += size
 
-    def full(self) -> bool:
-        return len(self.rows) >= SPAN_ROWS or self.bytes >= SPAN_BYTES
-
     def record(self, part: int, whole: bool) -> dict:
         cell = parse(self.cells)
         own = {"conv_id": self.conv_id, "part": part, "span": self.number, "whole": whole, **self.counts}
@@ -204,7 +201,11 @@ class _Span:
         return own | {"cell": entries, "rows": self.rows}
 
 
-def _task_spans(batches):
+def _task_spans(span_rows: int):
+    return lambda batches: _spans_of(batches, span_rows)
+
+
+def _spans_of(batches, span_rows: int):
     """Spans of the sorted rows of a task. A conversation that lies inside the task, in one span, is repaired at once."""
     part, schema, out, size, at = TaskContext.get().partitionId(), None, [], 0, None
     number, opening, goes_on = 0, True, False
@@ -219,7 +220,7 @@ def _task_spans(batches):
                 number, goes_on = number + 1, False
                 at = _Span(conv_id, number)
             for copy in range(copies):
-                if at.full():
+                if len(at.rows) >= span_rows or at.bytes >= SPAN_BYTES:
                     out.append(at.record(part, whole=False))
                     size, number, goes_on = size + at.bytes, number + 1, True
                     at = _Span(conv_id, number)
@@ -369,7 +370,7 @@ def _faults(turns: DataFrame) -> DataFrame:
     )
 
 
-def repair(turns: DataFrame) -> Repaired:
+def repair(turns: DataFrame, span_rows: int = SPAN_ROWS) -> Repaired:
     """Least-cost repair of conversations given as ``(conv_id, turn, role, text)`` and, if there, ``copies`` of a row.
 
     Further columns don't matter. Null roles and texts are empty, rows without conv_id are one conversation, rows
@@ -389,7 +390,7 @@ def repair(turns: DataFrame) -> Repaired:
     ranged = _faults(own).repartitionByRange(*order, F.substring("text", 1, 32)).sortWithinPartitions(*order, "text")
     id_type = turns.schema["conv_id"].dataType
     named = T.StructType([T.StructField("conv_id", id_type)])
-    spans = stage(ranged.mapInArrow(_task_spans, _with(named, _SPAN_DDL)), "spans")
+    spans = stage(ranged.mapInArrow(_task_spans(span_rows), _with(named, _SPAN_DDL)), "spans")
 
     cut = spans.filter(~F.col("whole"))
     cells = cut.select(

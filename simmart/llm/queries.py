@@ -20,6 +20,7 @@ from simmart.llm.mixing import mix_sources
 from simmart.llm.substring_dedup import dedup_windows
 from simmart.llm.suffix_dedup import dedup_bytes
 from simmart.llm.token_count import count_tokens
+from simmart.llm.vector_codes import encode_vectors, with_label_error
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,6 +110,13 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_vectors(_table(spark, sf_dir, "embeddings"))
+    return with_label_error(coded.codes).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(coded.digest()).alias("codebooks_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -123,11 +131,50 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_exact_topk,
         op10_ngram_jaccard,
         op11_conversation_repair,
+        op12_vector_codes,
     )
 } | {"pipeline": corpus_pipeline.run}
 
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+
+def _codebook_sql() -> str:
+    """Six rounds and the codes, one CTE each, by distances of all parts to all entries."""
+    nearest = """
+        near{r} AS MATERIALIZED (
+            SELECT vec_id, n, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+            FROM (SELECT vec_id, n, part, entry, list_sum(list_transform(list_zip(v, w), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+                  FROM cut JOIN book{r} USING (part))
+            GROUP BY ALL)"""
+    moved = """
+        mean{r} AS (
+            SELECT part, entry, pos, floor(sum(x)::DOUBLE / count(*))::BIGINT AS x
+            FROM (SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS pos FROM cut JOIN near{r} USING (vec_id, n, part))
+            GROUP BY ALL),
+        book{next} AS MATERIALIZED (
+            SELECT part, entry, coalesce(m, w) AS w
+            FROM book{r} LEFT JOIN (SELECT part, entry, list(x ORDER BY pos) AS m FROM mean{r} GROUP BY ALL) USING (part, entry))"""
+    steps = [nearest.format(r=r) + "," + moved.format(r=r, next=r + 1) for r in range(6)] + [nearest.format(r=6)]
+    return f"""
+        WITH kept AS (
+            SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS n,
+                   list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        cut AS MATERIALIZED (
+            SELECT vec_id, n, part, v[part * (len(v) // 8) + 1:(part + 1) * (len(v) // 8)] AS v FROM kept, range(8) AS p(part)),
+        book0 AS (SELECT part, n - 1 AS entry, v AS w FROM cut WHERE n <= 16),
+        {",".join(steps)},
+        hash AS (
+            SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, pos)) AS codebooks_sha256
+            FROM (SELECT part, entry, unnest(w) AS x, unnest(range(len(w))) AS pos FROM book6)),
+        coded AS (
+            SELECT vec_id, n, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+            FROM near6 GROUP BY vec_id, n)
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+        FROM coded JOIN kept USING (vec_id, n), hash"""
+
+
 ORACLE = {
     "op3_substring_dedup": f"""
         WITH docs AS (
@@ -258,4 +305,5 @@ ORACLE = {
         FROM (SELECT DISTINCT conv_id FROM conversations) o
         LEFT JOIN stats s ON o.conv_id IS NOT DISTINCT FROM s.conv_id
         LEFT JOIN finished f ON o.conv_id IS NOT DISTINCT FROM f.conv_id""",
+    "op12_vector_codes": _codebook_sql(),
 }

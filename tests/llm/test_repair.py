@@ -49,8 +49,8 @@ def cheapest(rows):
     return best
 
 
-def run(spark, rows, **kwargs):
-    found = cr.repair(spark.createDataFrame(rows, **{"schema": SCHEMA} | kwargs))
+def run(spark, rows, schema=SCHEMA, **kwargs):
+    found = cr.repair(spark.createDataFrame(rows, schema), **kwargs)
     digests = {r.conv_id: r.sha256 for r in cr.text_digests(found.spans).collect()}
     turns = {}
     for t in sorted(found.turns.collect(), key=lambda t: (t.conv_id is None, t.conv_id or 0, t.place)):
@@ -99,15 +99,14 @@ def test_dropped_rows_and_extra_columns(spark):
 
 
 @pytest.mark.parametrize("rows_each", [7, 512])
-def test_long_conversation_in_many_spans(spark, monkeypatch, rows_each):
+def test_long_conversation_in_many_spans(spark, rows_each):
     """Spans of several tasks join to what one chart over all rows gives."""
     rng = random.Random(5)
     rows = [(7, t, rng.choice(["system", "user", "assistant", "tool"]), rng.choice(["a.", "b", f"c{t}.", ""])) for t in range(3000)]
     rows += [(8, 0, "user", "hi.")] * 1500
-    monkeypatch.setattr(cr, "SPAN_ROWS", rows_each)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        found, turns, digests = run(spark, rows)
+        found, turns, digests = run(spark, rows, span_rows=rows_each)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     own = [(r, x) for i, _, r, x in sorted(rows, key=lambda r: r[:2]) if i == 7]
