@@ -17,6 +17,7 @@ from simmart.llm.jaccard_join import join_similar
 from simmart.llm.language_id import fit, identify
 from simmart.llm.line_dedup import dedup_lines
 from simmart.llm.mixing import mix_sources
+from simmart.llm.secret_scan import ALLOWED, BASE, CLASSES, KINDS, MIXED, WINDOW, most, scan_secrets, span_list, weights
 from simmart.llm.substring_dedup import dedup_windows
 from simmart.llm.suffix_dedup import dedup_bytes
 from simmart.llm.token_count import count_tokens
@@ -117,6 +118,15 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(_table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(kinds) - F.size(F.array_remove(kinds, k)) for k in range(len(BASE))]
+    return found.select(
+        F.col("id").alias("doc_id"), *(c.cast("long").alias(f"n_{b[0]}") for c, b in zip(counts, BASE)), F.sha2(span_list(F.col("base")), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -132,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_ngram_jaccard,
         op11_conversation_repair,
         op12_vector_codes,
+        op13_secret_scan,
     )
 } | {"pipeline": corpus_pipeline.run}
 
@@ -175,6 +186,60 @@ def _codebook_sql() -> str:
         FROM coded JOIN kept USING (vec_id, n), hash"""
 
 
+
+def _secret_sql() -> str:
+    """Places by what precedes a match; entropy of every window from the counts of its characters."""
+    cases = lambda p: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in p)
+    keys = "|".join(map(cases, ("password", "passwd", "secret", "token", "api_?key")))
+    tail = BASE[0][1].split("))", 1)[1].replace("'", "''")
+    patterns = (f"({keys}){tail}", BASE[1][1], BASE[2][1])
+    tests = tuple(
+        f"length(regexp_extract(v, '{p}', {group})) >= {least}" if group else f"length(v) >= {least}"
+        for p, (_, _, group, least) in zip(patterns, BASE)
+    )
+
+    def found(pattern: str) -> str:
+        return f"""
+            SELECT rn, doc_id, v, gap + list_sum(list_transform(g[1:i], lambda x: length(x)))::BIGINT AS s
+            FROM (SELECT rn, doc_id, g, vs, unnest(vs) AS v, unnest(range(1, len(vs) + 1)) AS i
+                  FROM (SELECT rn, doc_id, regexp_split_to_array(text, '{pattern}') AS g, regexp_extract_all(text, '{pattern}', 0) AS vs FROM docs)) AS m,
+                 LATERAL (SELECT coalesce(list_sum(list_transform(vs[1:i - 1], lambda x: length(x))), 0) AS gap) AS l"""
+
+    base = " UNION ALL ".join(
+        f"SELECT rn, doc_id, {k} AS kind, s, s + length(v) AS e FROM ({found(p)}) WHERE {t}" for k, (p, t) in enumerate(zip(patterns, tests))
+    )
+    allow = " OR ".join("regexp_matches(v, '" + a.replace("(?i:", "(?i)(") + "')" for a in ALLOWED)
+    classes = ", ".join(f"('[{c.alphabet.replace('-', '')}{'-' if '-' in c.alphabet else ''}]{{{WINDOW}}}', {most(WINDOW, c.least)})" for c in CLASSES)
+    names = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
+    said = f"string_agg({names}[kind + 1] || ':' || s || ':' || e, ',' ORDER BY s, kind, e)"
+    return f"""
+        WITH docs AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS text FROM documents),
+        base AS ({base}),
+        candidates AS (
+            SELECT * FROM ({found("[A-Za-z0-9+/_-]{24,}")}) WHERE regexp_matches(v, '{MIXED}') AND NOT ({allow})),
+        windows AS (
+            SELECT rn, doc_id, s + w AS s, substr(v, w + 1, {WINDOW}) AS v
+            FROM (SELECT *, unnest(range(length(v) - {WINDOW - 1})) AS w FROM candidates)),
+        hot AS (
+            SELECT DISTINCT rn, doc_id, s FROM windows, (VALUES {classes}) AS c(p, most)
+            WHERE regexp_full_match(v, p)
+              AND list_sum(list_transform(list_transform(list_distinct(string_split(v, '')), lambda c: length(v) - length(replace(v, c, ''))), lambda n: {weights(WINDOW)}[n + 1])) <= most),
+        chained AS (
+            SELECT *, sum(fresh) OVER (PARTITION BY rn ORDER BY s) AS chain
+            FROM (SELECT *, CASE WHEN s - lag(s) OVER (PARTITION BY rn ORDER BY s) <= {WINDOW} THEN 0 ELSE 1 END AS fresh FROM hot)),
+        spans AS (SELECT rn, doc_id, {len(BASE)} AS kind, min(s) AS s, max(s) + {WINDOW} AS e FROM chained GROUP BY rn, doc_id, chain),
+        every AS (
+            SELECT * FROM base UNION ALL
+            SELECT * FROM spans x WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rn = x.rn AND b.s < x.e AND x.s < b.e)),
+        told AS (
+            SELECT rn, {", ".join(f"count(*) FILTER (kind = {k}) AS n_{n}" for k, (n, *_) in enumerate(BASE))},
+                   {said} FILTER (kind < {len(BASE)}) AS base, {said} AS spans
+            FROM every GROUP BY rn)
+        SELECT doc_id, {", ".join(f"coalesce(n_{n}, 0) AS n_{n}" for n, *_ in BASE)},
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM docs LEFT JOIN told USING (rn)"""
+
+
 ORACLE = {
     "op3_substring_dedup": f"""
         WITH docs AS (
@@ -306,4 +371,5 @@ ORACLE = {
         LEFT JOIN stats s ON o.conv_id IS NOT DISTINCT FROM s.conv_id
         LEFT JOIN finished f ON o.conv_id IS NOT DISTINCT FROM f.conv_id""",
     "op12_vector_codes": _codebook_sql(),
+    "op13_secret_scan": _secret_sql(),
 }
