@@ -345,18 +345,17 @@ def damage(turns: DataFrame) -> DataFrame:
 
 def _faults(turns: DataFrame) -> DataFrame:
     """Distinct rows with their copies and the fault of the first copy."""
-    rows = turns.groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies"))
     # lengths before the parts: no two rows share a key
-    parts = F.concat_ws(":", F.length("role").cast("string"), "role", "text")
     owner = F.when(F.col("conv_id").isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col("conv_id").cast("string")))
-    keyed = rows.withColumn("key", F.sha2(F.concat(F.length(owner).cast("string"), F.lit(":"), owner, F.lit(":"), parts), 256))
+    said = F.concat(F.length(owner), F.lit(":"), owner, F.lit(":"), F.length("role"), F.lit(":"), "role", "text")
+    keyed = turns.withColumn("key", F.unhex(F.sha2(said, 256)))
     blank = ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     order = F.struct(F.col("turn").isNotNull(), "turn")
     repeated = (
         keyed.filter((F.col("copies") > 0) & ~blank)
         .groupBy("key")
-        .agg(F.min(order).alias("earliest"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
+        .agg(F.min(order).alias("earliest"), F.max(order).alias("latest"))
+        .filter(~F.col("earliest").eqNullSafe(F.col("latest")))
         .select("key", "earliest")
     )
     fault = (
@@ -365,7 +364,8 @@ def _faults(turns: DataFrame) -> DataFrame:
         .when(~F.col("text").rlike(r"[.!?][\x20\x09-\x0D]*\z"), F.lit(TRUNCATED))
         .otherwise(F.lit(SOUND))
     )
-    return keyed.join(repeated, "key", "left").select(
+    rows = keyed.groupBy("key", "conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies"))
+    return rows.join(repeated, "key", "left").select(
         "conv_id", "turn", "role", "text", F.octet_length("text").alias("size"), fault.alias("fault"), "copies"
     )
 
