@@ -33,7 +33,7 @@ from simmart.session import stage
 
 PARTS, ENTRIES, ROUNDS, SCALE = 8, 16, 6, 4096
 # Components of one chunk, and points that a leaf may have.
-CHUNK_VALUES, LEAF = 1 << 18, 48
+CHUNK_VALUES, LEAF = 1 << 18, 96
 # More labels than this are joined instead of broadcast.
 BROADCAST_LABELS = 50_000
 
