@@ -7,6 +7,7 @@ a text: control strings inside texts are broken up by a backslash, which reading
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -82,7 +83,16 @@ def _field(name: str, kind: T.DataType) -> str:
 
 
 def fingerprint(layout: Column) -> Column:
-    return F.when(layout.isNotNull(), F.xxhash64(layout))
+    """The hash of the tree of field names of a record; null without one."""
+    return F.sha2(layout, 256)
+
+
+def print_of(layout: str) -> str:
+    """The same of a known layout."""
+    return hashlib.sha256(layout.encode()).hexdigest()
+
+
+BY_PRINT = {print_of(m.layout): m for m in MAPPINGS}
 
 
 def json_layout(record: Column) -> Column:
@@ -92,15 +102,13 @@ def json_layout(record: Column) -> Column:
 
 
 def frame_mapping(df: DataFrame) -> Mapping | None:
-    """The mapping whose fields the frame has; columns beyond them don't matter. The one with most fields wins."""
-    best = None
-    for mapping in sorted(MAPPINGS, key=lambda m: -len(m.layout)):
-        names = _top_level(mapping.layout)
+    """The mapping of the fingerprint of a frame's fields; columns beyond a mapping's don't matter. The one with most
+    fields wins."""
+    for names in sorted({frozenset(_top_level(m.layout)) for m in MAPPINGS}, key=lambda n: (-len(n), sorted(n))):
         own = T.StructType([f for f in df.schema if f.name in names])
-        if _layout(own) == mapping.layout:
-            best = mapping
-            break
-    return best
+        if (found := BY_PRINT.get(print_of(_layout(own)))) is not None:
+            return found
+    return None
 
 
 def _top_level(layout: str) -> set[str]:
@@ -166,7 +174,7 @@ def canonical_json(records: DataFrame, id_col: str, json_col: str) -> tuple[Data
     turns = F.lit(None).cast(_TURNS)
     for mapping in MAPPINGS[1:]:
         own = _turns(mapping, lambda path, kind: F.try_variant_get(variant, f"$.{path}", kind)).cast(_TURNS)
-        turns = F.when(F.col("_print") == fingerprint(F.lit(mapping.layout)), own).otherwise(turns)
+        turns = F.when(F.col("_print") == print_of(mapping.layout), own).otherwise(turns)
     mapped = known.withColumn("_turns", turns)
     rejects = mapped.filter(F.col("_turns").isNull()).select(
         F.col(id_col), F.col("_layout").alias("layout"), F.col("_print").alias("fingerprint")
@@ -245,8 +253,22 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(formatted: Column, spans: Column) -> Column:
-    """The texts under the loss mask as an array."""
-    return F.transform(
-        spans,
-        lambda s: unescape(F.substring(formatted, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))),
-    )
+    """The texts under the loss mask as an array.
+
+    In UTF-32 every code point has four bytes, so a span is a range of bytes and is read without a look at what
+    precedes it. Each piece gets a byte order mark of its own, which decoding takes away again.
+    """
+    mark = F.lit(b"\x00\x00\xfe\xff")
+
+    def read(raw: Column) -> Column:
+        return F.transform(
+            spans,
+            lambda s: unescape(
+                F.decode(
+                    F.concat(mark, F.substring(raw, (4 * s["start"] + 1).cast("int"), (4 * (s["end"] - s["start"])).cast("int"))),
+                    "UTF-32",
+                )
+            ),
+        )
+
+    return F.get(F.transform(F.array(F.encode(formatted, "UTF-32")), read), F.lit(0))
