@@ -128,9 +128,15 @@ def nearest_codes(
     index = stage(index.select("segment", "low", "cut", "code"), "index")
 
     own = queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(code_col).cast("long").alias("code"))
-    waiting = stage(own.dropna().distinct().withColumn("worst", F.lit(BITS)), "waiting")
+    # Neighbours that a query can have: k, or with at most k ids all but its own.
+    ids = rows.select("id").distinct().limit(k + 1)
+    total = ids.count()
+    own, wanted = own.dropna().distinct(), F.lit(k)
+    if total <= k:
+        own = own.join(F.broadcast(ids.withColumnRenamed("id", "_own")), F.col("query_id") == F.col("_own"), "left")
+        wanted = F.when(F.col("_own").isNull(), total).otherwise(total - 1)
+    waiting = stage(own.select("query_id", "code", wanted.alias("wanted"), F.lit(BITS).alias("worst")), "waiting")
     best = None
-    total = rows.select("id").distinct().limit(k + 2).count()
     for r in range(width + 1):
         reach = _reach(waiting, parts, segments, width, low, r)
         hits = (
@@ -152,10 +158,10 @@ def nearest_codes(
         kth = best_rows.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("kth"))
         covered = segments * (r + 1) - 1
         state = waiting.drop("worst").join(kth, "query_id", "left")
-        full = F.coalesce(F.col("n") >= min(k, max(0, total - 1)), F.lit(False))
+        full = F.coalesce("n", F.lit(0)) >= F.col("wanted")
         left = state.filter(~(full & (F.coalesce("kth", F.lit(BITS)) <= covered)))
         waiting = stage(
-            left.select("query_id", "code", F.when(full, F.col("kth")).otherwise(BITS).alias("worst")), "waiting"
+            left.select("query_id", "code", "wanted", F.when(full, F.col("kth")).otherwise(BITS).alias("worst")), "waiting"
         )
         if waiting.isEmpty():
             break
