@@ -82,12 +82,13 @@ def in_chunks(
         bounds = sorted(set(seen["bounds"][step - 1 :: step]))
         parts = max(1, math.ceil(chunks / (len(bounds) + 1)))
         leaf = _tree(key, bounds, 0, len(bounds))
-        edges = [seen["low"], *bounds, seen["high"] + 1]
         if parts > 1:
-            low = F.element_at(F.array(*map(F.lit, edges)), leaf + 1)
-            width = F.element_at(F.array(*map(F.lit, edges)), leaf + 2) - low
-            inner = F.least(F.lit(parts - 1), F.floor((key - low) * parts / F.greatest(width, F.lit(1))))
-            leaf = leaf * parts + inner.cast("int")
+            # doubles keep the order of ids, and no difference of two ids is too large for them
+            edges = F.array(*(F.lit(float(e)) for e in (seen["low"], *bounds, seen["high"])))
+            low = F.element_at(edges, leaf + 1)
+            width = F.element_at(edges, leaf + 2) - low
+            inner = F.floor((key.cast("double") - low) / F.greatest(width, F.lit(1.0)) * parts)
+            leaf = leaf * parts + F.greatest(F.lit(0), F.least(F.lit(parts - 1), inner)).cast("int")
         chunk = leaf
     else:
         chunk = F.pmod(F.xxhash64(key), F.lit(chunks))
