@@ -280,11 +280,13 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", switch: floa
     letters = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
     # A letter that only Spark's version of Unicode knows makes no word: the first language by name.
     first = F.lit(model.langs[0] if model.langs else UNKNOWN)
-    named = docs.withColumn("_found", found).withColumn("_letters", letters)
+    # the row stays in a struct, so that no column of the caller can have a name that is used here
+    named = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), found.alias("found"), letters.alias("letters"))
     columns = {
-        "lang_pred": F.when(~F.col("_letters"), UNKNOWN).when(F.col("_found.score") == 0, first).otherwise(F.col("_found.lang_pred")),
-        "score": F.when(F.col("_letters"), F.col("_found.score")).otherwise(0.0),
+        "lang_pred": F.when(~F.col("letters"), UNKNOWN).when(F.col("found.score") == 0, first).otherwise(F.col("found.lang_pred")),
+        "score": F.when(F.col("letters"), F.col("found.score")).otherwise(0.0),
     }
     if spans:
-        columns["spans"] = F.col("_found.spans")
-    return named.withColumns(columns).drop("_found", "_letters")
+        columns["spans"] = F.col("found.spans")
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c not in columns]
+    return named.select(*kept, *(column.alias(c) for c, column in columns.items()))
