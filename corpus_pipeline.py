@@ -30,12 +30,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that three or more documents share go from all but the last; ``n_chars`` follows the new text."""
     found = dedup_lines(docs, carry=tuple(docs.columns))
-    kept = found.select("carried.*", F.col("kept_text").alias("_kept"), "n_dropped")
-    changed = {"text": F.when(F.col("n_dropped") > 0, F.col("_kept")).otherwise(F.col("text"))}
+    own, changed = {c: F.col("carried")[c] for c in docs.columns}, F.col("n_dropped") > 0
+    own["text"] = F.when(changed, F.col("kept_text")).otherwise(own["text"])
     if "n_chars" in docs.columns:
-        size = F.length("_kept").cast(docs.schema["n_chars"].dataType)
-        changed["n_chars"] = F.when(F.col("n_dropped") > 0, size).otherwise(F.col("n_chars"))
-    return kept.withColumns(changed).select(*docs.columns)
+        size = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
+        own["n_chars"] = F.when(changed, size).otherwise(own["n_chars"])
+    return found.select(*(column.alias(c) for c, column in own.items()))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
