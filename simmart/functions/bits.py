@@ -20,6 +20,11 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def int_array(values: list[int]) -> Column:
+    """A constant array of many numbers: one text that Spark turns into a constant, not a literal for each."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+
+
 def bits_encode(on: Column, n_bits: int = N_BITS) -> Column:
     """Positions to text: the gap before each position is a run of zeros."""
 

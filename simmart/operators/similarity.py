@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from simmart.functions.bits import malformed
 from simmart.functions.packing import pack
+from simmart.operators.postings import join_postings
 from simmart.schemas import N_BITS, PAIRS, TOP_K
 from simmart.session import empty, scratch_path, stage
 
@@ -36,6 +37,8 @@ PASS_BLOCKS = 8
 MERGE_PARTS = 64
 # Rows a task returns per Arrow batch.
 OUT_ROWS = 20_000
+# Rows of either side of a pair of blocks that meet by shuffle: for top-k, and where all scores are handed on.
+BLOCK_ROWS, PAIR_ROWS = 50_000, 2_000
 
 SOURCE, TARGET, SCORE = "source_chembl_id", "target_chembl_id", "tanimoto_similarity_score"
 FLAG = "has_duplicates_of_last_largest_score"
@@ -225,45 +228,91 @@ def _task_all_pairs(shared, n_bits: int, empty_score: float, include_self: bool,
     return run
 
 
-def _blocks(targets: DataFrame, max_block: int) -> Iterator[pa.Table]:
-    """Targets in parts of about ``max_block`` rows, small enough to broadcast."""
-    # Exact copies of a target change nothing. Several structures under one name all count.
+def _distinct_targets(targets: DataFrame) -> DataFrame:
+    """``(id, fp, floor)``. Exact copies of a target change nothing. Several structures under one name all count."""
     floor = F.col("floor") if "floor" in targets.columns else F.lit(0.0)
-    distinct = targets.select(F.col(TARGET).cast("string").alias("id"), F.col(_form(targets)).alias("fp"), floor.alias("floor"))
-    distinct = distinct.distinct()
-    head = distinct.limit(max_block + 1).toArrow()
-    if head.num_rows <= max_block:
-        if head.num_rows:
-            yield head
-        return
-    stored = stage(distinct, "targets")
-    # Cut by name and structure: a name with very many structures does not end up in one part.
-    parts = -(-stored.count() // max_block)
-    path = scratch_path(targets.sparkSession, "blocks")
-    part = F.pmod(F.xxhash64("id", "fp"), F.lit(parts))
-    stored.withColumn("part", part).repartition("part").write.partitionBy("part").parquet(path)
-    # A folder for each part: a block reads its own rows only.
-    cut = targets.sparkSession.read.schema(stored.schema.add("part", "long")).parquet(path)
-    for number in range(parts):
-        yield cut.filter(F.col("part") == number).drop("part").toArrow()
-
-
-def _scan(targets: DataFrame, fps: DataFrame, max_block: int, n_bits: int, task, min_score: float = 0.0) -> list[DataFrame]:
-    """One pass over the fingerprints for every ``PASS_BLOCKS`` blocks of targets."""
-    spark = fps.sparkSession
-    ready = (block for part in _blocks(targets, max_block) if (block := _target_block(part, n_bits))["names"])
-    done = []
+    named = targets.select(F.col(TARGET).cast("string").alias("id"), F.col(_form(targets)).alias("fp"), floor.alias("floor"))
+    return named.distinct()
+
+
+class _Blocks:
+    """Targets in parts of about ``max_block`` rows, small enough to broadcast.
+
+    A name lies in one part, unless more than a quarter of a part's rows share it: then names are ``split``.
+    """
+
+    def __init__(self, targets: DataFrame, max_block: int):
+        distinct = _distinct_targets(targets)
+        self.split, self.parts = False, 1
+        self.head = distinct.limit(max_block + 1).toArrow()
+        if self.head.num_rows <= max_block:
+            return
+        stored = stage(distinct, "targets")
+        self.split = not stored.groupBy("id").count().filter(F.col("count") > max(1, max_block // 4)).isEmpty()
+        self.parts = -(-stored.count() // max_block)
+        path = scratch_path(targets.sparkSession, "blocks")
+        part = F.pmod(F.xxhash64("id", "fp") if self.split else F.xxhash64("id"), F.lit(self.parts))
+        stored.withColumn("part", part).repartition("part").write.partitionBy("part").parquet(path)
+        # A folder for each part: a block reads its own rows only.
+        self.cut = targets.sparkSession.read.schema(stored.schema.add("part", "long")).parquet(path)
+
+    def tables(self) -> Iterator[pa.Table]:
+        if self.parts == 1:
+            yield self.head
+            return
+        for number in range(self.parts):
+            yield self.cut.filter(F.col("part") == number).drop("part").toArrow()
+
+
+def _scan(blocks: _Blocks, parts_of_fps: list[DataFrame], n_bits: int, task, min_score: float = 0.0) -> list[list[DataFrame]]:
+    """One pass over the fingerprints for every ``PASS_BLOCKS`` blocks of targets, for each of the given parts of them."""
+    context = parts_of_fps[0].sparkSession.sparkContext
+    ready = (block for table in blocks.tables() if (block := _target_block(table, n_bits))["names"])
+    done: list[list[DataFrame]] = [[] for _ in parts_of_fps]
     while own := list(itertools.islice(ready, PASS_BLOCKS)):
-        sources = fps
-        if min_score > 0 and "pop" in fps.columns:
-            # Sources with too few or too many on-bits for any of these targets are left in the files.
-            fewest, most = (f(f(block["pops"]) for block in own) for f in (min, max))
-            sources = fps.filter(F.col("pop").between(int(fewest * min_score), math.ceil(most / min_score)))
-        shared = [spark.sparkContext.broadcast(block) for block in own]
-        done.append(_with_fingerprint(sources, "chembl_id").mapInArrow(task(shared), PAIRS))
+        shared = [context.broadcast(block) for block in own]
+        for frames, fps in zip(done, parts_of_fps):
+            sources = fps
+            if min_score > 0 and "pop" in fps.columns:
+                # Sources with too few or too many on-bits for any of these targets are left in the files.
+                fewest, most = (f(f(block["pops"]) for block in own) for f in (min, max))
+                sources = fps.filter(F.col("pop").between(int(fewest * min_score), math.ceil(most / min_score)))
+            frames.append(_with_fingerprint(sources, "chembl_id").mapInArrow(task(shared), PAIRS))
     return done
 
 
+class _Held:
+    """A block that is already where it is needed, in place of a broadcast."""
+
+    def __init__(self, value: dict):
+        self.value = value
+
+
+def _pair_blocks(targets: DataFrame, fps: DataFrame, rows: int, n_bits: int, task) -> DataFrame:
+    """Blocks of targets and blocks of fingerprints, about ``rows`` each, meet by shuffle: no target passes the driver.
+
+    Every row travels once for each block of the other side.
+    """
+    wanted = stage(_distinct_targets(targets).dropna(), "targets")
+    sources = stage(_with_fingerprint(fps, "chembl_id").dropna().distinct(), "sources")
+    n_left, n_right = (max(1, -(-df.count() // rows)) for df in (sources, wanted))
+
+    def dealt(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
+        return df.select("*", F.pmod(F.xxhash64("id", "fp"), F.lit(n_own)).cast("int").alias(own), every.alias(other))
+
+    left, right = dealt(sources, "s", n_left, "t", n_right), dealt(wanted, "t", n_right, "s", n_left)
+
+    def meet(_, own: pa.Table, block: pa.Table) -> pa.Table:
+        found = []
+        if own.num_rows and block.num_rows:
+            held = _Held(_target_block(block.select(["id", "fp", "floor"]), n_bits))
+            found = list(task([held])(iter(own.select(["id", "fp"]).combine_chunks().to_batches(max_chunksize=10_000))))
+        return pa.Table.from_batches(found, _out([], [], []).schema)
+
+    return left.groupBy("s", "t").cogroup(right.groupBy("s", "t")).applyInArrow(meet, PAIRS)
+
+
 def _union(spark: SparkSession, frames: list[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, frames) if frames else empty(spark, PAIRS)
 
@@ -272,6 +321,13 @@ def _best_per_pair(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("chembl_id", TARGET).agg(F.max(SCORE).alias(SCORE)).select(*PAIRS.names)
 
 
+def repeated_ids(df: DataFrame, id_col: str) -> DataFrame | None:
+    """Ids of more than one row, or nothing when there are none. Only ids are shuffled, and counted before that."""
+    counts = df.select(F.col(id_col).cast("string").alias("id")).dropna().groupBy("id").count()
+    found = stage(counts.filter("count > 1").select("id"), "repeated_ids")
+    return None if found.isEmpty() else found
+
+
 def score_targets(
     targets: DataFrame,
     fps: DataFrame,
@@ -281,23 +337,42 @@ def score_targets(
     n_bits: int = N_BITS,
     max_block: int = MAX_BLOCK_TARGETS,
     min_score: float = 0.0,
+    strategy: str = "scan",
 ) -> DataFrame:
     """Every score of at least ``min_score`` as ``(chembl_id, tanimoto_similarity_score, target_chembl_id)``.
 
-    The result has targets x fingerprints rows by definition and streams from the scan; use it to keep all scores
-    (``write_pairs``). For the best k use ``score_top_k``, which never builds these rows. Copies of an id are one
-    source with its best score. With ``min_score`` the number of on-bits rules out most rows before they are compared,
-    and a ``pop`` column of ``fps``, as ``write_fingerprints`` stores it with words, is filtered in the files.
+    The result has targets x fingerprints rows by definition; use it to keep all scores (``write_pairs``). For the best
+    k use ``score_top_k``, which never builds these rows. Copies of an id are one source with its best score. Three
+    strategies give the same rows:
+
+    * ``scan``: blocks of targets are broadcast, pairs stream from the scan of ``fps``. Pairs are shuffled only for
+      ids that ``fps`` holds more than once. With ``min_score`` the number of on-bits rules out most rows before they
+      are compared, and a ``pop`` column of ``fps``, as ``write_fingerprints`` stores it with words, is filtered in the
+      files.
+    * ``blocks``: blocks of targets and of fingerprints meet by shuffle, for as many targets as fingerprints.
+    * ``postings``: both sides are indexed by their rarest on-bits and joined on these; needs a ``min_score`` above 0.
+      For high ones it compares few pairs (``simmart.operators.postings``).
     """
-    frames = _scan(
-        targets.select(TARGET, _form(targets)),
-        fps,
-        max_block,
-        n_bits,
-        lambda shared: _task_all_pairs(shared, n_bits, empty_score, include_self, keep_zero, min_score),
-        min_score,
-    )
-    return _best_per_pair(_union(fps.sparkSession, frames))
+    named = targets.select(TARGET, _form(targets))
+    if strategy == "postings":
+        return join_postings(named, fps, min_score, empty_score, include_self, n_bits)
+    task = lambda shared: _task_all_pairs(shared, n_bits, empty_score, include_self, keep_zero, min_score)
+    if strategy == "blocks":
+        return _best_per_pair(_pair_blocks(named, fps, min(max_block, PAIR_ROWS), n_bits, task))
+    if strategy != "scan":
+        raise ValueError("strategy is 'scan', 'blocks' or 'postings'")
+    blocks = _Blocks(named, max_block)
+    again = None if blocks.split else repeated_ids(fps, "chembl_id")
+    if blocks.split:
+        (frames,) = _scan(blocks, [fps], n_bits, task, min_score)
+        return _best_per_pair(_union(fps.sparkSession, frames))
+    if again is None:
+        (frames,) = _scan(blocks, [fps], n_bits, task, min_score)
+        return _union(fps.sparkSession, frames)
+    same = F.col("chembl_id").cast("string") == F.col("id")
+    once, copies = (fps.join(again, same, how).select(*fps.columns) for how in ("left_anti", "left_semi"))
+    plain, merged = _scan(blocks, [once, copies], n_bits, task, min_score)
+    return _union(fps.sparkSession, [*plain, _best_per_pair(_union(fps.sparkSession, merged))])
 
 
 def score_top_k(
@@ -310,6 +385,7 @@ def score_top_k(
     n_bits: int = N_BITS,
     max_block: int = MAX_BLOCK_TARGETS,
     seed: DataFrame | None = None,
+    strategy: str = "scan",
 ) -> DataFrame:
     """The k best sources per target with the tie flag; the same rows as ``top_k_similar(score_targets(...))``.
 
@@ -318,13 +394,18 @@ def score_top_k(
 
     ``seed`` is any part of ``fps``, such as one of its files. Its k-th scores are lower bounds of the final ones, so
     the tasks of the whole scan start from them and hand on few rows, not k for each target. The result is the same.
+    ``strategy="blocks"`` lets blocks of targets and of fingerprints meet by shuffle instead of broadcasts: for as many
+    targets as fingerprints, none of which pass the driver.
     """
+    if strategy not in ("scan", "blocks"):
+        raise ValueError("strategy is 'scan' or 'blocks'")
     keep = k + 1 if tie_mode == "boundary" else k
 
     def candidates(targets: DataFrame, fps: DataFrame) -> DataFrame:
-        frames = _scan(
-            targets, fps, max_block, n_bits, lambda shared: _task_top_k(shared, n_bits, keep, empty_score, include_self)
-        )
+        task = lambda shared: _task_top_k(shared, n_bits, keep, empty_score, include_self)
+        if strategy == "blocks":
+            return _best_per_pair(_pair_blocks(targets, fps, min(BLOCK_ROWS, max_block), n_bits, task))
+        (frames,) = _scan(_Blocks(targets, max_block), [fps], n_bits, task)
         # One pass at a time; a few rows per target remain of each.
         stored = [stage(frame, "pass") for frame in frames] if len(frames) > 1 else frames
         return _best_per_pair(_union(fps.sparkSession, stored))

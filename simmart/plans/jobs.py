@@ -59,11 +59,17 @@ def build_fingerprints(
     fn: BatchFunction | None = None,
     n_bits: int = N_BITS,
     layout: str = "text",
+    spread: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Fingerprints of a staged structure table and the unusable rows; written to ``directory`` when given.
 
+    ``spread`` deals the structures to so many tasks before they are folded. It shuffles whole structures and is for
+    tables in few, large row groups, which too few tasks would read; without it the splits of the scan decide.
+
     ``fn`` computes on-bits with a user library, a batch at a time; otherwise ``features`` is folded with built-in functions.
     """
+    if spread:
+        structures = structures.repartition(spread)
     if fn is not None:
         fps, rejects = fingerprint_with(structures, "chembl_id", "canonical_smiles", fn, n_bits)
     else:

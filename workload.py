@@ -65,8 +65,12 @@ def structures(spark, sf_dir) -> DataFrame:
     return docs.select(doc_id().alias("chembl_id"), F.col("text").alias("canonical_smiles"))
 
 
+#: Into how many parts the texts of ``documents`` are dealt before they are folded: for a file of one row group.
+SPREAD: int | None = None
+
+
 def doc_fps(spark, sf_dir) -> DataFrame:
-    return sm.build_fingerprints(structures(spark, sf_dir))[0]
+    return sm.build_fingerprints(structures(spark, sf_dir), spread=SPREAD)[0]
 
 
 def benchmark_targets(spark, sf_dir) -> DataFrame:
@@ -348,6 +352,44 @@ def q_pairs_above(spark, sf_dir):
     return sm.score_targets(target_fps(spark, sf_dir), sm.scan_fingerprints(spark, folder), min_score=0.1)
 
 
+def q_pairs_postings(spark, sf_dir):
+    """All documents against each other: scores of at least 0.8 by posting lists of rare bits."""
+    fps = stage(doc_fps(spark, sf_dir), "fps")
+    own = fps.withColumnRenamed("chembl_id", TARGET)
+    return sm.score_targets(own, fps, include_self=False, min_score=0.8, strategy="postings")
+
+
+def q_pairs_blocks(spark, sf_dir):
+    """All scores by blocks of targets and of fingerprints that meet by shuffle."""
+    return sm.score_targets(target_fps(spark, sf_dir), doc_fps(spark, sf_dir), strategy="blocks")
+
+
+def q_top10_blocks(spark, sf_dir):
+    """As many targets as fingerprints: the ten best of every document, none of which passes the driver."""
+    fps = stage(doc_fps(spark, sf_dir), "fps")
+    own = fps.withColumnRenamed("chembl_id", TARGET)
+    return sm.score_top_k(own, fps, strategy="blocks", include_self=False)
+
+
+def q_top10_bands(spark, sf_dir):
+    """The ten best by a search that goes outward over a store cut by number of on-bits."""
+    folder = scratch_path(spark, "bands")
+    sm.write_bands(doc_fps(spark, sf_dir), folder, rows_per_band=100)
+    return sm.search_bands(spark, target_fps(spark, sf_dir), folder)[0]
+
+
+def q_top10_loads(spark, sf_dir):
+    """Fingerprints arrive in three loads; half of the targets come with the second. The last load runs twice."""
+    folder = scratch_path(spark, "state")
+    fps = stage(doc_fps(spark, sf_dir).withColumn("load", F.pmod(F.crc32("chembl_id"), F.lit(3))), "fps")
+    targets = stage(target_fps(spark, sf_dir), "targets")
+    half = targets.filter(F.crc32(F.col(TARGET)) % 2 == 0)
+    for load in (0, 1, 2, 2):
+        own, before = (fps.filter(c).drop("load") for c in (F.col("load") == load, F.col("load") < load))
+        sm.update_top(spark, targets if load else half, own, folder, load, earlier=before)
+    return sm.read_top(spark, folder, tie_mode="boundary")
+
+
 def q_pairs_by_target(spark, sf_dir):
     """Store one folder of scores per target, read back, rank."""
     folder = scratch_path(spark, "pairs")
@@ -906,6 +948,21 @@ FROM placed JOIN cut ON t = target_chembl_id WHERE place <= 10""",
     "top10_in_passes": f"WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql()} {TOP_OUT}",
     "pairs_above": f"""WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}
 SELECT source_chembl_id AS chembl_id, score AS {SCORE}, target_chembl_id FROM pairs WHERE score >= 0.1""",
+    "pairs_postings": f"""WITH {BITS}, {pairs_sql('doc_bits', 'doc_bits')}
+SELECT source_chembl_id AS chembl_id, score AS {SCORE}, target_chembl_id FROM pairs
+WHERE score >= 0.8 AND source_chembl_id <> target_chembl_id""",
+    "pairs_blocks": f"""WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}
+SELECT source_chembl_id AS chembl_id, score AS {SCORE}, target_chembl_id FROM pairs""",
+    "top10_blocks": f"""WITH {BITS}, {pairs_sql('doc_bits', 'doc_bits', 'every')},
+pairs AS (SELECT * FROM every WHERE source_chembl_id <> target_chembl_id), {top_sql()} {TOP_OUT}""",
+    "top10_bands": f"WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql()} {TOP_OUT}",
+    "top10_loads": f"""WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')},
+placed AS (SELECT *, row_number() OVER (PARTITION BY target_chembl_id ORDER BY score DESC, source_chembl_id) AS place,
+  rank() OVER (PARTITION BY target_chembl_id ORDER BY score DESC) AS r FROM pairs),
+cut AS (SELECT target_chembl_id AS t, max(CASE WHEN place = 10 THEN score END) AS kth,
+  count(CASE WHEN r <= 10 THEN 1 END) AS within FROM placed GROUP BY 1)
+SELECT source_chembl_id, target_chembl_id, score AS {SCORE}, coalesce(within > 10 AND score = kth, FALSE) AS {FLAG}
+FROM placed JOIN cut ON t = target_chembl_id WHERE place <= 10""",
     "pairs_by_target": f"WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql()} {TOP_OUT}",
     "fact_build": f"WITH {FIRST} SELECT source_chembl_id, target_chembl_id, CAST({SCORE} AS DOUBLE) AS {SCORE}, {FLAG} FROM fact",
     "dim_build": f"WITH {FIRST} SELECT {DIM_OUT} FROM dim",
