@@ -13,7 +13,7 @@ from simmart.operators.fingerprint import (
     text_tokens,
     token_ngrams,
 )
-from simmart.operators.mart import append_mart, load_mart
+from simmart.operators.mart import append_mart, append_mart_once, load_mart
 from simmart.operators.neighborhood import fold_features, neighborhood_features
 from simmart.operators.records import split_molecules
 from simmart.operators.similarity import score_targets, score_top_k, split_fingerprints, top_k_similar
@@ -36,6 +36,6 @@ from simmart.sources.tables import (
     write_pairs,
 )
 from simmart.sources.targets import read_targets
-from simmart.streaming.arrivals import stream_targets
+from simmart.streaming.arrivals import await_month, month_targets, stream_targets
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from simmart.operators.checks import TableRules, check_constraints, distinct_by_key
 from simmart.schemas import DIMENSION, FACT, SCORE
 from simmart.session import stage
-from simmart.sources.tables import append_table, table_or_empty
+from simmart.sources.tables import append_table, finished, read_table, table_or_empty
 
 SOURCE, TARGET = "source_chembl_id", "target_chembl_id"
 
@@ -73,7 +73,7 @@ def append_mart(
 
     The new rows are stored before the first append, so no append changes what the next one reads. If the job dies in
     between, running it again with ``new_pairs`` completes the load; ``new_sources`` would take the dimension rows of
-    the lost run for known sources.
+    the lost run for known sources: use ``append_mart_once`` there.
     """
     spark = top.sparkSession
     dim, fact = table_or_empty(spark, dim_table, DIMENSION), table_or_empty(spark, fact_table, FACT)
@@ -82,3 +82,44 @@ def append_mart(
     append_table(new_dim, dim_table)
     append_table(new_fact, fact_table)
     return rejects
+
+
+def append_mart_once(
+    top: DataFrame,
+    dictionary: DataFrame,
+    props: DataFrame,
+    dim_table: str,
+    fact_table: str,
+    ledger: str,
+    batch: str,
+    fact_filter: str = "new_pairs",
+) -> DataFrame:
+    """``append_mart`` of a named batch, such as a month or a file, exactly once in any ``fact_filter``; the rejects.
+
+    What a batch adds is decided once and kept in a folder of the ledger before anything is appended. A run that finds a decided
+    batch appends the decided rows that the tables lack, and a run that finds a finished one appends nothing, whatever
+    the tables hold by then. ``dim_table`` and ``fact_table`` are keyed, so a row is there or not, wherever a run died. One
+    run of a batch at a time.
+    """
+    spark = top.sparkSession
+    kept = f"{ledger.rstrip('/')}/batch={batch}"
+    places = {name: f"{kept}/{name}" for name in ("dim", "fact", "rejects")}
+
+    def mark(step: str) -> None:
+        spark.range(1).write.mode("overwrite").parquet(f"{kept}/{step}")
+
+    if not finished(spark, f"{kept}/decided"):
+        dim, fact = table_or_empty(spark, dim_table, DIMENSION), table_or_empty(spark, fact_table, FACT)
+        for name, rows in zip(places, load_mart(top, dictionary, props, dim, fact, fact_filter)):
+            rows.write.mode("overwrite").parquet(places[name])
+        mark("decided")
+    if not finished(spark, f"{kept}/loaded"):
+        for name, table, schema, key in (
+            ("dim", dim_table, DIMENSION, ["chembl_id"]),
+            ("fact", fact_table, FACT, [SOURCE, TARGET]),
+        ):
+            there = table_or_empty(spark, table, schema).select(*key)
+            missing = read_table(spark, places[name], schema).join(there, key, "left_anti").select(*schema.names)
+            append_table(stage(missing, name), table)
+        mark("loaded")
+    return read_table(spark, places["rejects"])

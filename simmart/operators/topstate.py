@@ -25,7 +25,7 @@ from simmart.operators.similarity import (
 )
 from simmart.schemas import N_BITS, PAIRS, TOP_K
 from simmart.session import empty, stage
-from simmart.sources.tables import CODEC
+from simmart.sources.tables import CODEC, finished
 
 
 def stored_loads(spark: SparkSession, location: str) -> list[int]:
@@ -37,8 +37,7 @@ def stored_loads(spark: SparkSession, location: str) -> list[int]:
     found = []
     for status in files.listStatus(folder):
         name = status.getPath().getName()
-        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("load=") and files.exists(done):
+        if name.startswith("load=") and finished(spark, f"{location}/{name}"):
             found.append(int(name.removeprefix("load=")))
     return sorted(found)
 

@@ -66,6 +66,12 @@ def scan_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
     return files.select("chembl_id", "morgan_fingerprint")
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark job has written this folder to the end."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 def append_table(df: DataFrame, location: str) -> None:
     writer = df.write.mode("append").option("compression", CODEC)
     writer.parquet(location) if is_path(location) else writer.saveAsTable(location)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
+import time
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from simmart.functions.text import month_of_file
 from simmart.schemas import ID_PREFIX
+from simmart.sources.tables import finished
 from simmart.sources.targets import empty_files, no_targets, read_targets
 
 OnFile = Callable[[DataFrame, DataFrame, object], None]
@@ -55,3 +59,60 @@ def stream_targets(
     writer = arrivals.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=poll) if poll else writer.trigger(availableNow=True)
     return writer.start()
+
+
+WAIT, POLL = 18 * 3600, 3600
+
+
+class Arrival(NamedTuple):
+    """The file of a month, or None when it did not come in time, and the seconds spent waiting."""
+
+    path: str | None
+    waited: float
+
+    @property
+    def gave_up(self) -> bool:
+        return self.path is None
+
+
+def await_month(
+    spark: SparkSession,
+    directory: str,
+    month: datetime.date,
+    timeout: float = WAIT,
+    poll: float = POLL,
+    name: str = "data_%m_%Y.csv",
+    clock: Callable[[], float] = time.monotonic,
+    sleep: Callable[[float], None] = time.sleep,
+) -> Arrival:
+    """Wait for the target file of one month, looking every ``poll`` seconds, at most ``timeout`` seconds in all.
+
+    The last look is at the deadline. ``name`` is the file's name in the form of ``strftime`` and may hold wildcards;
+    of several files the first by name counts. A folder that Spark writes counts when it is complete. A directory that is not there
+    yet is waited for, too.
+    """
+    spot = spark._jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/{month.strftime(name)}")
+    files = spot.getFileSystem(spark._jsc.hadoopConfiguration())
+    start = clock()
+    while True:
+        for found in files.globStatus(spot) or ():
+            path = found.getPath().toString()
+            if found.isFile() or finished(spark, path):
+                return Arrival(path, clock() - start)
+        left = timeout - (clock() - start)
+        if left <= 0:
+            return Arrival(None, clock() - start)
+        sleep(min(poll, left))
+
+
+def month_targets(
+    spark: SparkSession, directory: str, month: datetime.date, id_prefix: str = ID_PREFIX, multi_line: bool = False, **waiting
+) -> tuple[Arrival, DataFrame, DataFrame]:
+    """``await_month``, then targets and rejects of the file as ``read_targets`` gives them.
+
+    An empty file is rejected by its name. When the wait was given up there are no targets and no rejects.
+    """
+    arrival = await_month(spark, directory, month, **waiting)
+    if arrival.gave_up:
+        return arrival, no_targets(spark), empty_files(spark, [])
+    return arrival, *read_targets(spark, arrival.path, id_prefix, multi_line)

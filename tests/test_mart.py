@@ -1,6 +1,9 @@
 from decimal import Decimal
 
+import pytest
+
 import simmart as sm
+from simmart.operators import mart
 from simmart.schemas import DICTIONARY, DIMENSION, FACT, PROPERTIES
 from simmart.session import empty
 from simmart.sources.tables import read_table
@@ -70,3 +73,46 @@ def test_rerun_after_a_crash_between_the_two_writes(spark, folder):
     sm.append_table(new_dim, dim)
     sm.append_mart(top, *staging(spark), dim, fact)
     assert read_table(spark, dim).count() == 2 and pairs(read_table(spark, fact)) == {("A", "T1")}
+
+
+@pytest.mark.parametrize("fact_filter", ["new_sources", "new_pairs"])
+@pytest.mark.parametrize("dies_at", ["dim", "fact", "mark", None])
+def test_named_batch_is_loaded_once(spark, folder, monkeypatch, fact_filter, dies_at):
+    first = spark.createDataFrame([("A", "T1", 0.9, False), ("B", "T1", 0.8, False)], TOP)
+    second = spark.createDataFrame([("A", "T2", 0.7, False), ("C", "T2", 0.6, False), ("NOPROPS", "T2", 0.5, False)], TOP)
+
+    def load(root, top, batch):
+        return sm.append_mart_once(top, *staging(spark), f"{root}/dim", f"{root}/fact", f"{root}/ledger", batch, fact_filter)
+
+    def star(root):
+        return sorted(map(tuple, read_table(spark, f"{root}/dim").collect()), key=repr), sorted(map(tuple, read_table(spark, f"{root}/fact").collect()))
+
+    for batch, top in (("1", first), ("2", second)):
+        load(f"{folder}/whole", top, batch)
+    append, ranges, seen = mart.append_table, type(spark).range, []
+
+    def dying(rows, table):
+        if table.endswith(f"/{dies_at}") and not seen:
+            seen.append(table)
+            raise OSError("lost")
+        append(rows, table)
+
+    def dying_mark(self, *args):
+        seen.append("mark")
+        if len(seen) == 2:
+            raise OSError("lost")
+        return ranges(self, *args)
+
+    root = f"{folder}/crashed"
+    load(root, first, "1")
+    with monkeypatch.context() as m:
+        m.setattr(mart, "append_table", dying)
+        if dies_at == "mark":
+            m.setattr(type(spark), "range", dying_mark)
+        if dies_at:
+            with pytest.raises(OSError):
+                load(root, second, "2")
+    for batch, top in (("2", second), ("1", first), ("2", second)):
+        rejects = load(root, top, batch)
+    assert star(root) == star(f"{folder}/whole")
+    assert [r.reject_reason for r in rejects.collect()] == ["fk:source_chembl_id"]

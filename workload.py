@@ -12,6 +12,7 @@ Stand-ins for the chemistry tables, each over whole tables:
 
 from __future__ import annotations
 
+import datetime
 import hashlib
 import sys
 from collections.abc import Callable, Iterator
@@ -733,6 +734,33 @@ def q_csv_targets(spark, sf_dir):
     return out.groupBy(*out.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_load_once(spark, sf_dir):
+    """Two months by ``new_sources``, each batch twice."""
+    dim, fact, ledger = (scratch_path(spark, n) for n in ("dim", "fact", "ledger"))
+    fps = stage(doc_fps_with_lang(spark, sf_dir), "fps")
+    first = target_fps(spark, sf_dir)
+    both = first.unionByName(profile_fps(spark, sf_dir, fps))
+    for batch, targets in (("01", first), ("01", first), ("02", both), ("02", both)):
+        top = sm.score_top_k(targets, fps)
+        sm.append_mart_once(top, dictionary(spark, sf_dir), properties(spark, sf_dir), dim, fact, ledger, batch, "new_sources")
+    return fact_out(read_table(spark, fact))
+
+
+def q_month_targets(spark, sf_dir):
+    """Of the files of three months one is waited for; the file of another month does not come."""
+    inbox = scratch_path(spark, "inbox")
+    lines = table(spark, sf_dir, "benchmark").select(
+        (F.col("item_id") % 3 + 1).alias("m"), F.concat(F.lit("CHEMBLB"), "item_id").alias("molecule name"), F.col("text").alias("smiles")
+    )
+    for m in (1, 2, 3):
+        write_csv(lines.filter(F.col("m") == m).drop("m"), f"{inbox}/data_{m:02}_2024.csv")
+    _, targets, _ = sm.month_targets(spark, inbox, datetime.date(2024, 2, 1), multi_line=True)
+    missed, _, _ = sm.month_targets(spark, inbox, datetime.date(2024, 9, 1), timeout=0.2, poll=0.1)
+    none = F.lit(None).cast("string")
+    row = targets.select(TARGET, F.md5("smiles").alias("smiles_md5"), F.lit("arrived").alias("outcome"))
+    return row.union(spark.range(1).select(none, none, F.lit("gave up" if missed.gave_up else "arrived")))
+
+
 def q_file_stream_once(spark, sf_dir):
     """Files of three months and an empty one arrive; a second run on the same checkpoint finds nothing new."""
     inbox, kept, done = (scratch_path(spark, n) for n in ("inbox", "kept", "offsets"))
@@ -1077,6 +1105,11 @@ judged AS (SELECT *, CASE WHEN kind = 0 THEN 'too_many_fields' WHEN name IS NULL
 SELECT 'good' AS outcome, name AS target_chembl_id, md5(s) AS smiles_md5, CAST(1 AS BIGINT) AS n
 FROM (SELECT DISTINCT name, s FROM judged WHERE outcome = 'good')
 UNION ALL SELECT outcome, NULL, NULL, count(*) FROM judged WHERE outcome <> 'good' GROUP BY 1""",
+    "load_once": f"""SELECT * FROM (WITH {FIRST}
+SELECT source_chembl_id, target_chembl_id, CAST({SCORE} AS DOUBLE) AS {SCORE}, {FLAG} FROM fact)
+UNION ALL SELECT * FROM ({fact_sql("t.source_chembl_id NOT IN (SELECT chembl_id FROM dim)")})""",
+    "month_targets": """SELECT 'CHEMBLB' || item_id AS target_chembl_id, md5(text) AS smiles_md5, 'arrived' AS outcome
+FROM benchmark WHERE item_id % 3 = 1 UNION ALL SELECT NULL, NULL, 'gave up'""",
     "file_stream_once": """SELECT 'CHEMBLB' || item_id AS target_chembl_id, md5(text) AS smiles_md5,
   CAST(NULL AS VARCHAR) AS reject_reason, '0' || (item_id % 3 + 1) || '_2024' AS month FROM benchmark
 UNION ALL SELECT NULL, NULL, 'empty_file', NULL""",
