@@ -75,8 +75,7 @@ def test_rerun_after_a_crash_between_the_two_writes(spark, folder):
     assert read_table(spark, dim).count() == 2 and pairs(read_table(spark, fact)) == {("A", "T1")}
 
 
-@pytest.mark.parametrize("fact_filter", ["new_sources", "new_pairs"])
-@pytest.mark.parametrize("dies_at", ["dim", "fact", "mark", None])
+@pytest.mark.parametrize("fact_filter, dies_at", [("new_sources", "fact"), ("new_sources", "mark"), ("new_pairs", "dim")])
 def test_named_batch_is_loaded_once(spark, folder, monkeypatch, fact_filter, dies_at):
     first = spark.createDataFrame([("A", "T1", 0.9, False), ("B", "T1", 0.8, False)], TOP)
     second = spark.createDataFrame([("A", "T2", 0.7, False), ("C", "T2", 0.6, False), ("NOPROPS", "T2", 0.5, False)], TOP)

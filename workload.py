@@ -87,6 +87,7 @@ def target_fps(spark, sf_dir) -> DataFrame:
 def doc_fps_with_lang(spark, sf_dir) -> DataFrame:
     """The fingerprints of ``doc_fps`` with the language of the document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").filter(~is_blank(F.col("text")))
+    docs = docs.repartition(SPREAD) if SPREAD else docs
     return docs.select(doc_id().alias("chembl_id"), "lang", fold_bits(sm.text_tokens(F.col("text"))).alias("on"))
 
 
