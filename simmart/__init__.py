@@ -26,7 +26,15 @@ from simmart.plans.reports import (
     register_report_views,
     similarity_categories,
 )
-from simmart.sources.paged import DirectoryFetcher, PageError, RestFetcher, read_landed_pages, read_pages
+from simmart.sources.paged import (
+    DirectoryFetcher,
+    PageError,
+    RestFetcher,
+    read_landed_pages,
+    read_pages,
+    read_streamed_pages,
+    stream_pages,
+)
 from simmart.sources.tables import (
     append_table,
     read_structures,

@@ -25,21 +25,12 @@ from simmart.operators.similarity import (
 )
 from simmart.schemas import N_BITS, PAIRS, TOP_K
 from simmart.session import empty, stage
-from simmart.sources.tables import CODEC, finished
+from simmart.sources.tables import CODEC, finished_parts
 
 
 def stored_loads(spark: SparkSession, location: str) -> list[int]:
     """Numbers of the finished loads, in order."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(location)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return []
-    found = []
-    for status in files.listStatus(folder):
-        name = status.getPath().getName()
-        if name.startswith("load=") and finished(spark, f"{location}/{name}"):
-            found.append(int(name.removeprefix("load=")))
-    return sorted(found)
+    return finished_parts(spark, location, "load")
 
 
 def _state(spark: SparkSession, location: str, load: int | None) -> DataFrame:

@@ -18,10 +18,12 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.streaming import StreamingQuery
 
 from simmart.schemas import COLLECTIONS, MAX_REQUESTS, PAGE_SIZE
-from simmart.session import stage
+from simmart.session import empty, stage
+from simmart.sources.tables import CODEC, finished_parts
 
 # Executors run the classes below without having this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -113,7 +115,9 @@ class _Pages(InputPartition):
         self.offsets, self.total = offsets, total
 
 
-class _PageReader(DataSourceReader):
+class _Pager:
+    """What a scan and a stream share: the options, the number of items, and how a task reads its pages."""
+
     def __init__(self, fetch: Fetcher, options):
         self.fetch = fetch
         self.collection = options["collection"]
@@ -125,14 +129,14 @@ class _PageReader(DataSourceReader):
         if self.on_page_error not in ("fail", "skip"):
             raise ValueError("onPageError is 'fail' or 'skip'")
 
-    def partitions(self):
-        """The first page tells how many items there are; the items are read by the tasks, whose number bounds the
-        requests at a time."""
-        first = fetch_with_retry(self.fetch, 0, self.limit, self.retries, self.delay)
-        total = int(_field(_field(first, "page_meta"), "total_count"))
-        pages = range(0, total, self.limit)
-        tasks = max(min(self.max_requests, len(pages)), 1)
-        return [_Pages(pages[i::tasks], total) for i in range(tasks)]
+    def total(self, limit: int) -> int:
+        first = fetch_with_retry(self.fetch, 0, limit, self.retries, self.delay)
+        return int(_field(_field(first, "page_meta"), "total_count"))
+
+    def deal(self, pages: range) -> list[_Pages]:
+        """Pages dealt to tasks, whose number bounds the requests at a time."""
+        tasks = min(self.max_requests, len(pages))
+        return [_Pages(pages[i::tasks], pages.stop) for i in range(tasks)]
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
         again = partial(fetch_items, self.fetch, self.collection)
@@ -155,8 +159,30 @@ class _PageReader(DataSourceReader):
             )
 
 
+class _PageReader(_Pager, DataSourceReader):
+    def partitions(self):
+        """The first page tells how many items there are; the items are read by the tasks."""
+        return self.deal(range(0, self.total(self.limit), self.limit)) or [_Pages(range(0), 0)]
+
+
+class _PageStream(_Pager, DataSourceStreamReader):
+    """The offset is a number of items, so a batch is what a collection has grown by, and a replay asks for the same
+    items again."""
+
+    def initialOffset(self):
+        return {"items": 0}
+
+    def latestOffset(self):
+        return {"items": self.total(1)}
+
+    def partitions(self, start, end):
+        if end["items"] < start["items"]:
+            raise ValueError(f"the collection shrank from {start['items']} to {end['items']} items: start a new checkpoint")
+        return self.deal(range(start["items"], end["items"], self.limit))
+
+
 def register_paged_source(spark: SparkSession, fetch: Fetcher, name: str = "paged_json") -> None:
-    """Make ``spark.read.format(name)`` read pages through ``fetch(offset, limit) -> page``."""
+    """Make ``spark.read.format(name)`` and ``spark.readStream.format(name)`` read pages through ``fetch(offset, limit) -> page``."""
 
     class PagedJson(DataSource):
         @classmethod
@@ -169,6 +195,9 @@ def register_paged_source(spark: SparkSession, fetch: Fetcher, name: str = "page
         def reader(self, schema):
             return _PageReader(fetch, self.options)
 
+        def streamReader(self, schema):
+            return _PageStream(fetch, self.options)
+
     spark.dataSource.register(PagedJson)
 
 
@@ -208,6 +237,57 @@ def read_pages(
     return decode_items(rows, item_schema or COLLECTIONS[collection])
 
 
+def stream_pages(
+    spark: SparkSession,
+    fetch: Fetcher,
+    collection: str,
+    directory: str,
+    checkpoint: str,
+    limit: int = PAGE_SIZE,
+    retries: int = 3,
+    delay: float = 5,
+    max_requests: int = MAX_REQUESTS,
+    on_page_error: str = "fail",
+    poll: str | None = None,
+) -> StreamingQuery:
+    """Keep a folder up with a collection that grows at its end: each run fetches only the items it has not seen.
+
+    Without ``poll`` the query takes what is there and ends; with an interval such as ``"1 hour"`` it goes on. A batch is a
+    range of items and is written to a folder of its own, so one that died and is run again replaces what it left:
+    every item is kept once. A run without ``poll`` that has such a batch to repeat ends with it; the next one takes what
+    came meanwhile. A page that stays unreadable stops the query, which asks for it again when it is started
+    anew; with ``on_page_error="skip"`` it is reported and not asked for again. A collection that lost items stops the
+    query, as places in it no longer mean the same. ``directory`` and ``checkpoint`` belong together.
+    """
+    register_paged_source(spark, fetch)
+    options = {
+        "collection": collection,
+        "limit": limit,
+        "retries": retries,
+        "delay": delay,
+        "maxRequests": max_requests,
+        "onPageError": on_page_error,
+    }
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").option("compression", CODEC).parquet(f"{directory}/batch={batch_id}")
+
+    writer = spark.readStream.format("paged_json").options(**options).load().writeStream.foreachBatch(keep)
+    writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=poll) if poll else writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def read_streamed_pages(
+    spark: SparkSession, directory: str, collection: str, item_schema: T.StructType | None = None, after: int = -1
+) -> tuple[DataFrame, DataFrame]:
+    """Items and lost pages that ``stream_pages`` has kept so far, or only those of batches above ``after``."""
+    batches = [n for n in finished_parts(spark, directory, "batch") if n > after]
+    folders = [f"{directory}/batch={n}" for n in batches]
+    rows = spark.read.schema(PAGE_COLUMNS).parquet(*folders) if folders else empty(spark, T.StructType.fromDDL(PAGE_COLUMNS))
+    return decode_items(rows, item_schema or COLLECTIONS[collection])
+
+
 def decode_items(rows: DataFrame, item_schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Split raw page rows into typed items and unreadable pages."""
     # A generator: filters on the fields stay above it, and each item is parsed once.

@@ -72,6 +72,17 @@ def finished(spark: SparkSession, path: str) -> bool:
     return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
+def finished_parts(spark: SparkSession, directory: str, key: str) -> list[int]:
+    """Numbers n of the folders ``key=n`` that a Spark job has written to the end, in order."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    numbers = sorted(int(name.removeprefix(f"{key}=")) for name in names if name.startswith(f"{key}="))
+    return [n for n in numbers if finished(spark, f"{directory}/{key}={n}")]
+
+
 def append_table(df: DataFrame, location: str) -> None:
     writer = df.write.mode("append").option("compression", CODEC)
     writer.parquet(location) if is_path(location) else writer.saveAsTable(location)

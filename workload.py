@@ -673,6 +673,36 @@ def q_paged_retry_skip(spark, sf_dir):
     )
 
 
+class Growing(sm.DirectoryFetcher):
+    """A collection that has only its first ``known`` items so far, in any cut of pages."""
+
+    def __init__(self, directory: str, pattern: str, known: int):
+        super().__init__(directory, pattern)
+        self.known = known
+
+    def __call__(self, offset: int, limit: int) -> dict:
+        page = offset // PAGE * PAGE
+        whole = super().__call__(page, PAGE)
+        items = whole["molecules"][offset - page : self.known - page][:limit]
+        return {"molecules": items, "page_meta": {"total_count": min(self.known, whole["page_meta"]["total_count"])}}
+
+
+def q_paged_stream(spark, sf_dir):
+    """Two thirds of a collection, nothing new, and all of it: each run keeps only what it has not seen."""
+    folder, kept, done = landed_pages(spark, sf_dir), scratch_path(spark, "kept"), scratch_path(spark, "offsets")
+    total = table(spark, sf_dir, "documents").count()
+    for known in (total * 2 // 3, total * 2 // 3, total):
+        fetch = Growing(folder, "offset={offset}", known)
+        sm.stream_pages(spark, fetch, "molecules", kept, done, limit=PAGE, delay=0, max_requests=16).awaitTermination()
+    items, _ = sm.read_streamed_pages(spark, kept, "molecules")
+    late, _ = sm.read_streamed_pages(spark, kept, "molecules", after=0)
+    is_late = late.select("molecule_chembl_id", F.lit(True).alias("late"))
+    return items.join(is_late, "molecule_chembl_id", "left").select(
+        "molecule_chembl_id", "molecule_type", F.md5("molecule_structures.canonical_smiles").alias("structure_md5"),
+        F.coalesce("late", F.lit(False)).alias("late"),
+    )
+
+
 def q_landed_pages(spark, sf_dir):
     items = sm.read_landed_pages(spark, landed_pages(spark, sf_dir), "molecules", one_page_per_line=True)
     return items.select(
@@ -1089,6 +1119,9 @@ UNION ALL SELECT 'structures', count(*) FROM good WHERE toxic = 0 AND length(tex
   url AS resource_url FROM pages""",
     "paged_json_scan": SCAN_SQL,
     "landed_pages": SCAN_SQL,
+    "paged_stream": f"""WITH {RAW}
+SELECT chembl_id AS molecule_chembl_id, lang AS molecule_type, CASE WHEN toxic = 0 THEN md5(text) END AS structure_md5,
+  row_number() OVER (ORDER BY doc_id) > (SELECT count(*) FROM documents) * 2 // 3 AS late FROM raw""",
     "paged_retry_skip": f"""WITH p AS (
   SELECT 'CHEMBL' || doc_id AS id, (row_number() OVER (ORDER BY doc_id) - 1) // {PAGE} AS page FROM documents)
 SELECT id AS molecule_chembl_id, CAST(NULL AS BIGINT) AS "offset", CAST(NULL AS VARCHAR) AS error FROM p WHERE page % 3 <> 2
