@@ -5,6 +5,8 @@ A location is a table name, or a path when it contains a slash.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ from simmart.schemas import N_BITS, ROWS_PER_FILE
 from simmart.session import empty
 
 CODEC = "zstd"
+# Between the name of a folder and that of a version of its rows beside it.
+VERSION = "__rows_"
 
 
 def is_path(location: str) -> bool:
@@ -89,9 +93,67 @@ def append_table(df: DataFrame, location: str) -> None:
 
 
 def refresh_table(df: DataFrame, location: str) -> None:
-    """Replace the whole content. ``df`` must not read from the same location."""
-    writer = df.write.mode("overwrite").option("compression", CODEC)
-    writer.parquet(location) if is_path(location) else writer.saveAsTable(location)
+    """Replace the whole content, so that a job that dies leaves the old one; ``df`` may read from the same location.
+
+    The new rows are written beside the old ones first. A table of the same columns is then pointed to them, a single
+    change of the catalog: a reader finds the old rows or the new ones. The rows before the last refresh are kept for
+    readers that have started, older ones are deleted. A path is replaced by two renames of folders; a reader between
+    them finds no folder, and if the job dies just there, the next refresh puts the old one back before it begins.
+    A table of other columns, or one with partitions, is overwritten in place.
+    """
+    spark = df.sparkSession
+    if is_path(location):
+        _replace_folder(df, location.rstrip("/"))
+        return
+    exists = spark.catalog.tableExists(location)
+    if not exists or spark.table(location).schema.simpleString() != df.schema.simpleString() or _has_partitions(spark, location):
+        df.write.mode("overwrite").option("compression", CODEC).saveAsTable(location)
+        return
+    old = spark.sql(f"DESCRIBE TABLE EXTENDED {location}").filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+    base = old.split(VERSION)[0]
+    new = f"{base}{VERSION}{uuid.uuid4().hex}"
+    df.write.option("compression", CODEC).parquet(new)
+    spark.sql(f"ALTER TABLE {location} SET LOCATION '{new}'")
+    spark.catalog.refreshTable(location)
+    for other in _beside(spark, base):
+        if other.split("/")[-1] not in (old.split("/")[-1], new.split("/")[-1]):
+            _folder(spark, other)[1].delete(_folder(spark, other)[0], True)
+
+
+def _has_partitions(spark: SparkSession, table: str) -> bool:
+    return any(c.isPartition for c in spark.catalog.listColumns(table))
+
+
+def _folder(spark: SparkSession, path: str):
+    """Path and file system as Hadoop knows them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _beside(spark: SparkSession, base: str) -> list[str]:
+    """The folder itself and its versions."""
+    folder, files = _folder(spark, base)
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{base}{VERSION}*")) or ()
+    return ([base] if files.exists(folder) else []) + [status.getPath().toString() for status in found]
+
+
+def _replace_folder(df: DataFrame, path: str) -> None:
+    spark = df.sparkSession
+    there, files = _folder(spark, path)
+    before = _folder(spark, f"{path}{VERSION}before")[0]
+    new = f"{path}{VERSION}{uuid.uuid4().hex}"
+    if not files.exists(there) and files.exists(before):
+        _rename(files, before, there)
+    df.write.option("compression", CODEC).parquet(new)
+    if files.exists(there):
+        files.delete(before, True)
+        _rename(files, there, before)
+    _rename(files, _folder(spark, new)[0], there)
+
+
+def _rename(files, old, new) -> None:
+    if not files.rename(old, new):
+        raise OSError(f"cannot rename {old.toString()} to {new.toString()}")
 
 
 def write_fingerprints(

@@ -2,8 +2,10 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import simmart as sm
+from simmart.plans.reports import _range
 from simmart.schemas import DIMENSION, FACT
 
 
@@ -97,3 +99,78 @@ def test_views(spark, small):
     assert spark.sql("SELECT avg_alogp_deviation FROM avg_alogp_deviation WHERE source_chembl_id = 'C'").first()[0] == 1.5
     assert spark.sql("SELECT count(*) FROM next_most_similar").first()[0] == 6
     assert spark.sql("SELECT count(*) FROM avg_similarity_score_categories").first()[0] == 9
+
+
+def leads_of(rows):
+    """(source, target, score, next, second) of every row, in order of score and target."""
+    sources = {}
+    for source, target, score in rows:
+        sources.setdefault(source, []).append((score is not None, -float(score or 0), target or "", target))
+    out = []
+    for source, own in sources.items():
+        own = [t for *_, t in sorted(own, key=lambda r: r[:3])] + [None, None]
+        out += [(source, t, own[i + 1], own[i + 2]) for i, t in enumerate(own[:-2])]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 7, 200])
+def test_leads_across_cuts(spark, ranges):
+    rng = random.Random(ranges)
+    rows = [("HOT", f"T{rng.randrange(150)}", rng.choice(["0.5", None])) for _ in range(500)]  # with repeated rows
+    rows += [(None if i % 2 else 'S"1', f'"T{i}', "0.25") for i in range(90)] + [(f"S{i}", "T", "0.1") for i in range(50)]
+    fact = fact_of(spark, rows)
+    cuts = sm.row_cuts(fact, ranges=ranges)
+    found = [(r[0], r[1], r[3], r[4]) for r in sm.next_most_similar(fact, cuts=cuts).collect()]
+    assert len(cuts) <= 2 * ranges and sorted(found, key=repr) == leads_of(rows)
+    # cuts of another state of the table give the same rows
+    old = sm.row_cuts(fact.filter("target_chembl_id < 'T3'"), ranges=ranges)
+    found = [(r[0], r[1], r[3], r[4]) for r in sm.next_most_similar(fact, cuts=old).collect()]
+    assert sorted(found, key=repr) == leads_of(rows)
+
+
+def test_cuts_of_no_rows(spark):
+    fact = fact_of(spark, [])
+    assert sm.row_cuts(fact) == [] and sm.next_most_similar(fact, cuts=[]).count() == 0
+
+
+def test_cuts_split_one_score(spark):
+    fact = spark.range(60_000).select(
+        F.lit("all").alias("source_chembl_id"), F.concat(F.lit("T"), "id").alias("target_chembl_id"),
+        F.lit("0.5").cast("decimal(9,6)").alias("tanimoto_similarity_score"),
+    )
+    bands = fact.groupBy(_range(fact, "source_chembl_id", sm.row_cuts(fact))).count()
+    assert bands.agg(F.max("count")).first()[0] <= 0.02 * 60_000
+
+
+def files_read(df):
+    return sorted({name.split("/load=")[1].split("/")[0] for name in df.inputFiles() if "/load=" in name})
+
+
+def test_reports_by_loads(spark, folder):
+    rng = random.Random(5)
+    ids = [f"M{i}" for i in range(30)]
+    dim = dim_of(spark, [(i, rng.choice([None, "1.50", "-2.25"]), rng.choice([None, 1, 2]), rng.choice([None, 7])) for i in ids])
+    pairs = [(a, b, rng.choice([None, "0.5", "0.123456"])) for a in ids for b in ids if rng.random() < 0.4]
+    pairs += [("ONLY", "M1", None)]  # not in the dimension
+    months = [pairs[i::3] for i in range(3)]
+    where = f"{folder}/reports"
+    with pytest.raises(ValueError, match="no finished load"):
+        sm.stored_avg_similarity(spark, where)
+    for load in (0, 1, 2, 1):
+        facts = f"{folder}/facts-{load}"
+        fact_of(spark, months[load]).write.mode("overwrite").parquet(facts)
+        sm.add_report_load(spark.read.parquet(facts), dim, where, load, ("alogp", "heavy_atoms"))
+    every = fact_of(spark, pairs)
+
+    def same(stored, full):
+        assert stored.columns == full.columns
+        assert sorted(map(tuple, stored.collect()), key=repr) == sorted(map(tuple, full.collect()), key=repr)
+
+    for by in ("source_chembl_id", "target_chembl_id"):
+        same(sm.stored_avg_similarity(spark, where, by), sm.avg_similarity_per_source(every, by))
+        for column in ("alogp", "heavy_atoms"):
+            full = sm.avg_property_deviation(every, dim, column, by)
+            same(sm.stored_property_deviation(spark, where, column, by), full)
+    same(sm.stored_categories(spark, where, dim, True), sm.similarity_categories(every, dim, True))
+    read = sm.stored_avg_similarity(spark, where).inputFiles()
+    assert files_read(sm.stored_avg_similarity(spark, where)) == ["0", "1", "2"] and not any("facts" in name for name in read)

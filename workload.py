@@ -459,6 +459,53 @@ def q_next_most_lines(spark, sf_dir):
     return out.withColumn(SCORE, F.col(SCORE).cast("double"))
 
 
+def q_next_most_one_score(spark, sf_dir):
+    """Leads over all order lines as one source with one score: ranges of equal depth split what bands cannot."""
+    lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
+    target = F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias(TARGET)
+    fact = lines.select(F.lit("all").alias(SOURCE), target, F.lit("0.5").cast("decimal(9,6)").alias(SCORE))
+    out = sm.next_most_similar(fact, cuts=sm.row_cuts(fact))
+    return out.withColumn(SCORE, F.col(SCORE).cast("double"))
+
+
+def q_reports_by_loads(spark, sf_dir):
+    """Three reports after two months, of which the second is added twice; no fact is read again."""
+    fps = stage(doc_fps_with_lang(spark, sf_dir), "fps")
+    dim, fact = star(spark, sf_dir, fps)
+    both = target_fps(spark, sf_dir).unionByName(profile_fps(spark, sf_dir, fps))
+    new_dim, new_fact, _ = sm.load_mart(sm.score_top_k(both, fps), dictionary(spark, sf_dir), properties(spark, sf_dir), dim, fact)
+    new_fact, members = stage(new_fact, "fact"), dim.unionByName(new_dim)
+    where = scratch_path(spark, "reports")
+    for load, rows, known in ((1, fact, dim), (2, new_fact, members), (2, new_fact, members)):
+        sm.add_report_load(rows, known, where, load)
+    none = F.lit(None).cast("string")
+    by_source = sm.stored_avg_similarity(spark, where)
+    gaps = sm.stored_property_deviation(spark, where, by=TARGET)
+    groups = sm.stored_categories(spark, where, members, with_grouping_id=True)
+    return (
+        by_source.select(F.lit("similarity").alias("report"), F.col(SOURCE).alias("id"), none.alias("rings"), none.alias("atoms"), F.col("avg_similarity_score").alias("mean"))
+        .union(gaps.select(F.lit("deviation"), TARGET, none, none, "avg_alogp_deviation"))
+        .union(groups.select(F.concat(F.lit("category "), "grouping_id"), SOURCE, "aromatic_rings", "heavy_atoms", "avg_similarity_score"))
+    )
+
+
+def q_sql_functions(spark, sf_dir):
+    """Scores and sizes of the fact rows by SQL functions, as a user of SQL alone writes them."""
+    sm.register_sql_functions(spark, "sm_")
+    fps = stage(doc_fps(spark, sf_dir), "fps")
+    targets = target_fps(spark, sf_dir)
+    text = sm.bits_encode(F.col("on")).alias("bits")
+    return spark.sql(
+        f"""SELECT {SOURCE}, {TARGET}, sm_tanimoto(a, b) AS score, sm_popcount(a) AS pop, sm_common_bits(a, b) AS common,
+            size(sm_bits_unpack(b)) AS target_pop, sm_zero_as_null(CAST(sm_popcount(a) % 7 AS STRING)) IS NULL AS zero
+        FROM {{top}} JOIN (SELECT chembl_id AS {SOURCE}, sm_bits_pack_text(bits) AS a FROM {{sources}}) USING ({SOURCE})
+        JOIN (SELECT {TARGET}, sm_bits_pack_text(bits) AS b FROM {{targets}}) USING ({TARGET})""",
+        top=sm.score_top_k(targets, fps).select(SOURCE, TARGET),
+        sources=fps.select("chembl_id", text),
+        targets=targets.select(TARGET, text),
+    )
+
+
 def q_month_twice(spark, sf_dir):
     """Two months on stored tables: benchmark items, then the same and the first document of each language."""
     dim, fact = scratch_path(spark, "dim"), scratch_path(spark, "fact")
@@ -1053,6 +1100,33 @@ FROM fact WINDOW w AS (PARTITION BY source_chembl_id ORDER BY {SCORE} DESC NULLS
 SELECT source_chembl_id, target_chembl_id, CAST({SCORE} AS DOUBLE) AS {SCORE},
   lead(target_chembl_id, 1) OVER w AS next_most_similar, lead(target_chembl_id, 2) OVER w AS second_most_similar
 FROM fact WINDOW w AS (PARTITION BY source_chembl_id ORDER BY {SCORE} DESC, target_chembl_id)""",
+    "next_most_one_score": f"""SELECT 'all' AS source_chembl_id, t AS target_chembl_id, CAST(0.5 AS DOUBLE) AS {SCORE},
+  lead(t, 1) OVER (ORDER BY t) AS next_most_similar, lead(t, 2) OVER (ORDER BY t) AS second_most_similar
+FROM (SELECT l_orderkey || '-' || l_linenumber AS t FROM lineitem)""",
+    "reports_by_loads": f"""WITH {SECOND},
+ids2 AS (SELECT id FROM ids UNION SELECT source_chembl_id FROM top2 UNION SELECT target_chembl_id FROM top2),
+dim2 AS (SELECT m.* FROM members m JOIN ids2 ON m.chembl_id = ids2.id),
+fact2 AS (SELECT source_chembl_id, target_chembl_id, {SCORE} FROM fact
+  UNION ALL SELECT t.source_chembl_id, t.target_chembl_id, CAST(score AS DECIMAL(9,6)) FROM top2 t
+  WHERE t.source_chembl_id IN (SELECT chembl_id FROM members) AND t.target_chembl_id IN (SELECT chembl_id FROM members)
+    AND NOT EXISTS (SELECT 1 FROM fact f WHERE f.source_chembl_id = t.source_chembl_id AND f.target_chembl_id = t.target_chembl_id))
+SELECT 'similarity' AS report, source_chembl_id AS id, NULL AS rings, NULL AS atoms,
+  CAST(sum({SCORE}) AS DOUBLE) / nullif(count({SCORE}), 0) AS mean FROM fact2 GROUP BY 2
+UNION ALL SELECT 'deviation', target_chembl_id, NULL, NULL,
+  CAST(sum(abs(a.alogp - b.alogp)) AS DOUBLE) / nullif(count(abs(a.alogp - b.alogp)), 0)
+  FROM fact2 JOIN dim2 a ON a.chembl_id = source_chembl_id JOIN dim2 b ON b.chembl_id = target_chembl_id GROUP BY 2
+UNION ALL SELECT 'category ' || g, CASE WHEN g = 7 THEN 'TOTAL' ELSE source_chembl_id END,
+  CASE WHEN g = 7 THEN 'TOTAL' ELSE CAST(aromatic_rings AS VARCHAR) END,
+  CASE WHEN g = 7 THEN 'TOTAL' ELSE CAST(heavy_atoms AS VARCHAR) END, mean
+FROM (SELECT source_chembl_id, aromatic_rings, heavy_atoms, grouping(source_chembl_id, aromatic_rings, heavy_atoms) AS g,
+    CAST(sum({SCORE}) AS DOUBLE) / nullif(count({SCORE}), 0) AS mean
+  FROM fact2 JOIN dim2 ON chembl_id = source_chembl_id
+  GROUP BY GROUPING SETS ((source_chembl_id), (aromatic_rings, heavy_atoms), (heavy_atoms), ()))""",
+    "sql_functions": f"""WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql()}
+SELECT t.source_chembl_id, t.target_chembl_id, t.score, s.pop, CAST(coalesce(c, 0) AS INT) AS common, CAST(b.pop AS INT) AS target_pop,
+  s.pop % 7 = 0 AS zero
+FROM top10 t JOIN doc_pop s ON s.id = t.source_chembl_id
+JOIN pairs_t b ON b.id = t.target_chembl_id LEFT JOIN pairs_c ON sid = t.source_chembl_id AND tid = t.target_chembl_id""",
     "month_twice": f"""WITH {FIRST},
 first_bits AS (SELECT 'CHEMBLL' || d.lang AS id, b.bit FROM documents d JOIN (
     SELECT min(doc_id) AS doc_id FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY lang) f ON f.doc_id = d.doc_id
