@@ -45,10 +45,12 @@ from simmart.sources.paged import (
 )
 from simmart.sources.tables import (
     append_table,
+    read_pair_buckets,
     read_structures,
     refresh_table,
     scan_fingerprints,
     write_fingerprints,
+    write_pair_buckets,
     write_pairs,
 )
 from simmart.sources.targets import read_targets

@@ -8,18 +8,19 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from simmart.functions.packing import stored_form
 from simmart.operators.fingerprint import require_columns
 from simmart.schemas import N_BITS, ROWS_PER_FILE
-from simmart.session import empty
+from simmart.session import empty, stage
 
 CODEC = "zstd"
 # Between the name of a folder and that of a version of its rows beside it.
 VERSION = "__rows_"
+PAIR_COLUMNS = "chembl_id string, tanimoto_similarity_score double, target_chembl_id string"
 
 
 def is_path(location: str) -> bool:
@@ -193,8 +194,61 @@ def write_pairs(pairs: DataFrame, directory: str) -> None:
 
 def read_pairs(spark: SparkSession, directory: str) -> DataFrame:
     """Scores stored by ``write_pairs``; a filter on the target reads only its folder."""
-    schema = "chembl_id string, tanimoto_similarity_score double, target_chembl_id string"
-    return spark.read.schema(schema).parquet(directory)
+    return spark.read.schema(PAIR_COLUMNS).parquet(directory)
+
+
+def write_pair_buckets(pairs: DataFrame, directory: str, buckets: int = 256) -> None:
+    """Store all scores in ``buckets`` folders by a hash of the target, for more targets than one can have folders.
+
+    Targets in ``pairs`` replace what is stored of them, all others stay: a bucket with new targets is written anew with
+    the old rows of its other targets, the rest is not touched. Rows are sorted by target and files carry a bloom
+    filter on it, so a lookup reads one folder and few row groups of it. The number of buckets is part of the folders'
+    names; a store keeps the number it began with. One writer at a time. One that died before Spark puts the new folders in
+    place is run again; where it dies while doing so, a bucket may lack other targets, whose rows are then still in the
+    scratch folder.
+    """
+    spark = pairs.sparkSession
+    folder, files = _folder(spark, directory)
+    names = [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
+    if any(name.startswith("of=") and name != f"of={buckets}" for name in names):
+        raise ValueError(f"{directory} is stored in another number of buckets: {sorted(names)}")
+    keyed = stage(pairs.filter("target_chembl_id IS NOT NULL").select(*_bucketed(F.lit(buckets))), "pairs")
+    rows = keyed
+    if names:
+        new = keyed.select("target_chembl_id").distinct()
+        touched = keyed.select("bucket").distinct()
+        # at most ``buckets`` rows
+        old = _stored_pairs(spark, directory).join(F.broadcast(touched), "bucket", "left_semi")
+        old = old.join(new, "target_chembl_id", "left_anti")
+        rows = rows.unionByName(stage(old.select(*keyed.columns), "kept"))
+    (
+        rows.hint("rebalance", "bucket")
+        .sortWithinPartitions("bucket", "target_chembl_id")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", CODEC)
+        .option("parquet.bloom.filter.enabled#target_chembl_id", "true")
+        .partitionBy("of", "bucket")
+        .parquet(directory)
+    )
+
+
+def _bucketed(count: Column) -> list[Column]:
+    bucket = F.pmod(F.xxhash64("target_chembl_id"), count).cast("int").alias("bucket")
+    return ["chembl_id", "tanimoto_similarity_score", "target_chembl_id", count.alias("of"), bucket]
+
+
+def _stored_pairs(spark: SparkSession, directory: str) -> DataFrame:
+    return spark.read.schema(f"{PAIR_COLUMNS}, of int, bucket int").parquet(directory)
+
+
+def read_pair_buckets(spark: SparkSession, directory: str, target: str | None = None) -> DataFrame:
+    """Scores stored by ``write_pair_buckets``, of all targets or of one, whose folder alone is read."""
+    rows = _stored_pairs(spark, directory)
+    if target is not None:
+        mine = F.pmod(F.xxhash64(F.lit(target)), F.col("of")) == F.col("bucket")
+        rows = rows.filter(mine & (F.col("target_chembl_id") == target))
+    return rows.drop("of", "bucket")
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

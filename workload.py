@@ -399,6 +399,16 @@ def q_pairs_by_target(spark, sf_dir):
     return sm.top_k_similar(read_pairs(spark, folder))
 
 
+def q_pairs_by_bucket(spark, sf_dir):
+    """Store scores in buckets of targets, half of them first with wrong scores, then replaced; read back, rank."""
+    where = scratch_path(spark, "buckets")
+    pairs = stage(sm.score_targets(target_fps(spark, sf_dir), doc_fps(spark, sf_dir)), "pairs")
+    half = F.pmod(F.crc32(TARGET), F.lit(2)) == 0
+    sm.write_pair_buckets(pairs.withColumn(SCORE, F.when(half, -1.0).otherwise(F.col(SCORE))), where, buckets=16)
+    sm.write_pair_buckets(pairs.filter(half), where, buckets=16)
+    return sm.top_k_similar(sm.read_pair_buckets(spark, where))
+
+
 def q_fact_build(spark, sf_dir):
     return fact_out(first_load(spark, sf_dir)[1])
 
@@ -1070,6 +1080,7 @@ cut AS (SELECT target_chembl_id AS t, max(CASE WHEN place = 10 THEN score END) A
 SELECT source_chembl_id, target_chembl_id, score AS {SCORE}, coalesce(within > 10 AND score = kth, FALSE) AS {FLAG}
 FROM placed JOIN cut ON t = target_chembl_id WHERE place <= 10""",
     "pairs_by_target": f"WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql()} {TOP_OUT}",
+    "pairs_by_bucket": f"WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits')}, {top_sql()} {TOP_OUT}",
     "fact_build": f"WITH {FIRST} SELECT source_chembl_id, target_chembl_id, CAST({SCORE} AS DOUBLE) AS {SCORE}, {FLAG} FROM fact",
     "dim_build": f"WITH {FIRST} SELECT {DIM_OUT} FROM dim",
     "fk_rejects": f"""WITH {FIRST}
