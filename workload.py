@@ -899,6 +899,15 @@ def q_neighborhood_features(spark, sf_dir):
     return fps.select(F.col("chembl_id").alias("mol"), F.array_join("on", ",").alias("on_bits"), "pop")
 
 
+def q_neighborhood_distinct(spark, sf_dir):
+    """Of the environments of an order that cover the same edges, the one of the earliest round and smallest hash."""
+    nodes, edges = order_graph(spark, sf_dir)
+    features = sm.neighborhood_features(nodes, edges, structural_duplicates=False)
+    return features.groupBy("mol").agg(
+        F.count(F.lit(1)).alias("environments"), F.array_join(F.sort_array(F.collect_list("feature")), ",").alias("features")
+    )
+
+
 # ---------------------------------------------------------------- the same in SQL
 
 LINE_ORDER = """l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"""
@@ -1238,6 +1247,18 @@ UNION ALL SELECT NULL, NULL, 'empty_file', NULL""",
 bits AS (SELECT DISTINCT mol, CAST(h % 2048 AS INT) AS bit FROM (
   SELECT mol, h FROM n0 UNION ALL SELECT mol, h FROM n1 UNION ALL SELECT mol, h FROM n2))
 SELECT mol, string_agg(bit, ',' ORDER BY bit) AS on_bits, CAST(count(*) AS INT) AS pop FROM bits GROUP BY mol""",
+    "neighborhood_distinct": f"""WITH {NEIGHBOUR}, {round_sql(0)}, {round_sql(1)},
+bond AS (SELECT s.mol, s.node AS lo, s.node + 1 AS hi FROM n0 s SEMI JOIN n0 t ON s.mol = t.mol AND t.node = s.node + 1),
+near AS (SELECT mol, node, node AS w, 1 AS r FROM n0
+  UNION SELECT mol, node, node, 2 FROM n0
+  UNION SELECT mol, lo, hi, 2 FROM bond UNION SELECT mol, hi, lo, 2 FROM bond),
+cover AS (SELECT mol, node, r, string_agg(lo || '-' || hi, ',' ORDER BY lo, hi) AS edges
+  FROM (SELECT DISTINCT b.mol, node, r, lo, hi FROM near n JOIN bond b ON b.mol = n.mol AND (w = lo OR w = hi)) GROUP BY 1, 2, 3),
+environment AS (SELECT c.*, h FROM cover c JOIN (SELECT *, 1 AS r FROM n1 UNION ALL SELECT *, 2 FROM n2) f
+  ON f.mol = c.mol AND f.node = c.node AND f.r = c.r),
+kept AS (SELECT mol, h FROM environment QUALIFY row_number() OVER (PARTITION BY mol, edges ORDER BY r, h) = 1
+  UNION ALL SELECT mol, h FROM n0)
+SELECT mol, count(*) AS environments, string_agg(h, ',' ORDER BY h) AS features FROM kept GROUP BY mol""",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
