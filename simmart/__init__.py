@@ -34,6 +34,7 @@ from simmart.plans.reports import (
     row_cuts,
     similarity_categories,
 )
+from simmart.sources.buckets import create_buckets
 from simmart.sources.paged import (
     DirectoryFetcher,
     PageError,

@@ -34,7 +34,10 @@ def new_fact_rows(top: DataFrame, dim: DataFrame, fact: DataFrame, fact_filter:
 
 def new_dimension_rows(ids: DataFrame, dictionary: DataFrame, props: DataFrame, dim: DataFrame) -> DataFrame:
     """Dimension rows for ``ids`` that are not there yet; a molecule without properties gets none."""
-    wanted = ids.join(dim.select("chembl_id"), "chembl_id", "left_anti")
+    return _dimension_rows(ids.join(dim.select("chembl_id"), "chembl_id", "left_anti"), dictionary, props)
+
+
+def _dimension_rows(wanted: DataFrame, dictionary: DataFrame, props: DataFrame) -> DataFrame:
     # The small id set cuts both staging tables before they meet.
     joined = (
         dictionary.join(wanted, "chembl_id", "left_semi")
@@ -54,12 +57,15 @@ def load_mart(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(new_dim, new_fact, rejects)``: what to append, and facts whose source or target has no dimension row.
 
-    The rows this load may add and the new dimension rows are stored on the way: the first feed four plans, the second
-    are what the facts are checked against. So ``top`` and the fact table are read once.
+    The rows this load may add, their ids with what the dimension knows of them, and the new dimension rows are stored on
+    the way. So ``top``, the fact table and, after the filter, the dimension are read once, and the facts are checked
+    against the ids of this load alone. Of tables in buckets of their keys (``create_buckets``) no stored row is shuffled.
     """
     candidates = stage(new_fact_rows(top, dim, fact, fact_filter), "candidates")
-    new_dim = stage(new_dimension_rows(molecule_ids(candidates), dictionary, props, dim), "dim")
-    members = dim.select("chembl_id").union(new_dim.select("chembl_id"))
+    known = dim.select("chembl_id", F.lit(True).alias("known"))
+    ids = stage(molecule_ids(candidates).join(known, "chembl_id", "left"), "ids")
+    new_dim = stage(_dimension_rows(ids.filter("known IS NULL").select("chembl_id"), dictionary, props), "dim")
+    members = ids.filter("known").select("chembl_id").union(new_dim.select("chembl_id"))
     rules = TableRules(key=[SOURCE, TARGET], foreign={SOURCE: "dim", TARGET: "dim"})
     typed = candidates.withColumn("tanimoto_similarity_score", F.col("tanimoto_similarity_score").cast(SCORE))
     new_fact, rejects = check_constraints(typed.select(*FACT.names), rules, {"dim": members})

@@ -16,8 +16,8 @@ from simmart.functions.packing import stored_form
 from simmart.operators.fingerprint import require_columns
 from simmart.schemas import N_BITS, ROWS_PER_FILE
 from simmart.session import empty, stage
+from simmart.sources.buckets import CODEC, bucket_spec, bucketed
 
-CODEC = "zstd"
 # Between the name of a folder and that of a version of its rows beside it.
 VERSION = "__rows_"
 PAIR_COLUMNS = "chembl_id string, tanimoto_similarity_score double, target_chembl_id string"
@@ -89,8 +89,14 @@ def finished_parts(spark: SparkSession, directory: str, key: str) -> list[int]:
 
 
 def append_table(df: DataFrame, location: str) -> None:
-    writer = df.write.mode("append").option("compression", CODEC)
-    writer.parquet(location) if is_path(location) else writer.saveAsTable(location)
+    """Add rows to a path or table, which appears with the first ones; a table in buckets gets files in their buckets only."""
+    spark = df.sparkSession
+    if is_path(location):
+        df.write.mode("append").option("compression", CODEC).parquet(location)
+        return
+    spec = bucket_spec(spark, location) if spark.catalog.tableExists(location) else None
+    writer = bucketed(df, *spec) if spec else df.write.option("compression", CODEC)
+    writer.mode("append").saveAsTable(location)
 
 
 def refresh_table(df: DataFrame, location: str) -> None:
@@ -100,20 +106,28 @@ def refresh_table(df: DataFrame, location: str) -> None:
     change of the catalog: a reader finds the old rows or the new ones. The rows before the last refresh are kept for
     readers that have started, older ones are deleted. A path is replaced by two renames of folders; a reader between
     them finds no folder, and if the job dies just there, the next refresh puts the old one back before it begins.
-    A table of other columns, or one with partitions, is overwritten in place.
+    A table of other columns, or one with partitions, is overwritten in place. Buckets stay as they are.
     """
     spark = df.sparkSession
     if is_path(location):
         _replace_folder(df, location.rstrip("/"))
         return
     exists = spark.catalog.tableExists(location)
+    spec = bucket_spec(spark, location) if exists else None
     if not exists or spark.table(location).schema.simpleString() != df.schema.simpleString() or _has_partitions(spark, location):
-        df.write.mode("overwrite").option("compression", CODEC).saveAsTable(location)
+        writer = bucketed(df, *spec) if spec else df.write.option("compression", CODEC)
+        writer.mode("overwrite").saveAsTable(location)
         return
     old = spark.sql(f"DESCRIBE TABLE EXTENDED {location}").filter("col_name = 'Location'").first()["data_type"].rstrip("/")
     base = old.split(VERSION)[0]
     new = f"{base}{VERSION}{uuid.uuid4().hex}"
-    df.write.option("compression", CODEC).parquet(new)
+    if spec:
+        # files in buckets are written through a table only; dropping it leaves its files, since their place was given
+        helper = f"{location}_{uuid.uuid4().hex}"
+        bucketed(df, *spec).option("path", new).saveAsTable(helper)
+        spark.sql(f"DROP TABLE {helper}")
+    else:
+        df.write.option("compression", CODEC).parquet(new)
     spark.sql(f"ALTER TABLE {location} SET LOCATION '{new}'")
     spark.catalog.refreshTable(location)
     for other in _beside(spark, base):

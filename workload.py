@@ -33,7 +33,7 @@ from simmart.operators.fingerprint import fold_bits
 from simmart.operators.mart import molecule_ids, new_dimension_rows
 from simmart.operators.records import typed_lookups
 from simmart.plans.jobs import RULES
-from simmart.schemas import DIMENSION, FACT, RAW_LOOKUP, RAW_MOLECULE, STRUCTURES
+from simmart.schemas import DICTIONARY, DIMENSION, FACT, PROPERTIES, RAW_LOOKUP, RAW_MOLECULE, STRUCTURES
 from simmart.session import empty, scratch_path, stage
 from simmart.sources.paged import decode_items
 from simmart.sources.tables import counted, read_pairs, read_table
@@ -516,16 +516,15 @@ def q_sql_functions(spark, sf_dir):
     )
 
 
-def q_month_twice(spark, sf_dir):
+def two_months(spark, sf_dir, dim: str, fact: str, entries: DataFrame, props: DataFrame) -> DataFrame:
     """Two months on stored tables: benchmark items, then the same and the first document of each language."""
-    dim, fact = scratch_path(spark, "dim"), scratch_path(spark, "fact")
     fps = stage(doc_fps(spark, sf_dir), "fps")
     docs = table(spark, sf_dir, "documents", "doc_id", "lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL")
     firsts = docs.groupBy("lang").agg(F.min_by("text", "doc_id").alias("smiles"))
     items = benchmark_targets(spark, sf_dir)
     both = items.union(firsts.select(F.concat(F.lit("CHEMBLL"), "lang"), "smiles"))
     for month in (items, both):
-        sm.score_month(spark, month, fps, dictionary(spark, sf_dir), properties(spark, sf_dir), dim, fact)
+        sm.score_month(spark, month, fps, entries, props, dim, fact)
     ids = read_table(spark, dim, DIMENSION).select("chembl_id")
     none = F.lit(None)
     return fact_out(read_table(spark, fact, FACT)).union(
@@ -533,6 +532,26 @@ def q_month_twice(spark, sf_dir):
     )
 
 
+def q_month_twice(spark, sf_dir):
+    dim, fact = scratch_path(spark, "dim"), scratch_path(spark, "fact")
+    return two_months(spark, sf_dir, dim, fact, dictionary(spark, sf_dir), properties(spark, sf_dir))
+
+
+def q_month_twice_buckets(spark, sf_dir):
+    """The same with staging, dimension and fact in buckets of their keys; both staging tables are refreshed once."""
+    names = []
+    for label, schema, key in (
+        ("dictionary", DICTIONARY, ["chembl_id"]), ("props", PROPERTIES, ["chembl_id"]),
+        ("dim", DIMENSION, ["chembl_id"]), ("fact", FACT, [SOURCE, TARGET]),
+    ):
+        place = scratch_path(spark, label)
+        names.append(place.split("/")[-1].replace("-", "_"))
+        sm.create_buckets(spark, names[-1], schema, key, buckets=8, path=place)
+    sm.refresh_table(dictionary(spark, sf_dir).select(*DICTIONARY.names), names[0])
+    sm.refresh_table(properties(spark, sf_dir).select(*PROPERTIES.names), names[1])
+    return two_months(spark, sf_dir, names[2], names[3], spark.table(names[0]), spark.table(names[1]))
+
+
 def q_top10_repeated_ids(spark, sf_dir):
     """Documents of one length are copies of one id; each id counts once with its best score."""
     docs = table(spark, sf_dir, "documents", "n_chars", "text")
@@ -1018,6 +1037,18 @@ grid AS (SELECT p.id, i, CASE WHEN v >= CAST(1 AS HUGEINT) << 63 THEN v - (CAST(
   FROM doc_pop p JOIN range(32) r(i) ON TRUE LEFT JOIN words ON words.id = p.id AND w = i),
 packed AS (SELECT id, string_agg(v, ',' ORDER BY i) AS words FROM grid GROUP BY id)"""
 
+MONTHS = f"""WITH {FIRST},
+first_bits AS (SELECT 'CHEMBLL' || d.lang AS id, b.bit FROM documents d JOIN (
+    SELECT min(doc_id) AS doc_id FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY lang) f ON f.doc_id = d.doc_id
+  JOIN doc_bits b ON b.id = 'CHEMBL' || d.doc_id),
+both_bits AS (SELECT * FROM bench_bits UNION ALL SELECT * FROM first_bits),
+{pairs_sql('doc_bits', 'both_bits', 'pairs2')}, {top_sql('pairs2', 'top2')},
+loaded AS (SELECT * FROM top2 WHERE source_chembl_id IN (SELECT chembl_id FROM members)
+  AND target_chembl_id IN (SELECT chembl_id FROM members))
+SELECT source_chembl_id, target_chembl_id, CAST(CAST(score AS DECIMAL(9,6)) AS DOUBLE) AS {SCORE}, {FLAG} FROM loaded
+UNION ALL SELECT chembl_id, NULL, NULL, NULL FROM members
+  WHERE chembl_id IN (SELECT source_chembl_id FROM top2 UNION SELECT target_chembl_id FROM top2)"""
+
 ORACLE: dict[str, str] = {
     "top10_embeddings": f"""WITH
 src AS (SELECT CAST(vec_id AS VARCHAR) AS id, label, pos AS bit FROM (
@@ -1147,17 +1178,8 @@ SELECT t.source_chembl_id, t.target_chembl_id, t.score, s.pop, CAST(coalesce(c,
   s.pop % 7 = 0 AS zero
 FROM top10 t JOIN doc_pop s ON s.id = t.source_chembl_id
 JOIN pairs_t b ON b.id = t.target_chembl_id LEFT JOIN pairs_c ON sid = t.source_chembl_id AND tid = t.target_chembl_id""",
-    "month_twice": f"""WITH {FIRST},
-first_bits AS (SELECT 'CHEMBLL' || d.lang AS id, b.bit FROM documents d JOIN (
-    SELECT min(doc_id) AS doc_id FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY lang) f ON f.doc_id = d.doc_id
-  JOIN doc_bits b ON b.id = 'CHEMBL' || d.doc_id),
-both_bits AS (SELECT * FROM bench_bits UNION ALL SELECT * FROM first_bits),
-{pairs_sql('doc_bits', 'both_bits', 'pairs2')}, {top_sql('pairs2', 'top2')},
-loaded AS (SELECT * FROM top2 WHERE source_chembl_id IN (SELECT chembl_id FROM members)
-  AND target_chembl_id IN (SELECT chembl_id FROM members))
-SELECT source_chembl_id, target_chembl_id, CAST(CAST(score AS DECIMAL(9,6)) AS DOUBLE) AS {SCORE}, {FLAG} FROM loaded
-UNION ALL SELECT chembl_id, NULL, NULL, NULL FROM members
-  WHERE chembl_id IN (SELECT source_chembl_id FROM top2 UNION SELECT target_chembl_id FROM top2)""",
+    "month_twice": MONTHS,
+    "month_twice_buckets": MONTHS,
     "top10_repeated_ids": f"""WITH {BITS}, {pairs_sql('doc_bits', 'bench_bits', 'every')},
 pairs AS (SELECT 'N' || n_chars AS source_chembl_id, target_chembl_id, max(score) AS score
   FROM every JOIN documents ON source_chembl_id = 'CHEMBL' || doc_id GROUP BY 1, 2), {top_sql()} {TOP_OUT}""",
