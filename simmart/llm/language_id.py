@@ -31,27 +31,52 @@ NOT_A_CANDIDATE = np.float32(-30.0)
 PIECE_BYTES = 32 << 20
 UNKNOWN = "und"
 
-# First bytes of UTF-8 and the scripts they begin.
+# Scripts and the ranges of Unicode's blocks that hold their letters.
 SCRIPTS = {
-    "Latin": [(0x41, 0x7A), (0xC3, 0xCA)],
-    "Greek": [(0xCE, 0xCF)],
-    "Cyrillic": [(0xD0, 0xD3)],
-    "Hebrew": [(0xD6, 0xD7)],
-    "Arabic": [(0xD8, 0xDB)],
-    "Indic and Thai": [(0xE0, 0xE0)],
-    "Georgian, Ethiopic and others": [(0xE1, 0xE1)],
-    "Tifinagh, Glagolitic, Coptic and others": [(0xE2, 0xE2)],
-    "Kana": [(0xE3, 0xE3)],
-    "Han": [(0xE4, 0xE9)],
-    "Hangul": [(0xEA, 0xED)],
-    "Adlam, Osage, rare Han and others": [(0xF0, 0xF0)],
+    "Latin": [(0x41, 0x2AF), (0x1D00, 0x1DBF), (0x1E00, 0x1EFF), (0x2C60, 0x2C7F), (0xA720, 0xA7FF), (0xAB30, 0xAB6F),
+              (0xFB00, 0xFB06), (0xFF21, 0xFF5A)],
+    "Greek": [(0x370, 0x3FF), (0x1F00, 0x1FFF)],
+    "Cyrillic": [(0x400, 0x52F), (0x1C80, 0x1C8F), (0x2DE0, 0x2DFF), (0xA640, 0xA69F)],
+    "Armenian": [(0x530, 0x58F), (0xFB13, 0xFB17)],
+    "Hebrew": [(0x590, 0x5FF), (0xFB1D, 0xFB4F)],
+    "Arabic": [(0x600, 0x6FF), (0x750, 0x77F), (0x870, 0x8FF), (0xFB50, 0xFDFF), (0xFE70, 0xFEFF)],
+    "Syriac": [(0x700, 0x74F), (0x860, 0x86F)],
+    "Thaana": [(0x780, 0x7BF)],
+    "NKo": [(0x7C0, 0x7FF)],
+    "Samaritan": [(0x800, 0x83F)],
+    "Mandaic": [(0x840, 0x85F)],
+    "Devanagari": [(0x900, 0x97F), (0xA8E0, 0xA8FF)],
+    "Bengali": [(0x980, 0x9FF)],
+    "Gurmukhi": [(0xA00, 0xA7F)],
+    "Gujarati": [(0xA80, 0xAFF)],
+    "Oriya": [(0xB00, 0xB7F)],
+    "Tamil": [(0xB80, 0xBFF)],
+    "Telugu": [(0xC00, 0xC7F)],
+    "Kannada": [(0xC80, 0xCFF)],
+    "Malayalam": [(0xD00, 0xD7F)],
+    "Sinhala": [(0xD80, 0xDFF)],
+    "Thai": [(0xE00, 0xE7F)],
+    "Lao": [(0xE80, 0xEFF)],
+    "Tibetan": [(0xF00, 0xFFF)],
+    "Myanmar": [(0x1000, 0x109F), (0xA9E0, 0xA9FF), (0xAA60, 0xAA7F)],
+    "Georgian": [(0x10A0, 0x10FF), (0x1C90, 0x1CBF), (0x2D00, 0x2D2F)],
+    "Hangul": [(0x1100, 0x11FF), (0x3130, 0x318F), (0xA960, 0xA97F), (0xAC00, 0xD7FF), (0xFFA0, 0xFFDC)],
+    "Ethiopic": [(0x1200, 0x139F), (0x2D80, 0x2DDF), (0xAB00, 0xAB2F)],
+    "Cherokee": [(0x13A0, 0x13FF), (0xAB70, 0xABBF)],
+    "Canadian syllabics": [(0x1400, 0x167F), (0x18B0, 0x18FF)],
+    "Khmer": [(0x1780, 0x17FF)],
+    "Mongolian": [(0x1800, 0x18AF)],
+    "Glagolitic": [(0x2C00, 0x2C5F)],
+    "Coptic": [(0x2C80, 0x2CFF)],
+    "Tifinagh": [(0x2D30, 0x2D7F)],
+    "Kana": [(0x3040, 0x30FF), (0x31F0, 0x31FF), (0xFF66, 0xFF9D)],
+    "Bopomofo": [(0x3100, 0x312F)],
+    "Han": [(0x3005, 0x3007), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF)],
+    "Yi": [(0xA000, 0xA4CF)],
+    "Adlam": [(0x1E900, 0x1E95F)],
+    "all others": [],
 }
-_SCRIPT_OF = np.zeros(256, np.uint8)
-for _n, _ranges in enumerate(SCRIPTS.values()):
-    for _a, _b in _ranges:
-        _SCRIPT_OF[_a : _b + 1] = _n
-# First bytes of characters that may be no letters (Latin-1 signs, punctuation and symbols, emoji), and their lengths.
-_MIXED = ((0xC2, 2), (0xE2, 3), (0xF0, 4))
+LETTER, MARK = 1, 2
 
 SPANS = "array<struct<lang: string, first_word: int, last_word: int>>"
 
@@ -64,40 +89,52 @@ class Model:
 
 
 @cache
-def _letters(lead: int, size: int) -> np.ndarray:
-    """Whether the characters that begin with byte ``lead`` are letters (category L), by the bits of their other bytes."""
-    first = (lead & (0xFF >> (size + 1))) << 6 * (size - 1)
-    return np.array([unicodedata.category(chr(first + k))[0] == "L" for k in range(1 << 6 * (size - 1))])
+def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By code point: ``LETTER`` (category L), ``MARK`` (M) or 0, the number of the script, and the small letter below 0x800."""
+    kinds = {"L": LETTER, "M": MARK}
+    kind = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], 0) for c in range(0x110000)), np.uint8, 0x110000)
+    script = np.full(0x110000, len(SCRIPTS) - 1, np.uint8)
+    for n, ranges in enumerate(SCRIPTS.values()):
+        for first, last in ranges:
+            script[first : last + 1] = n
+    small = [chr(c).lower() for c in range(0x800)]
+    lower = np.array([ord(t) if len(t) == 1 and 0x80 <= ord(t) < 0x800 else c for c, t in enumerate(small)])
+    return kind, script, lower
 
 
 class Words:
-    """The words of some texts as ranges of letters in one array of bytes."""
+    """The words of some texts as ranges of letters and their marks in one array of bytes."""
 
     def __init__(self, texts: list[bytes]):
         raw = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8).copy()
-        upper = (raw >= 0x41) & (raw <= 0x5A)
-        raw[upper] |= 0x20
-        accent = np.flatnonzero(raw[:-1] == 0xC3) + 1
-        capital = accent[(raw[accent] >= 0x80) & (raw[accent] <= 0x9E) & (raw[accent] != 0x97)]
-        raw[capital] += 0x20
-        letter = ((raw >= 0x61) & (raw <= 0x7A)) | (raw >= 0x80)
-        for lead, size in _MIXED:
-            at = np.flatnonzero(raw == lead)
-            code = np.zeros(len(at), np.int64)
+        raw[(raw >= 0x41) & (raw <= 0x5A)] |= 0x20
+        word = (raw >= 0x61) & (raw <= 0x7A)
+        letter = word.copy()
+        self.script = np.zeros(len(raw), np.uint8)
+        kinds, scripts, lower = _characters()
+        # leading bytes and lengths of longer characters
+        for low, high, size in ((0xC2, 0xDF, 2), (0xE0, 0xEF, 3), (0xF0, 0xF4, 4)):
+            at = np.flatnonzero((raw >= low) & (raw <= high))
+            code = (raw[at] & (0xFF >> (size + 1))).astype(np.int64)
             for k in range(1, size):
-                code = code << 6 | raw[np.minimum(at + k, len(raw) - 1)] & 0x3F
-            at = at[~_letters(lead, size)[code]]
+                code = code << 6 | raw[at + k] & 0x3F
+            if size == 2:
+                code = lower[code]
+                raw[at], raw[at + 1] = 0xC0 | code >> 6, 0x80 | code & 0x3F
+            kind = kinds[code]
+            letter[at] = kind == LETTER
+            self.script[at] = scripts[code]
             for k in range(size):
-                letter[np.minimum(at + k, len(raw) - 1)] = False
-        raw[~letter] = 0x20
-        turn = np.flatnonzero(letter[1:] != letter[:-1]) + 1
-        self.raw, self.starts, self.ends = raw, turn[0::2], turn[1::2]
+                word[at + k] = kind > 0
+        raw[~word] = 0x20
+        turn = np.flatnonzero(word[1:] != word[:-1]) + 1
+        heads = np.concatenate([[0], np.cumsum(letter)])
+        letters = heads[turn[1::2]] - heads[turn[0::2]]
+        some = letters > 0  # marks without a letter are no word
+        self.raw, self.starts, self.ends, self.letters = raw, turn[0::2][some], turn[1::2][some], letters[some]
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         begin = np.concatenate([[0], np.cumsum(sizes + 1)]) + 1
         self.counts = np.diff(np.searchsorted(self.starts, begin))
-        # Letters, not bytes: bytes that continue a character don't count.
-        heads = np.concatenate([[0], np.cumsum(letter & ((raw & 0xC0) != 0x80))])
-        self.letters = heads[self.ends] - heads[self.starts]
 
     def features(self, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
         """Trigrams around every byte of the words first..last, and where each word begins among them."""
@@ -109,8 +146,8 @@ class Words:
         return (gram >> np.uint32(16)).astype(np.int64), begin
 
     def scripts(self) -> np.ndarray:
-        """Script of the first letter of each word."""
-        return _SCRIPT_OF[self.raw[self.starts]]
+        """Script of the first character of each word."""
+        return self.script[self.starts]
 
 
 def _word_scores(words: Words, model: Model) -> np.ndarray:
@@ -267,7 +304,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", switch: floa
     ``score`` is the share of letters inside spans of the predicted language. Texts without letters, null and empty
     ones, and all texts under a model without languages are ``und`` with score 0; letters are the characters of category L
     of Unicode in any script, and scripts that no language was learned from leave all languages as candidates. Ties go to the language that comes
-    first by name. Spans count words (runs of letters) from 0. Columns of these names are replaced.
+    first by name. Spans count words (runs of letters and their marks) from 0. Columns of these names are replaced.
     """
     text = F.col(text_col).cast("string")
     if not model.langs:
