@@ -3,23 +3,42 @@
 Let ``t`` be the least score. A pair with at least that score shares at least ``ceil(t * pop)`` on-bits of either side,
 so, with the bits of both in one order, the first ``pop - ceil(t * pop) + 1`` bits of both sides (the prefix) have one in
 common (Bayardo, Ma and Srikant, 2007). In order of rarity prefixes hold rare bits, whose posting lists are short.
-Prefixes meet by an equi-join on the bit; numbers of on-bits and the places of the common bit rule out most of what
-meets; the rest is verified.
+Blocks of both sides meet by shuffle. A task holds the posting lists of one block as bitmaps, joins those of a target's
+prefix and verifies what stands there within the bounds on the number of on-bits. So rows travel, once for each block of the other
+side, but what meets in a list never does: only pairs with the score leave a task.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from simmart.functions.bits import bits_decode, bits_pack, bits_unpack, int_array, tanimoto
+from simmart.functions.bits import bits_decode, bits_pack, bits_unpack
+from simmart.functions.packing import pack
+from simmart.operators.meeting import block_count, meet_blocks
 from simmart.session import stage
 
-# Sources that one task holds of one bit; the list of a more frequent bit is cut, its targets go to every cut.
-LIST_ROWS = 200_000
-# The bit of fingerprints without on-bits.
-NO_BIT = -1
+# Executors run the functions below without having this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Rows of a block, and those to which blocks may grow where there are very many.
+BLOCK_ROWS, LIST_ROWS = 20_000, 200_000
+# Pairs that a task gathers for one Arrow batch.
+OUT_ROWS = 20_000
+# Rows whose bits lie spread out at a time, a multiple of 8.
+CHUNK = 2_048
+
+FOUND_SCHEMA = "source long, target long, chembl_id string, target_id string, a int, b int, common long"
+FOUND = pa.schema([
+    ("source", pa.int64()), ("target", pa.int64()), ("chembl_id", pa.string()), ("target_id", pa.string()),
+    ("a", pa.int32()), ("b", pa.int32()), ("common", pa.int64()),
+])
 
 
 def _positions(df: DataFrame) -> Column:
@@ -38,46 +57,106 @@ def _rows(df: DataFrame, id_col: str, n_bits: int) -> DataFrame:
     return stage(packed.withColumn("row", F.monotonically_increasing_id()), "postings")
 
 
-def _common_least(pop: Column, least: float) -> Column:
-    """Fewest common on-bits of a pair with the least score."""
-    return F.ceil(pop * F.lit(least) - 1e-9).cast("int")
+def _common_least(pops: np.ndarray, share: float) -> np.ndarray:
+    """Fewest common on-bits of a pair that has at least this share of a number of on-bits in common."""
+    return np.ceil(pops * share - 1e-9).astype(np.int64)
+
+
+def _prefix_bits(words: np.ndarray, order: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """One byte per bit, in order of rarity: the first ``lengths`` on-bits of every row."""
+    bits = np.unpackbits(words.astype(">u8").view(np.uint8).reshape(len(words), -1), axis=1)[:, order]
+    return bits & (np.cumsum(bits, axis=1, dtype=np.uint16 if len(order) < 1 << 16 else np.uint32) <= lengths[:, None])
 
 
-def _prefixes(rows: DataFrame, order: Column, least: float) -> DataFrame:
-    """``(row, pop, bit, place)`` of the rarest bits of each row, by number in order of rarity, places from 0."""
-    ranks = F.sort_array(F.transform("on", lambda b: F.element_at(order, b + 1)))
-    length = F.col("pop") - _common_least(F.col("pop"), least) + 1
-    prefix = F.when(F.col("pop") == 0, F.array(F.lit(NO_BIT))).otherwise(F.slice(ranks, F.lit(1), length))
-    return rows.select("row", "pop", F.posexplode(prefix).alias("place", "bit"))
+class _Lists:
+    """Fingerprints ordered by number of on-bits, with the posting lists of their prefixes as bitmaps.
+
+    Of a pair, the side with fewer on-bits has at least 2t / (1 + t) of them in common with the other, which leaves it
+    a shorter prefix than the other side's t. So there are two sets of lists: ``short`` for rows with at most as many
+    on-bits as the target, ``long`` for the others.
+    """
+
+    def __init__(self, table: pa.Table, order: np.ndarray, least: float, n_bits: int):
+        table = table.sort_by("pop").combine_chunks()
+        self.table = table
+        self.words = pack(table["fp"].combine_chunks(), n_bits)
+        self.pops = table["pop"].to_numpy().astype(np.int64)
+        self.order, self.least = order, least
+
+    def prefix(self, rows: slice, short: bool) -> np.ndarray:
+        pops, least = self.pops[rows], self.least
+        lengths = pops - _common_least(pops, 2 * least / (1 + least) if short else least) + 1
+        return _prefix_bits(self.words[rows], self.order, lengths)
+
+    def bitmaps(self, short: bool) -> np.ndarray:
+        lists = np.zeros((len(self.order), -(-len(self.pops) // 64) * 8), np.uint8)
+        for first in range(0, len(self.pops), CHUNK):
+            part = np.packbits(self.prefix(slice(first, first + CHUNK), short), axis=0).T
+            lists[:, first // 8 : first // 8 + part.shape[1]] = part
+        return lists
+
+
+def _sharing(lists: np.ndarray, bits: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Rows low..high that stand in any of these lists."""
+    start = low // 8
+    met = np.bitwise_or.reduce(lists[np.flatnonzero(bits), start : -(-high // 8)], axis=0)
+    rows = np.flatnonzero(np.unpackbits(met)) + 8 * start
+    return rows[(rows >= low) & (rows < high)]
+
+
+def _search(sources: _Lists, targets: _Lists) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+    """For each target the rows of the sources with at least the least score, and their numbers of common on-bits."""
+    least, pops = sources.least, sources.pops
+    short, long = sources.bitmaps(True), sources.bitmaps(False)
+    fewest = np.searchsorted(pops, _common_least(targets.pops, least))
+    middle = np.searchsorted(pops, targets.pops, "right")
+    most = np.searchsorted(pops, np.floor(targets.pops / least + 1e-9), "right")
+    for first in range(0, len(targets.pops), CHUNK):
+        rows = slice(first, first + CHUNK)
+        for t, own_short, own_long in zip(range(first, first + CHUNK), targets.prefix(rows, True), targets.prefix(rows, False)):
+            low, mid, high = fewest[t], middle[t], most[t]
+            if not targets.pops[t]:
+                yield np.arange(low, mid), t, np.zeros(mid - low, np.int64)  # two rows without on-bits are a pair, too
+                continue
+            at = np.concatenate([_sharing(short, own_long, low, mid), _sharing(long, own_short, mid, high)])
+            common = np.bitwise_count(sources.words[at] & targets.words[t]).sum(axis=1, dtype=np.int64)
+            keep = common / (pops[at] + targets.pops[t] - common) >= least
+            if keep.any():
+                yield at[keep], t, common[keep]
 
 
 def candidates(sources: DataFrame, targets: DataFrame, least: float, n_bits: int) -> DataFrame:
-    """``(source, target)`` row numbers of the pairs that may reach the least score, each once.
+    """``(source, target, chembl_id, target_id, a, b, common)`` of the pairs of rows with at least the least score.
 
-    Two rows without on-bits are a pair, too.
+    ``source`` and ``target`` are row numbers, ``a`` and ``b`` numbers of on-bits. Two rows without on-bits are a pair, too.
     """
-    # one row for each bit: at most ``n_bits`` and one more
-    bits = F.when(F.col("pop") == 0, F.array(F.lit(NO_BIT))).otherwise(F.col("on"))
-    seen = {r.bit: r.n for r in sources.select(F.explode(bits).alias("bit")).groupBy("bit").agg(F.count(F.lit(1)).alias("n")).collect()}
-    by_rarity = sorted(range(n_bits), key=lambda b: (seen.get(b, 0), b))
-    rank = {bit: number for number, bit in enumerate(by_rarity)}
-    order = int_array([rank[b] for b in range(n_bits)])
-    cuts = int_array([max(1, -(-seen.get(b, 0) // LIST_ROWS)) for b in by_rarity])
-    no_bit = max(1, -(-seen.get(NO_BIT, 0) // LIST_ROWS))
-    n_cuts = F.when(F.col("bit") == NO_BIT, F.lit(no_bit)).otherwise(F.element_at(cuts, F.greatest(F.col("bit"), F.lit(0)) + 1))
-
-    left = _prefixes(sources, order, least)
-    left = left.select(F.col("row").alias("source"), F.col("pop").alias("a"), F.col("place").alias("i"), "bit", F.pmod(F.xxhash64("row"), n_cuts).cast("int").alias("cut"))
-    right = _prefixes(targets, order, least)
-    right = right.select(F.col("row").alias("target"), F.col("pop").alias("b"), F.col("place").alias("j"), "bit", F.explode(F.sequence(F.lit(0), n_cuts - 1)).alias("cut"))
-    small, large = F.least("a", "b"), F.greatest("a", "b")
-    # common on-bits that a score of t needs: t / (1 + t) of both numbers
-    needed = F.ceil((F.col("a") + F.col("b")) * F.lit(least / (1 + least)) - 1e-9)
-    # Of the rarest common bit: no bit before it is common, so what follows it bounds the rest.
-    behind = F.least(F.col("a") - F.col("i"), F.col("b") - F.col("j"))
-    met = left.join(right, ["bit", "cut"]).filter(small >= F.ceil(large * F.lit(least) - 1e-9))
-    firsts = met.groupBy("source", "target").agg(F.max(behind).alias("behind"), F.first("a").alias("a"), F.first("b").alias("b"))
-    return firsts.filter((F.col("behind") >= needed) | (F.col("a") + F.col("b") == 0)).select("source", "target")
+    # at most ``n_bits`` rows
+    seen = {r.bit: r.n for r in sources.select(F.explode("on").alias("bit")).groupBy("bit").agg(F.count(F.lit(1)).alias("n")).collect()}
+    order = np.array(sorted(range(n_bits), key=lambda b: (seen.get(b, 0), b)))
+    sides = [df.select("id", F.col("words").alias("fp"), "row", "pop") for df in (sources, targets)]
+    n_left, n_right = (block_count(df.count(), min(BLOCK_ROWS, LIST_ROWS), LIST_ROWS) for df in sides)
+
+    def meet(own: pa.Table, block: pa.Table) -> Iterator[pa.RecordBatch]:
+        left, right = (_Lists(table, order, least, n_bits) for table in (own, block))
+
+        def found(met: list) -> pa.RecordBatch:
+            at, common = (pa.array(np.concatenate([m[i] for m in met])) for i in (0, 2))
+            of = pa.array(np.repeat([m[1] for m in met], [len(m[0]) for m in met]))
+            one, other = left.table.take(at), right.table.take(of)
+            columns = [one["row"], other["row"], one["id"], other["id"], one["pop"], other["pop"]]
+            return pa.RecordBatch.from_arrays([*(c.combine_chunks() for c in columns), common], schema=FOUND)
+
+        met, rows = [], 0
+        for more in _search(left, right):
+            met.append(more)
+            rows += len(more[0])
+            if rows >= OUT_ROWS:
+                yield found(met)
+                met, rows = [], 0
+        if rows:
+            yield found(met)
+
+    return meet_blocks(sides[0], n_left, sides[1], n_right, meet, FOUND_SCHEMA)
 
 
 def join_postings(
@@ -95,13 +174,15 @@ def join_postings(
     sources, wanted = _rows(fps, "chembl_id", n_bits), _rows(targets, target_col, n_bits)
     if empty_score < min_score:
         sources, wanted = sources.filter("pop > 0"), wanted.filter("pop > 0")
-    pairs = candidates(sources, wanted, min_score, n_bits)
-    left = sources.select(F.col("row").alias("source"), F.col("id").alias("chembl_id"), F.col("words").alias("a"), F.col("pop").alias("pop_a"))
-    right = wanted.select(F.col("row").alias("target"), F.col("id").alias(target_col), F.col("words").alias("b"), F.col("pop").alias("pop_b"))
-    score = tanimoto(F.col("a"), F.col("pop_a"), F.col("b"), F.col("pop_b"), empty_score)
-    scored = pairs.join(left, "source").join(right, "target").select("chembl_id", score.alias("tanimoto_similarity_score"), target_col)
+    union = F.col("a") + F.col("b") - F.col("common")
+    score = F.when(union == 0, F.lit(float(empty_score))).otherwise(F.col("common") / union)
+    scored = candidates(sources, wanted, min_score, n_bits).select(
+        "chembl_id", score.alias("tanimoto_similarity_score"), F.col("target_id").alias(target_col)
+    )
     kept = scored.filter(F.col("tanimoto_similarity_score") >= min_score)
     if not include_self:
         kept = kept.filter(F.col("chembl_id") != F.col(target_col))
+    if all(side.groupBy("id").count().filter("count > 1").isEmpty() for side in (sources, wanted)):
+        return kept
     best = kept.groupBy("chembl_id", target_col).agg(F.max("tanimoto_similarity_score").alias("tanimoto_similarity_score"))
     return best.select("chembl_id", "tanimoto_similarity_score", target_col)
