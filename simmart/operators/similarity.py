@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from simmart.functions.bits import malformed
-from simmart.functions.packing import pack
+from simmart.functions.packing import pack, words_array
+from simmart.operators.meeting import block_count, meet_blocks
 from simmart.operators.postings import join_postings
 from simmart.schemas import N_BITS, PAIRS, TOP_K
 from simmart.session import empty, scratch_path, stage
@@ -39,6 +40,8 @@ MERGE_PARTS = 64
 OUT_ROWS = 20_000
 # Rows of either side of a pair of blocks that meet by shuffle: for top-k, and where all scores are handed on.
 BLOCK_ROWS, PAIR_ROWS = 50_000, 2_000
+# Rows to which blocks for top-k may grow where there are very many.
+MOST_BLOCK_ROWS = 200_000
 
 SOURCE, TARGET, SCORE = "source_chembl_id", "target_chembl_id", "tanimoto_similarity_score"
 FLAG = "has_duplicates_of_last_largest_score"
@@ -105,7 +108,12 @@ class _Batch:
         codes = ids.dictionary_encode()
         self.code = codes.indices.to_numpy()[order] if len(codes.dictionary) < len(ids) else None  # None: no copies
         self.pops = pops[order]
+        self.sizes = self.pops.astype(np.float32)
         self.words = np.ascontiguousarray(words[order].T)
+        # What lies between the steps of a comparison, in one place for all targets.
+        self.both = np.empty_like(self.words)
+        self.counts = np.empty(self.words.shape, np.uint8)
+        self.wide = np.uint16 if len(self.words) < 1024 else np.uint32
 
     def windows(self, block: dict, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per target the range of rows whose number of on-bits allows a score of at least its floor."""
@@ -117,15 +125,44 @@ class _Batch:
         end = np.searchsorted(self.pops, most, "right")
         return np.minimum.reduceat(first, block["starts"]), np.maximum.reduceat(end, block["starts"])
 
+    def common(self, query: np.ndarray, low: int, high: int) -> np.ndarray:
+        """Number of common on-bits of a fingerprint with rows low..high."""
+        used = np.flatnonzero(query)
+        rows = slice(low, high)
+        if 4 * len(used) > 3 * len(query):
+            used, words = slice(None), self.words[:, rows]  # a view is cheaper than leaving out a few words
+        else:
+            words = self.words[used, rows]
+        both, counts = self.both[: len(words), : high - low], self.counts[: len(words), : high - low]
+        np.bitwise_and(words, query[used, None], out=both)
+        np.bitwise_count(both, out=counts)
+        return counts.sum(axis=0, dtype=self.wide)
+
+    def best(self, block: dict, t: int, low: int, high: int, floor: float, empty_score: float) -> tuple[np.ndarray, np.ndarray]:
+        """Places from ``low`` of the rows low..high with a score of at least ``floor``, and these scores."""
+        i = block["starts"][t]
+        query, pop = block["words"][i], block["pops"][i]
+        if floor <= 0 or not pop or block["ends"][t] - i > 1:
+            scores = self.scores(block, t, low, high, empty_score)
+            at = np.flatnonzero(scores >= floor)
+            return at, scores[at]
+        common = self.common(query, low, high)
+        # A score of t needs t / (1 + t) of both numbers of on-bits; without a division, and rounded down.
+        share = floor / (1 + floor)
+        need = self.sizes[low:high] * np.float32(share)
+        need += np.float32(share * float(pop) - 1e-6 * float(pop) - 0.01)
+        at = np.flatnonzero(common >= need)
+        found = common[at]
+        scores = found / (self.pops[low + at] + pop - found)
+        keep = scores >= floor
+        return at[keep], scores[keep]
+
     def scores(self, block: dict, t: int, low: int, high: int, empty_score: float) -> np.ndarray:
         """Scores of target ``t`` with rows low..high; with several structures the best one counts."""
         pops, best = self.pops[low:high], None
         for i in range(block["starts"][t], block["ends"][t]):
             query, pop = block["words"][i], block["pops"][i]
-            used = np.flatnonzero(query)
-            if 4 * len(used) > 3 * len(query):
-                used = slice(None)  # a view is cheaper than leaving out a few words
-            common = np.bitwise_count(self.words[used, low:high] & query[used, None]).sum(axis=0, dtype=np.uint32)
+            common = self.common(query, low, high)
             # With an empty target the union is empty exactly for empty rows.
             score = common / (pops + pop - common) if pop else np.where(pops == 0, empty_score, 0.0)
             best = score if best is None else np.maximum(best, score)
@@ -144,19 +181,22 @@ def _packed(batches: Iterator[pa.RecordBatch], n_bits: int) -> Iterator[_Batch]:
             yield _Batch(known, n_bits)
 
 
-def _k_best(batch: _Batch, low: int, scores: np.ndarray, floor: float, k: int) -> list[tuple[float, str]]:
-    """The k ids of this batch that come first by score descending and id ascending, as ``(-score, id)``."""
-    at = np.flatnonzero(scores >= floor)
+def _k_best(batch: _Batch, rows: np.ndarray, scores: np.ndarray, k: int) -> list[tuple[float, str]]:
+    """The k ids of these rows that come first by score descending and id ascending, as ``(-score, id)``."""
+
+    def only(kept: np.ndarray) -> None:
+        nonlocal rows, scores
+        rows, scores = rows[kept], scores[kept]
+
     if batch.code is not None:
         # Of the copies of an id the best one counts.
-        at = at[np.argsort(-scores[at], kind="stable")]
-        at = at[np.unique(batch.code[low + at], return_index=True)[1]]
-    if len(at) > k:
-        kth = np.partition(scores[at], len(at) - k)[len(at) - k]
-        at = at[scores[at] >= kth]
-        if len(at) > k:
-            at = at[np.lexsort((batch.rank[low + at], -scores[at]))[:k]]
-    return [(-float(scores[i]), batch.ids[int(low + i)].as_py()) for i in at]
+        only(np.argsort(-scores, kind="stable"))
+        only(np.unique(batch.code[rows], return_index=True)[1])
+    if len(rows) > k:
+        only(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+        if len(rows) > k:
+            only(np.lexsort((batch.rank[rows], -scores))[:k])
+    return [(-float(score), batch.ids[int(row)].as_py()) for row, score in zip(rows, scores)]
 
 
 def _merged(old: list[tuple[float, str]], new: list[tuple[float, str]], k: int) -> list[tuple[float, str]]:
@@ -179,11 +219,13 @@ def _task_top_k(shared, n_bits: int, k: int, empty_score: float, include_self: b
         own = None if include_self else batch.own_target(block)
         lows, highs = batch.windows(block, floors)
         for t in np.flatnonzero(lows < highs):
-            low, high = lows[t], highs[t]
-            scores = batch.scores(block, t, low, high, empty_score)
+            low = lows[t]
+            at, scores = batch.best(block, t, low, highs[t], floors[t], empty_score)
+            rows = low + at
             if own is not None:
-                scores[own[low:high] == t] = -1.0
-            new = _k_best(batch, low, scores, floors[t], k)
+                other = own[rows] != t
+                rows, scores = rows[other], scores[other]
+            new = _k_best(batch, rows, scores, k)
             if new:
                 best[t] = _merged(best[t], new, k)
                 if len(best[t]) == k:
@@ -288,29 +330,55 @@ class _Held:
         self.value = value
 
 
-def _pair_blocks(targets: DataFrame, fps: DataFrame, rows: int, n_bits: int, task) -> DataFrame:
+def _as_words(df: DataFrame, n_bits: int) -> DataFrame:
+    """``(id, fp, ...)`` with any stored form as packed words: fewer bytes to shuffle, and equal sets are equal."""
+    others = [c for c in df.columns if c not in ("id", "fp")]
+
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(0), words_array(batch.column(1), n_bits), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "fp", *others])
+
+    types = "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in others)
+    return df.select("id", "fp", *others).dropna().mapInArrow(convert, f"id string, fp array<bigint>{types}").distinct()
+
+
+def _pair_blocks(wanted: DataFrame, sources: DataFrame, rows: int, most: int, n_bits: int, task) -> DataFrame:
     """Blocks of targets and blocks of fingerprints, about ``rows`` each, meet by shuffle: no target passes the driver.
 
-    Every row travels once for each block of the other side.
+    Both sides are ``(id, fp)`` with packed words. Every row travels once for each block of the other side.
     """
-    wanted = stage(_distinct_targets(targets).dropna(), "targets")
-    sources = stage(_with_fingerprint(fps, "chembl_id").dropna().distinct(), "sources")
-    n_left, n_right = (max(1, -(-df.count() // rows)) for df in (sources, wanted))
+    n_left, n_right = (block_count(df.count(), rows, most) for df in (sources, wanted))
+
+    def meet(own: pa.Table, block: pa.Table) -> Iterator[pa.RecordBatch]:
+        held = _Held(_target_block(block.select(["id", "fp", "floor"]), n_bits))
+        yield from task([held])(iter(own.select(["id", "fp"]).to_batches(max_chunksize=10_000)))
+
+    return meet_blocks(sources.withColumn("floor", F.lit(0.0)), n_left, wanted, n_right, meet, PAIRS)
+
+
+def _both_sides(targets: DataFrame, fps: DataFrame, n_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Targets and fingerprints for ``_pair_blocks``, stored."""
+    wanted = stage(_as_words(_distinct_targets(targets), n_bits), "targets")
+    return wanted, stage(_as_words(_with_fingerprint(fps, "chembl_id"), n_bits), "sources")
+
 
-    def dealt(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        every = F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
-        return df.select("*", F.pmod(F.xxhash64("id", "fp"), F.lit(n_own)).cast("int").alias(own), every.alias(other))
+def _all_pairs_by_blocks(targets: DataFrame, fps: DataFrame, rows: int, n_bits: int, task) -> DataFrame:
+    """All scores by blocks. Pairs are merged, by a shuffle, only for ids that occur more than once on their side."""
+    wanted, sources = _both_sides(targets, fps, n_bits)
 
-    left, right = dealt(sources, "s", n_left, "t", n_right), dealt(wanted, "t", n_right, "s", n_left)
+    def parts(side: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        again = repeated_ids(side, "id")
+        return (side, None) if again is None else tuple(side.join(again, "id", how) for how in ("left_anti", "left_semi"))
 
-    def meet(_, own: pa.Table, block: pa.Table) -> pa.Table:
-        found = []
-        if own.num_rows and block.num_rows:
-            held = _Held(_target_block(block.select(["id", "fp", "floor"]), n_bits))
-            found = list(task([held])(iter(own.select(["id", "fp"]).combine_chunks().to_batches(max_chunksize=10_000))))
-        return pa.Table.from_batches(found, _out([], [], []).schema)
+    def meet(a: DataFrame, b: DataFrame) -> DataFrame:
+        return _pair_blocks(a, b, rows, rows, n_bits, task)
 
-    return left.groupBy("s", "t").cogroup(right.groupBy("s", "t")).applyInArrow(meet, PAIRS)
+    (one_target, copied_targets), (one_source, copied_sources) = parts(wanted), parts(sources)
+    merged = [] if copied_targets is None else [meet(copied_targets, one_source)]
+    merged += [] if copied_sources is None else [meet(wanted, copied_sources)]
+    merged = [_best_per_pair(_union(fps.sparkSession, merged))] if merged else []
+    return _union(fps.sparkSession, [meet(one_target, one_source), *merged])
 
 
 def _union(spark: SparkSession, frames: list[DataFrame]) -> DataFrame:
@@ -358,7 +426,7 @@ def score_targets(
         return join_postings(named, fps, min_score, empty_score, include_self, n_bits)
     task = lambda shared: _task_all_pairs(shared, n_bits, empty_score, include_self, keep_zero, min_score)
     if strategy == "blocks":
-        return _best_per_pair(_pair_blocks(named, fps, min(max_block, PAIR_ROWS), n_bits, task))
+        return _all_pairs_by_blocks(named, fps, min(max_block, PAIR_ROWS), n_bits, task)
     if strategy != "scan":
         raise ValueError("strategy is 'scan', 'blocks' or 'postings'")
     blocks = _Blocks(named, max_block)
@@ -404,7 +472,9 @@ def score_top_k(
     def candidates(targets: DataFrame, fps: DataFrame) -> DataFrame:
         task = lambda shared: _task_top_k(shared, n_bits, keep, empty_score, include_self)
         if strategy == "blocks":
-            return _best_per_pair(_pair_blocks(targets, fps, min(BLOCK_ROWS, max_block), n_bits, task))
+            rows = min(BLOCK_ROWS, max_block)
+            most = rows if max_block < MAX_BLOCK_TARGETS else MOST_BLOCK_ROWS
+            return _best_per_pair(_pair_blocks(*_both_sides(targets, fps, n_bits), rows, most, n_bits, task))
         (frames,) = _scan(_Blocks(targets, max_block), [fps], n_bits, task)
         # One pass at a time; a few rows per target remain of each.
         stored = [stage(frame, "pass") for frame in frames] if len(frames) > 1 else frames
