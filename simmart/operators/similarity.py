@@ -518,9 +518,42 @@ def _rank(pairs: DataFrame, k: int, tie_mode: str) -> DataFrame:
     return flagged.select(F.col("chembl_id").alias(SOURCE), TARGET, SCORE, FLAG)
 
 
+def _first_of_batches(pairs: DataFrame, k: int) -> DataFrame:
+    """The pairs without those that k others of their target and batch come before: tasks sort few rows.
+
+    Stored pairs lie target by target, so a batch of 10,000 keeps about k. NULLs and NaN are left to Spark's order.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            plain = pc.and_(pc.is_valid(batch.column(0)), pc.is_finite(pc.fill_null(batch.column(1), np.nan)))
+            plain = plain.to_numpy(zero_copy_only=False)
+            code = batch.column(2).dictionary_encode().indices.to_numpy()
+            scores = pc.fill_null(batch.column(1), 0.0).to_numpy(zero_copy_only=False)
+            order = np.lexsort((-scores, code, ~plain))[: plain.sum()]
+            starts = np.flatnonzero(np.diff(code[order], prepend=-1))
+            sizes = np.diff(starts, append=len(order))
+            place = np.arange(len(order)) - np.repeat(starts, sizes)
+            # Ties with the k-th score are told apart by their ids.
+            last = scores[order[np.minimum(starts + k, starts + sizes) - 1]] if len(order) else scores[:0]
+            stay = order[(place < k) | (scores[order] == np.repeat(last, sizes))]
+            if len(stay) > k * len(starts):
+                rank = np.empty(len(stay), np.int64)
+                rank[pc.sort_indices(batch.column(0).take(pa.array(stay))).to_numpy()] = np.arange(len(stay))
+                stay = stay[np.lexsort((rank, -scores[stay], code[stay]))]
+                starts = np.flatnonzero(np.diff(code[stay], prepend=-1))
+                stay = stay[np.arange(len(stay)) - np.repeat(starts, np.diff(starts, append=len(stay))) < k]
+            yield batch.take(pa.array(np.concatenate([stay, np.flatnonzero(~plain)])))
+
+    return pairs.mapInArrow(cut, pairs.schema)
+
+
 def top_k_similar(pairs: DataFrame, k: int = TOP_K, tie_mode: str = "within") -> DataFrame:
     """The k best rows per target of an existing pair table, flagged and without repeated rows.
 
     Rows without a target are dropped. Ties go to the smaller source id; the flag compares unrounded scores.
     """
-    return _rank(pairs.filter(F.col(TARGET).isNotNull()), k, tie_mode).distinct()
+    pairs = pairs.filter(F.col(TARGET).isNotNull()).select("chembl_id", SCORE, TARGET)
+    if [f.dataType.simpleString() for f in pairs.schema] == ["string", "double", "string"]:
+        pairs = _first_of_batches(pairs, k + 1)
+    return _rank(pairs, k, tie_mode).distinct()
