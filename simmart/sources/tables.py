@@ -226,9 +226,11 @@ def write_pair_buckets(pairs: DataFrame, directory: str, buckets: int = 256) ->
     names = [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
     if any(name.startswith("of=") and name != f"of={buckets}" for name in names):
         raise ValueError(f"{directory} is stored in another number of buckets: {sorted(names)}")
-    keyed = stage(pairs.filter("target_chembl_id IS NOT NULL").select(*_bucketed(F.lit(buckets))), "pairs")
+    keyed = pairs.filter("target_chembl_id IS NOT NULL").select(*_bucketed(F.lit(buckets)))
     rows = keyed
     if names:
+        # read three times; the first rows of a store are not
+        rows = keyed = stage(keyed, "pairs")
         new = keyed.select("target_chembl_id").distinct()
         touched = keyed.select("bucket").distinct()
         # at most ``buckets`` rows
@@ -237,7 +239,7 @@ def write_pair_buckets(pairs: DataFrame, directory: str, buckets: int = 256) ->
         rows = rows.unionByName(stage(old.select(*keyed.columns), "kept"))
     (
         rows.hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", "target_chembl_id")
+        .sortWithinPartitions("of", "bucket", "target_chembl_id")  # as the folders, which are then not sorted for again
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", CODEC)
