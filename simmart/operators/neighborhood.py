@@ -108,18 +108,37 @@ def edge_covers(nodes: DataFrame, edges: DataFrame, radius: int = RADIUS) -> lis
         "upward",
     )
     steps = arcs.select("mol", "a", "b")
-    near = at_node.select("mol", "node", F.col("node").alias("a"))
-    for _ in range(2, radius + 1):
+    # Round 2: the node itself and its neighbours. Of the edges with both ends there, those at the node make up its own
+    # sum, which takes that sum off again; the others close triangles, each found once from its lowest end.
+    around = steps.join(at_node.withColumnRenamed("node", "b"), ["mol", "b"]).select("mol", F.col("a").alias("node"), *SUM)
+    one, other = upward.select("mol", "a", "b", "hash"), upward.toDF("mol", "a", "c", "other")
+    wedges = one.join(other, ["mol", "a"]).filter("b < c")
+    closed = wedges.join(bonds.toDF("mol", "b", "c", "third"), ["mol", "b", "c"])
+    corners = (F.struct(F.col(end).alias("node"), F.col(edge).alias("hash")) for end, edge in (("a", "third"), ("b", "other"), ("c", "hash")))
+    opposite = closed.select("mol", F.inline(F.array(*corners)))
+    parts = around.union(_negative(_sum_of(opposite, "hash")))
+    covers.append(stage(_added(parts), "cover"))
+    if radius == 2:
+        return covers
+    near = at_node.select("mol", "node", F.col("node").alias("a")).union(arcs.select("mol", "a", "b"))
+    for _ in range(3, radius + 1):
         onward = near.join(steps, ["mol", "a"]).select("mol", "node", F.col("b").alias("a"))
         near = stage(near.union(onward).distinct(), "near")
         all_sums = near.join(at_node.withColumnRenamed("node", "a"), ["mol", "a"])
         inside = near.join(upward, ["mol", "a"]).join(near.withColumnRenamed("a", "b"), ["mol", "node", "b"], "left_semi")
-        twice = _sum_of(inside, "hash").select("mol", "node", *(F.negative(c).alias(c) for c in SUM))
-        parts = all_sums.select("mol", "node", *SUM).union(twice)
-        covers.append(stage(parts.groupBy("mol", "node").agg(*(F.sum(c).alias(c) for c in SUM)), "cover"))
+        parts = all_sums.select("mol", "node", *SUM).union(_negative(_sum_of(inside, "hash")))
+        covers.append(stage(_added(parts), "cover"))
     return covers
 
 
+def _negative(sums: DataFrame) -> DataFrame:
+    return sums.select("mol", "node", *(F.negative(c).alias(c) for c in SUM))
+
+
+def _added(sums: DataFrame) -> DataFrame:
+    return sums.groupBy("mol", "node").agg(*(F.sum(c).alias(c) for c in SUM))
+
+
 def fold_features(features: DataFrame, n_bits: int = N_BITS) -> DataFrame:
     """Fold ``(mol, feature)`` rows into ``(chembl_id, on, pop)``; at most ``n_bits`` positions meet per molecule."""
     bit = F.pmod("feature", F.lit(n_bits)).cast("int").alias("bit")

@@ -73,3 +73,17 @@ def test_no_edges_no_nodes(spark):
     e = spark.createDataFrame([], "mol string, a int, b int, kind string")
     assert sm.neighborhood_features(n, e, 2, structural_duplicates=False).collect() == []
     assert edge_covers(n, e, 0) == []
+
+
+def test_triangles_and_few_steps(spark, monkeypatch):
+    links = {(a, b) for a in range(6) for b in range(a + 1, 6)} | {(5, 6), (6, 7), (7, 8), (8, 6)}
+    nodes = spark.createDataFrame([(1, v, "C") for v in range(9)], "mol int, node int, label string")
+    edges = spark.createDataFrame([(1, a, b, "1") for a, b in links], "mol int, a int, b int, kind string")
+    from simmart.operators import neighborhood
+
+    stored = []
+    monkeypatch.setattr(neighborhood, "stage", lambda df, label, keep=neighborhood.stage: stored.append(label) or keep(df, label))
+    found = edge_covers(nodes, edges, 2)[1].collect()
+    want = {v: len(own) for (v, r), own in covered(range(9), {tuple(sorted(e)) for e in links}, 2).items() if r == 2}
+    assert {r.node: r.n for r in found} == want
+    assert "near" not in stored  # radius 2 stores no pairs of nodes
