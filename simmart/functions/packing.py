@@ -18,6 +18,9 @@ from pyspark.sql import DataFrame
 # Executors run the functions below without having this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Rows whose bits lie spread out at a time while they are packed.
+MATRIX_ROWS = 1_000
+
 
 def bit_matrix(fp: pa.Array, n_bits: int) -> np.ndarray:
     """Positions or ``0``/``1`` text to one byte per bit, rows padded to whole words.
@@ -62,7 +65,11 @@ def pack(fp: pa.Array, n_bits: int) -> np.ndarray:
         if n_bits % 64 and (words[:, -1] << np.uint64(n_bits % 64)).any():
             raise ValueError(f"fingerprint with a position outside 0..{n_bits - 1}")
         return words
-    return np.packbits(bit_matrix(fp, n_bits), axis=1).view(">u8").astype(np.uint64)
+    packed = np.empty((len(fp), -(-n_bits // 64)), np.uint64)
+    for first in range(0, len(fp), MATRIX_ROWS):
+        part = bit_matrix(fp.slice(first, MATRIX_ROWS), n_bits)
+        packed[first : first + len(part)] = np.packbits(part, axis=1).view(">u8")
+    return packed
 
 
 def words_array(fp: pa.Array, n_bits: int) -> pa.Array:

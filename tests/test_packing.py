@@ -77,3 +77,20 @@ def test_text_of_the_width_and_no_other(texts):
     else:
         with pytest.raises(ValueError):
             pack(pa.array(texts), 4)
+
+
+def test_packing_holds_few_rows_spread_out():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    rows = np.sort(rng.integers(0, 2048, (10_000, 280)), axis=1).astype(np.int32)
+    lists = pa.ListArray.from_arrays(np.arange(0, rows.size + 1, 280, dtype=np.int32), pa.array(rows.ravel()))
+    tracemalloc.start()
+    words = pack(lists.slice(5, 9_000), 2048)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6
+    for i in (0, 999, 1_000, 8_999):
+        bits = np.unpackbits(words[i : i + 1].astype(">u8").view(np.uint8))
+        assert np.flatnonzero(bits).tolist() == sorted(set(rows[5 + i].tolist()))
+    assert pack(lists.slice(0, 0), 2048).shape == (0, 32)
