@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from simmart.functions.bits import malformed
 from simmart.functions.packing import pack, words_array
+from simmart.operators.counting import Counters
 from simmart.operators.meeting import block_count, meet_blocks
 from simmart.operators.postings import join_postings
 from simmart.schemas import N_BITS, PAIRS, TOP_K
@@ -38,10 +39,16 @@ PASS_BLOCKS = 8
 MERGE_PARTS = 64
 # Rows a task returns per Arrow batch.
 OUT_ROWS = 20_000
-# Rows of either side of a pair of blocks that meet by shuffle: for top-k, and where all scores are handed on.
-BLOCK_ROWS, PAIR_ROWS = 50_000, 2_000
-# Rows to which blocks for top-k may grow where there are very many.
+# Rows of either side of a pair of blocks that meet by shuffle, where all scores are handed on.
+PAIR_ROWS = 2_000
+# Rows of a block of fingerprints for top-k, and those to which blocks of targets may grow where there are very many.
 MOST_BLOCK_ROWS = 200_000
+# Rows of the smallest blocks of targets for top-k.
+LEAST_BLOCK_ROWS = 1_000
+# Rows with about as many on-bits as a target that give its first lower bound.
+SEED_ROWS = 1_024
+# A score below any above 0.
+LEAST = 1e-300
 
 SOURCE, TARGET, SCORE = "source_chembl_id", "target_chembl_id", "tanimoto_similarity_score"
 FLAG = "has_duplicates_of_last_largest_score"
@@ -111,8 +118,7 @@ class _Batch:
         self.sizes = self.pops.astype(np.float32)
         self.words = np.ascontiguousarray(words[order].T)
         # What lies between the steps of a comparison, in one place for all targets.
-        self.both = np.empty_like(self.words)
-        self.counts = np.empty(self.words.shape, np.uint8)
+        self.both, self.counts = np.empty(0, np.uint64), np.empty(0, np.uint8)
         self.wide = np.uint16 if len(self.words) < 1024 else np.uint32
 
     def windows(self, block: dict, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,10 +139,17 @@ class _Batch:
             used, words = slice(None), self.words[:, rows]  # a view is cheaper than leaving out a few words
         else:
             words = self.words[used, rows]
-        both, counts = self.both[: len(words), : high - low], self.counts[: len(words), : high - low]
+        # Three counts of up to 64 fit a byte, so a third of them is added up in wider numbers.
+        thirds, width = -(-len(words) // 3), high - low
+        if self.both.size < len(words) * width:
+            self.both = np.empty(len(self.words) * width, np.uint64)
+            self.counts = np.empty((len(self.words) + 2) * width, np.uint8)
+        both = self.both[: len(words) * width].reshape(len(words), width)
+        counts = self.counts[: 3 * thirds * width].reshape(-1, width)
         np.bitwise_and(words, query[used, None], out=both)
-        np.bitwise_count(both, out=counts)
-        return counts.sum(axis=0, dtype=self.wide)
+        np.bitwise_count(both, out=counts[: len(words)])
+        counts[len(words) :] = 0
+        return counts.reshape(thirds, 3, width).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=self.wide)
 
     def best(self, block: dict, t: int, low: int, high: int, floor: float, empty_score: float) -> tuple[np.ndarray, np.ndarray]:
         """Places from ``low`` of the rows low..high with a score of at least ``floor``, and these scores."""
@@ -248,6 +261,95 @@ def _task_top_k(shared, n_bits: int, k: int, empty_score: float, include_self: b
     return run
 
 
+def _k_first(batch: _Batch, of: np.ndarray, rows: np.ndarray, scores: np.ndarray, k: int, several: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Which of these pairs are the k first of their target by score descending and id ascending, and their places.
+
+    Of copies of an id, or of a target with ``several`` structures, the best pair counts.
+    """
+    kept = np.arange(len(of))
+    if several or batch.code is not None:
+        code = rows if batch.code is None else batch.code[rows]
+        kept = np.lexsort((-scores, code, of))
+        new = np.ones(len(kept), bool)
+        new[1:] = (of[kept[1:]] != of[kept[:-1]]) | (code[kept[1:]] != code[kept[:-1]])
+        kept = kept[new]
+    kept = kept[np.lexsort((batch.rank[rows[kept]], -scores[kept], of[kept]))]
+    starts = np.flatnonzero(np.diff(of[kept], prepend=-1))
+    place = np.arange(len(kept)) - np.repeat(starts, np.diff(starts, append=len(kept)))
+    return kept[place < k], place[place < k]
+
+
+def _top_k_of_blocks(n_bits: int, k: int, empty_score: float, include_self: bool):
+    """The k best rows of a large block for each target of another, by counters instead of pair by pair."""
+
+    def seeds(batch: _Batch, block: dict, own: np.ndarray | None) -> np.ndarray:
+        """Lower bounds of the k-th scores, from rows with about as many on-bits."""
+        floors = block["floors"].copy()
+        near = np.searchsorted(batch.pops, block["pops"][block["starts"]])
+        for t in range(len(floors)):
+            low = max(0, min(near[t] - SEED_ROWS // 2, len(batch.pops) - SEED_ROWS))
+            scores = batch.scores(block, t, low, min(low + SEED_ROWS, len(batch.pops)), empty_score)
+            if own is not None:
+                scores[own[low : low + SEED_ROWS] == t] = -1.0
+            if batch.code is not None:
+                best_first = np.argsort(-scores)
+                scores = scores[best_first][np.unique(batch.code[low : low + SEED_ROWS][best_first], return_index=True)[1]]
+            if len(scores) >= k:
+                floors[t] = max(floors[t], np.partition(scores, len(scores) - k)[len(scores) - k])
+        return floors
+
+    def run(batch: _Batch, block: dict) -> Iterator[pa.RecordBatch]:
+        own = None if include_self else batch.own_target(block)
+        pops, words, starts = block["pops"], block["words"], block["starts"]
+        name_of = np.repeat(np.arange(len(starts)), block["ends"] - starts)
+        several = len(name_of) > len(starts)
+        floors = seeds(batch, block, own)
+        plain = np.minimum.reduceat(pops, starts) > 0  # the others are scored row by row
+        counted = np.flatnonzero(plain[name_of])
+        bounds = np.maximum(floors[name_of], LEAST)[counted]
+        best = np.full((len(starts), k), -1)  # rows, in their order
+        reached = np.zeros((len(starts), k))
+        counters = Counters(np.ascontiguousarray(batch.words.T), batch.pops, batch.common)
+        for q, rows, common in counters.search(words[counted], pops[counted], bounds):
+            scores, of = common / (batch.pops[rows] + pops[counted[q]] - common), name_of[counted[q]]
+            if own is not None:
+                other = own[rows] != of
+                of, rows, scores = of[other], rows[other], scores[other]
+            met = np.unique(of)
+            old = best[met] >= 0
+            of = np.concatenate([np.repeat(met, old.sum(axis=1)), of])
+            rows, scores = np.concatenate([best[met][old], rows]), np.concatenate([reached[met][old], scores])
+            stay, place = _k_first(batch, of, rows, scores, k, several)
+            best[of[stay], place], reached[of[stay], place] = rows[stay], scores[stay]
+            again = np.unique(q)
+            name = name_of[counted[again]]
+            bounds[again] = np.where(best[name, -1] >= 0, np.maximum(bounds[again], reached[name, -1]), bounds[again])
+        # Where fewer than k sources have a bit in common, the others come by their ids.
+        for t in np.flatnonzero(~plain | ((floors <= 0) & (best[:, -1] < 0))):
+            scores = batch.scores(block, t, 0, len(batch.pops), empty_score)
+            rows = np.flatnonzero(scores >= floors[t]) if own is None else np.flatnonzero((scores >= floors[t]) & (own != t))
+            if batch.code is None and len(rows) > k:
+                rows = rows[scores[rows] >= np.partition(scores[rows], len(rows) - k)[len(rows) - k]]
+            stay, place = _k_first(batch, np.full(len(rows), t), rows, scores[rows], k, False)
+            best[t] = -1
+            best[t, place], reached[t, place] = rows[stay], scores[rows[stay]]
+        names = pa.array(block["names"], pa.string())
+        for begin in range(0, len(starts), OUT_ROWS // k + 1):
+            of, place = np.nonzero(best[begin : begin + OUT_ROWS // k + 1] >= 0)
+            of += begin
+            if len(of):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.ids.take(pa.array(best[of, place])), pa.array(reached[of, place]), names.take(pa.array(of))],
+                    names=["chembl_id", "tanimoto_similarity_score", "target_chembl_id"],
+                )
+
+    def meet(sources: pa.Table, targets: pa.Table) -> Iterator[pa.RecordBatch]:
+        batch = _Batch(sources.select(["id", "fp"]).combine_chunks().to_batches()[0], n_bits)
+        yield from run(batch, _target_block(targets.select(["id", "fp", "floor"]), n_bits))
+
+    return meet
+
+
 def _task_all_pairs(shared, n_bits: int, empty_score: float, include_self: bool, keep_zero: bool, min_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = [b.value for b in shared]
@@ -343,12 +445,12 @@ def _as_words(df: DataFrame, n_bits: int) -> DataFrame:
     return df.select("id", "fp", *others).dropna().mapInArrow(convert, f"id string, fp array<bigint>{types}").distinct()
 
 
-def _pair_blocks(wanted: DataFrame, sources: DataFrame, rows: int, most: int, n_bits: int, task) -> DataFrame:
+def _pair_blocks(wanted: DataFrame, sources: DataFrame, rows: int, n_bits: int, task) -> DataFrame:
     """Blocks of targets and blocks of fingerprints, about ``rows`` each, meet by shuffle: no target passes the driver.
 
     Both sides are ``(id, fp)`` with packed words. Every row travels once for each block of the other side.
     """
-    n_left, n_right = (block_count(df.count(), rows, most) for df in (sources, wanted))
+    n_left, n_right = (block_count(df.count(), rows, rows) for df in (sources, wanted))
 
     def meet(own: pa.Table, block: pa.Table) -> Iterator[pa.RecordBatch]:
         held = _Held(_target_block(block.select(["id", "fp", "floor"]), n_bits))
@@ -372,7 +474,7 @@ def _all_pairs_by_blocks(targets: DataFrame, fps: DataFrame, rows: int, n_bits:
         return (side, None) if again is None else tuple(side.join(again, "id", how) for how in ("left_anti", "left_semi"))
 
     def meet(a: DataFrame, b: DataFrame) -> DataFrame:
-        return _pair_blocks(a, b, rows, rows, n_bits, task)
+        return _pair_blocks(a, b, rows, n_bits, task)
 
     (one_target, copied_targets), (one_source, copied_sources) = parts(wanted), parts(sources)
     merged = [] if copied_targets is None else [meet(copied_targets, one_source)]
@@ -381,6 +483,22 @@ def _all_pairs_by_blocks(targets: DataFrame, fps: DataFrame, rows: int, n_bits:
     return _union(fps.sparkSession, [meet(one_target, one_source), *merged])
 
 
+def _top_by_blocks(targets: DataFrame, fps: DataFrame, max_block: int, n_bits: int, meet) -> DataFrame:
+    """The k best of every pair of blocks: large ones of fingerprints, and enough of targets for all cores.
+
+    Pairs are merged, by a shuffle, only where a side has an id more than once.
+    """
+    wanted, sources = _both_sides(targets, fps, n_bits)
+    few, rows = max_block < MAX_BLOCK_TARGETS, sources.count()
+    n_left = block_count(rows, max_block, max_block) if few else max(1, -(-rows // MOST_BLOCK_ROWS))
+    least, most = (max_block, max_block) if few else (LEAST_BLOCK_ROWS, MOST_BLOCK_ROWS)
+    n_right = block_count(wanted.count(), least, most)
+    pairs = meet_blocks(sources.withColumn("floor", F.lit(0.0)), n_left, wanted, n_right, meet, PAIRS)
+    if n_left * n_right == 1 or all(repeated_ids(side, "id") is None for side in (wanted, sources)):
+        return pairs
+    return _best_per_pair(pairs)
+
+
 def _union(spark: SparkSession, frames: list[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, frames) if frames else empty(spark, PAIRS)
 
@@ -472,9 +590,7 @@ def score_top_k(
     def candidates(targets: DataFrame, fps: DataFrame) -> DataFrame:
         task = lambda shared: _task_top_k(shared, n_bits, keep, empty_score, include_self)
         if strategy == "blocks":
-            rows = min(BLOCK_ROWS, max_block)
-            most = rows if max_block < MAX_BLOCK_TARGETS else MOST_BLOCK_ROWS
-            return _best_per_pair(_pair_blocks(*_both_sides(targets, fps, n_bits), rows, most, n_bits, task))
+            return _top_by_blocks(targets, fps, max_block, n_bits, _top_k_of_blocks(n_bits, keep, empty_score, include_self))
         (frames,) = _scan(_Blocks(targets, max_block), [fps], n_bits, task)
         # One pass at a time; a few rows per target remain of each.
         stored = [stage(frame, "pass") for frame in frames] if len(frames) > 1 else frames
