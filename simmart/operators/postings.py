@@ -1,11 +1,11 @@
-"""Pairs of fingerprints above a score by an index on their rarest on-bits.
-
-Let ``t`` be the least score. A pair with at least that score shares at least ``ceil(t * pop)`` on-bits of either side,
-so, with the bits of both in one order, the first ``pop - ceil(t * pop) + 1`` bits of both sides (the prefix) have one in
-common (Bayardo, Ma and Srikant, 2007). In order of rarity prefixes hold rare bits, whose posting lists are short.
-Blocks of both sides meet by shuffle. A task holds the posting lists of one block as bitmaps, joins those of a target's
-prefix and verifies what stands there within the bounds on the number of on-bits. So rows travel, once for each block of the other
-side, but what meets in a list never does: only pairs with the score leave a task.
+"""Pairs of fingerprints above a score by lists of the rows that have a bit.
+
+Let ``t`` be the least score. A pair of ``a`` and ``b`` on-bits with at least that score shares ``t / (1 + t) * (a + b)``
+of them, so of a target's rarest bits a row must have at least that number less the bits that are left out: for one bit
+this is the prefix filter of Bayardo, Ma and Srikant (2007). It says little where no bit is rare, so as many bits are
+counted as tell most rows apart (``simmart.operators.counting``), and what remains is verified.
+Blocks of both sides are ranges of the number of on-bits and meet by shuffle where these allow the score. So rows travel
+to some blocks of the other side, but what meets in a list never does: only pairs with the score leave a task.
 """
 
 from __future__ import annotations
@@ -21,18 +21,19 @@ from pyspark.sql import functions as F
 
 from simmart.functions.bits import bits_decode, bits_pack, bits_unpack
 from simmart.functions.packing import pack
-from simmart.operators.meeting import block_count, meet_blocks
+from simmart.operators.counting import Counters
+from simmart.operators.meeting import block_count, meet_bands
 from simmart.session import stage
 
 # Executors run the functions below without having this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Rows of a block, and those to which blocks may grow where there are very many.
-BLOCK_ROWS, LIST_ROWS = 20_000, 200_000
+# Rows of a block of fingerprints, and those to which blocks may grow where there are very many.
+BLOCK_ROWS, LIST_ROWS = 50_000, 200_000
+# Blocks of targets, more where there are more than a quarter as many of fingerprints, and the fewest rows of one.
+TARGET_BLOCKS, LEAST_ROWS = 24, 1_000
 # Pairs that a task gathers for one Arrow batch.
 OUT_ROWS = 20_000
-# Rows whose bits lie spread out at a time, a multiple of 8.
-CHUNK = 2_048
 
 FOUND_SCHEMA = "source long, target long, chembl_id string, target_id string, a int, b int, common long"
 FOUND = pa.schema([
@@ -51,78 +52,21 @@ def _positions(df: DataFrame) -> Column:
 
 
 def _rows(df: DataFrame, id_col: str, n_bits: int) -> DataFrame:
-    """``(row, id, on, pop, words)`` of the distinct rows, stored, so that row numbers stay."""
+    """``(row, id, pop, words)`` of the distinct rows, stored, so that row numbers stay."""
     known = df.select(F.col(id_col).cast("string").alias("id"), _positions(df).alias("on")).dropna().distinct()
-    packed = known.select("id", "on", F.size("on").alias("pop"), bits_pack(F.col("on"), n_bits).alias("words"))
+    packed = known.select("id", F.size("on").alias("pop"), bits_pack(F.col("on"), n_bits).alias("words"))
     return stage(packed.withColumn("row", F.monotonically_increasing_id()), "postings")
 
 
-def _common_least(pops: np.ndarray, share: float) -> np.ndarray:
-    """Fewest common on-bits of a pair that has at least this share of a number of on-bits in common."""
-    return np.ceil(pops * share - 1e-9).astype(np.int64)
-
-
-def _prefix_bits(words: np.ndarray, order: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """One byte per bit, in order of rarity: the first ``lengths`` on-bits of every row."""
-    bits = np.unpackbits(words.astype(">u8").view(np.uint8).reshape(len(words), -1), axis=1)[:, order]
-    return bits & (np.cumsum(bits, axis=1, dtype=np.uint16 if len(order) < 1 << 16 else np.uint32) <= lengths[:, None])
-
-
-class _Lists:
-    """Fingerprints ordered by number of on-bits, with the posting lists of their prefixes as bitmaps.
-
-    Of a pair, the side with fewer on-bits has at least 2t / (1 + t) of them in common with the other, which leaves it
-    a shorter prefix than the other side's t. So there are two sets of lists: ``short`` for rows with at most as many
-    on-bits as the target, ``long`` for the others.
-    """
-
-    def __init__(self, table: pa.Table, order: np.ndarray, least: float, n_bits: int):
-        table = table.sort_by("pop").combine_chunks()
-        self.table = table
-        self.words = pack(table["fp"].combine_chunks(), n_bits)
-        self.pops = table["pop"].to_numpy().astype(np.int64)
-        self.order, self.least = order, least
-
-    def prefix(self, rows: slice, short: bool) -> np.ndarray:
-        pops, least = self.pops[rows], self.least
-        lengths = pops - _common_least(pops, 2 * least / (1 + least) if short else least) + 1
-        return _prefix_bits(self.words[rows], self.order, lengths)
-
-    def bitmaps(self, short: bool) -> np.ndarray:
-        lists = np.zeros((len(self.order), -(-len(self.pops) // 64) * 8), np.uint8)
-        for first in range(0, len(self.pops), CHUNK):
-            part = np.packbits(self.prefix(slice(first, first + CHUNK), short), axis=0).T
-            lists[:, first // 8 : first // 8 + part.shape[1]] = part
-        return lists
-
-
-def _sharing(lists: np.ndarray, bits: np.ndarray, low: int, high: int) -> np.ndarray:
-    """Rows low..high that stand in any of these lists."""
-    start = low // 8
-    met = np.bitwise_or.reduce(lists[np.flatnonzero(bits), start : -(-high // 8)], axis=0)
-    rows = np.flatnonzero(np.unpackbits(met)) + 8 * start
-    return rows[(rows >= low) & (rows < high)]
-
-
-def _search(sources: _Lists, targets: _Lists) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
-    """For each target the rows of the sources with at least the least score, and their numbers of common on-bits."""
-    least, pops = sources.least, sources.pops
-    short, long = sources.bitmaps(True), sources.bitmaps(False)
-    fewest = np.searchsorted(pops, _common_least(targets.pops, least))
-    middle = np.searchsorted(pops, targets.pops, "right")
-    most = np.searchsorted(pops, np.floor(targets.pops / least + 1e-9), "right")
-    for first in range(0, len(targets.pops), CHUNK):
-        rows = slice(first, first + CHUNK)
-        for t, own_short, own_long in zip(range(first, first + CHUNK), targets.prefix(rows, True), targets.prefix(rows, False)):
-            low, mid, high = fewest[t], middle[t], most[t]
-            if not targets.pops[t]:
-                yield np.arange(low, mid), t, np.zeros(mid - low, np.int64)  # two rows without on-bits are a pair, too
-                continue
-            at = np.concatenate([_sharing(short, own_long, low, mid), _sharing(long, own_short, mid, high)])
-            common = np.bitwise_count(sources.words[at] & targets.words[t]).sum(axis=1, dtype=np.int64)
-            keep = common / (pops[at] + targets.pops[t] - common) >= least
-            if keep.any():
-                yield at[keep], t, common[keep]
+def _search(sources: pa.Table, targets: pa.Table, least: float, n_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The rows of the sources and of the targets with at least the least score, and their numbers of common on-bits."""
+    (own, pops), (words, wanted) = ((pack(t["fp"].combine_chunks(), n_bits), t["pop"].to_numpy().astype(np.int64)) for t in (sources, targets))
+    empty = np.flatnonzero(pops == 0)
+    for t in np.flatnonzero(wanted == 0):
+        yield empty, np.full(len(empty), t), np.zeros(len(empty), np.int64)  # two rows without on-bits are a pair, too
+    some = np.flatnonzero(wanted)
+    for t, at, common in Counters(own, pops).search(words[some], wanted[some], np.full(len(some), least)):
+        yield at, some[t], common
 
 
 def candidates(sources: DataFrame, targets: DataFrame, least: float, n_bits: int) -> DataFrame:
@@ -130,24 +74,21 @@ def candidates(sources: DataFrame, targets: DataFrame, least: float, n_bits: int
 
     ``source`` and ``target`` are row numbers, ``a`` and ``b`` numbers of on-bits. Two rows without on-bits are a pair, too.
     """
-    # at most ``n_bits`` rows
-    seen = {r.bit: r.n for r in sources.select(F.explode("on").alias("bit")).groupBy("bit").agg(F.count(F.lit(1)).alias("n")).collect()}
-    order = np.array(sorted(range(n_bits), key=lambda b: (seen.get(b, 0), b)))
     sides = [df.select("id", F.col("words").alias("fp"), "row", "pop") for df in (sources, targets)]
-    n_left, n_right = (block_count(df.count(), min(BLOCK_ROWS, LIST_ROWS), LIST_ROWS) for df in sides)
+    n_left = block_count(sources.count(), min(BLOCK_ROWS, LIST_ROWS), LIST_ROWS)
+    n_right = max(1, min(-(-targets.count() // LEAST_ROWS), max(TARGET_BLOCKS, 4 * n_left)))
 
     def meet(own: pa.Table, block: pa.Table) -> Iterator[pa.RecordBatch]:
-        left, right = (_Lists(table, order, least, n_bits) for table in (own, block))
+        own = own.sort_by("pop").combine_chunks()
 
         def found(met: list) -> pa.RecordBatch:
-            at, common = (pa.array(np.concatenate([m[i] for m in met])) for i in (0, 2))
-            of = pa.array(np.repeat([m[1] for m in met], [len(m[0]) for m in met]))
-            one, other = left.table.take(at), right.table.take(of)
+            at, of, common = (pa.array(np.concatenate(each)) for each in zip(*met))
+            one, other = own.select(["row", "id", "pop"]).take(at), block.select(["row", "id", "pop"]).take(of)
             columns = [one["row"], other["row"], one["id"], other["id"], one["pop"], other["pop"]]
             return pa.RecordBatch.from_arrays([*(c.combine_chunks() for c in columns), common], schema=FOUND)
 
         met, rows = [], 0
-        for more in _search(left, right):
+        for more in _search(own, block, least, n_bits):
             met.append(more)
             rows += len(more[0])
             if rows >= OUT_ROWS:
@@ -156,7 +97,7 @@ def candidates(sources: DataFrame, targets: DataFrame, least: float, n_bits: int
         if rows:
             yield found(met)
 
-    return meet_blocks(sides[0], n_left, sides[1], n_right, meet, FOUND_SCHEMA)
+    return meet_bands(sides[0], n_left, sides[1], n_right, least, meet, FOUND_SCHEMA)
 
 
 def join_postings(

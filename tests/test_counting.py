@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import simmart as sm
 from simmart.functions.packing import pack
-from simmart.operators import counting, similarity
+from simmart.operators import counting, meeting, postings, similarity
 from tests.test_similarity import TARGET, brute_top, top_of
 
 
@@ -90,3 +90,21 @@ def test_a_target_is_not_compared_with_every_row():
         out = list(similarity._top_k_of_blocks(2048, 10, 0.0, False)(table, table.slice(0, 100)))
     assert sum(b.num_rows for b in out) == 1_000
     assert sum(compared) < 100 * 20_000 / 4
+
+
+def test_only_blocks_that_may_reach_the_score_meet(spark, monkeypatch):
+    """Rows used to travel to every block of the other side, whatever their number of on-bits."""
+    rng = random.Random(8)
+    sets = [set(rng.sample(range(300), n)) for n in range(10, 210) for _ in range(2)] + [set(), set()]
+    fps = spark.createDataFrame([(f"s{i}", sorted(s)) for i, s in enumerate(sets)], "chembl_id string, on array<int>")
+    rows = postings._rows(fps, "chembl_id", 300)
+    monkeypatch.setattr(postings, "LIST_ROWS", 40)
+    monkeypatch.setattr(postings, "LEAST_ROWS", 40)
+    met = []
+    monkeypatch.setattr(meeting, "_met", lambda df, *_: met.append(df) or df)
+    postings.candidates(rows, rows, 0.8, 300)
+    assert met[0].count() < 2 * len(sets) * 11 / 2  # of 11 blocks on either side
+    sides = met[0].groupBy("s", "t").agg(F.collect_set(F.when(F.col("is_left"), F.col("id"))).alias("a"), F.collect_set(F.when(~F.col("is_left"), F.col("id"))).alias("b"))
+    together = {(a, b) for r in sides.collect() for a in r.a for b in r.b}
+    near = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if min(len(a), len(b)) >= 0.8 * max(len(a), len(b))}
+    assert all((f"s{i}", f"s{j}") in together for i, j in near)
